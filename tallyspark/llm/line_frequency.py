@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyspark.llm.common import bounded_batches, checked_join, free_name, need, table, written
 
@@ -28,7 +29,8 @@ MAX_DOCS = 20
 MIN_KEPT_SHARE = 0.5
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-BASE = "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long>"
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+BASE = StructType([StructField(c, LongType()) for c in COUNTS])
 #: Texts are handled in slices of about so many characters.
 SLICE_CHARS = 2_000_000
 WINDOW = 5
@@ -85,7 +87,7 @@ def _base_udf(texts: pa.Array) -> pa.Array:
             part, size = [], 0
     out += base_stats(part)
     columns = list(zip(*out, strict=True)) or [()] * 5
-    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], COUNTS)
 
 
 def normal_line(line: Column) -> Column:
@@ -103,7 +105,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="source", max_docs: int = MAX_DOCS, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """docs with base counts, base_failed, kept, removed_words, clean_text (the lines that stay) and kept_share."""
     need(docs, id_col, text_col, host_col)
-    free_name(docs, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words", "kept_share", "clean_text")
+    free_name(docs, *COUNTS, "base_failed", "kept", "removed_words", "kept_share", "clean_text")
     bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("-"))
@@ -126,7 +128,7 @@ def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="so
     clean = F.when(F.size(marked) == 0, text).otherwise(F.array_join(stays, "\n"))
     removed = F.when(F.size(marked) == 0, F.lit(0).cast("long")).otherwise(n - F.regexp_count(F.array_join(stays, "\n"), F.lit(r"[^\x20\x09-\x0D]+")))
     share = F.when(n == 0, F.lit(1.0)).otherwise((n - F.col("removed_words")) / n)
-    out = out.withColumns({c: F.col(f"__base.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")})
+    out = out.withColumns({c: F.col(f"__base.{c}") for c in COUNTS})
     out = out.withColumn("clean_text", clean).withColumn("removed_words", removed).withColumn("kept_share", share)
     out = out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("kept_share") >= min_kept_share))
     return out.drop("__base", "__hit", *names.values())
@@ -135,7 +137,7 @@ def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="so
 def op2_line_frequency(spark, sf_dir):
     """Every document judged by base rules and by the lines that it shares with others of its source."""
     out = filter_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+    return out.select("doc_id", *COUNTS, "base_failed", "kept", "removed_words")
 
 
 OP2_SQL = rf"""
