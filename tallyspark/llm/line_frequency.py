@@ -96,10 +96,11 @@ def normal_line(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(host, id, text hash, line hash, words) of each distinct normalised line of each document."""
-    lines = F.array_distinct(F.filter(F.transform(F.split("text", "\n", -1), normal_line), lambda x: x != ""))
-    parts = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("words")))
-    return docs.select("host", "id", "text_hash", F.explode(parts).alias("p")).select("host", "id", "text_hash", "p.line", "p.words")
+    """(host, id, text hash, place, line hash, words) of each line with a word of each document."""
+    lines = F.transform(F.split("text", "\n", -1), normal_line)
+    parts = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), F.when(x == "", 0).otherwise(F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("words")))
+    out = docs.select("host", "id", "text_hash", F.posexplode(parts).alias("place", "p"))
+    return out.select("host", "id", "text_hash", "place", "p.line", "p.words").filter("words > 0")
 
 
 def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="source", max_docs: int = MAX_DOCS, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
@@ -114,24 +115,23 @@ def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="so
     common = lines.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("docs")).filter(F.col("docs") > max_docs)
     common = written(common.select("host", "line"), "common-lines")
     hit = checked_join(lines, common, ["host", "line"], "inner", spread="text_hash")
-    # One row for each line and document, also where rows repeat a document.
-    hit = hit.groupBy("id", "host", "text_hash").agg(F.collect_set(F.struct("line", "words")).alias("hit"))
-    hit = written(hit, "hit-documents")
+    # A line counts at each of its places, but once where rows repeat a document.
+    hit = hit.dropDuplicates(["id", "host", "text_hash", "place"]).groupBy("id", "host", "text_hash")
+    hit = written(hit.agg(F.collect_set("line").alias("lines"), F.sum("words").alias("words")), "hit-documents")
     names = {"id": "__id", "host": "__host", "text_hash": "__text_hash"}
     base = docs.withColumns({"__base": _base_udf(F.col(text_col))} | {f"__{n}": c for n, c in zip(("host", "id", "text_hash"), keys, strict=True)})
-    out = checked_join(base, hit.withColumnsRenamed(names | {"hit": "__hit"}), list(names.values()), "left", spread="__id", limit=20_000)
+    renamed = hit.withColumnsRenamed(names | {"lines": "__lines", "words": "__words"})
+    out = checked_join(base, renamed, list(names.values()), "left", spread="__id", limit=20_000)
     n, repeat = F.col("__base.n_words"), F.col("__base.n_repeat_words")
     failed = (n < 10) | (100 * repeat > 20 * n)
-    # A repeated line of a text goes at each of its places, so words are counted over places.
-    marked = F.coalesce(F.transform("__hit", lambda x: x["line"]), F.array().cast("array<bigint>"))
-    stays = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(marked, F.xxhash64(normal_line(x))))
-    clean = F.when(F.size(marked) == 0, text).otherwise(F.array_join(stays, "\n"))
-    removed = F.when(F.size(marked) == 0, F.lit(0).cast("long")).otherwise(n - F.regexp_count(F.array_join(stays, "\n"), F.lit(r"[^\x20\x09-\x0D]+")))
+    stays = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains("__lines", F.xxhash64(normal_line(x))))
+    clean = F.when(F.col("__lines").isNull(), text).otherwise(F.array_join(stays, "\n"))
+    removed = F.coalesce("__words", F.lit(0).cast("long"))
     share = F.when(n == 0, F.lit(1.0)).otherwise((n - F.col("removed_words")) / n)
     out = out.withColumns({c: F.col(f"__base.{c}") for c in COUNTS})
     out = out.withColumn("clean_text", clean).withColumn("removed_words", removed).withColumn("kept_share", share)
     out = out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("kept_share") >= min_kept_share))
-    return out.drop("__base", "__hit", *names.values())
+    return out.drop("__base", "__lines", "__words", *names.values())
 
 
 def op2_line_frequency(spark, sf_dir):
