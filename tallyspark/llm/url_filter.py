@@ -62,8 +62,10 @@ def _signs(url: Column) -> Column:
 
 
 def _grams(signs: Column) -> Column:
-    at = F.sequence(F.lit(ORDER), F.size(signs) - 1)
-    return F.transform(at, lambda i: F.concat(*[F.get(signs, i - k) for k in range(ORDER, -1, -1)]))
+    def of(s):  # s is computed once for a URL
+        return F.transform(F.sequence(F.lit(ORDER), F.size(s) - 1), lambda i: F.concat(*[F.get(s, i - k) for k in range(ORDER, -1, -1)]))
+
+    return F.element_at(F.transform(F.array(signs), of), 1)
 
 
 def gram_scores(counts: DataFrame) -> DataFrame:
