@@ -8,8 +8,8 @@ are segmented with hysteresis (a segment starts above the high level and ends be
 text's own median and spread).
 
 Defined cases: a null payload is an empty one, padded to one unit. Every text is handled whole, in chunks of frames, so
-memory stays within a few times the text. Equal texts give equal values. Other columns pass through; names that clash
-with added ones are refused.
+memory stays within a few times the text. Equal texts give equal values. Other columns pass through; where a name
+clashes, the added column replaces the caller's.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, BinaryType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
-from tallyspark.llm.common import bounded_batches, free_name, need, table, written
+from tallyspark.llm.common import bounded_batches, need, plain, table, written
 
 UNIT = 576
 SOURCE_RATE, TARGET_RATE = 8000, 6000
@@ -174,7 +174,7 @@ def _features(media: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def store(docs: DataFrame, text_col="text", name: str = "audio") -> DataFrame:
     """docs with the payload of each text stored as media, written and reread."""
     need(docs, text_col)
-    free_name(docs, "media", "n_bytes")
+    docs = plain(docs, "media", "n_bytes")
     bounded_batches(docs.sparkSession)
     media = docs.withColumn("n_bytes", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")).withColumn("media", _media(F.col(text_col)))
     return written(media.drop(text_col), name)
@@ -183,7 +183,7 @@ def store(docs: DataFrame, text_col="text", name: str = "audio") -> DataFrame:
 def audio_features(stored: DataFrame) -> DataFrame:
     """stored with the columns of FEATURES: payload and media digests, tensors as an Arrow stream, spans and segments."""
     need(stored, "media")
-    free_name(stored, *FEATURES.names, "__f")
+    stored = plain(stored, *FEATURES.names)
     bounded_batches(stored.sparkSession)
     out = stored.withColumn("__f", _features(F.col("media")))
     return out.withColumns({c: F.col(f"__f.{c}") for c in FEATURES.names}).drop("__f")

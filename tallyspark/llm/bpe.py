@@ -7,7 +7,7 @@ slice of texts in it all at once; words that it lacks are merged exactly by rank
 
 Defined cases: a null or empty text has no tokens and decodes to an empty text. Long words are merged with a heap, in
 n log n steps. Special tokens in a text are encoded as such. Equal texts get equal rows. Other columns pass through;
-names that clash with added ones are refused.
+where a name clashes, the added column replaces the caller's.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from tallyspark.llm.common import bounded_batches, free_name, fresh_dir, need, table, written
+from tallyspark.llm.common import bounded_batches, fresh_dir, need, plain, table, written
 
 MAX_WORDS = 200_000
 #: Longer words are never in the lexicon.
@@ -325,7 +325,7 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col="text", max_wor
 def encode(docs: DataFrame, lexicon: str, tokenizer_path: str, text_col="text", ids_col="ids") -> DataFrame:
     """docs with the ids of each text."""
     need(docs, text_col)
-    free_name(docs, ids_col)
+    docs = plain(docs, ids_col)
     bounded_batches(docs.sparkSession)
 
     @arrow_udf(ArrayType(IntegerType()))
@@ -343,7 +343,7 @@ def encode(docs: DataFrame, lexicon: str, tokenizer_path: str, text_col="text",
 def decode(docs: DataFrame, tokenizer_path: str, ids_col="ids", text_col="decoded") -> DataFrame:
     """docs with the decoded text of each row's ids; the tokens joined by blanks, as the tokenizer file has no decoder."""
     need(docs, ids_col)
-    free_name(docs, text_col)
+    docs = plain(docs, text_col)
 
     @arrow_udf(StringType())
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

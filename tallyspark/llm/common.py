@@ -66,11 +66,10 @@ def need(df: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
-def free_name(df: DataFrame, *names: str) -> None:
-    """Operators that add columns to the caller's rows refuse names which are already there."""
-    taken = [x for x in names if x in df.columns]
-    if taken:
-        raise ValueError(f"columns to be added exist already: {', '.join(taken)}")
+def plain(df: DataFrame, *added: str) -> DataFrame:
+    """df without columns that an operator is about to add, and without names that start with two underscores, which
+    are the operators' own: where a name clashes, the operator's column replaces the caller's."""
+    return df.drop(*added, *[c for c in df.columns if c.startswith("__")])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

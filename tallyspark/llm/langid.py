@@ -6,8 +6,7 @@ leader, elastic net) on a sample with a documented bound, `max_rows` texts, equa
 made by Spark tasks and gathered on the driver; a fifth of the sample sets the temperature instead.
 
 Defined cases: a text that is null or has no letter is `und` with score 0. Without anything to learn from every text is
-`und`. Null languages are never learned. Rows that repeat get equal results. Other columns pass through; names that
-clash with added ones are refused.
+`und`. Null languages are never learned. Rows that repeat get equal results. Other columns pass through; where a name clashes, the added column replaces the caller's.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tallyspark.llm.common import bounded_batches, free_name, need, table
+from tallyspark.llm.common import bounded_batches, need, plain, table
 from tallyspark.llm.linear import Ftrl, logits, softmax, temperature
 
 DIM = 1 << 13
@@ -137,7 +136,7 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", ma
 def predict(docs: DataFrame, model: Model, text_col="text", lang_col="lang_pred", score_col="score") -> DataFrame:
     """docs with the predicted language and its calibrated probability."""
     need(docs, text_col)
-    free_name(docs, lang_col, score_col, "__lang")
+    docs = plain(docs, lang_col, score_col)
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.idf, model.weights, model.temp))
 

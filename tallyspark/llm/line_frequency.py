@@ -9,7 +9,7 @@ group of copies doesn't deplete its own last member.
 
 Defined cases: a null text is an empty one; null hosts form one host; a document without words is not depleted (base rules
 judge it). Rows that repeat a document get its verdict each. Null ids are allowed. Only the named columns are read; the
-caller's other columns pass through, and names that clash with added ones are refused.
+caller's other columns pass through, and where a name clashes, the added column replaces the caller's.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tallyspark.llm.common import bounded_batches, checked_join, free_name, need, table, written
+from tallyspark.llm.common import bounded_batches, checked_join, need, plain, table, written
 
 MAX_DOCS = 20
 MIN_KEPT_SHARE = 0.5
@@ -106,7 +106,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="source", max_docs: int = MAX_DOCS, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """docs with base counts, base_failed, kept, removed_words, clean_text (the lines that stay) and kept_share."""
     need(docs, id_col, text_col, host_col)
-    free_name(docs, *COUNTS, "base_failed", "kept", "removed_words", "kept_share", "clean_text")
+    docs = plain(docs, *COUNTS, "base_failed", "kept", "removed_words", "kept_share", "clean_text")
     bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("-"))

@@ -11,7 +11,7 @@ bucket in which its rest ends, and only that bucket's documents are sorted. Per
 
 Defined cases: a null text has size 0; null ids are allowed; a document's quality is 0.5 to 1, by its share of signs other
 than digits and markup. Rows that repeat have equal keys and may differ in `copies` by one. Sources whose sizes are all
-0 have target 0. Other columns pass through; names that clash with added ones are refused. Empty tables give empty results.
+0 have target 0. Other columns pass through; where a name clashes, the added column replaces the caller's. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import WORD, checked_join, free_name, need, table, written
+from tallyspark.llm.common import WORD, checked_join, need, plain, table, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -64,7 +64,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs:
 def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """docs with size, source_size, target, copies (how often the mix takes the document) and taken (words)."""
     need(docs, id_col, text_col, source_col)
-    free_name(docs, "size", "source_size", "target", "copies", "taken")
+    docs = plain(docs, "size", "source_size", "target", "copies", "taken")
     rows = docs.withColumn("size", size_of(F.col(text_col))).withColumn("__key", _key(F.col(id_col), F.col(text_col), quality_of(F.col(text_col))))
     rows = rows.withColumn("__bucket", F.floor(F.lit(BUCKETS) * F.col("__key") / (1 + F.col("__key"))).cast("int"))
     rows = rows.withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("-")))

@@ -10,8 +10,7 @@ generalised where they stand near the entity, those above `removal` are removed.
 Term counts cover every text; only terms that are candidates (near one entity in enough contexts) are kept while counting.
 
 Defined cases: a null text is an empty one; null ids are allowed. Rows that repeat get equal results. In clean_text
-overlapping spans count from the left, the longer first. Other columns pass through; names that clash with added ones are
-refused. Empty tables give empty results.
+overlapping spans count from the left, the longer first. Other columns pass through; where a name clashes, the added column replaces the caller's. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import checked_join, free_name, need, table, written
+from tallyspark.llm.common import checked_join, need, plain, table, written
 
 #: The contract's patterns. Lookbehind or \\G start each match at the first character that can start one, and possessive
 #: loops never go back, so that long runs take linear time; the matches are those of the plain patterns.
@@ -136,7 +135,7 @@ def disclosing(near: DataFrame, texts: DataFrame, min_contexts: int, threshold:
 def find_pii(docs: DataFrame, id_col="doc_id", text_col="text", window: int = WINDOW, min_contexts: int = MIN_CONTEXTS, threshold: float = THRESHOLD, removal: float = REMOVAL) -> DataFrame:
     """docs with `pii` (array of kind, start, end, action) and clean_text. Kinds are those of PATTERNS, then term."""
     need(docs, id_col, text_col)
-    free_name(docs, "pii", "clean_text")
+    docs = plain(docs, "pii", "clean_text")
     text = F.coalesce(F.col(text_col), F.lit(""))
     keys = {"__id": F.coalesce(F.col(id_col).cast("string"), F.lit("-")), "__hash": F.xxhash64(text)}
     rows = docs.withColumns(keys).withColumn("__text", text)

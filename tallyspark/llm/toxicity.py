@@ -10,8 +10,8 @@ whose sparse rows are made by Spark tasks and gathered on the driver. Prediction
 
 Defined cases: a null or empty text has no features, and the probabilities of the bias alone. Labelled rows without a
 document, or with a null label, aren't used; of labels that repeat an id the largest counts. Without labels of both kinds a
-category has probability 0. Rows that repeat get equal results. Other columns pass through; names that clash with added
-ones are refused.
+category has probability 0. Rows that repeat get equal results. Other columns pass through; where a name clashes,
+the added column replaces the caller's.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallyspark.llm.common import bounded_batches, free_name, need, table
+from tallyspark.llm.common import bounded_batches, need, plain, table
 from tallyspark.llm.linear import Ftrl, logits, sigmoid
 
 BITS = 18
@@ -160,7 +160,7 @@ def slice_scores(texts: list[str], chain: Chain) -> np.ndarray:
 def predict(docs: DataFrame, chain: Chain, text_col="text", prefix="p_") -> DataFrame:
     """docs with a probability for each category, and `is_toxic` by the last one."""
     need(docs, text_col)
-    free_name(docs, *[prefix + c for c in chain.names], "is_toxic", "__p")
+    docs = plain(docs, *[prefix + c for c in chain.names], "is_toxic")
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(chain.weights)
     names, threshold = chain.names, chain.threshold
