@@ -39,11 +39,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, size: str = "16m") -> None:
-    """Bounds the bytes (not only the rows) of the Arrow batches that Python tasks get, unless the user has set them."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.sparkContext.getConf().get(key, None) is None:
-        spark.conf.set(key, size)
+def bounded_batches(spark: SparkSession, size: str = "16m", rows: int = 2_000) -> None:
+    """Bounds the bytes and rows of the Arrow batches that Python tasks get, unless the user has set them."""
+    said = spark.sparkContext.getConf()
+    for key, value in (("maxBytesPerBatch", size), ("maxRecordsPerBatch", str(rows))):
+        if said.get(f"spark.sql.execution.arrow.{key}", None) is None:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
 
 
 def checked_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread: str, salts: int = 16, limit: int = BROADCAST_ROWS) -> DataFrame:
