@@ -96,7 +96,7 @@ def annual_winner_growth(spark, sf_dir):
     prev = t.select("metric", (F.col("fy") + 1).alias("fy"), F.col("total").alias("prev"))
     out = t.join(prev, ["metric", "fy"], "left")
     growth = F.when(F.col("prev") > 0, (F.col("total") / F.col("prev") - 1) * 100)
-    return out.select("metric", "fy", "n", F.round("total", 2).alias("total"), F.round(growth, 4).alias("yoy_pct"))
+    return out.select("metric", "fy", "n", F.round("total", 3).alias("total"), F.round(growth, 4).alias("yoy_pct"))
 
 
 QUERIES = {
@@ -126,7 +126,7 @@ WORKBOOK = _first("*", "SELECT * FROM facts", "ticker, period, metric", "value_u
 
 ORACLES = {
     "annual_winner_growth": f"""{SQL}, w AS ({ANNUAL}), t AS (SELECT metric, fy, sum(v) AS total, count(DISTINCT ticker) AS n FROM w GROUP BY 1, 2)
-SELECT t.metric, t.fy, t.n, round(t.total, 2) AS total, round((t.total / p.total - 1) * 100, 4) AS yoy_pct FROM t LEFT JOIN t p ON p.metric = t.metric AND p.fy = t.fy - 1""",
+SELECT t.metric, t.fy, t.n, round(t.total, 3) AS total, round((t.total / p.total - 1) * 100, 4) AS yoy_pct FROM t LEFT JOIN t p ON p.metric = t.metric AND p.fy = t.fy - 1""",
     "annual_winner": f"{SQL} SELECT ticker, fy, metric, doc_id, v FROM ({ANNUAL})",
     "quarterly_winner": f"{SQL} SELECT ticker, fy, metric, period_type, label, doc_id, v FROM ({QUARTERLY}) WHERE label >= '1996Q1'",
     "workbook_winner": f"{SQL} SELECT ticker, period, metric, doc_id, value_usd FROM ({WORKBOOK})",
