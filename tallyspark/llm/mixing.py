@@ -10,7 +10,8 @@ Prefix sums don't sort a source in one task: keys fall into a fixed number of bu
 bucket in which its rest ends, and only that bucket's documents are sorted. Per source there are at most `BUCKETS` sums.
 
 Defined cases: a null text has size 0; null ids are allowed; a document's quality is 0.5 to 1, by its share of signs other
-than digits and markup. Rows that repeat have equal keys and may differ in `copies` by one. Sources whose sizes are all
+than digits and markup. Rows that repeat have equal keys and are
+taken together. Sources whose sizes are all
 0 have target 0. Other columns pass through; where a name clashes, the added column replaces the caller's. Empty tables give empty results.
 """
 
@@ -68,24 +69,28 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     rows = docs.withColumn("size", size_of(F.col(text_col))).withColumn("__key", _key(F.col(id_col), F.col(text_col), quality_of(F.col(text_col))))
     rows = rows.withColumn("__bucket", F.floor(F.lit(BUCKETS) * F.col("__key") / (1 + F.col("__key"))).cast("int"))
     rows = rows.withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("-")))
-    sums = rows.groupBy("__source", F.col(source_col).alias("source"), F.col("__bucket").alias("bucket")).agg(F.sum("size").alias("sum"))
-    sums = written(sums, "mix-buckets")
+    # Sizes and keys without texts: what follows reads those only, until the plan meets the documents.
+    small = written(rows.select("__source", F.col(source_col).alias("source"), "size", F.col("__key").alias("key"), F.col("__bucket").alias("bucket")), "mix-keys")
+    sums = written(small.groupBy("__source", "source", "bucket").agg(F.sum("size").alias("sum")), "mix-buckets")
     sizes = sums.groupBy("source").agg(F.sum("sum").alias("source_size"))
     plan = targets(sizes, weights, share, max_epochs)
     size, target = F.col("source_size"), F.col("target")
     plan = plan.withColumn("epochs", F.when(size == 0, 0).otherwise(F.floor(target / size)).cast("int")).withColumn("rest", target - F.col("epochs") * size)
-    before = F.coalesce(F.sum("sum").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ends = sums.withColumn("before", before).join(F.broadcast(plan), sums["source"].eqNullSafe(plan["source"])).filter("before <= rest and rest < before + sum")
-    ends = ends.select("__source", F.col("bucket").alias("cut"), F.col("before"))
-    plan = plan.withColumn("__source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))).drop("source")
-    plan = written(plan.join(F.broadcast(ends), "__source", "left").select("__source", "source_size", "target", F.col("epochs").alias("__epochs"), F.col("rest").alias("__rest"), F.coalesce("cut", F.lit(BUCKETS + 1)).alias("__cut"), F.coalesce("before", F.lit(0)).alias("__before")), "mix-plan")
-    rows = checked_join(rows, plan, ["__source"], "left", spread="__key", limit=20_000)
-    clear = rows.filter("__bucket <> __cut").withColumn("__more", (F.col("__bucket") < F.col("__cut")).cast("int"))
-    order = Window.partitionBy("__source").orderBy("__key", F.col(id_col)).rowsBetween(Window.unboundedPreceding, -1)
-    ending = rows.filter("__bucket = __cut").withColumn("__at", F.col("__before") + F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("size") / 2)
-    ending = ending.withColumn("__more", (F.col("__at") <= F.col("__rest")).cast("int")).drop("__at")
-    out = clear.unionByName(ending).withColumn("copies", F.col("__epochs") + F.col("__more")).withColumn("taken", F.col("copies") * F.col("size"))
-    return out.drop("__key", "__bucket", "__source", "__epochs", "__rest", "__cut", "__before", "__more")
+    plan = written(plan.withColumn("__source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))).drop("source"), "mix-plan")
+    before = F.coalesce(F.sum("sum").over(Window.partitionBy("__source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = checked_join(sums.withColumn("before", before), plan, ["__source"], "inner", spread="bucket", limit=20_000).filter("before <= rest and rest < before + sum")
+    ends = written(ends.select("__source", F.col("bucket").alias("cut"), "before", "rest"), "mix-ends")
+    # Within the bucket where a source's rest ends, the last key that is taken; keys before it are taken too.
+    order = Window.partitionBy("__source").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    last = checked_join(small, ends, ["__source"], "inner", spread="key", limit=20_000).filter("bucket = cut")
+    last = last.withColumn("at", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("size") / 2).filter("at <= rest")
+    last = last.groupBy("__source").agg(F.max("key").alias("__last"))
+    plan = plan.join(ends.select("__source", F.col("cut").alias("__cut")), "__source", "left").join(last, "__source", "left")
+    plan = written(plan.select("__source", "source_size", "target", F.col("epochs").alias("__epochs"), "__cut", "__last"), "mix-cuts")
+    out = checked_join(rows, plan, ["__source"], "left", spread="__key", limit=20_000)
+    more = F.coalesce((F.col("__bucket") < F.col("__cut")) | ((F.col("__bucket") == F.col("__cut")) & (F.col("__key") <= F.col("__last"))), F.lit(False))
+    out = out.withColumn("copies", F.col("__epochs") + more.cast("int")).withColumn("taken", F.col("copies") * F.col("size"))
+    return out.drop("__key", "__bucket", "__source", "__epochs", "__cut", "__last")
 
 
 def op9_mixing(spark, sf_dir):
