@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import bpe, langid, mixing, pii, simhash
-from tallyspark.llm.common import fresh_dir, table
+from tallyspark.llm.common import fresh_dir, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents whose language is less certain are rejected, like those without a letter.
@@ -59,7 +59,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's ids, and a digest of what they decode to."""
     path = tokenizer_path()
     docs = docs.select(*COLUMNS)
-    out = bpe.encode(docs, bpe.build_lexicon(docs, path), path, ids_col="ids").select("doc_id", "lang", "source", "ids")
+    out = written(bpe.encode(docs, bpe.build_lexicon(docs, path), path, ids_col="ids").select("doc_id", "lang", "source", "ids"), "pipeline-ids")
     out = bpe.decode(out, path, ids_col="ids", text_col="decoded")
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
