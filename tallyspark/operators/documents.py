@@ -43,19 +43,28 @@ def segment_values(spark, sf_dir):
     return out.select("o_orderkey", F.size("s").cast("long").alias("n"), F.col("s")[0]["year"].alias("year"), F.col("s")[0]["value"].alias("value"))
 
 
-def provenance(texts: DataFrame, quotes: DataFrame, id_col: str, text_col: str, quote_id: str, quote_col: str, words: int = 5) -> DataFrame:
-    """Pairs of a text and a quote that it contains. Quotes meet texts by their first words, then the whole is compared.
+def _pieces(words, n: int):
+    """The distinct runs of n words, joined by blanks."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " ")))
 
-    Quotes with fewer words than that are looked up by all of theirs in a second step.
+
+def provenance(texts: DataFrame, quotes: DataFrame, id_col: str, text_col: str, quote_id: str, quote_col: str) -> DataFrame:
+    """Pairs of a text and a quote that it contains.
+
+    A quote's first word may be the end of a longer one in the text, and its last the start of one; so quotes meet texts by
+    words between those (three, or one in quotes of three or four words), and are then compared whole. Quotes of one or two
+    words have none between: they must be whole words of the text. Empty and null quotes are found nowhere.
     """
-    starts = F.array_join(F.slice(F.split(F.btrim(F.regexp_replace(quote_col, r"\s+", " ")), " "), 1, words), " ")
-    q = quotes.select(quote_id, quote_col, starts.alias("key"), F.least(F.lit(words), F.size(F.split(F.btrim(F.regexp_replace(quote_col, r"\s+", " ")), " "))).alias("k"))
-    w = F.split(F.btrim(F.regexp_replace(text_col, r"\s+", " ")), " ")
-    # The first word may be the end of a longer one in the text, the last the start of one: only whole words meet here.
-    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - words + 1, F.lit(1))), lambda i: F.array_join(F.slice("w", i, words), " ")))
-    t = texts.select(id_col, text_col, w.alias("w")).select(id_col, text_col, F.explode(pieces).alias("key"))
-    hit = t.join(q.filter(F.col("k") == words), "key").filter(F.contains(text_col, quote_col))
-    return hit.select(id_col, quote_id).distinct()
+    split = lambda c: F.split(F.btrim(F.regexp_replace(c, r"\s+", " ")), " ")
+    w = split(F.col(quote_col))
+    size = F.when(F.size(w) >= 5, 3).when(F.size(w) >= 3, 1).otherwise(F.size(w))
+    key = F.array_join(F.slice(w, F.when(F.size(w) >= 3, 2).otherwise(1), size), " ")
+    q = quotes.filter(F.btrim(quote_col) != "").select(quote_id, quote_col, size.alias("k"), key.alias("key"))
+    t = texts.filter(F.col(text_col).isNotNull()).select(id_col, text_col, split(F.col(text_col)).alias("w"))
+    by_size = F.array(*[F.struct(F.lit(n).alias("k"), _pieces(F.col("w"), n).alias("keys")) for n in (1, 2, 3)])
+    sizes = [r["k"] for r in q.select("k").distinct().collect()]  # three at most
+    t = t.select(id_col, text_col, F.explode(F.filter(by_size, lambda x: x["k"].isin(sizes))).alias("p")).select(id_col, text_col, "p.k", F.explode("p.keys").alias("key"))
+    return t.join(q, ["k", "key"]).filter(F.contains(text_col, quote_col)).select(id_col, quote_id).distinct()
 
 
 def provenance_contains(spark, sf_dir):

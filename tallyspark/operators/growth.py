@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.functions.numbers import exact_sum, rounded
 from tallyspark.operators.winners import NOTIFICATION, QUARTERLY, WORKBOOK, chart_quarterly, notification, workbook
 from tallyspark.plans.views import SQL, facts
 
@@ -74,7 +75,7 @@ def _growth(mode):
 
 
 def period_totals(spark, sf_dir):
-    return _series(spark, sf_dir).groupBy("metric", "label").agg(F.round(F.sum("v"), 3).alias("total"), F.count("*").alias("n"))
+    return _series(spark, sf_dir).groupBy("metric", "label").agg(rounded(exact_sum(F.col("v")), 3).alias("total"), F.count("*").alias("n"))
 
 
 def placeholder_fill(spark, sf_dir):
@@ -84,8 +85,8 @@ def placeholder_fill(spark, sf_dir):
 def suppressed_growth(spark, sf_dir):
     """Totals with placeholders; growth is suppressed in quarters that hold a filled value."""
     out = fill_placeholders(_series(spark, sf_dir), ["ticker", "metric"], ["metric"], most=8)
-    t = out.groupBy("metric", "label").agg(F.sum("v").alias("v"), F.count("filled_from").alias("filled"))
-    return growth(t, ["metric"], "yoy").select("metric", "label", "filled", F.round("v", 3).alias("total"), F.when(F.col("filled") == 0, F.round("pct", 4)).alias("pct"))
+    t = out.groupBy("metric", "label").agg(exact_sum(F.col("v")).alias("exact"), F.count("filled_from").alias("filled")).withColumn("v", F.col("exact").cast("double"))
+    return growth(t, ["metric"], "yoy").select("metric", "label", "filled", rounded(F.col("exact"), 3).alias("total"), F.when(F.col("filled") == 0, F.round("pct", 4)).alias("pct"))
 
 
 def notify_triple(spark, sf_dir):
@@ -114,10 +115,10 @@ f AS (SELECT ticker, metric, label, v, NULL::VARCHAR AS filled_from FROM s UNION
 ORACLES = {
     "growth_yoy": f"{SERIES} SELECT s.ticker, s.metric, s.label, round(CASE WHEN s.v <> 0 AND p.v <> 0 THEN (s.v / p.v - 1) * 100 END, 4) AS pct FROM s LEFT JOIN s p ON p.ticker = s.ticker AND p.metric = s.metric AND p.label = (substr(s.label, 1, 4)::INT - 1) || substr(s.label, 5, 2)",
     "growth_qoq": f"{SERIES} SELECT ticker, metric, label, round(CASE WHEN v <> 0 AND lag(v) OVER w <> 0 THEN (v / lag(v) OVER w - 1) * 100 END, 4) AS pct FROM s WINDOW w AS (PARTITION BY ticker, metric ORDER BY label)",
-    "period_totals": f"{SERIES} SELECT metric, label, round(sum(v), 3) AS total, count(*) AS n FROM s GROUP BY ALL",
+    "period_totals": f"{SERIES} SELECT metric, label, round(sum(v::DECIMAL(24,6)), 3)::DOUBLE AS total, count(*) AS n FROM s GROUP BY ALL",
     "placeholder_fill": f"{FILLED} SELECT * FROM f",
-    "suppressed_growth": f"""{FILLED}, t AS (SELECT metric, label, sum(v) AS v, count(filled_from) AS filled FROM f GROUP BY ALL)
-SELECT t.metric, t.label, t.filled, round(t.v, 3) AS total, CASE WHEN t.filled = 0 THEN round((t.v / p.v - 1) * 100, 4) END AS pct FROM t LEFT JOIN t p ON p.metric = t.metric AND p.label = (substr(t.label, 1, 4)::INT - 1) || substr(t.label, 5, 2)""",
+    "suppressed_growth": f"""{FILLED}, t AS (SELECT metric, label, sum(v::DECIMAL(24,6)) AS exact, exact::DOUBLE AS v, count(filled_from) AS filled FROM f GROUP BY ALL)
+SELECT t.metric, t.label, t.filled, round(t.exact, 3)::DOUBLE AS total, CASE WHEN t.filled = 0 THEN round((t.v / p.v - 1) * 100, 4) END AS pct FROM t LEFT JOIN t p ON p.metric = t.metric AND p.label = (substr(t.label, 1, 4)::INT - 1) || substr(t.label, 5, 2)""",
     "notify_triple": f"""{SQL}, n AS ({NOTIFICATION}), k AS (SELECT ticker, metric, fy, period_type, value, CASE WHEN period_type LIKE 'Q_' THEN substr(period_type, 2, 1)::INT END AS q FROM n)
 SELECT c.ticker, c.metric, c.fy, c.period_type, c.value, round((c.value - b.value) / abs(b.value) * 100, 4) AS vs_quarter, round((c.value - y.value) / abs(y.value) * 100, 4) AS vs_year FROM k c
 LEFT JOIN k b ON b.ticker = c.ticker AND b.metric = c.metric AND b.q = CASE c.q WHEN 1 THEN 4 ELSE c.q - 1 END AND b.fy = CASE c.q WHEN 1 THEN c.fy - 1 ELSE c.fy END

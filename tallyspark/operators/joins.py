@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions import periods as P
+from tallyspark.functions.numbers import exact_sum, rounded
 from tallyspark.plans.views import CURRENCIES, SQL, companies, facts, filings, table
 
 
@@ -75,7 +76,7 @@ def fx_normalise(spark, sf_dir):
     rows = facts(spark, sf_dir).select("doc_id", "metric", "partkey", "suppkey", "quantity", "tax", "currency", "value", F.trunc("period", "month").alias("rate_date"))
     out = rows.join(F.broadcast(rates(spark, sf_dir)), ["currency", "rate_date"], "left")
     usd = F.when(F.col("currency") == "USD", F.col("value")).otherwise(F.round(F.col("value") * F.col("rate"), 4))
-    return out.groupBy("currency", "metric").agg(F.count("*").alias("n"), F.count("rate").alias("rated"), F.round(F.sum(usd), 4).alias("usd"))
+    return out.groupBy("currency", "metric").agg(F.count("*").alias("n"), F.count("rate").alias("rated"), rounded(exact_sum(usd), 4).alias("usd"))
 
 
 def nearest_within_days(spark, sf_dir):
@@ -202,7 +203,7 @@ QUERIES = {
 }
 ORACLES = {
     "fx_asof": f"{SQL}, {RATES} SELECT doc_id, currency, filing_date, (SELECT arg_max(rate, rate_date) FROM rates r WHERE r.currency = f.currency AND r.rate_date <= f.filing_date) AS rate FROM filings f",
-    "fx_normalise": f"{SQL}, {RATES} SELECT f.currency, metric, count(*) AS n, count(rate) AS rated, round(sum(CASE WHEN f.currency = 'USD' THEN value ELSE round(value * rate, 4) END), 4) AS usd FROM facts f LEFT JOIN rates r ON r.currency = f.currency AND r.rate_date = date_trunc('month', period) GROUP BY ALL",
+    "fx_normalise": f"{SQL}, {RATES} SELECT f.currency, metric, count(*) AS n, count(rate) AS rated, round(sum((CASE WHEN f.currency = 'USD' THEN value ELSE round(value * rate, 4) END)::DECIMAL(24,6)), 4)::DOUBLE AS usd FROM facts f LEFT JOIN rates r ON r.currency = f.currency AND r.rate_date = date_trunc('month', period) GROUP BY ALL",
     "nearest_within_days": f"""{SQL}, h AS (SELECT l.doc_id, arg_min(r.doc_id, (abs(r.filing_date - l.filing_date), r.filing_date, r.doc_id)) AS match, min(abs(r.filing_date - l.filing_date)) AS gap
 FROM filings l JOIN filings r ON r.ticker = l.ticker AND r.form IN ('10-K', '20-F') AND abs(r.filing_date - l.filing_date) <= 60 WHERE l.form = '6-K' GROUP BY l.doc_id) SELECT f.doc_id, match, gap FROM filings f LEFT JOIN h USING (doc_id) WHERE form = '6-K'""",
     "window_match": f"{SQL} SELECT l.doc_id, arg_max(r.doc_id, (r.filing_date, r.doc_id)) AS match FROM filings l JOIN filings r ON r.ticker = l.ticker AND r.form = '10-Q' AND abs(r.filing_date - l.filing_date) <= 10 WHERE l.form = '6-K' GROUP BY l.doc_id",

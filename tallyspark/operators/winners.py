@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions import periods as P
+from tallyspark.functions.numbers import exact_sum, rounded
 from tallyspark.plans.views import SQL, TIES, facts, filings
 
 FLOW_METRICS = ["m1", "m2", "m3", "m4", "m5"]
@@ -83,7 +84,8 @@ def select_winner(df: DataFrame, strategy: str) -> DataFrame:
 
 
 def annual_totals(winners: DataFrame) -> DataFrame:
-    return winners.groupBy("metric", "fy").agg(F.sum("v").alias("total"), F.count_distinct("ticker").alias("n"))
+    out = winners.groupBy("metric", "fy").agg(exact_sum(F.col("v")).alias("exact"), F.count_distinct("ticker").alias("n"))
+    return out.withColumn("total", F.col("exact").cast("double"))
 
 
 def _q(f, *columns):
@@ -96,7 +98,7 @@ def annual_winner_growth(spark, sf_dir):
     prev = t.select("metric", (F.col("fy") + 1).alias("fy"), F.col("total").alias("prev"))
     out = t.join(prev, ["metric", "fy"], "left")
     growth = F.when(F.col("prev") > 0, (F.col("total") / F.col("prev") - 1) * 100)
-    return out.select("metric", "fy", "n", F.round("total", 3).alias("total"), F.round(growth, 4).alias("yoy_pct"))
+    return out.select("metric", "fy", "n", rounded(F.col("exact"), 3).alias("total"), F.round(growth, 4).alias("yoy_pct"))
 
 
 QUERIES = {
@@ -125,8 +127,8 @@ NOTIFICATION = _first("*", "SELECT * FROM facts WHERE value IS NOT NULL AND peri
 WORKBOOK = _first("*", "SELECT * FROM facts", "ticker, period, metric", "value_usd DESC NULLS LAST, extracted_at DESC, doc_id DESC")
 
 ORACLES = {
-    "annual_winner_growth": f"""{SQL}, w AS ({ANNUAL}), t AS (SELECT metric, fy, sum(v) AS total, count(DISTINCT ticker) AS n FROM w GROUP BY 1, 2)
-SELECT t.metric, t.fy, t.n, round(t.total, 3) AS total, round((t.total / p.total - 1) * 100, 4) AS yoy_pct FROM t LEFT JOIN t p ON p.metric = t.metric AND p.fy = t.fy - 1""",
+    "annual_winner_growth": f"""{SQL}, w AS ({ANNUAL}), t AS (SELECT metric, fy, sum(v::DECIMAL(24,6)) AS exact, exact::DOUBLE AS total, count(DISTINCT ticker) AS n FROM w GROUP BY 1, 2)
+SELECT t.metric, t.fy, t.n, round(t.exact, 3)::DOUBLE AS total, round((t.total / p.total - 1) * 100, 4) AS yoy_pct FROM t LEFT JOIN t p ON p.metric = t.metric AND p.fy = t.fy - 1""",
     "annual_winner": f"{SQL} SELECT ticker, fy, metric, doc_id, v FROM ({ANNUAL})",
     "quarterly_winner": f"{SQL} SELECT ticker, fy, metric, period_type, label, doc_id, v FROM ({QUARTERLY}) WHERE label >= '1996Q1'",
     "workbook_winner": f"{SQL} SELECT ticker, period, metric, doc_id, value_usd FROM ({WORKBOOK})",
