@@ -88,7 +88,8 @@ def threshold(scored: DataFrame) -> float:
     bins = bins.agg(F.count_if(F.col("label") == "allow").alias("a"), F.count_if(F.col("label") == "block").alias("b"))
     # At most 4001 rows.
     below, every = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    gain = (F.sum("a").over(every) - F.coalesce(F.sum("a").over(below), F.lit(0))) / F.sum("a").over(every) + F.coalesce(F.sum("b").over(below), F.lit(0)) / F.sum("b").over(every)
+    above_a, below_b = F.sum("a").over(every) - F.coalesce(F.sum("a").over(below), F.lit(0)), F.coalesce(F.sum("b").over(below), F.lit(0))
+    gain = F.try_divide(above_a, F.sum("a").over(every)) + F.try_divide(below_b, F.sum("b").over(every))  # null where a class is missing
     best = bins.select("bin", gain.alias("gain")).filter("gain is not null").orderBy(F.desc("gain"), F.abs("bin"), "bin").first()
     return 0.0 if best is None else best["bin"] / 100
 

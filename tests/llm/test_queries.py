@@ -154,8 +154,9 @@ def test_pii_base(spark, docs):
 
 
 def test_toxicity_held_out(spark):
-    """Labels of a quarter of the documents are kept from training. The smallest table has too few labels for this."""
-    sf = SF.replace("0.001", "0.01")
+    """Labels of a quarter of the documents are kept from training. The smaller tables have too few labels for this: at
+    sf0.01, with about 300, 70 of 81 were right; at sf0.1, 945 of 960."""
+    sf = SF.replace("0.001", "0.1")
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     truth = dict(labels.filter("doc_id % 4 = 0").select("doc_id", "toxic").collect())
     chain = toxicity.train(docs, labels.filter("doc_id % 4 <> 0"))
