@@ -7,7 +7,8 @@ of the term in the corpus stands near the entity. Near is within `window` code p
 near in min_contexts different contexts, so that copies of one text are no evidence. Terms above `threshold` are
 generalised where they stand near the entity, those above `removal` are removed.
 
-Term counts cover every text; only terms that are candidates (near one entity in enough contexts) are kept while counting.
+Counts cover every text, equal ones once: near and anywhere alike are occurrences in different texts. Only terms that are
+candidates (near one entity in enough contexts) are kept while counting.
 
 Defined cases: a null text is an empty one; null ids are allowed. Rows that repeat get equal results. In clean_text
 overlapping spans count from the left, the longer first. Other columns pass through; where a name clashes, the added column replaces the caller's. Empty tables give empty results.
@@ -106,7 +107,7 @@ def _near(window: int) -> Column:
 
     def around(x, sides):
         def terms(side, offset):
-            return F.transform(located(side, TERM), lambda t: F.struct(x["entity"].alias("entity"), F.lower(t["value"]).alias("term"), (offset + t["start"]).alias("start"), (offset + t["end"]).alias("end"), sides["context"].alias("context")))
+            return F.transform(located(side, TERM), lambda t: F.struct(x["entity"].alias("entity"), x["start"].alias("at"), F.lower(t["value"]).alias("term"), (offset + t["start"]).alias("start"), (offset + t["end"]).alias("end"), sides["context"].alias("context")))
 
         return F.concat(terms(sides["left"], x["start"] - F.length(sides["left"])), terms(sides["right"], x["end"]))
 
@@ -115,20 +116,23 @@ def _near(window: int) -> Column:
 
 
 def disclosing(near: DataFrame, texts: DataFrame, min_contexts: int, threshold: float) -> DataFrame:
-    """(entity, term, disclosure) above the threshold. near: (entity, term, context) rows; texts: every text."""
-    contexts = near.select("entity", "term", "context").distinct()
-    pairs = contexts.groupBy("entity", "term").agg(F.count("*").alias("together"))
-    entities = contexts.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = written(pairs.filter(F.col("together") >= min_contexts).join(entities, "entity"), "pii-pairs")
+    """(entity, term, disclosure) above the threshold. near: (hash, entity, at, term, start, context) rows; texts: (hash, text) of every row."""
+    contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
+    pairs = near.select("entity", "term", "__hash", "start").distinct().groupBy("entity", "term").agg(F.count("*").alias("together"))
+    entities = near.select("entity", "__hash", "at").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    pairs = written(contexts.filter(F.col("contexts") >= min_contexts).join(pairs, ["entity", "term"]).join(entities, "entity"), "pii-pairs")
     candidates = written(pairs.select("term").distinct().withColumn("known", F.lit(True)), "pii-candidates")
-    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("term"), F.xxhash64("text").alias("spread"))
+    # Equal texts meet as one row a task, so that large groups of copies are no large groups of rows.
+    own = texts.groupBy("__hash").agg(F.first("text").alias("text"))
+    words = own.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("term"), F.col("__hash").alias("spread"))
     # All other terms are counted under one null, for the corpus total; partial sums meet there, not rows.
     counts = checked_join(words, candidates, ["term"], "left", spread="spread").groupBy(F.when(F.col("known"), F.col("term")).alias("term")).agg(F.count("*").alias("n_term"))
     counts = written(counts, "pii-counts")
     total = counts.agg(F.coalesce(F.sum("n_term"), F.lit(0)).alias("n")).first()["n"]
     out = pairs.join(counts.filter("term is not null"), "term")
-    pmi = F.ln(F.lit(float(total)) * F.col("together") / (F.col("n_term") * F.col("n_entity")))
-    out = out.withColumn("disclosure", pmi / F.ln(F.lit(float(total)) / F.col("n_entity")))
+    # PMI / IC, where the total cancels out but for IC; an entity as frequent as all terms tells nothing beyond equality.
+    less = F.ln(F.col("together") / F.col("n_term")) / F.ln(F.lit(float(total)) / F.col("n_entity"))
+    out = out.withColumn("disclosure", F.when(F.col("together") >= F.col("n_term"), 1.0).when(F.col("n_entity") < total, 1 + less))
     return out.filter(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
 
 
@@ -142,7 +146,7 @@ def find_pii(docs: DataFrame, id_col="doc_id", text_col="text", window: int = WI
     spans = rows.withColumns({f"__{k}": base_spans(F.col("__text"), k) for k in PATTERNS})
     some = spans.filter(" + ".join(f"size(__{k})" for k in PATTERNS) + " > 0").select("__id", "__hash", "__text", _entities().alias("__entities"))
     near = written(some.select("__id", "__hash", F.explode(_near(window)).alias("t")).select("__id", "__hash", "t.*"), "pii-near")
-    risky = written(disclosing(near, docs.select(text.alias("text")), min_contexts, threshold), "pii-disclosing")
+    risky = written(disclosing(near, docs.select(keys["__hash"].alias("__hash"), text.alias("text")), min_contexts, threshold), "pii-disclosing")
     hits = checked_join(near, risky, ["entity", "term"], "inner", spread="__hash")
     action = F.when(F.max("disclosure") >= removal, "remove").otherwise("generalise")
     hits = hits.groupBy("__id", "__hash", "start", "end").agg(action.alias("action"))

@@ -92,6 +92,20 @@ def test_pii_discloses_terms(spark):
         assert "the" not in terms and "clerk" not in terms
 
 
+def test_pii_discloses_terms_of_copies(spark):
+    """As above with copies, and with texts that differ only far from the entity: all occurrences are near, so the term is removed."""
+    rows = [(i, f"note {i} on day {i * 7}: zanzibarian clerk wrote from boss@corp.example about plan {i}") for i in range(8)]
+    rows += [(1000 + i, rows[0][1]) for i in range(1000)]
+    rows += [(3000 + i, f"{'far ' * 40}the zanzibarian wrote to boss@corp.example {'and so on ' * 10} nr {i}") for i in range(50)]
+    rows += [(100 + i, f"the clerk went about the note and the plan on day {i}") for i in range(50)]
+    out = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"), min_contexts=2).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        actions = {r.text[x.start : x.end]: x.action for x in r.pii if x.kind == "term"}
+        assert actions.get("zanzibarian") == (None if 100 <= r.doc_id < 1000 else "remove")
+        assert "the" not in actions and "clerk" not in actions
+
+
 def test_mixing(docs):
     rows = collected(mixing.mix(docs))
     assert len(rows) == docs.count()
