@@ -35,14 +35,22 @@ def section_split(spark, sf_dir):
     return out.select("doc_id", F.size("s").cast("long").alias("n"), F.array_join(F.sort_array(F.map_keys("s")), ",").alias("names"))
 
 
-def segment_values(spark, sf_dir):
+def _segment_values(o: DataFrame) -> DataFrame:
     """Tables made of order data, read again: the values of one segment by year."""
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 10 = 0")
     t = F.concat(F.lit("Segment\t1999\t1998\nCloud services\t"), F.format_number("o_totalprice", 0), F.lit("\t"), F.format_number(F.col("o_totalprice") / 2 + 200, 0), F.lit("\nOther\t12\t9"))
     out = o.select("o_orderkey", T.segments(t, F.array(F.lit("cloud"))).alias("s"))
     return out.select("o_orderkey", F.size("s").cast("long").alias("n"), F.col("s")[0]["year"].alias("year"), F.col("s")[0]["value"].alias("value"))
 
 
+def segment_values(spark, sf_dir):
+    """A tenth of the orders, as its SQL has it."""
+    return _segment_values(table(spark, sf_dir, "orders").filter("o_orderkey % 10 = 0"))
+
+
+def segment_values_all(spark, sf_dir):
+    return _segment_values(table(spark, sf_dir, "orders"))
+
+
 def _pieces(words, n: int):
     """The distinct runs of n words, joined by blanks."""
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " ")))
@@ -77,25 +85,42 @@ def release_score(spark, sf_dir):
     return out.withColumn("is_release", F.col("score") >= 4)
 
 
-def period_mode(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0")
+def _period_mode(d: DataFrame) -> DataFrame:
+    """The period that a text with dates set in speaks of."""
     t = F.concat(F.lit("quarter ended March 31, 1999 and ended March 31, 1999; "), "text", F.lit(" year ended March 31, 1998, ended March 31, 1998, ended march 31, 1998, ended June 30, 1999, ended Foo 3, 1999"))
     filed = F.date_add(F.lit("1999-04-20").cast("date"), (F.col("doc_id") % 200).cast("int"))
     return d.select("doc_id", T.mode_date(T.period_ends(t), filed).alias("period"))
 
 
+def period_mode(spark, sf_dir):
+    """Every other document, as its SQL has it."""
+    return _period_mode(table(spark, sf_dir, "documents").filter("doc_id % 2 = 0"))
+
+
+def period_mode_all(spark, sf_dir):
+    return _period_mode(table(spark, sf_dir, "documents"))
+
+
 def json_props(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     return e.groupBy("event_type").agg(F.count("k").alias("n"), F.sum("k").alias("sum"), F.max("k").alias("max"))
 
 
-def answers(spark, sf_dir):
+def _answers(e: DataFrame) -> DataFrame:
     """JSON found in answers: fenced, bare or none."""
-    e = table(spark, sf_dir, "events").filter("event_id % 5 = 0")
     said = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("Here:\n```json\n"), "props", F.lit("\n```\nok"))).when(F.col("event_id") % 3 == 1, F.concat(F.lit("so "), "props", F.lit(" it is"))).otherwise("none")
     return e.select("event_id", F.get_json_object(T.json_block(said), "$.k").alias("k"))
 
 
+def answers(spark, sf_dir):
+    """A fifth of the events, as its SQL has it."""
+    return _answers(table(spark, sf_dir, "events").filter("event_id % 5 = 0"))
+
+
+def answers_all(spark, sf_dir):
+    return _answers(table(spark, sf_dir, "events"))
+
+
 def error_classes(spark, sf_dir):
     texts = F.array(*[F.lit(x) for x in ("HTTP 429 rate limit", "Invalid API key", "Model x not found", "read timeout", "odd")])
     e = table(spark, sf_dir, "events").withColumn("m", F.element_at(texts, (F.col("event_id") % 5 + 1).cast("int")))
@@ -109,11 +134,14 @@ QUERIES = {
     "light_strip": light_strip,
     "section_split": section_split,
     "segment_values": segment_values,
+    "segment_values_all": segment_values_all,
     "provenance_contains": provenance_contains,
     "release_score": release_score,
     "period_mode": period_mode,
+    "period_mode_all": period_mode_all,
     "json_props": json_props,
     "answer_json": answers,
+    "answer_json_all": answers_all,
     "error_classes": error_classes,
 }
 ORACLES = {
@@ -128,3 +156,5 @@ ORACLES = {
     "answer_json": "SELECT event_id, CASE WHEN event_id % 3 < 2 THEN regexp_extract(props, '[0-9]+') END AS k FROM events WHERE event_id % 5 = 0",
     "error_classes": "SELECT ['limit', 'auth', 'model', 'transient', 'other'][event_id % 5 + 1] AS class, count(*) AS n FROM events GROUP BY class",
 }
+#: The same SQL over whole tables.
+ORACLES |= {f"{k}_all": ORACLES[k].removesuffix(f" WHERE {part}") for k, part in (("segment_values", "o_orderkey % 10 = 0"), ("period_mode", "doc_id % 2 = 0"), ("answer_json", "event_id % 5 = 0"))}
