@@ -156,16 +156,25 @@ def note_scope_match(spark, sf_dir):
     return d.join(n, fits).groupBy("n.note").agg(F.count("*").alias("filings"), F.min("d.doc_id").alias("first"))
 
 
-def alias_resolve(spark, sf_dir):
+def _alias_resolve(spark, part: DataFrame) -> DataFrame:
     """Phrases against names and aliases: exact name, then equal alias, then a part of either; the first in table order."""
-    parts = table(spark, sf_dir, "part").filter("p_partkey < 40").select(F.col("p_partkey").alias("pos"), F.lower("p_name").alias("key"), F.array(F.lower("p_type"), F.lower("p_brand")).alias("aliases"))
+    parts = part.select(F.col("p_partkey").alias("pos"), F.lower("p_name").alias("key"), F.array(F.lower("p_type"), F.lower("p_brand")).alias("aliases"))
     phrases = spark.createDataFrame([("Red Widget",), ("brand#17",), ("economy",), ("ring",), ("nothing",)], "phrase string").withColumn("p", F.lower("phrase"))
-    # The key catalogue is a handful of rows (the filter above), as are the phrases.
+    # The phrases are a handful of rows, whatever the catalogue; each task keeps one best row per phrase.
     tier = F.when(F.col("key") == F.col("p"), 0).when(F.array_contains("aliases", F.col("p")), 1).when(F.contains("key", F.col("p")) | F.exists("aliases", lambda a: F.contains(a, F.col("p"))), 2)
-    hit = phrases.join(F.broadcast(parts), tier.isNotNull()).groupBy("phrase").agg(F.min_by("pos", F.struct(tier, "pos")).alias("pos"))
+    hit = parts.join(F.broadcast(phrases), tier.isNotNull()).groupBy("phrase").agg(F.min_by("pos", F.struct(tier, "pos")).alias("pos"))
     return phrases.select("phrase").join(hit, "phrase", "left")
 
 
+def alias_resolve(spark, sf_dir):
+    """The first 39 rows of the catalogue, as its SQL has it."""
+    return _alias_resolve(spark, table(spark, sf_dir, "part").filter("p_partkey < 40"))
+
+
+def alias_resolve_all(spark, sf_dir):
+    return _alias_resolve(spark, table(spark, sf_dir, "part"))
+
+
 def latest_per_parent(spark, sf_dir):
     """Companies with their number of filings and the latest one."""
     docs = filings(spark, sf_dir).groupBy("ticker").agg(F.count("*").alias("n"), F.max_by("doc_id", F.struct("filing_date", "doc_id")).alias("latest"))
@@ -198,6 +207,7 @@ QUERIES = {
     "subscriber_match": subscriber_match,
     "note_scope_match": note_scope_match,
     "alias_resolve": alias_resolve,
+    "alias_resolve_all": alias_resolve_all,
     "latest_per_parent": latest_per_parent,
     "verify_pairs": verify_pairs,
 }
@@ -223,3 +233,5 @@ SELECT phrase, arg_min(pos, (tier, pos)) FILTER (tier IS NOT NULL) AS pos FROM h
 SELECT a.conv_id, a.pos, CASE WHEN a.s IS NULL OR b.s IS NULL THEN 'not_found' WHEN a.s = 0 AND b.s = 0 THEN 'exact' WHEN abs(a.s - b.s) / greatest(a.s, b.s) < 0.001 THEN 'exact' WHEN abs(a.s - b.s) / greatest(a.s, b.s) < 0.05 THEN 'approximate' ELSE 'mismatch' END AS verdict
 FROM t a LEFT JOIN t b ON b.conv_id = a.conv_id AND b.pos = a.pos AND b.role = 'assistant' WHERE a.role = 'user'""",
 }
+#: The same SQL over the whole table.
+ORACLES["alias_resolve_all"] = ORACLES["alias_resolve"].replace(" WHERE p_partkey < 40", "")

@@ -11,3 +11,10 @@ def test_every_row(spark, name, table, key):
     want = duck(f"SELECT {key} FROM {table}")[key].to_pylist()
     assert sorted(r[key] for r in entry.queries()[name](spark, SF).select(key).collect()) == sorted(want)
     assert "WHERE" not in entry.oracle_sql()[name]
+
+
+def test_alias_in_a_late_row(spark, tmp_path):
+    rows = [(i, f"part {i}", "economy tin" if i == 3 else "small tin", "Brand#11") for i in range(1, 400)] + [(400, "Red Widget", "economy", "Brand#17")]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    got = dict(entry.queries()["alias_resolve_all"](spark, str(tmp_path)).collect())
+    assert got == {"Red Widget": 400, "brand#17": 400, "economy": 400, "ring": None, "nothing": None}
