@@ -30,12 +30,24 @@ def asof(left: DataFrame, right: DataFrame, key: str, date: str, right_date: str
     return out
 
 
+def in_window(left: DataFrame, right: DataFrame, key: str, date: str, right_date: str, lo: int, hi: int) -> DataFrame:
+    """Pairs of one key whose right date is lo to hi days after the left one.
+
+    Rows of right are repeated for the months of the left dates that they may meet; left rows are in one month each. So pairs
+    meet once, and a key with many rows is spread over its months.
+    """
+    first, last = F.date_sub(right_date, hi), F.date_sub(right_date, lo)
+    month = F.explode(F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month")))
+    hit = left.withColumn("__month", F.trunc(date, "month")).join(right.withColumn("__month", month), [key, "__month"])
+    return hit.filter(F.date_diff(right_date, date).between(lo, hi)).drop("__month")
+
+
 def nearest(left: DataFrame, right: DataFrame, key: str, date: str, right_date: str, right_id: str, days: int) -> DataFrame:
     """left (id column first) with the right row nearest in time within so many days; the earlier date, then lower id on ties."""
     id_ = left.columns[0]
     r = right.select(key, F.col(right_date).alias("__d"), F.col(right_id).alias("__id"))
     gap = F.abs(F.date_diff(F.col("__d"), F.col(date)))
-    hit = left.join(r, key).filter(gap <= days).groupBy(id_).agg(F.min_by(F.struct(F.col("__id").alias("match"), gap.alias("gap")), F.struct(gap, "__d", "__id")).alias("__m"))
+    hit = in_window(left, r, key, date, "__d", -days, days).groupBy(id_).agg(F.min_by(F.struct(F.col("__id").alias("match"), gap.alias("gap")), F.struct(gap, "__d", "__id")).alias("__m"))
     return left.join(hit.select(id_, "__m.match", "__m.gap"), id_, "left")
 
 
@@ -91,18 +103,23 @@ def window_match(spark, sf_dir):
     docs = filings(spark, sf_dir)
     left = docs.filter("form = '6-K'").select("doc_id", "ticker", F.col("filing_date").alias("at"))
     right = docs.filter("form = '10-Q'").select("ticker", F.col("doc_id").alias("match"), "filing_date")
-    hit = left.join(right, "ticker").filter(F.abs(F.date_diff("filing_date", "at")) <= 10)
+    hit = in_window(left, right, "ticker", "at", "filing_date", -10, 10)
     return hit.groupBy("doc_id").agg(F.max_by("match", F.struct("filing_date", "match")).alias("match"))
 
 
-def release_candidates(spark, sf_dir):
-    """For each annual report, releases filed 7 to 120 days after its period, closest to its filing date first: the best three."""
+def release_candidates_all(spark, sf_dir):
+    """For each annual report, all releases filed 7 to 120 days after its period, ranked: closest to its filing date first."""
     docs = filings(spark, sf_dir)
     left = docs.filter("token = 'AR'").select("doc_id", "ticker", "period", F.col("filing_date").alias("announced"))
     right = docs.filter("form = '6-K'").select("ticker", F.col("doc_id").alias("release"), "filing_date")
-    hit = left.join(right, "ticker").filter(F.date_diff("filing_date", "period").between(7, 120))
+    hit = in_window(left, right, "ticker", "period", "filing_date", 7, 120)
     w = Window.partitionBy("doc_id").orderBy(F.abs(F.date_diff("filing_date", "announced")), "release")
-    return hit.withColumn("rank", F.row_number().over(w).cast("long")).filter("rank <= 3").select("doc_id", "release", "rank")
+    return hit.withColumn("rank", F.row_number().over(w).cast("long")).select("doc_id", "release", "rank")
+
+
+def release_candidates(spark, sf_dir):
+    """The best three of each, as its SQL has it."""
+    return release_candidates_all(spark, sf_dir).filter("rank <= 3")
 
 
 def calendar_merge(spark, sf_dir):
@@ -200,6 +217,7 @@ QUERIES = {
     "nearest_within_days": nearest_within_days,
     "window_match": window_match,
     "release_candidates": release_candidates,
+    "release_candidates_all": release_candidates_all,
     "calendar_merge": calendar_merge,
     "exists_semi": exists_semi,
     "unverified_anti": unverified_anti,
@@ -235,3 +253,5 @@ FROM t a LEFT JOIN t b ON b.conv_id = a.conv_id AND b.pos = a.pos AND b.role = '
 }
 #: The same SQL over the whole table.
 ORACLES["alias_resolve_all"] = ORACLES["alias_resolve"].replace(" WHERE p_partkey < 40", "")
+#: The same SQL without the cap.
+ORACLES["release_candidates_all"] = ORACLES["release_candidates"].removesuffix(" QUALIFY rank <= 3")
