@@ -111,7 +111,8 @@ def hysteresis(energy: np.ndarray) -> list[tuple[int, int]]:
 def features(samples: bytes, filters: np.ndarray, mel: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(blocks of BLOCK x MELS steps, frame energies in decibels)."""
     y = resample((np.frombuffer(samples, np.uint8).astype(np.float32) - 128) / 128, filters)
-    y = np.concatenate([y, np.zeros(max(0, FRAME - len(y)), np.float32)])
+    # Silence fills the last frame, so that every sample is in one.
+    y = np.concatenate([y, np.zeros(FRAME - len(y) if len(y) < FRAME else (FRAME - len(y)) % HOP, np.float32)])
     frames = np.lib.stride_tricks.sliding_window_view(y, FRAME)[::HOP]
     steps, energy = [], []
     for at in range(0, len(frames), CHUNK_FRAMES):

@@ -69,6 +69,19 @@ def test_audio(docs):
         assert r.payload_bytes % 576 == 0 and r.payload_bytes >= max(576, r.n_bytes)
 
 
+def test_audio_tail():
+    """Payloads that differ only in their last bytes have different tensors."""
+    import numpy as np
+
+    given = audio._filters(), audio._mel(), np.hanning(audio.FRAME).astype(np.float32)
+    for units in (1, 2, 3, 7):
+        head = b"some text " * 1000
+        a, b = (head[: 576 * units - 24] + tail * 24 for tail in (b"\xff", b" "))
+        (x, e), (y, f) = audio.features(a, *given), audio.features(b, *given)
+        assert x.shape == y.shape and len(e) == len(f) == -(-(432 * units - audio.FRAME) // audio.HOP) + 1
+        assert (x != y).any() and (e != f).any()
+
+
 def test_pii(docs):
     rows = collected(pii.find_pii(docs))
     assert len(rows) == docs.count()
