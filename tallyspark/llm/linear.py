@@ -53,13 +53,18 @@ def logits(rows: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray) -> np
 
 
 def temperature(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature of least log loss, by golden section over its logarithm; 1 without rows."""
+    """The temperature of least log loss, by golden section over its logarithm; 1 without rows.
+
+    The labels are smoothed by one row's worth of doubt, so that rows without an error don't give endless certainty.
+    """
     if not len(labels):
         return 1.0
 
     def loss(t):
-        p = softmax(scores / np.exp(t))
-        return -np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-12)).mean()
+        p = np.log(np.maximum(softmax(scores / np.exp(t)), 1e-300))
+        own = p[np.arange(len(labels)), labels]
+        doubt = 1 / (len(labels) + 1)
+        return -((1 - doubt) * own + doubt * (p.sum(1) - own) / max(1, p.shape[1] - 1)).mean()
 
     low, high, g = np.log(0.02), np.log(20.0), (5**0.5 - 1) / 2
     for _ in range(40):
