@@ -2,8 +2,10 @@
 
 The words of all texts are counted; the most frequent ones (at most max_words, whole groups of like counts) are encoded
 once and compiled into a minimal acyclic automaton whose transitions add up to a word's number, which leads to its ids.
-The tables lie in the shared folder and are memory-mapped by every Python task. A task looks up the distinct words of a
-slice of texts in it all at once; words that it lacks are merged exactly by rank.
+The tables, those of the merges included, lie in the shared folder and are memory-mapped by every Python task (on a store
+that can't be mapped a task reads them, 10 MB at most), so the tokenizer's file is read by the driver only. A task looks up
+the distinct words of a slice of texts in it all at once; words that it lacks are merged exactly by rank. Long texts are
+encoded in pieces that end at white space, which no word holds.
 
 Defined cases: a null or empty text has no tokens and decodes to an empty text. Long words are merged with a heap, in
 n log n steps. Special tokens in a text are encoded as such. Equal texts get equal rows. Other columns pass through;
@@ -18,7 +20,6 @@ import io
 import json
 import os
 import re
-import tempfile
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -38,7 +39,10 @@ from tallyspark.llm.common import bounded_batches, fresh_dir, need, plain, table
 MAX_WORDS = 200_000
 #: Longer words are never in the lexicon.
 MAX_WORD_BYTES = 64
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 1 << 19
+SPACE = re.compile(r"[ \t\r\n]")
+#: Different words that a task counts before it hands them on.
+FLUSH_WORDS = 50_000
 END = "</w>"
 #: Longer words are merged one by one with a heap.
 LONG_WORD = 48
@@ -53,32 +57,48 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 
 
+def tokenizer_file(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def special_tokens(path: str) -> dict[str, int]:
+    return {x["content"]: x["id"] for x in tokenizer_file(path)["added_tokens"]}
+
+
+def tokens_of(path: str) -> list[str]:
+    """Each id's token; as many as the tokenizer file has."""
+    known = {**tokenizer_file(path)["model"]["vocab"], **special_tokens(path)}
+    out = [""] * (max(known.values()) + 1)
+    for token, i in known.items():
+        out[i] = token
+    return out
+
+
 def byte_signs() -> list[str]:
     rest = iter(range(256, 512))
     return [chr(b) if b in set(PRINTABLE) else chr(next(rest)) for b in range(256)]
 
 
 class Merges:
-    """Exact merging of one word by the ranks of a tokenizer file; no lexicon."""
-
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            said = json.load(f)
-        self.vocab = said["model"]["vocab"]
-        self.signs = byte_signs()
-        self.pairs = {}
-        for rank, pair in enumerate(said["model"]["merges"]):
+    """Exact merging of one word by the ranks of a tokenizer file; no lexicon. Its parts are arrays."""
+
+    PARTS = ("pairs", "ranks", "made", "first", "last")
+
+    def __init__(self, parts: dict[str, np.ndarray]):
+        self.pairs, self.ranks, self.made, self.first, self.last = (parts[x] for x in self.PARTS)
+
+    @classmethod
+    def of(cls, path: str) -> Merges:
+        said = tokenizer_file(path)["model"]
+        vocab, signs, pairs, made = said["vocab"], byte_signs(), [], []
+        for pair in said["merges"]:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.pairs[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
-        self.special = {x["content"]: x["id"] for x in said["added_tokens"]}
-        self.tokens = [""] * (max([*self.vocab.values(), *self.special.values()]) + 1)
-        for token, i in [*self.vocab.items(), *self.special.items()]:
-            self.tokens[i] = token
-        self.first = np.array([self.vocab[s] for s in self.signs])
-        self.last = np.array([self.vocab[s + END] for s in self.signs])
-        keys = np.array([a << 32 | b for a, b in self.pairs])
-        self.rank_of = np.argsort(keys)
-        self.keys, self.made = keys[self.rank_of], np.array([made for _, made in self.pairs.values()])
+            pairs.append(vocab[a] << 32 | vocab[b])
+            made.append(vocab[a + b])
+        order = np.argsort(np.array(pairs, np.int64))
+        first, last = [vocab[s] for s in signs], [vocab[s + END] for s in signs]
+        return cls({"pairs": np.array(pairs, np.int64)[order], "ranks": order, "made": np.array(made), "first": np.array(first), "last": np.array(last)})
 
     def words(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of each word. Words of like length are merged together, all by one pair a step, the lowest rank and
@@ -118,13 +138,20 @@ class Merges:
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a << 32 | b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.rank_of[at], NONE)
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.ranks[at], NONE)
+
+    def _pair(self, a: int, b: int) -> tuple[int, int] | None:
+        """(rank, made id) of one pair."""
+        at = int(np.searchsorted(self.pairs, a << 32 | b))
+        if at == len(self.pairs) or self.pairs[at] != a << 32 | b:
+            return None
+        return int(self.ranks[at]), int(self.made[self.ranks[at]])
 
     def _long(self, ids: list[int]) -> list[int]:
-        n, pairs = len(ids), self.pairs
+        n, pair = len(ids), lru_cache(maxsize=1 << 14)(self._pair)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(got[0], i, ids[i], ids[i + 1], got[1]) for i in range(n - 1) if (got := pairs.get((ids[i], ids[i + 1])))]
+        heap = [(got[0], i, ids[i], ids[i + 1], got[1]) for i in range(n - 1) if (got := pair(ids[i], ids[i + 1]))]
         heapq.heapify(heap)
         while heap:
             _, i, a, b, made = heapq.heappop(heap)
@@ -135,29 +162,11 @@ class Merges:
             if after[j] >= 0:
                 before[after[j]] = i
             for left in (before[i], i):
-                if left >= 0 and after[left] >= 0 and (got := pairs.get((ids[left], ids[after[left]]))):
+                if left >= 0 and after[left] >= 0 and (got := pair(ids[left], ids[after[left]])):
                     heapq.heappush(heap, (got[0], left, ids[left], ids[after[left]], got[1]))
         return [x for x in ids if x >= 0]
 
 
-@lru_cache(maxsize=1)
-def merges_of(path: str) -> Merges:
-    """Read once by a Python worker, which runs many tasks."""
-    return Merges(path)
-
-
-@lru_cache(maxsize=1)
-def tokens_of(path: str) -> np.ndarray:
-    """Each id's token, without the merges, which decoding doesn't need."""
-    with open(path, encoding="utf-8") as f:
-        said = json.load(f)
-    pairs = [*said["model"]["vocab"].items(), *((x["content"], x["id"]) for x in said["added_tokens"])]
-    out = np.full(max(i for _, i in pairs) + 1, "", object)
-    for token, i in pairs:
-        out[i] = token
-    return out
-
-
 def split_words(text: str, special) -> list[str]:
     """The words of a text as the tokenizer file normalises and splits it; special tokens stay whole."""
     if special is not None and "<|" in text and len(parts := special.split(text)) > 1:
@@ -208,29 +217,30 @@ def compile_words(words: list[bytes]) -> dict[str, np.ndarray]:
 
 
 class Lexicon:
-    """A compiled lexicon, memory-mapped."""
+    """A compiled lexicon with the merges for other words, memory-mapped."""
 
     PARTS = ("keys", "targets", "adds", "finals", "root", "offsets", "ids")
 
     def __init__(self, directory: str):
         fs, root = pyarrow.fs.FileSystem.from_uri(directory)
-        for name in self.PARTS:
+        local = isinstance(fs, pyarrow.fs.LocalFileSystem)
+
+        def part(name):
             path = f"{root}/{name}.npy"
-            if isinstance(fs, pyarrow.fs.LocalFileSystem):
-                setattr(self, name, np.load(path, mmap_mode="r"))
-                continue
-            with tempfile.NamedTemporaryFile(suffix=".npy") as copy:  # a mapping outlives its file's name
-                with fs.open_input_stream(path) as src:
-                    while part := src.read(1 << 20):
-                        copy.write(part)
-                copy.flush()
-                setattr(self, name, np.load(copy.name, mmap_mode="r"))
+            if local:
+                return np.asarray(np.load(path, mmap_mode="r"))  # still mapped
+            with fs.open_input_stream(path) as f:
+                return np.load(io.BytesIO(f.read()))
+
+        self.keys, self.targets, self.adds, self.finals, self.root, self.offsets, self.ids = map(part, self.PARTS)
+        self.merges = Merges({x: part(x) for x in Merges.PARTS})
 
     @staticmethod
     def save(directory: str, words: list[str], merges: Merges) -> None:
         coded = sorted(w.encode() for w in words)
         ids = merges.words(coded)
         parts = compile_words(coded) | {"offsets": np.cumsum([0, *map(len, ids)], dtype=np.int64), "ids": np.concatenate([np.zeros(0, np.uint32), *ids])}
+        parts |= {x: getattr(merges, x) for x in Merges.PARTS}
         fs, root = pyarrow.fs.FileSystem.from_uri(directory)
         fs.create_dir(root, recursive=True)
         for name, array in parts.items():
@@ -265,56 +275,71 @@ class Lexicon:
         return out
 
 
-def encode_slice(texts: list[str], lexicon: Lexicon, merges: Merges, special) -> list[np.ndarray]:
-    """The ids of each text."""
-    words, counts = [], []
+def encode_slice(texts: list[str], lexicon: Lexicon, special: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts in a row, how many each has)."""
+    pattern, numbers, codes, counts = _special_pattern(special), defaultdict(), [], []
+    numbers.default_factory = numbers.__len__
     for t in texts:
-        own = split_words(t, special)
-        words += own
+        own = split_words(t, pattern)
+        codes.append(np.fromiter(map(numbers.__getitem__, own), np.int64, len(own)))
         counts.append(len(own))
-    numbers: defaultdict = defaultdict()
-    numbers.default_factory = numbers.__len__
-    codes = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    distinct = list(numbers)
+    codes, distinct = np.concatenate([np.zeros(0, np.int64), *codes]), list(numbers)
     places = lexicon.find([w.encode() for w in distinct])
-    sizes, starts = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
     known = places >= 0
-    starts[known] = lexicon.offsets[places[known]]
-    sizes[known] = lexicon.offsets[places[known] + 1] - starts[known]
     unseen = [distinct[k] for k in np.flatnonzero(~known)]
-    plain = iter(merges.words([w.encode() for w in unseen if w not in merges.special]))
-    more = [np.array([merges.special[w]], np.uint32) if w in merges.special else next(plain) for w in unseen]
+    merged = iter(lexicon.merges.words([w.encode() for w in unseen if w not in special]))
+    more = [np.array([special[w]], np.uint32) if w in special else next(merged) for w in unseen]
+    sizes = np.zeros(len(distinct), np.int64)
+    sizes[known] = lexicon.offsets[places[known] + 1] - lexicon.offsets[places[known]]
     sizes[~known] = [len(x) for x in more]
-    starts[~known] = len(lexicon.ids) + np.cumsum(sizes[~known]) - sizes[~known]
-    pool = np.concatenate([lexicon.ids, *more])
-    lengths = sizes[codes]
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    flat = pool[np.repeat(starts[codes] - (ends - lengths), lengths) + np.arange(total)].astype("<u4")
-    cuts = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
-    return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-
-def _slices(texts: pa.Array) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t.as_py() or "")
-        size += len(part[-1])
-        if size >= SLICE_CHARS:
-            yield part
-            part, size = [], 0
+    starts = np.cumsum(sizes) - sizes
+    pool = np.zeros(int(sizes.sum()), np.uint32)  # the ids of each distinct word
+    pool[_ranges(starts[known], sizes[known])] = lexicon.ids[_ranges(lexicon.offsets[places[known]], sizes[known])]
+    pool[_ranges(starts[~known], sizes[~known])] = np.concatenate([np.zeros(0, np.uint32), *more])
+    ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+    return pool[_ranges(starts[codes], sizes[codes])], np.diff(ends[np.cumsum([0, *counts])])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each range, in a row."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def pieces(text: str) -> Iterator[str]:
+    """A long text cut at white space, about every SLICE_CHARS characters."""
+    at = 0
+    while len(text) - at > SLICE_CHARS and (found := SPACE.search(text, at + SLICE_CHARS)):
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[list[str], list[int]]]:
+    """(pieces of texts, the text of each) of at most about SLICE_CHARS characters."""
+    part, owner, size = [], [], 0
+    for i, t in enumerate(texts):
+        for piece in pieces(t.as_py() or ""):
+            part.append(piece)
+            owner.append(i)
+            size += len(piece)
+            if size >= SLICE_CHARS:
+                yield part, owner
+                part, owner, size = [], [], 0
     if part:
-        yield part
+        yield part, owner
 
 
 def _counter(special):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
         for batch in batches:
-            for texts in _slices(batch.column(0)):
-                seen: Counter = Counter()
+            for texts, _ in _slices(batch.column(0)):
                 for t in texts:
                     seen.update(split_words(t, special))
-                yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
+                if len(seen) >= FLUSH_WORDS:
+                    yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
+                    seen.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
 
     return count
 
@@ -324,9 +349,9 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col="text", max_wor
     need(docs, text_col)
     spark = docs.sparkSession
     bounded_batches(spark)
-    merges = Merges(tokenizer_path)
-    counts = docs.select(text_col).mapInArrow(_counter(_special_pattern(merges.special)), "word string, n long")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).filter((F.col("n") > 1) & (F.octet_length("word") <= MAX_WORD_BYTES) & ~F.col("word").isin(*merges.special))
+    special = special_tokens(tokenizer_path)
+    counts = docs.select(text_col).mapInArrow(_counter(_special_pattern(special)), "word string, n long")
+    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).filter((F.col("n") > 1) & (F.octet_length("word") <= MAX_WORD_BYTES) & ~F.col("word").isin(*special))
     counts = written(counts.select("word", F.floor(F.log2("n") * 8).cast("int").alias("level")), "bpe-words")
     # At most 512 levels: the highest ones that together hold at most max_words words.
     levels, total, least = dict(counts.groupBy("level").count().collect()), 0, 1 << 30
@@ -337,7 +362,7 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col="text", max_wor
         least = level
     words = [r[0] for r in counts.filter(F.col("level") >= least).select("word").collect()]
     directory = fresh_dir(spark, "bpe-lexicon")
-    Lexicon.save(directory, words, merges)
+    Lexicon.save(directory, words, Merges.of(tokenizer_path))
     return directory
 
 
@@ -346,15 +371,19 @@ def encode(docs: DataFrame, lexicon: str, tokenizer_path: str, text_col="text",
     need(docs, text_col)
     docs = plain(docs, ids_col)
     bounded_batches(docs.sparkSession)
+    special = special_tokens(tokenizer_path)
 
     @arrow_udf(ArrayType(IntegerType()))
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        merges, words = merges_of(tokenizer_path), Lexicon(lexicon)
-        special = _special_pattern(merges.special)
+        own = Lexicon(lexicon)
         for batch in batches:
-            out = [x for texts in _slices(batch) for x in encode_slice(texts, words, merges, special)]
-            offsets = np.cumsum([0, *map(len, out)], dtype=np.int64)
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(out or [np.zeros(0, "<u4")]).astype(np.int32)))
+            flats, sizes = [np.zeros(0, np.uint32)], np.zeros(len(batch), np.int64)
+            for texts, owner in _slices(batch):
+                flat, counts = encode_slice(texts, own, special)
+                flats.append(flat)
+                np.add.at(sizes, owner, counts)
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flats).view(np.int32)))
 
     return docs.withColumn(ids_col, ids(F.col(text_col)))
 
@@ -364,11 +393,13 @@ def decode(docs: DataFrame, tokenizer_path: str, ids_col="ids", text_col="decode
     need(docs, ids_col)
     docs = plain(docs, text_col)
     bounded_batches(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(tokens_of(tokenizer_path))
 
     @arrow_udf(StringType())
-    def text(ids: pa.Array) -> pa.Array:
-        tokens = tokens_of(tokenizer_path)
-        return pa.array([" ".join(tokens[x.values.to_numpy(zero_copy_only=False)].tolist()) if x.is_valid else "" for x in ids], pa.string())
+    def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens = sent.value
+        for ids in batches:
+            yield pa.array([" ".join([tokens[i] for i in x.as_py()]) if x.is_valid else "" for x in ids], pa.string())
 
     return docs.withColumn(text_col, text(F.col(ids_col)))
 
