@@ -2,7 +2,7 @@
 
 Base spans are found by pattern (email, ip, card, phone) with their checks; positions come from the lengths of the matches
 and of what lies between them. The values found are the protected entities. Terms are letter runs of three or more,
-lowered. A term discloses an entity as far as it tells it: PMI(term, entity) / IC(entity), which is 1 when each occurrence
+lowered, outside base spans. A term discloses an entity as far as it tells it: PMI(term, entity) / IC(entity), which is 1 when each occurrence
 of the term in the corpus stands near the entity. Near is within `window` code points of one of its spans; a term must be
 near in min_contexts different contexts, so that copies of one text are no evidence. Terms above `threshold` are
 generalised where they stand near the entity, those above `removal` are removed.
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import checked_join, need, plain, table, written
+from tallyspark.llm.common import BROADCAST_ROWS, checked_join, need, plain, table, written
 
 #: The contract's patterns. Lookbehind or \\G start each match at the first character that can start one, and possessive
 #: loops never go back, so that long runs take linear time; the matches are those of the plain patterns.
@@ -37,7 +37,10 @@ WINDOW = 64
 MIN_CONTEXTS = 2
 THRESHOLD = 0.9
 REMOVAL = 0.98
-SPANS = "array<struct<start:int,end:int,value:string>>"
+SPAN = "struct<start:int,end:int,value:string>"
+SPANS = f"array<{SPAN}>"
+SCAN_BLOCK = 64
+BLOCK = 512
 
 
 def bound(value: Column, f) -> Column:
@@ -45,17 +48,52 @@ def bound(value: Column, f) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
+def scan(items: Column, kind: str, step) -> Column:
+    """What a walk over an array gives: step(at, item) -> (next at, items to give), from at = 0.
+
+    An array that grows by one item a step is copied each time; so items are walked in blocks, whose results are joined.
+    """
+    empty, block = F.array().cast(f"array<{kind}>"), F.lit(SCAN_BLOCK)
+
+    def over(all_):
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.size(all_) - 1, F.lit(0)), block), lambda i: F.slice(all_, i + 1, block))
+
+        def one(acc, items):
+            def inner(acc, x):
+                at, more = step(acc["at"], x)
+                return F.struct(at.alias("at"), F.concat(acc["out"], more.cast(f"array<{kind}>")).alias("out"))
+
+            got = F.aggregate(items, F.struct(acc["at"].alias("at"), empty.alias("out")), inner)
+            return bound(got, lambda g: F.struct(g["at"].alias("at"), F.concat(acc["parts"], F.array(g["out"])).alias("parts")))
+
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("parts"))
+        return F.aggregate(blocks, start, one, lambda acc: F.flatten(acc["parts"]))
+
+    return bound(items, over)
+
+
 def located(text: Column, pattern: str) -> Column:
     """The matches of a pattern in a text, with their places in code points."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
     parts = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda m, gap: F.struct(m.alias("m"), F.length(gap).alias("gap"), F.length(m).alias("n")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
 
-    def step(acc, x):
-        a = acc["at"] + x["gap"]
-        return F.struct((a + x["n"]).alias("at"), F.concat(acc["spans"], F.array(F.struct(a.alias("start"), (a + x["n"]).alias("end"), x["m"].alias("value")))).alias("spans"))
+    def step(at, x):
+        a = at + x["gap"]
+        return a + x["n"], F.array(F.struct(a.alias("start"), (a + x["n"]).alias("end"), x["m"].alias("value")))
+
+    return scan(parts, SPAN, step)
 
-    return F.aggregate(parts, start, step, lambda acc: acc["spans"])
+
+def blocks_of(text: Column) -> Column:
+    """A text in blocks of BLOCK characters, of which a part can be read without walking through the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), 0)
+
+
+def part(blocks: Column, start: Column, end: Column) -> Column:
+    """The characters from start to end of a text in blocks."""
+    first = F.floor(start / BLOCK).cast("int")
+    some = F.array_join(F.slice(blocks, first + 1, F.floor(end / BLOCK).cast("int") - first + 1), "")
+    return F.when(end > start, F.substring(some, start - first * BLOCK + 1, end - start)).otherwise("")
 
 
 def luhn(digits: Column) -> Column:
@@ -94,16 +132,17 @@ def _entities() -> Column:
 
 
 def _near(window: int) -> Column:
-    """The terms near each entity of a row, other than those inside base spans."""
-    text, spans = F.col("__text"), F.col("__entities")
+    """The terms near each entity of a row: letter runs of the text with base spans blanked out."""
+    text, blank, spans, length = F.col("__blocks"), F.col("__blank"), F.col("__entities"), F.col("__length")
 
     def of(x):
-        first = F.greatest(x["start"] - window, F.lit(0))
-        left = F.substring(text, first + 1, x["start"] - first)
+        first, last = F.greatest(x["start"] - window, F.lit(0)), F.least(x["end"] + window, length)
+        context = F.xxhash64(part(text, first, x["start"]), part(text, x["end"], last))
+        left = part(blank, first, x["start"])
         left = F.when(first > 0, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)  # words that the window cuts
-        right = F.substring(text, x["end"] + 1, F.lit(window))
-        right = F.when(F.length(text) > x["end"] + window, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right)
-        return bound(F.struct(left.alias("left"), right.alias("right"), F.xxhash64(left, right).alias("context")), lambda sides: around(x, sides))
+        right = part(blank, x["end"], last)
+        right = F.when(last < length, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right)
+        return bound(F.struct(left.alias("left"), right.alias("right"), context.alias("context")), lambda sides: around(x, sides))
 
     def around(x, sides):
         def terms(side, offset):
@@ -111,8 +150,7 @@ def _near(window: int) -> Column:
 
         return F.concat(terms(sides["left"], x["start"] - F.length(sides["left"])), terms(sides["right"], x["end"]))
 
-    found = F.flatten(F.transform(spans, of))
-    return F.filter(found, lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    return F.flatten(F.transform(spans, of))
 
 
 def disclosing(near: DataFrame, texts: DataFrame, min_contexts: int, threshold: float) -> DataFrame:
@@ -124,15 +162,20 @@ def disclosing(near: DataFrame, texts: DataFrame, min_contexts: int, threshold:
     candidates = written(pairs.select("term").distinct().withColumn("known", F.lit(True)), "pii-candidates")
     # Equal texts meet as one row a task, so that large groups of copies are no large groups of rows.
     own = texts.groupBy("__hash").agg(F.first("text").alias("text"))
-    words = own.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("term"), F.col("__hash").alias("spread"))
-    # All other terms are counted under one null, for the corpus total; partial sums meet there, not rows.
-    counts = checked_join(words, candidates, ["term"], "left", spread="spread").groupBy(F.when(F.col("known"), F.col("term")).alias("term")).agg(F.count("*").alias("n_term"))
+    counts = own.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("term"))
+    known = F.when(F.col("known"), F.col("term")).alias("term")
+    if candidates.count() <= BROADCAST_ROWS:
+        # All other terms are counted under one null, for the corpus total; partial sums meet there, not rows.
+        counts = counts.join(F.broadcast(candidates), "term", "left").groupBy(known).agg(F.count("*").alias("n_term"))
+    else:  # partial sums of all different terms meet before the join
+        counts = counts.groupBy("term").agg(F.count("*").alias("n")).join(candidates, "term", "left").groupBy(known).agg(F.sum("n").alias("n_term"))
     counts = written(counts, "pii-counts")
     total = counts.agg(F.coalesce(F.sum("n_term"), F.lit(0)).alias("n")).first()["n"]
     out = pairs.join(counts.filter("term is not null"), "term")
-    # PMI / IC, where the total cancels out but for IC; an entity as frequent as all terms tells nothing beyond equality.
-    less = F.ln(F.col("together") / F.col("n_term")) / F.ln(F.lit(float(total)) / F.col("n_entity"))
-    out = out.withColumn("disclosure", F.when(F.col("together") >= F.col("n_term"), 1.0).when(F.col("n_entity") < total, 1 + less))
+    # PMI / IC, where the total cancels out but for IC; of an entity as frequent as all terms only equality tells.
+    less = F.try_divide(F.ln(F.try_divide("together", "n_term")), F.ln(F.try_divide(F.lit(float(total)), "n_entity")))
+    less = F.when(F.col("n_entity") < total, F.coalesce(1 + less, F.lit(0.0))).otherwise(0.0)
+    out = out.withColumn("disclosure", F.when(F.col("together") >= F.col("n_term"), 1.0).otherwise(less))
     return out.filter(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
 
 
@@ -145,13 +188,16 @@ def find_pii(docs: DataFrame, id_col="doc_id", text_col="text", window: int = WI
     rows = docs.withColumns(keys).withColumn("__text", text)
     spans = rows.withColumns({f"__{k}": base_spans(F.col("__text"), k) for k in PATTERNS})
     some = spans.filter(" + ".join(f"size(__{k})" for k in PATTERNS) + " > 0").select("__id", "__hash", "__text", _entities().alias("__entities"))
+    some = some.withColumn("__blocks", blocks_of(F.col("__text"))).withColumn("__length", F.length("__text"))
+    blank = _replaced(F.col("__blocks"), F.col("__length"), F.col("__entities"), lambda x: F.repeat(F.lit(" "), x["end"] - x["start"]))
+    some = some.withColumn("__blank", blocks_of(blank)).drop("__text")
     near = written(some.select("__id", "__hash", F.explode(_near(window)).alias("t")).select("__id", "__hash", "t.*"), "pii-near")
     risky = written(disclosing(near, docs.select(keys["__hash"].alias("__hash"), text.alias("text")), min_contexts, threshold), "pii-disclosing")
     hits = checked_join(near, risky, ["entity", "term"], "inner", spread="__hash")
     action = F.when(F.max("disclosure") >= removal, "remove").otherwise("generalise")
     hits = hits.groupBy("__id", "__hash", "start", "end").agg(action.alias("action"))
     hits = hits.groupBy("__id", "__hash").agg(F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("__terms"))
-    out = checked_join(spans, written(hits, "pii-terms"), ["__id", "__hash"], "left", spread="__id", limit=20_000)
+    out = checked_join(spans, written(hits, "pii-terms"), ["__id", "__hash"], "left", spread="__id", limit=20_000, size=F.size("__terms") * 32)
     kind = "array<struct<kind:string,start:int,end:int,action:string>>"
 
     def said(name, column, action):
@@ -163,18 +209,23 @@ def find_pii(docs: DataFrame, id_col="doc_id", text_col="text", window: int = WI
     return out.withColumn("clean_text", _masked(F.col("__text"), F.col("pii"))).drop("__text", "__terms", *keys, *[f"__{k}" for k in PATTERNS])
 
 
-def _masked(text: Column, pii: Column) -> Column:
-    """The text with spans replaced by their kind, generalised terms by <TERM>, removed ones by nothing."""
-    order = F.array_sort(F.transform(pii, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"), x["action"].alias("action"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _replaced(blocks: Column, length: Column, spans: Column, mark) -> Column:
+    """A text in blocks with each span replaced by its mark; overlapping ones count from the left, the longer first."""
+    rest = F.struct(length.alias("start"), (-length).alias("back"), F.lit("").alias("mark"))
+    marks = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), mark(x).alias("mark"))))
 
-    def step(acc, x):
-        mark = F.when(x["action"] == "remove", "").otherwise(F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">")))
-        more = F.struct((-x["back"]).alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), mark).alias("out"))
-        return F.when(x["start"] >= acc["at"], more).otherwise(acc)
+    def step(at, x):
+        kept = F.struct(at.alias("from"), x["start"].alias("to"), x["mark"].alias("mark"))
+        return F.when(x["start"] >= at, -x["back"]).otherwise(at), F.when(x["start"] >= at, F.array(kept)).otherwise(F.array().cast("array<struct<from:int,to:int,mark:string>>"))
 
-    joined = F.aggregate(order, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(pii) == 0, text).otherwise(joined)
+    cuts = scan(F.concat(marks, F.array(rest)), "struct<from:int,to:int,mark:string>", step)
+    return F.array_join(F.transform(cuts, lambda c: F.concat(part(blocks, c["from"], c["to"]), c["mark"])), "")
+
+
+def _masked(text: Column, pii: Column) -> Column:
+    """The text with spans replaced by their kind, generalised terms by <TERM>, removed ones by nothing."""
+    mark = lambda x: F.when(x["action"] == "remove", "").otherwise(F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">")))
+    return F.when(F.size(pii) == 0, text).otherwise(bound(blocks_of(text), lambda b: _replaced(b, F.length(text), pii, mark)))
 
 
 def op8_pii(spark, sf_dir):
