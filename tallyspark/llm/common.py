@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than ASCII white space.
@@ -14,6 +14,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: A side is broadcast only if its counted rows stay at or below this.
 BROADCAST_ROWS = 200_000
+#: The same for the bytes of rows that hold arrays.
+BROADCAST_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,8 +30,22 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{at}"
 
 
+#: Folders that this driver made in the shared one, until clear_written() removes them.
+_MADE: list[str] = []
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear_written(spark: SparkSession, *paths: str) -> None:
+    """Removes the given folders of fresh_dir(), or all of this driver's; call it when the results that read them are taken."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths or tuple(_MADE):
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+        _MADE.remove(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -39,28 +55,41 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, size: str = "16m", rows: int = 2_000) -> None:
-    """Bounds the bytes and rows of the Arrow batches that Python tasks get, unless the user has set them."""
-    said = spark.sparkContext.getConf()
+def bounded_batches(spark: SparkSession, size: str = "8m", rows: int = 2_000) -> None:
+    """Bounds the bytes and rows of the Arrow batches that Python tasks get. A bound that the user has set, for the
+    application or for the session, stays; otherwise the session keeps this one for its later queries, too."""
     for key, value in (("maxBytesPerBatch", size), ("maxRecordsPerBatch", str(rows))):
-        if said.get(f"spark.sql.execution.arrow.{key}", None) is None:
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
 
 
-def checked_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread: str, salts: int = 16, limit: int = BROADCAST_ROWS) -> DataFrame:
+def checked_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread: str, salts: int = 16, limit: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
     """Joins left with a written table that has one row per key.
 
-    The table is broadcast if its counted rows are at most limit. Beyond that both sides are shuffled on the keys and
-    a salt: left rows get theirs from a hash of the column `spread`, right rows are repeated for each salt, so that a
-    key with a large part of the left rows is dealt to `salts` tasks.
+    The table is broadcast if its counted rows are at most limit and its bytes (by the column `size`, where rows hold
+    arrays) at most BROADCAST_BYTES. Beyond that both sides are shuffled on the keys and a salt: left rows get theirs from
+    a hash of the column `spread`, right rows are repeated for each salt, so that a key with a large part of the left rows
+    is dealt to `salts` tasks.
     """
-    if right.count() <= limit:
+    rows, total = right.agg(F.count("*"), F.coalesce(F.sum(F.lit(0) if size is None else size), F.lit(0)).cast("long")).first()
+    if rows <= limit and total <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), keys, how)
     salted = left.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = right.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
+def skew_join(left: DataFrame, right: DataFrame, key: str, n: str, total: int, share: int = 1_000) -> DataFrame:
+    """Inner join with a written table of one row per key, whose column n says how many rows of left have it, `total` in all.
+
+    Keys with at least a thousandth of the rows are at most a thousand, so these are broadcast; the others are shuffled,
+    and none of them is large.
+    """
+    hot = right.filter(F.col(n) * share >= total)
+    cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right.filter(F.col(n) * share < total), key)
+    return left.join(F.broadcast(hot), key).unionByName(cold).drop(n)
+
+
 def need(df: DataFrame, *names: str) -> None:
     missing = [x for x in names if x not in df.columns]
     if missing:

@@ -6,10 +6,11 @@ for each of three blocks of its bits, the variants in which that block is erased
 erasing it leaves at most two (or none), and one flip from either side bridges those. Flipping two bits from one side
 would need 2,081 keys instead. Keys are shuffled and sorted; within a run of equal keys the fingerprints are verified, and
 links are given as a star to the smallest member of each linked set, so a large run doesn't give all its pairs. In runs of
-many fingerprints the links are found with a sorted list of all variants, without comparing all pairs.
+many fingerprints the links are found with a sorted list of all variants, without comparing all pairs. A run is one task's
+work: only different fingerprints of one erased block are in it, copies are none.
 
 Exact copies meet in one fingerprint before anything is emitted. Components come from alternating large-star and small-star
-steps on the links between different fingerprints, each step a written table.
+steps on the links between different fingerprints, each step a written table. Nodes with many links are joined by broadcast.
 
 Defined cases: a null or empty text, or one without words, has fingerprint 0, linked like any other. Null ids are allowed;
 component_id is null only where no member has an id. Rows that repeat get equal results. Empty tables give empty results.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from tallyspark.llm.common import bounded_batches, need, table, written
+from tallyspark.llm.common import bounded_batches, need, skew_join, table, written
 
 RADIUS = 3
 SHINGLE = 3
@@ -118,7 +119,7 @@ def link_set(fps: np.ndarray) -> np.ndarray:
 
 def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links from rows (key, fp) in the order of keys; a run may span batches."""
-    rest_k, rest_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    rest: list[tuple[np.ndarray, np.ndarray]] = []  # parts of the run that isn't over, joined only when it is
 
     def links(key, fp):
         bounds = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
@@ -136,14 +137,19 @@ def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
 
     for batch in batches:
-        key = np.concatenate([rest_k, batch.column(0).to_numpy()])
-        fp = np.concatenate([rest_f, batch.column(1).to_numpy().view(np.uint64)])
-        cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
-        rest_k, rest_f = key[cut:], fp[cut:]
-        if cut:
+        key, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+        if not len(key):
+            continue
+        if rest and rest[0][0][0] != key[-1]:
+            cut = int(np.searchsorted(key, key[-1]))
+            yield links(np.concatenate([*(k for k, _ in rest), key[:cut]]), np.concatenate([*(f for _, f in rest), fp[:cut]]))
+            rest, key, fp = [], key[cut:], fp[cut:]
+        elif not rest and (cut := int(np.searchsorted(key, key[-1]))):
             yield links(key[:cut], fp[:cut])
-    if len(rest_k):
-        yield links(rest_k, rest_f)
+            key, fp = key[cut:], fp[cut:]
+        rest.append((key, fp))
+    if rest:
+        yield links(np.concatenate([k for k, _ in rest]), np.concatenate([f for _, f in rest]))
 
 
 def find_links(fps: DataFrame) -> DataFrame:
@@ -160,8 +166,8 @@ def components(links: DataFrame) -> DataFrame:
         """Each node's neighbours (the larger ones, or the smaller ones with the node) are linked to the smallest of all."""
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
         both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        joined = both.join(low, "u")
+        low = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "simhash-low")
+        joined = skew_join(both, low, "u", "n", low.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
         out = joined.filter("v > u" if large else "v <> m").select(F.col("m").alias("a"), F.col("v").alias("b"))
         if not large:
             out = out.unionByName(low.select(F.col("m").alias("a"), F.col("u").alias("b")))
@@ -182,12 +188,14 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
     need(docs, id_col, text_col)
     bounded_batches(docs.sparkSession)
     rows = written(docs.select(F.col(id_col).alias("id"), _fingerprints(F.col(text_col)).alias("fp")), "simhash-rows")
-    fps = written(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-fps")
+    fps = written(rows.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")), "simhash-fps")
+    total = fps.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = components(written(find_links(fps), "simhash-links"))
-    roots = fps.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(roots.join(least, "root").select("fp", "component_id"), "simhash-components")
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    roots = written(fps.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    least = written(roots.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("fps")), "simhash-least")
+    named = skew_join(roots, least, "root", "fps", least.agg(F.coalesce(F.sum("fps"), F.lit(0))).first()[0])
+    named = written(named.select("fp", "n", "component_id"), "simhash-components")
+    return skew_join(rows, named, "fp", "n", total).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def op5_simhash(spark, sf_dir):
