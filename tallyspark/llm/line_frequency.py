@@ -4,11 +4,11 @@ Each normalised line (A-Z lowered, digit runs as 0, white space as one blank, tr
 and the distinct documents that hold it are counted for each host. Lines held by more than max_docs documents of a host
 are removed there; a document that keeps under min_kept_share of its words is rejected as depleted.
 
-Distinct documents are distinct texts: exact copies count once (removing copies is another operator's work), so that a
-group of copies doesn't deplete its own last member.
+Distinct documents are distinct ids, so the lines of a group of more than max_docs copies are common there. Where copies are
+another operator's work, count_copies=False counts distinct texts instead, so that a group doesn't deplete its last member.
 
-Defined cases: a null text is an empty one; null hosts form one host; a document without words is not depleted (base rules
-judge it). Rows that repeat a document get its verdict each. Null ids are allowed. Only the named columns are read; the
+Defined cases: a null text is an empty one; rows without an id are told apart by their texts; null hosts form one host; a document without words is not depleted (base rules
+judge it). Rows that repeat a document get its verdict each. Only the named columns are read; the
 caller's other columns pass through, and where a name clashes, the added column replaces the caller's.
 """
 
@@ -103,7 +103,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     return out.select("host", "id", "text_hash", "place", "p.line", "p.words").filter("words > 0")
 
 
-def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="source", max_docs: int = MAX_DOCS, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
+def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="source", max_docs: int = MAX_DOCS, min_kept_share: float = MIN_KEPT_SHARE, count_copies: bool = True) -> DataFrame:
     """docs with base counts, base_failed, kept, removed_words, clean_text (the lines that stay) and kept_share."""
     need(docs, id_col, text_col, host_col)
     docs = plain(docs, *COUNTS, "base_failed", "kept", "removed_words", "kept_share", "clean_text")
@@ -112,7 +112,8 @@ def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="so
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("-"))
     keys = [host.alias("host"), F.coalesce(F.col(id_col).cast("string"), F.lit("-")).alias("id"), F.xxhash64(text).alias("text_hash")]
     lines = _lines(docs.select(*keys, text.alias("text")))
-    common = lines.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("docs")).filter(F.col("docs") > max_docs)
+    document = F.when(F.lit(count_copies) & (F.col("id") != "-"), F.xxhash64("id")).otherwise(F.col("text_hash"))
+    common = lines.groupBy("host", "line").agg(F.count_distinct(document).alias("docs")).filter(F.col("docs") > max_docs)
     common = written(common.select("host", "line"), "common-lines")
     hit = checked_join(lines, common, ["host", "line"], "inner", spread="text_hash")
     # A line counts at each of its places, but once where rows repeat a document.
@@ -121,7 +122,7 @@ def filter_lines(docs: DataFrame, id_col="doc_id", text_col="text", host_col="so
     names = {"id": "__id", "host": "__host", "text_hash": "__text_hash"}
     base = docs.withColumns({"__base": _base_udf(F.col(text_col))} | {f"__{n}": c for n, c in zip(("host", "id", "text_hash"), keys, strict=True)})
     renamed = hit.withColumnsRenamed(names | {"lines": "__lines", "words": "__words"})
-    out = checked_join(base, renamed, list(names.values()), "left", spread="__id", limit=20_000)
+    out = checked_join(base, renamed, list(names.values()), "left", spread="__id", limit=20_000, size=F.size("__lines") * 8)
     n, repeat = F.col("__base.n_words"), F.col("__base.n_repeat_words")
     failed = (n < 10) | (100 * repeat > 20 * n)
     stays = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains("__lines", F.xxhash64(normal_line(x))))
@@ -143,9 +144,9 @@ def op2_line_frequency(spark, sf_dir):
 OP2_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source, row_number() OVER () AS r FROM documents),
 b AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, string_split(text, chr(10)) AS l FROM d),
-nl AS (SELECT r, source, text, unnest(l) AS raw FROM b),
-n AS (SELECT r, source, text, raw, trim(regexp_replace(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM nl),
-common AS (SELECT source, line FROM n WHERE line <> '' GROUP BY source, line HAVING count(DISTINCT text) > {MAX_DOCS}),
+nl AS (SELECT r, doc_id, source, text, unnest(l) AS raw FROM b),
+n AS (SELECT r, doc_id, source, text, raw, trim(regexp_replace(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM nl),
+common AS (SELECT source, line FROM n WHERE line <> '' GROUP BY source, line HAVING count(DISTINCT coalesce('=' || doc_id, text)) > {MAX_DOCS}),
 gone AS (SELECT r, sum(len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+'))) AS gone FROM n WHERE EXISTS (SELECT 1 FROM common c WHERE c.source IS NOT DISTINCT FROM n.source AND c.line = n.line) GROUP BY r),
 dup AS (SELECT r, (count(*) - count(DISTINCT raw))::BIGINT AS k FROM nl WHERE regexp_matches(raw, '[^\x20\x09-\x0D]') GROUP BY r),
 p AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM b WHERE len(w) >= 5),
