@@ -1,7 +1,8 @@
 """Toxicity by a classifier chain.
 
 Each category is predicted by a linear model on hashed word features (a document's distinct words, their prefixes of 4 and
-6 letters) and on the probabilities of the categories before it. Those that train a later model are out of fold: each
+6 letters) and on the probabilities of the categories before it. Categories are columns of 0/1 labels, in the chain's order;
+the caller names them, the last one gives the verdict. Those that train a later model are out of fold: each
 fifth of the sample gets them from models of the other four; at prediction they come from models of the whole sample. The
 last category's threshold is the one of best F1 on its out-of-fold probabilities, at the corpus rate of the labels.
 
@@ -9,7 +10,8 @@ The models are trained (follow-the-regularised-leader, elastic net) on labelled
 whose sparse rows are made by Spark tasks and gathered on the driver. Prediction covers every text whole.
 
 Defined cases: a null or empty text has no features, and the probabilities of the bias alone. Labelled rows without a
-document, or with a null label, aren't used; of labels that repeat an id the largest counts. Without labels of both kinds a
+document, or with a null in the last category, aren't used; a null in an earlier one is 0. Of labels that repeat an id the
+largest counts, of its texts the one with the smallest hash. Without labels of both kinds a
 category has probability 0. Rows that repeat get equal results. Other columns pass through; where a name clashes,
 the added column replaces the caller's.
 """
@@ -37,7 +39,8 @@ PREFIXES = (4, 6)
 MAX_ROWS = 6_000
 FOLDS = 5
 EPOCHS = 3
-CHAIN = ("low_quality", "severe", "toxic")
+#: The categories of the query: documents of low quality, then toxic ones.
+CHAIN = ("low_quality", "toxic")
 SLICE_CHARS = 2_000_000
 WORDS = regex.compile(r"\p{L}+")
 
@@ -60,8 +63,8 @@ def doc_features(text: str | None) -> np.ndarray:
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got = [doc_features(t.as_py()) for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.int32()))], ["id", "toxic", "quality", "at", "n"])
+        got = [doc_features(t.as_py()) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.int32()))], ["id", "labels", "at", "n"])
 
 
 class Chain:
@@ -101,34 +104,26 @@ def train_chain(rows: list[tuple[np.ndarray, np.ndarray]], labels: dict[str, np.
     return Chain(names, weights, threshold)
 
 
-def severe(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
-    """A weak label of the training rows: toxic ones with at least the median number of features that mark toxic rows."""
-    seen, bad = np.zeros(DIM), np.zeros(DIM)
-    for (at, _), y in zip(rows, toxic, strict=True):
-        seen[at] += 1
-        bad[at] += y
-    marks = (bad >= 5) & (bad >= 0.9 * seen)
-    hits = np.array([marks[at].sum() for at, _ in rows])
-    return (toxic == 1) & (hits >= np.median(hits[toxic == 1])) if toxic.any() else np.zeros(len(rows), bool)
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", toxic_col="toxic", quality_col="quality", max_rows: int = MAX_ROWS) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, categories=CHAIN, id_col="doc_id", text_col="text", max_rows: int = MAX_ROWS) -> Chain:
+    """A chain of the categories, columns of labels. About max_rows labelled documents train it, 2 of 5 with the last label."""
     need(docs, id_col, text_col)
-    need(labels, id_col, toxic_col, quality_col)
+    need(labels, id_col, *categories)
     bounded_batches(docs.sparkSession)
-    known = labels.filter(F.col(id_col).isNotNull() & F.col(toxic_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(toxic_col).cast("int").alias("toxic"), F.coalesce(F.max(quality_col), F.lit(1)).cast("int").alias("quality"))
-    sizes = dict(known.groupBy("toxic").count().collect())
+    last = categories[-1]
+    known = labels.filter(F.col(id_col).isNotNull() & F.col(last).isin(0, 1)).groupBy(F.col(id_col).alias("id"))
+    known = known.agg(F.array(*[F.coalesce(F.max(c), F.lit(0)).cast("int") for c in categories]).alias("labels")).withColumn("last", F.element_at("labels", -1))
+    sizes = dict(known.groupBy("last").count().collect())
     share = {c: min(1.0, max_rows * part / max(1, sizes.get(c, 0))) for c, part in ((1, 0.4), (0, 0.6))}
     u = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.filter(u < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])).limit(2 * max_rows)
-    # At most 2 * max_rows labels, so they may be broadcast.
-    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id")).join(F.broadcast(sample), "id").dropDuplicates(["id"])
-    got = rows.select("text", "id", "toxic", "quality").mapInArrow(_rows, "id long, toxic int, quality int, at array<int>, n array<int>").toArrow().sort_by("id")
+    sample = known.filter(u < F.when(F.col("last") == 1, share[1]).otherwise(share[0])).limit(2 * max_rows)
+    # At most 2 * max_rows labels, so they may be broadcast. The ids are different, so no more than these can be sampled.
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    rows = rows.groupBy("id", "labels").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    got = rows.mapInArrow(_rows, "id long, labels array<int>, at array<int>, n array<int>").toArrow().sort_by("id")
     sparse = [(np.array(a, np.int64), np.array(n, np.int64)) for a, n in zip(got["at"].to_pylist(), got["n"].to_pylist(), strict=True)]
-    toxic, quality = (np.array(got[c].to_pylist(), np.int64) for c in ("toxic", "quality"))
-    named = {"low_quality": quality == 0, "severe": severe(sparse, toxic), "toxic": toxic == 1}
-    rates = np.array([1 / share[int(y)] for y in toxic])
-    return train_chain(sparse, {c: named[c] for c in CHAIN}, rates)
+    said = np.array(got["labels"].to_pylist(), np.int64).reshape(len(sparse), len(categories))
+    rates = np.array([1 / share[int(y)] for y in said[:, -1]])
+    return train_chain(sparse, {c: said[:, k] for k, c in enumerate(categories)}, rates)
 
 
 def slice_scores(texts: list[str], chain: Chain) -> np.ndarray:
@@ -189,7 +184,8 @@ def predict(docs: DataFrame, chain: Chain, text_col="text", prefix="p_") -> Data
 def op10_toxicity(spark, sf_dir):
     """Every document's probabilities along the chain, and the verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return predict(docs, train(docs, table(spark, sf_dir, "labels"))).drop("text")
+    labels = table(spark, sf_dir, "labels").withColumn("low_quality", 1 - F.col("quality"))
+    return predict(docs, train(docs, labels)).drop("text")
 
 
 QUERIES = {"op10_toxicity": op10_toxicity}
