@@ -1,14 +1,14 @@
 """Media columns: payloads as 8-bit audio, and audio features.
 
 A payload is stored as a WAV file (PCM, mono, unsigned 8-bit samples at SOURCE_RATE) in a binary column of a written table.
-Features are computed from the stored bytes: samples are resampled by a polyphase filter to TARGET_RATE; frames of FRAME
+Features are computed from the stored bytes, and the tensors written as Arrow files by the tasks: samples are resampled by a polyphase filter to TARGET_RATE; frames of FRAME
 samples that overlap by half give log-mel filterbanks, as 8-bit steps of half a decibel; blocks of BLOCK frames (the
 last one padded with its floor) form an Arrow fixed-shape tensor array, each block with its time span; and the frame energies
 are segmented with hysteresis (a segment starts above the high level and ends below the low one; levels are set from the
 text's own median and spread).
 
-Defined cases: a null payload is an empty one, padded to one unit. Every text is handled whole, in chunks of frames, so
-memory stays within a few times the text. Equal texts give equal values. Other columns pass through; where a name
+Defined cases: a null payload is an empty one, padded to one unit. Every text is handled whole, in chunks of outputs and of
+frames, so memory stays within about six times the text. Equal texts give equal values. Other columns pass through; where a name
 clashes, the added column replaces the caller's.
 """
 
@@ -21,18 +21,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, BinaryType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
-from tallyspark.llm.common import bounded_batches, need, plain, table, written
+from tallyspark.llm.common import bounded_batches, fresh_dir, need, plain, table, written
 
 UNIT = 576
 SOURCE_RATE, TARGET_RATE = 8000, 6000
 UP, DOWN, TAPS = 3, 4, 16
 FRAME, HOP, MELS, BLOCK = 256, 128, 24, 32
-CHUNK_FRAMES = 8192
+CHUNK_FRAMES = 2048
+#: A multiple of UP * DOWN.
+CHUNK_SAMPLES = 12 << 14
 SPAN = StructType([StructField("start", FloatType()), StructField("end", FloatType())])
 FEATURES = StructType(
     [
@@ -78,14 +82,17 @@ def _filters() -> np.ndarray:
 
 
 def resample(x: np.ndarray, filters: np.ndarray) -> np.ndarray:
-    """x at UP / DOWN times its rate: each output is one phase's taps on the inputs before it."""
+    """8-bit samples at UP / DOWN times their rate, from -1 to 1: each output is one phase's taps on the inputs before it."""
     n = len(x) * UP // DOWN
-    padded = np.concatenate([np.zeros(TAPS - 1, np.float32), x])
-    windows = np.lib.stride_tricks.sliding_window_view(padded, TAPS)
     out = np.empty(n, np.float32)
-    for k in range(UP):  # outputs k, k + UP, ... share a phase and step DOWN inputs at a time
-        rows = windows[k * DOWN // UP :: DOWN][: len(out[k::UP])]
-        out[k::UP] = rows @ filters[k * DOWN % UP]
+    silence = np.zeros(TAPS - 1, np.float32)
+    for at in range(0, n, CHUNK_SAMPLES):  # a multiple of UP
+        first, part = at // UP * DOWN, out[at : at + CHUNK_SAMPLES]
+        own = x[max(0, first - TAPS + 1) : first + CHUNK_SAMPLES // UP * DOWN].astype(np.float32)
+        own = (own - 128) / 128
+        windows = np.lib.stride_tricks.sliding_window_view(own if first else np.concatenate([silence, own]), TAPS)
+        for k in range(UP):  # outputs k, k + UP, ... share a phase and step DOWN inputs at a time
+            part[k::UP] = windows[k * DOWN // UP :: DOWN][: len(part[k::UP])] @ filters[k * DOWN % UP]
     return out
 
 
@@ -110,7 +117,7 @@ def hysteresis(energy: np.ndarray) -> list[tuple[int, int]]:
 
 def features(samples: bytes, filters: np.ndarray, mel: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(blocks of BLOCK x MELS steps, frame energies in decibels)."""
-    y = resample((np.frombuffer(samples, np.uint8).astype(np.float32) - 128) / 128, filters)
+    y = resample(np.frombuffer(samples, np.uint8), filters)
     # Silence fills the last frame, so that every sample is in one.
     y = np.concatenate([y, np.zeros(FRAME - len(y) if len(y) < FRAME else (FRAME - len(y)) % HOP, np.float32)])
     frames = np.lib.stride_tricks.sliding_window_view(y, FRAME)[::HOP]
@@ -152,24 +159,62 @@ def _media(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(out, pa.binary())
 
 
+class _Extractor:
+    """What is computed from one stored file."""
+
+    def __init__(self):
+        self.given = _filters(), _mel(), np.hanning(FRAME).astype(np.float32)
+
+    def of(self, data: bytes) -> tuple[tuple, np.ndarray, list[dict], list[dict]]:
+        """(digests and lengths, blocks, their time spans, segments)."""
+        second = np.float32(HOP / TARGET_RATE)
+        samples = read_wav(data)
+        blocks, energy = features(samples, *self.given)
+        spans = [{"start": k * BLOCK * second, "end": (min((k + 1) * BLOCK, len(energy)) + 1) * second} for k in range(len(blocks))]
+        segments = [{"start": a * second, "end": (b + 1) * second} for a, b in hysteresis(energy)]
+        return (len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(data), hashlib.sha256(data).hexdigest()), blocks, spans, segments
+
+
+SPANS = pa.list_(pa.struct([("start", pa.float32()), ("end", pa.float32())]))
+DIGESTS = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+
+
+def _columns(rows: list[tuple], kinds: list[pa.DataType]) -> list[pa.Array]:
+    return [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)]
+
+
 @arrow_udf(FEATURES)
 def _features(media: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    filters, mel, window = _filters(), _mel(), np.hanning(FRAME).astype(np.float32)
-    second = np.float32(HOP / TARGET_RATE)
+    own = _Extractor()
     for batch in media:
-        rows = []
-        for m in batch:
-            data = m.as_py()
-            samples = read_wav(data)
-            blocks, energy = features(samples, filters, mel, window)
-            frames = len(energy)
-            spans = [{"start": k * BLOCK * second, "end": (min((k + 1) * BLOCK, frames) + 1) * second} for k in range(len(blocks))]
-            segments = [{"start": a * second, "end": (b + 1) * second} for a, b in hysteresis(energy)]
-            rows.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(data), hashlib.sha256(data).hexdigest(), list(blocks.shape), to_ipc(blocks), spans, segments))
-        span = pa.struct([("start", pa.float32()), ("end", pa.float32())])
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.binary(), pa.list_(span), pa.list_(span)]
-        columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
-        yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], FEATURES.names)
+        rows = [(*said, list(blocks.shape), to_ipc(blocks), spans, segments) for said, blocks, spans, segments in map(own.of, (m.as_py() for m in batch))]
+        yield pa.StructArray.from_arrays(_columns(rows, [*DIGESTS, pa.list_(pa.int32()), pa.binary(), SPANS, SPANS]), FEATURES.names)
+
+
+def _tensor_writer(directory: str):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pyarrow.fs.FileSystem.from_uri(directory)
+        task, own, out = TaskContext.get(), _Extractor(), None
+        draft = f"{root}/_{task.taskAttemptId()}.tmp"
+        for batch in batches:
+            rows = []
+            for id_, n, m in zip(*(batch.column(i) for i in range(3)), strict=True):
+                said, blocks, spans, segments = own.of(m.as_py())
+                parts = [pa.array([id_.as_py()] * len(blocks), id_.type), pa.array(range(len(blocks)), pa.int32()), *_columns([(x["start"], x["end"]) for x in spans], [pa.float32()] * 2), tensor_array(blocks)]
+                given = pa.RecordBatch.from_arrays(parts, ["id", "block", "start", "end", "tensor"])
+                if out is None:
+                    sink = fs.open_output_stream(draft)
+                    out = pa.ipc.new_file(sink, given.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                out.write_batch(given)
+                rows.append((id_.as_py(), n.as_py(), *said, list(blocks.shape), hashlib.sha256(blocks.tobytes()).hexdigest(), spans, segments))
+            kinds = [batch.schema.field(0).type, pa.int64(), *DIGESTS, pa.list_(pa.int32()), pa.string(), SPANS, SPANS]
+            yield pa.RecordBatch.from_arrays(_columns(rows, kinds), ["id", "n_bytes", *FEATURES.names[:5], "shape", "tensors_sha256", "spans", "segments"])
+        if out is not None:
+            out.close()
+            sink.close()
+            fs.move(draft, f"{root}/part-{task.partitionId():05d}.arrow")
+
+    return write
 
 
 def store(docs: DataFrame, text_col="text", name: str = "audio") -> DataFrame:
@@ -190,11 +235,29 @@ def audio_features(stored: DataFrame) -> DataFrame:
     return out.withColumns({c: F.col(f"__f.{c}") for c in FEATURES.names}).drop("__f")
 
 
+def write_tensors(stored: DataFrame, directory: str, id_col="doc_id") -> DataFrame:
+    """Writes every block as a row of Arrow files in the shared folder: id, block, start, end, and a fixed-shape tensor.
+
+    Returns the written rows of digests, shapes, spans and segments. A task names its file by its partition and renames it
+    when it is complete, so a repeated task replaces what a lost one left behind.
+    """
+    need(stored, id_col, "n_bytes", "media")
+    bounded_batches(stored.sparkSession)
+    fs, root = pyarrow.fs.FileSystem.from_uri(directory)
+    fs.create_dir(root, recursive=True)
+    kind = stored.schema[id_col].dataType.simpleString()
+    times = "array<struct<start:float,end:float>>"
+    schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, shape array<int>, tensors_sha256 string, spans {times}, segments {times}"
+    rows = stored.select(F.col(id_col).alias("id"), "n_bytes", "media").mapInArrow(_tensor_writer(directory), schema)
+    return written(rows, "audio-features").withColumnRenamed("id", id_col)
+
+
 def op7_audio(spark, sf_dir):
-    """Every text as audio, stored, read back, and its features' digest."""
-    out = audio_features(store(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    """Every text as audio, stored, read back, its features stored as tensors, and their digest."""
+    stored = store(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = write_tensors(stored, fresh_dir(spark, "audio-tensors"))
     times = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"].cast("decimal(12,3)"), x["end"].cast("decimal(12,3)"))), ",")
-    feature = F.concat_ws(":", F.array_join("shape", "x"), F.sha2("tensors", 256), F.size("segments"), F.md5(times("segments")), F.md5(times("spans")))
+    feature = F.concat_ws(":", F.array_join("shape", "x"), "tensors_sha256", F.size("segments"), F.md5(times("segments")), F.md5(times("spans")))
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
 
 
