@@ -7,9 +7,11 @@ the order of exponential keys -ln(u)/quality, taken while their middle lies with
 document, so reruns agree.
 
 Prefix sums don't sort a source in one task: keys fall into a fixed number of buckets, whose sums give each source one
-bucket in which its rest ends, and only that bucket's documents are sorted. Per source there are at most `BUCKETS` sums.
+bucket in which its rest ends, and only that bucket's documents are sorted, by one task: about a 4096th of the source. Per
+source there are at most `BUCKETS` sums. Sources are a catalogue, ordered by one task; a source for each host of a crawl isn't
+meant. The quality is a column that the caller may give.
 
-Defined cases: a null text has size 0; null ids are allowed; a document's quality is 0.5 to 1, by its share of signs other
+Defined cases: a null text has size 0; null ids are allowed; a document's quality, where none is given, is 0.5 to 1, by its share of signs other
 than digits and markup. Rows that repeat have equal keys and are
 taken together. Sources whose sizes are all
 0 have target 0. Other columns pass through; where a name clashes, the added column replaces the caller's. Empty tables give empty results.
@@ -62,11 +64,11 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs:
     return out.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, quality: Column | None = None) -> DataFrame:
     """docs with size, source_size, target, copies (how often the mix takes the document) and taken (words)."""
     need(docs, id_col, text_col, source_col)
     docs = plain(docs, "size", "source_size", "target", "copies", "taken")
-    rows = docs.withColumn("size", size_of(F.col(text_col))).withColumn("__key", _key(F.col(id_col), F.col(text_col), quality_of(F.col(text_col))))
+    rows = docs.withColumn("size", size_of(F.col(text_col))).withColumn("__key", _key(F.col(id_col), F.col(text_col), quality_of(F.col(text_col)) if quality is None else quality))
     rows = rows.withColumn("__bucket", F.floor(F.lit(BUCKETS) * F.col("__key") / (1 + F.col("__key"))).cast("int"))
     rows = rows.withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("-")))
     # Sizes and keys without texts: what follows reads those only, until the plan meets the documents.

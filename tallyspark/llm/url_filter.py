@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import need, table, written
+from tallyspark.llm.common import checked_join, need, table, written
 
 #: (rule, verdict): a host, then the start of a path.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -111,7 +111,7 @@ def judge_urls(pages: DataFrame, id_col="page_id", url_col="url", rules=RULES) -
     # Rows that repeat are summed together and dealt out again: their number is the sum of lengths by the length.
     parts = rows.withColumn("__grams", _grams(_signs(F.col("url")))).withColumn("__n", F.size("__grams"))
     parts = parts.select("id", "url", "host", "path", "rule", "label", "trains", "__n", F.explode("__grams").alias("gram"))
-    scored = parts.join(F.broadcast(model), "gram").groupBy("id", "url", "host", "path", "rule", "label", "trains", "__n")
+    scored = checked_join(parts, model, ["gram"], "inner", spread="url", limit=(SIGNS + 1) ** (ORDER + 1)).groupBy("id", "url", "host", "path", "rule", "label", "trains", "__n")
     scored = scored.agg(F.sum("llr").alias("sum"), F.count("*").alias("n"))
     scored = scored.withColumn("score", F.col("sum") / F.col("n")).withColumn("copies", (F.col("n") / F.col("__n")).cast("int"))
     scored = written(scored.select("id", "url", "host", "path", "rule", "label", "trains", "score", "copies"), "url-scores")

@@ -106,7 +106,8 @@ def write_warc(pages: DataFrame, directory: str, id_col="page_id", url_col="url"
     """Writes a record per row and returns the written manifest (path, records, bytes) of the archives.
 
     Among rows with equal payloads of at least min_revisit_bytes, those with the largest id become responses and the
-    others revisits of it. Digests are grouped with partial sums, and only digests that occur twice are joined back.
+    others revisits of it. Digests are grouped with partial sums, and only digests that occur twice are joined back: up to
+    200,000 of them by broadcast, more by a shuffle of the rows, payloads included, as only their digest tells responses.
     """
     need(pages, id_col, url_col, payload_col)
     spark = pages.sparkSession
