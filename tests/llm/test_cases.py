@@ -8,7 +8,7 @@ from tallyspark.llm import audio, bpe, langid, line_frequency, mixing, pii, simh
 from tallyspark.llm.common import fresh_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, kept string, ids string, media string, pii string, score string, is_toxic string, fp string, __x string"
-LONG = "mail me at a.b@c.example or +1 (555) 010-9999, " * 100 + "plain words go on and on " * 20_000 + "4111 1111 1111 1111"
+LONG = "mail me at a.b@c.example or +1 (555) 010-9999, " * 4_000 + "4111 1111 1111 1111"
 ROWS = [
     (1, "the cat sat on the mat and looked at the dog\n" * 3, "en", "a", 5),
     (1, "the cat sat on the mat and looked at the dog\n" * 3, "en", "a", 5),
@@ -133,7 +133,7 @@ def test_mixing_meets_targets(spark):
 
 
 def test_toxicity(spark, docs):
-    labels = spark.createDataFrame([(1, 1, 0), (6, 0, 1), (5, 0, 1), (None, 1, 1), (77, 1, None)], "doc_id long, toxic int, quality int")
+    labels = spark.createDataFrame([(1, 1, 0), (6, 0, 1), (5, 0, 1), (None, 1, 1), (77, 1, None)], "doc_id long, toxic int, low_quality int")
     for given in (labels, labels.limit(0)):
         rows = collected(toxicity.predict(docs, toxicity.train(docs, given)))
         assert len(rows) == docs.count()

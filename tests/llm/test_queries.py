@@ -43,8 +43,9 @@ def plain_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def test_simhash_against_all_pairs(spark, docs):
-    fps = {i: plain_fingerprint(t) for i, t in docs.items()}
+@pytest.mark.parametrize("sf", [SF, SF.replace("0.001", "0.01")])
+def test_simhash_against_all_pairs(spark, sf):
+    fps = {i: plain_fingerprint(t) for i, t in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
     root = {i: i for i in fps}
 
     def find(i):
@@ -57,7 +58,7 @@ def test_simhash_against_all_pairs(spark, docs):
             if a < b and (fps[a] ^ fps[b]).bit_count() <= 3:
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    rows = registry.QUERIES["op5_simhash"](spark, SF).collect()
+    rows = registry.QUERIES["op5_simhash"](spark, sf).collect()
     assert {(r.doc_id, r.fingerprint, r.component_id) for r in rows} == {(i, f"{f:016x}", find(i)) for i, f in fps.items()}
 
 
@@ -105,10 +106,16 @@ def test_bpe_odd_texts(tmp_path):
     lib.no_truncation()
     lib.no_padding()
     texts = ["", " \n", "it's 12 o'clock — naïve ΣΊΣΥΦΟΣ", "x" * 5000, "e\u0301a <|endoftext|> b<|startoftext|>", "日本語 🙂\x00 a\u00a0b", "İstanbul ﬁ ß Ⅷ ²"]
-    merges = bpe.Merges(path)
-    bpe.Lexicon.save(f"file://{tmp_path}/lex", ["it", "x", "naïve", "clock"], merges)
-    got = bpe.encode_slice(texts, bpe.Lexicon(f"file://{tmp_path}/lex"), merges, bpe._special_pattern(merges.special))
-    assert [x.tolist() for x in got] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    bpe.Lexicon.save(f"file://{tmp_path}/lex", ["it", "x", "naïve", "clock"], bpe.Merges.of(path))
+    flat, sizes = bpe.encode_slice(texts, bpe.Lexicon(f"file://{tmp_path}/lex"), bpe.special_tokens(path))
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(x) for x in want] and flat.tolist() == sum(want, [])
+
+
+def test_bpe_pieces(monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE_CHARS", 10)
+    for t in ("", "a" * 50, "ab cd " * 20, "x\n\ny" * 9, " " * 35):
+        assert "".join(bpe.pieces(t)) == t and sum((bpe.split_words(x, None) for x in bpe.pieces(t)), []) == bpe.split_words(t, None)
 
 
 def test_audio(spark, docs):
@@ -157,7 +164,7 @@ def test_toxicity_held_out(spark):
     """Labels of a quarter of the documents are kept from training. The smaller tables have too few labels for this: at
     sf0.01, with about 300, 70 of 81 were right; at sf0.1, 945 of 960."""
     sf = SF.replace("0.001", "0.1")
-    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet").selectExpr("*", "1 - quality AS low_quality")
     truth = dict(labels.filter("doc_id % 4 = 0").select("doc_id", "toxic").collect())
     chain = toxicity.train(docs, labels.filter("doc_id % 4 <> 0"))
     rows = toxicity.predict(docs.select("doc_id", "text"), chain).collect()
