@@ -13,8 +13,8 @@ from tallyspark.llm import bpe, langid, mixing, pii, simhash
 from tallyspark.llm.common import fresh_dir, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Documents whose language is less certain are rejected, like those without a letter.
-MIN_SCORE = 0.5
+#: Documents whose language is less likely than this many times chance are rejected, like those without a letter.
+MIN_OVER_CHANCE = 1.5
 
 
 def tokenizer_path() -> str:
@@ -30,12 +30,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not model.langs:  # nothing to learn from: nothing is rejected
         return docs
     said = langid.predict(docs, model, lang_col="__pred", score_col="__score")
-    return said.filter((F.col("__pred") != "und") & (F.col("__score") >= MIN_SCORE)).select(*COLUMNS)
+    least = min(1.0, MIN_OVER_CHANCE / len(model.langs)) if len(model.langs) > 1 else 0.0
+    return said.filter((F.col("__pred") != "und") & (F.col("__score") >= least)).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group. Documents without an id are named by their text, below all ids."""
-    docs = docs.select(*COLUMNS).withColumn("__row", F.coalesce("doc_id", -1 - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62))))
+    """The document with the smallest id of each group. Different texts with one id are different documents; those without
+    an id come first. Of rows that repeat one stays."""
+    row = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text"))
+    docs = docs.select(*COLUMNS).withColumn("__row", row)
     groups = simhash.near_duplicates(docs.select("__row", "text"), id_col="__row")
     first = groups.select(F.col("component_id").alias("__row")).distinct()
     return docs.join(first, "__row", "left_semi").dropDuplicates(["__row"]).select(*COLUMNS)
