@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, DoubleType, MapType, StringType, StructField, StructType
 
-BLOCKS = "p|div|br|li|tr|h[1-6]|section|article|header|footer|ul|ol|hr|table|blockquote"
+#: Elements that the HTML standard lays out as blocks or rows, and line breaks.
+BLOCKS = "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|tr|ul"
 TABLE = StructType([StructField("year", StringType()), StructField("value", DoubleType())])
 
 
@@ -113,31 +114,73 @@ def json_block(text: Column) -> Column:
     return F.coalesce(F.when(fenced != "", fenced), F.when(braces != "", braces))
 
 
+#: What the messages of each class of failed calls say, in the order in which classes are tried.
+FAILURES = [
+    ("auth", r"\b401\b|unauthori[sz]ed|authenticat|invalid (api key|token|bearer)|/login\b|login expired|token (has )?expired|oauth token"),
+    ("limit", r"usage limit|limit reached|hit your [\w -]{0,20}limit|\b(session|weekly|daily|opus) limit|rate.?limit|\b429\b|too many requests"),
+    ("model", r"model[^\n]{0,40}(not found|not available|does not exist|invalid)|invalid model|unknown model"),
+    ("transient", r"overloaded|\b5\d\d\b|timed? ?out|connection|network|temporar|try again"),
+]
+
+
 def error_class(message: Column) -> Column:
-    m = F.lower(message)
-    return (
-        F.when(m.rlike("unauthori|invalid api key|401|log ?in"), "auth")
-        .when(m.rlike("rate.?limit|quota|429|usage limit"), "limit")
-        .when(m.rlike("model.*(not found|unknown|unavailable)"), "model")
-        .when(m.rlike("time.?out|connection|5[0-9][0-9]|overloaded"), "transient")
-        .otherwise("other")
-    )
+    """The first class whose pattern the message has; any other failure may pass, too."""
+    found = [F.when(message.rlike(f"(?i){p}"), name) for name, p in FAILURES]
+    return F.coalesce(*found, F.when(message.isNotNull(), "transient"))
+
+
+def reset_time(message: Column, now: Column) -> Column:
+    """When a limit lifts: an epoch after a bar, else a clock time in a zone, on a named day or the next time it comes.
+
+    An unknown zone is taken as UTC; now and the result are instants of a session in UTC. Null: nothing said.
+    """
+    epoch = F.regexp_extract(message, r"\|([0-9]{10})\b", 1)
+    clock = r"(?i)resets\s+(?:([A-Za-z]{3,9})\.?\s+([0-9]{1,2}),?\s+(?:at\s+)?)?([0-9]{1,2})(?::([0-9]{2}))?\s*([ap]m)\s*\(([^)]+)\)"
+    part = lambda k: F.regexp_extract(message, clock, k)
+    zone = F.btrim(part(6))
+    zone = F.when(zone.rlike(r"^(UTC|GMT|[A-Z][A-Za-z]+/[A-Za-z_/]+)$"), zone).otherwise("UTC")
+    hour = F.try_to_number(part(3), F.lit("99")).cast("int") % 12 + F.when(F.lower(part(5)) == "pm", 12).otherwise(0)
+    minute = F.coalesce(F.try_to_number(part(4), F.lit("99")).cast("int"), F.lit(0))
+    local = F.from_utc_timestamp(now, zone)
+    at = lambda day: day.cast("timestamp") + F.make_dt_interval(hours=hour, mins=minute)
+    month = F.element_at(F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS.split("|"), 1) for x in (m[:3].lower(), i)]), F.lower(F.substring(part(1), 1, 3)))
+    day = F.try_to_date(F.concat_ws("-", F.year(local), month, part(2)), "y-M-d")
+    today = at(F.to_date(local))
+    named = F.when(at(day) < local - F.expr("interval 1 day"), at(F.add_months(day, 12))).otherwise(at(day))
+    moment = F.when(day.isNotNull(), named).when((part(1) == "") & (today <= local), at(F.date_add(F.to_date(local), 1))).otherwise(today)
+    return F.when(epoch != "", F.timestamp_seconds(epoch.try_cast("long"))).when(part(3) != "", F.to_utc_timestamp(moment, zone))
+
+
+#: Cues of results releases and of notices.
+TITLE = r"(?i)\b(announces?|reports?)\b[^\n]{0,80}?\b(quarter|quarterly|fiscal year|full year)\b[^\n]{0,60}?\bresults\b"
+INTRODUCTION = r"(?i)\bfinancial results for the\b"
+STATEMENTS = r"(?i)condensed consolidated (statements? of (operations|income|comprehensive|cash flows)|balance sheets?)"
+NOTICE = r"(?i)annual general meeting|extraordinary general meeting|notice of (the )?(annual|extraordinary)|proxy (statement|form)|next day disclosure return|monthly return of equity|this circular is important"
+MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
+ENDED = rf"(?i)(?:(?:three|3)(?:\s+and\s+(?:six|nine|twelve))?\s+months|(?:first|second|third|fourth|march|june|september|december)?\s*quarter)\s+ended\s+({MONTHS}|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)\.?\s+(\d{{1,2}}),?\s+(\d{{4}})"
 
 
-def release_score(text: Column) -> Column:
-    """Whether a release reports results: title +4, introduction +2, statements +2, 'ended' +1; notices -6."""
-    head = F.substring(text, 1, 600)
-    hit = lambda c, p, n: F.when(c.rlike(p), n).otherwise(0)
-    return hit(head, "(?i)(announces|reports).{0,80}(results|earnings)", 4) + hit(F.substring(text, 1, 3000), "(?i)today (announced|reported)", 2) + hit(text, "(?i)statements? of (operations|income|cash flows)", 2) + hit(text, "(?i)(months|quarter|year) ended", 1) - hit(head, "(?i)notice of|circular|monthly return|general meeting", 6)
+def collapsed(text: Column) -> Column:
+    return F.btrim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
-MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
+def release_score(text: Column) -> Column:
+    """How much a filing looks like a release of results; one from 4 on is.
+
+    In the first 4,000 signs, white space collapsed: a title +4, an introduction +2, a period's end +1; condensed statements
+    in the first 60,000 +2; a notice or circular in the first 600 -6."""
+    head = F.substring(collapsed(F.substring(text, 1, 6_000)), 1, 4_000)
+    body = collapsed(F.substring(text, 1, 60_000))
+    hit = lambda c, p, n: F.when(c.rlike(p), n).otherwise(0)
+    return hit(head, TITLE, 4) + hit(head, INTRODUCTION, 2) + hit(body, STATEMENTS, 2) + hit(head, ENDED, 1) - hit(F.substring(head, 1, 600), NOTICE, 6)
 
 
 def period_ends(text: Column) -> Column:
-    """Dates after 'ended' in the first 40,000 signs, as an array."""
-    found = F.regexp_extract_all(F.substring(text, 1, 40000), F.lit(rf"(?i)ended\s+((?:{MONTHS})\s+[0-9]{{1,2}},\s+[0-9]{{4}})"), 1)
-    return F.filter(F.transform(found, lambda x: F.to_date(F.try_to_timestamp(F.regexp_replace(F.initcap(x), r"\s+", " "), F.lit("MMMM d, yyyy")))), lambda d: d.isNotNull())
+    """Ends of quarters named in the first 40,000 signs, as an array; dates that don't exist are left out."""
+    head = F.substring(text, 1, 40_000)
+    parts = F.arrays_zip(*[F.regexp_extract_all(head, F.lit(ENDED), k).alias(n) for k, n in ((1, "m"), (2, "d"), (3, "y"))])
+    date = lambda x: F.try_to_date(F.concat_ws("-", x["y"], F.initcap(F.substring(x["m"], 1, 3)), x["d"]), "yyyy-MMM-d")
+    return F.array_compact(F.transform(parts, date))
 
 
 def mode_date(dates: Column, filed: Column, most_days: int = 120) -> Column:

@@ -6,31 +6,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions import periods as P
-from tallyspark.operators.reconcile import TOLERANCE, _derive_sql, derive, pivot_periods, relative_difference
+from tallyspark.operators.reconcile import PERIODS, TOLERANCE, _derive_sql, derive, pivot_periods, relative_difference, v
 from tallyspark.operators.winners import AUDIT, audit, reconcile
 from tallyspark.plans.views import SQL, companies, facts, filings
 
 #: Duration bands in days of each period type.
-DURATIONS = {"Q1": (80, 100), "Q2": (80, 100), "Q3": (80, 100), "Q4": (80, 100), "H1": (150, 200), "H2": (150, 200), "9M": (250, 290), "FY": (350, 380)}
+DURATIONS = {"Q1": (75, 105), "Q2": (75, 105), "Q3": (75, 105), "Q4": (75, 105), "3M_reported": (75, 105), "H1": (160, 200), "9M": (250, 290), "FY": (350, 370)}
+#: Metrics that can't be negative, the one whose sign is normalised, and the one that only warns.
+POSITIVE = ["revenue", "property_plant_equipment_net", "depreciation_amortization", "cloud_segment_revenue", "capital_expenditures"]
+ABSOLUTE, WARNED = ["capital_expenditures"], ["operating_cash_flow"]
+#: Companies whose operating cash flow may be negative.
+EARLY_STAGE = ["CRWV", "APLD", "IREN", "NBIS"]
+#: The same roles among the metrics of the test tables.
+SIGNS = {"positive": ["m1", "m2", "m3"], "absolute": ["m3"], "warned": ["m4"], "exempt": [1, 2, 3, 4]}
 CELL = ["ticker", "fy", "metric", "period_type"]
 METRICS = [f"m{i}" for i in range(1, 8)]
-YEARS = (1997, 2000)
 #: Default bounds of values, for the year and for shorter periods, and those of single metrics.
 BOUNDS = [(None, "FY", 2000.0, 90000.0), (None, "other", 1500.0, 85000.0), ("m3", "FY", 10000.0, 60000.0), ("m7", "other", 5000.0, 95000.0)]
 
 
-def universe(firms: DataFrame, metrics: list[str], years: tuple[int, int], kinds: Column) -> DataFrame:
-    """Each expected cell. firms: a row per ticker; kinds: its array of period types. Rows are exploded, so the work is
+def universe(firms: DataFrame, metrics: list[str], first: Column, last: Column, kinds: Column) -> DataFrame:
+    """Each expected cell. firms: a row per ticker, with its first and last year; kinds: its array of period types. Rows are exploded, so the work is
     spread over the companies and nothing is crossed."""
-    out = firms.withColumn("fy", F.explode(F.sequence(F.lit(years[0]).cast("long"), F.lit(years[1]).cast("long")))).withColumn("period_type", F.explode(kinds))
+    out = firms.withColumn("fy", F.explode(F.sequence(first.cast("long"), last.cast("long")))).withColumn("period_type", F.explode(kinds))
     return out.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in metrics])))
 
 
-def check_gap(cells: DataFrame, winners: DataFrame, docs: DataFrame) -> DataFrame:
+def check_gap(cells: DataFrame, winners: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
     """present, gap_fixable (a filing that could hold the cell exists) or gap_unfixable.
 
     A fourth quarter may come from an annual form or a 6-K."""
-    held = winners.select(*CELL, "doc_id", "value_usd", "model")
+    held = winners.select(*CELL, "doc_id", "value_usd", "model", *more)
     classes = docs.select("ticker", "fy", F.when(F.col("form").isin(*P.ANNUAL_FORMS), "annual").when(F.col("form") == "6-K", "6-K").otherwise("interim").alias("class")).distinct()
     classes = classes.groupBy("ticker", "fy").agg(F.collect_set("class").alias("classes"))
     out = cells.join(held, CELL, "left").join(classes, ["ticker", "fy"], "left")
@@ -39,12 +45,26 @@ def check_gap(cells: DataFrame, winners: DataFrame, docs: DataFrame) -> DataFram
     return out.withColumn("gap", F.when(F.col("doc_id").isNotNull(), "present").when(fixable, "gap_fixable").otherwise("gap_unfixable")).drop("classes")
 
 
-def check_identity(cells: DataFrame) -> DataFrame:
+def check_identity(cells: DataFrame, keys=("ticker", "fy", "metric")) -> DataFrame:
     """Violated identities of each (ticker, fy, metric) with all their parts."""
-    wide = pivot_periods(cells.withColumn("v", F.abs("value_usd")), ["ticker", "fy", "metric"])
-    rules = [("FY=Q1+Q2+Q3+Q4", F.col("v_fy"), F.col("v_q1") + F.col("v_q2") + F.col("v_q3") + F.col("v_q4")), ("9M=Q1+Q2+Q3", F.col("v_9m"), F.col("v_q1") + F.col("v_q2") + F.col("v_q3")), ("H1=Q1+Q2", F.col("v_h1"), F.col("v_q1") + F.col("v_q2"))]
-    failed = F.array_compact(F.array(*[F.when(relative_difference(whole, parts) > TOLERANCE, F.lit(name)) for name, whole, parts in rules]))
-    return wide.select("ticker", "fy", "metric", failed.alias("violations"))
+    wide = pivot_periods(cells.withColumn("v", F.abs("value_usd")), list(keys))
+    return wide.select(*keys, _violations({p: F.col(v(p)) for p in PERIODS}).alias("violations"))
+
+
+def _violations(at: dict[str, Column]) -> Column:
+    rules = [("FY=Q1+Q2+Q3+Q4", at["FY"], at["Q1"] + at["Q2"] + at["Q3"] + at["Q4"]), ("9M=Q1+Q2+Q3", at["9M"], at["Q1"] + at["Q2"] + at["Q3"]), ("H1=Q1+Q2", at["H1"], at["Q1"] + at["Q2"])]
+    return F.array_compact(F.array(*[F.when(relative_difference(whole, parts) > TOLERANCE, F.lit(name)) for name, whole, parts in rules]))
+
+
+def with_neighbours(cells: DataFrame) -> DataFrame:
+    """Winners with the violated identities of their group and the factor to the quarter before: one shuffle for both."""
+    group, series = Window.partitionBy("ticker", "metric", "fy"), Window.partitionBy("ticker", "metric")
+    part = {p: F.max(F.when(F.col("period_type") == p, F.abs("value_usd"))).over(group) for p in PERIODS}
+    quarter = F.col("period_type").isin(*P.QUARTER_TYPES)
+    order = series.orderBy("fy", "period_type", "value_usd").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last(F.when(quarter, F.struct("value_usd")), ignorenulls=True).over(order)["value_usd"]
+    out = cells.repartition("ticker", "metric").withColumn("violations", _violations(part))
+    return out.withColumn("factor", F.when(quarter & (before != 0), F.col("value_usd") / before))
 
 
 def check_range(cells: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -65,27 +85,43 @@ def check_continuity(cells: DataFrame) -> DataFrame:
     return out.withColumn("continuous", F.col("factor").isNull() | F.col("factor").between(0.4, 2.5))
 
 
-def check_cross_source(quote: Column, value: Column) -> Column:
-    """Whether a number over 100 in the quote lies within the tolerance of the value; null without such numbers."""
-    numbers = F.filter(F.transform(F.regexp_extract_all(quote, F.lit(r"\d[\d,]{2,}(?:\.\d+)?"), 0), lambda x: F.regexp_replace(x, ",", "").cast("double")), lambda x: x > 100)
-    return F.when(F.size(numbers) > 0, F.exists(numbers, lambda x: relative_difference(x, F.abs(value)) <= TOLERANCE))
+def check_cross_source(quote: Column, value_usd: Column) -> Column:
+    """False where the quote has numbers over 100 and none lies within the tolerance of the value."""
+    size = F.abs(value_usd)
+    # Fixed value: what is read as a number.
+    numbers = F.transform(F.regexp_extract_all(quote, F.lit(r"\d[\d,]{2,}(?:\.\d+)?"), 0), lambda x: F.regexp_replace(x, ",", "").cast("double"))
+    some = F.filter(numbers, lambda x: x > 100)
+    near = F.exists(some, lambda x: F.abs(x - size) / F.greatest(size, F.lit(1.0)) <= TOLERANCE)
+    return F.coalesce((F.size(some) == 0) | near, F.lit(True))
 
 
-def check_sign(metric: Column, value: Column, positive: list[str], warned: list[str]) -> Column:
-    return F.when((value < 0) & metric.isin(*positive), "error").when((value < 0) & metric.isin(*warned), "warn").otherwise("ok")
+def check_sign(ticker: Column, metric: Column, value: Column, positive=POSITIVE, absolute=ABSOLUTE, warned=WARNED, exempt=EARLY_STAGE) -> Column:
+    """ok, error or warn; capital expenditure may be booked as an outflow, young companies may burn cash."""
+    wrong = (value < 0) & metric.isin(*positive) & ~metric.isin(*absolute)
+    return F.when(wrong, "error").when((value < 0) & metric.isin(*warned) & ~ticker.isin(*exempt), "warn").otherwise("ok")
 
 
 def check_currency(currency: Column, value: Column, value_usd: Column, rate: Column) -> Column:
-    missing = value.isNull() | value_usd.isNull() | ((currency != "USD") & rate.isNull())
-    same = F.when(currency == "USD", F.abs(value - value_usd) <= 0.5).otherwise(F.abs(F.try_divide(value_usd, value) - rate) <= 0.001 * rate)
-    return F.when(missing, "warn").when(F.coalesce(same, value_usd == 0), "ok").otherwise("error")
+    """USD filers: both values alike (error). Others: missing fields, or a rate that is off by over a thousandth, warn."""
+    usd = F.when(F.abs(value - value_usd) > 0.5, "error").otherwise("ok")
+    off = F.abs(F.try_divide(value_usd, value) - rate) / F.greatest(F.abs(rate), F.lit(1e-6)) > 0.001
+    other = F.when(value.isNull() | value_usd.isNull() | rate.isNull(), "warn").when(value == 0, "ok").when(off, "warn").otherwise("ok")
+    return F.when(currency == "USD", usd).otherwise(other)
+
+
+def check_segment_def(metric: Column, names: Column, section: Column, quote: Column, applies=("cloud_segment_revenue",)) -> Column:
+    """False where none of the configured segment names is in the section's name or the quote, without regard to case."""
+    hay = F.lower(F.concat_ws(" ", F.coalesce(section, F.lit("")), F.coalesce(quote, F.lit(""))))
+    known = F.filter(F.coalesce(names, F.array().cast("array<string>")), lambda n: n != "")
+    return ~metric.isin(*applies) | (F.size(known) == 0) | F.exists(known, lambda n: F.contains(hay, F.lower(n)))
 
 
 def check_duration(kind: Column, days: Column) -> Column:
-    fits = F.lit(None).cast("boolean")
+    """False only where the type has a band and the days are known and outside it."""
+    fits = F.lit(True)
     for k, (lo, hi) in DURATIONS.items():
-        fits = F.when(kind == k, days.between(lo, hi)).otherwise(fits)
-    return fits
+        fits = F.when(kind == k, F.coalesce(days.between(lo, hi), F.lit(True))).otherwise(fits)
+    return F.coalesce(fits, F.lit(True))
 
 
 def classify(gap: Column, failed: Column, model: Column) -> Column:
@@ -93,16 +129,25 @@ def classify(gap: Column, failed: Column, model: Column) -> Column:
 
 
 def route(gap: Column, failed: Column) -> Column:
+    """The fix for a cell, the first that applies; null where none does."""
     has = lambda x: F.array_contains(failed, x)
     return (
-        F.when(gap == "gap_fixable", "extract")
-        .when(has("period_type"), "refetch")
-        .when(has("cross_source") & ~has("identity"), "refetch")
+        F.when(has("period_type") | (has("cross_source") & ~has("identity")), "refetch")
         .when((F.size(failed) == 1) & has("identity"), "reconcile")
         .when(has("range") | has("continuity"), "refetch")
+        .when(gap == "gap_fixable", "extract")
     )
 
 
+#: Checks whose failure is an error; that of the others is a warning.
+ERRORS = ["identity", "sign_error", "currency_error"]
+
+
+def severity(failed: Column) -> Column:
+    """error if any failure is one, else warn; null without failures."""
+    return F.when(F.arrays_overlap(failed, F.array(*[F.lit(x) for x in ERRORS])), "error").when(F.size(failed) > 0, "warn")
+
+
 def restatements(df: DataFrame) -> DataFrame:
     """Cells whose last observation differs from the first by over half a percent; null filing dates come first."""
     order = F.struct(F.col("filing_date").isNotNull(), "filing_date", "doc_id", "partkey", "suppkey", "quantity", "tax", "value")
@@ -112,33 +157,67 @@ def restatements(df: DataFrame) -> DataFrame:
 
 
 def _cells(spark, sf_dir):
+    """Every year for which there are filings; a company of the third region files half-yearly."""
     every = F.array(*[F.lit(x) for x in ("Q1", "Q2", "Q3", "Q4", "FY")])
     half = F.array(F.lit("H1"), F.lit("H2"), F.lit("FY"))
-    return universe(companies(spark, sf_dir).select("ticker", "currency"), METRICS, YEARS, F.when(F.col("currency") == "HKD", half).otherwise(every)).drop("currency")
+    first, last = filings(spark, sf_dir).agg(F.min("fy"), F.max("fy")).first()
+    firms = companies(spark, sf_dir).select("ticker", "currency")
+    return universe(firms, METRICS, F.lit(first), F.lit(last), F.when(F.col("currency") == "HKD", half).otherwise(every)).drop("currency")
 
 
-def _audited(spark, sf_dir):
-    """Universe cells with gap, failed checks and winners."""
-    f = facts(spark, sf_dir)
-    won = audit(f)
+def _checked(spark, sf_dir):
+    """The audit winners with all nine checks but gap. Quotes, contexts and rates are made of the columns at hand."""
+    won = with_neighbours(audit(facts(spark, sf_dir)))
     bounds = spark.createDataFrame(BOUNDS, "metric string, group string, lo double, hi double")
-    out = check_gap(_cells(spark, sf_dir), won, filings(spark, sf_dir))
-    ident = check_identity(won).filter(F.size("violations") > 0).select("ticker", "fy", "metric", F.lit(True).alias("bad_identity"))
-    cont = check_continuity(won).filter(~F.col("continuous")).select(*CELL, F.lit(True).alias("bad_continuity"))
-    out = check_range(out, bounds).join(ident, ["ticker", "fy", "metric"], "left").join(cont, CELL, "left")
-    present = F.col("gap") == "present"
-    failed = F.array_compact(F.array(F.when(present & F.col("bad_identity"), F.lit("identity")), F.when(present & (F.col("range") != "within"), F.lit("range")), F.when(present & F.col("bad_continuity"), F.lit("continuity"))))
-    out = out.withColumn("failed", failed)
+    out = check_range(won, bounds)
+    value = F.when(F.col("suppkey") % 5 == 0, -F.col("value_usd")).otherwise(F.col("value_usd"))
+    sign_ = check_sign(F.col("ticker"), F.col("metric"), value, **SIGNS)
+    money = check_currency(F.col("currency"), F.col("value"), F.col("value_usd"), _rate())
+    segment = check_segment_def(F.col("metric"), F.array(F.lit("cloud"), F.lit("Segment 7")), F.lit(""), _quote(), applies=["m5"])
+    tests = [
+        ("identity", F.size("violations") > 0),
+        ("range", F.col("range") != "within"),
+        ("continuity", ~F.col("factor").between(0.4, 2.5)),
+        ("cross_source", ~check_cross_source(_quote(), F.col("value_usd"))),
+        ("sign_error", sign_ == "error"),
+        ("sign_warn", sign_ == "warn"),
+        ("currency_error", money == "error"),
+        ("currency_warn", money == "warn"),
+        ("segment_def", ~segment),
+        ("period_type", ~check_duration(F.col("period_type"), _basis() * 30)),
+    ]
+    return out.withColumn("failed", F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in tests])))
+
+
+def _quote() -> Column:
+    number = F.format_number(F.col("value_usd") * F.when(F.col("suppkey") % 7 == 0, 2).otherwise(1), 0)
+    return F.when(F.col("suppkey") % 3 > 0, F.concat(F.lit("Total for segment "), F.col("suppkey") % 10, F.lit(" was "), number, F.lit(" against 112,000,000")))
+
+
+def _rate() -> Column:
+    return F.when(F.col("suppkey") % 7 > 0, 1 - F.floor(F.col("quantity") / 5) / 100)
+
+
+def _basis() -> Column:
+    """Stored basis months: those of the period type, but twelve for every eleventh supplier, and some unknown."""
+    return F.when(F.col("suppkey") % 13 == 0, None).when(F.col("suppkey") % 11 == 0, 12).otherwise(P.basis_months(F.col("period_type")))
+
+
+def _audited(spark, sf_dir):
+    """Universe cells with gap, failed checks, class and fix. The winners are made once, with all their checks."""
+    won = _checked(spark, sf_dir)
+    out = check_gap(_cells(spark, sf_dir), won, filings(spark, sf_dir), "failed")
+    out = out.withColumn("failed", F.coalesce("failed", F.array().cast("array<string>")))
     return out.withColumn("class", classify(F.col("gap"), F.col("failed"), F.col("model"))).withColumn("fix", route(F.col("gap"), F.col("failed")))
 
 
 def cell_universe(spark, sf_dir):
-    return _cells(spark, sf_dir).groupBy("fy", "metric", "period_type").agg(F.count("*").alias("n"), F.sum("ticker").alias("tickers"))
+    return _cells(spark, sf_dir).select(*CELL)
 
 
 def gap(spark, sf_dir):
     out = check_gap(_cells(spark, sf_dir), audit(facts(spark, sf_dir)), filings(spark, sf_dir))
-    return out.groupBy("fy", "metric", "period_type", "gap").agg(F.count("*").alias("n"), F.sum("ticker").alias("tickers"))
+    return out.select(*CELL, "gap", "doc_id")
 
 
 def identity(spark, sf_dir):
@@ -157,27 +236,60 @@ def continuity(spark, sf_dir):
 
 
 def cross_source(spark, sf_dir):
-    rows = audit(facts(spark, sf_dir))
-    quote = F.concat(F.lit("Total was "), F.format_number("value_usd", 0), F.lit(" against "), F.format_number("value", 0), F.lit(" in 1999"))
-    return rows.select(*CELL, check_cross_source(F.when(F.col("suppkey") % 3 > 0, quote).otherwise("none"), F.col("value")).alias("matches"))
+    return audit(facts(spark, sf_dir)).select(*CELL, check_cross_source(_quote(), F.col("value_usd")).alias("passed"))
 
 
 def sign(spark, sf_dir):
-    rows = audit(facts(spark, sf_dir))
     value = F.when(F.col("suppkey") % 5 == 0, -F.col("value_usd")).otherwise(F.col("value_usd"))
-    return rows.groupBy("metric", check_sign(F.col("metric"), value, ["m1", "m2"], ["m4"]).alias("sign")).agg(F.count("*").alias("n"))
+    return audit(facts(spark, sf_dir)).select(*CELL, check_sign(F.col("ticker"), F.col("metric"), value, **SIGNS).alias("sign"))
 
 
 def currency(spark, sf_dir):
-    rows = audit(facts(spark, sf_dir))
-    rate = F.when(F.col("suppkey") % 7 > 0, F.lit(0.95))
-    return rows.select(*CELL, check_currency(F.col("currency"), F.col("value"), F.col("value_usd"), rate).alias("verdict"))
+    return audit(facts(spark, sf_dir)).select(*CELL, check_currency(F.col("currency"), F.col("value"), F.col("value_usd"), _rate()).alias("verdict"))
+
+
+def segment_def(spark, sf_dir):
+    names = F.when(F.col("suppkey") % 4 > 0, F.array(F.lit("cloud"), F.lit("Segment 7"), F.lit("segment 1")))
+    return audit(facts(spark, sf_dir)).select(*CELL, check_segment_def(F.col("metric"), names, F.lit("note"), _quote(), applies=["m5"]).alias("passed"))
 
 
 def duration(spark, sf_dir):
-    rows = audit(facts(spark, sf_dir))
-    days = F.col("quantity").cast("int") * 8
-    return rows.select(*CELL, check_duration(F.col("period_type"), days).alias("fits"))
+    return audit(facts(spark, sf_dir)).select(*CELL, check_duration(F.col("period_type"), _basis() * 30).alias("passed"))
+
+
+def verdict_severity(spark, sf_dir):
+    """What is stored for a flagged cell: its failures and their severity."""
+    rows = _audited(spark, sf_dir).filter("class = 'flagged'")
+    return rows.select(*CELL, "doc_id", F.array_join("failed", ";").alias("failed"), severity(F.col("failed")).alias("severity"))
+
+
+def fix_batches(spark, sf_dir):
+    """Fixes grouped by class, with the companies and years that a batch covers; a dry run changes nothing."""
+    rows = _audited(spark, sf_dir).filter("fix is not null")
+    return rows.groupBy("fix").agg(F.count("*").alias("cells"), F.count_distinct("ticker").alias("tickers"), F.min("fy").alias("first"), F.max("fy").alias("last"), F.array_join(F.sort_array(F.collect_set("metric")), ",").alias("metrics"))
+
+
+def fixes_dry_run(spark, sf_dir):
+    rows = _audited(spark, sf_dir).filter("fix is not null")
+    suggested = F.when(F.col("fix") == "extract", F.when(F.col("period_type") == "FY", "facts").otherwise("model")).when(F.col("fix") == "refetch", "facts")
+    return rows.select(*CELL, "fix", suggested.alias("extractor"), F.col("value_usd").alias("old_usd"), F.lit(None).cast("double").alias("new_usd"))
+
+
+def run_value_checks(spark, sf_dir):
+    """A row per winner and check, as persisted."""
+    rows = _checked(spark, sf_dir)
+    names = ["identity", "range", "continuity", "cross_source", "sign_error", "currency_error", "segment_def", "period_type"]
+    checks = F.array(*[F.struct(F.lit(n).alias("check_name"), (~F.array_contains("failed", n)).alias("passed")) for n in names])
+    return rows.select("doc_id", *CELL, F.explode(checks).alias("c")).select("doc_id", *CELL, "c.*")
+
+
+def period_coverage(spark, sf_dir):
+    """What each company has of a year's period types: a stored value beats a derived one."""
+    f = audit(facts(spark, sf_dir))
+    kind = F.when(F.col("model").startswith("reconcile-derived"), 1).otherwise(2)
+    best = lambda p: F.max(F.when(F.col("period_type") == p, kind))
+    mark = lambda p: F.when(best(p) == 2, "stored").when(best(p) == 1, "derived").otherwise("-")
+    return f.groupBy("ticker", "metric", "fy").agg(*[mark(p).alias(f"p_{p}") for p in PERIODS])
 
 
 def classify_cells(spark, sf_dir):
@@ -220,6 +332,12 @@ QUERIES = {
     "check_sign": sign,
     "check_currency": currency,
     "check_period_type": duration,
+    "check_segment_def": segment_def,
+    "verdict_severity": verdict_severity,
+    "fix_batches": fix_batches,
+    "fixes_dry_run": fixes_dry_run,
+    "run_value_checks": run_value_checks,
+    "period_coverage": period_coverage,
     "classify_cells": classify_cells,
     "fix_routing": fix_routing,
     "coverage_matrix": coverage_matrix,
@@ -229,8 +347,15 @@ QUERIES = {
 }
 
 _bounds = ", ".join(f"({'NULL' if m is None else repr(m)}, '{g}', {lo}, {hi})" for m, g, lo, hi in BOUNDS)
-CELLS = f"""{SQL}, won AS ({AUDIT}), u AS (SELECT ticker, unnest(range({YEARS[0]}, {YEARS[1] + 1})) AS fy, CASE WHEN currency = 'HKD' THEN ['H1', 'H2', 'FY'] ELSE ['Q1', 'Q2', 'Q3', 'Q4', 'FY'] END AS kinds FROM companies),
+CELLS = f"""{SQL}, won AS ({AUDIT}), u AS (SELECT ticker, unnest(range((SELECT min(fy) FROM filings), (SELECT max(fy) FROM filings) + 1)) AS fy, CASE WHEN currency = 'HKD' THEN ['H1', 'H2', 'FY'] ELSE ['Q1', 'Q2', 'Q3', 'Q4', 'FY'] END AS kinds FROM companies),
 u2 AS (SELECT ticker, fy, unnest(kinds) AS period_type FROM u), cells AS (SELECT u2.*, m AS metric FROM u2, (SELECT unnest({METRICS}) AS m))"""
+QUOTED = """CASE WHEN suppkey % 3 > 0 THEN 'Total for segment ' || (suppkey % 10) || ' was ' || format('{:,}', round_even(value_usd * CASE WHEN suppkey % 7 = 0 THEN 2 ELSE 1 END, 0)::BIGINT) || ' against 112,000,000' END"""
+CROSS = "suppkey % 3 = 0 OR abs(round_even(value_usd * CASE WHEN suppkey % 7 = 0 THEN 2 ELSE 1 END, 0) - abs(value_usd)) <= 0.005 * greatest(abs(value_usd), 1)"
+SIGN = "CASE WHEN suppkey % 5 = 0 AND value_usd > 0 AND metric IN ('m1', 'm2') THEN 'error' WHEN suppkey % 5 = 0 AND value_usd > 0 AND metric = 'm4' AND ticker > 4 THEN 'warn' ELSE 'ok' END"
+MONEY = "CASE WHEN currency = 'USD' THEN CASE WHEN abs(value - value_usd) > 0.5 THEN 'error' ELSE 'ok' END WHEN suppkey % 7 = 0 THEN 'warn' WHEN abs(value_usd / value - (1 - floor(quantity / 5) / 100)) / (1 - floor(quantity / 5) / 100) > 0.001::DOUBLE THEN 'warn' ELSE 'ok' END"
+SEGMENT = f"metric <> 'm5' OR NOT named OR contains(lower(coalesce({QUOTED}, '')), 'cloud') OR contains(coalesce({QUOTED}, ''), 'segment 7') OR (also AND contains(coalesce({QUOTED}, ''), 'segment 1'))"
+DAYS = "CASE WHEN suppkey % 13 = 0 THEN NULL WHEN suppkey % 11 = 0 THEN 360 WHEN period_type IN ('H1', 'H2') THEN 180 WHEN period_type = '9M' THEN 270 WHEN period_type = 'FY' THEN 360 ELSE 90 END"
+DURATION = f"coalesce(CASE WHEN period_type LIKE 'Q_' THEN {DAYS} BETWEEN 75 AND 105 WHEN period_type = 'H1' THEN {DAYS} BETWEEN 160 AND 200 WHEN period_type = '9M' THEN {DAYS} BETWEEN 250 AND 290 WHEN period_type = 'FY' THEN {DAYS} BETWEEN 350 AND 370 END, true)"
 GAPS = f"""{CELLS}, c AS (SELECT ticker, fy, bool_or(form IN ('10-K', '20-F', 'HK-AR')) AS annual, bool_or(form = '6-K') AS k6, bool_or(form NOT IN ('10-K', '20-F', 'HK-AR', '6-K')) AS interim FROM filings GROUP BY ALL),
 gaps AS (SELECT cells.*, w.doc_id, w.value_usd, w.model, CASE WHEN w.doc_id IS NOT NULL THEN 'present' WHEN coalesce(CASE cells.period_type WHEN 'FY' THEN annual WHEN 'Q4' THEN annual OR k6 ELSE k6 OR interim END, false) THEN 'gap_fixable' ELSE 'gap_unfixable' END AS gap
   FROM cells LEFT JOIN won w USING (ticker, fy, metric, period_type) LEFT JOIN c USING (ticker, fy))"""
@@ -241,7 +366,7 @@ def _ranged(source: str) -> str:
     return f"SELECT x.*, CASE WHEN value_usd < coalesce(o.lo, r.lo) THEN 'below' WHEN value_usd > coalesce(o.hi, r.hi) THEN 'above' ELSE 'within' END AS range FROM {source} x LEFT JOIN bounds o ON o.metric = x.metric AND o.grp = CASE WHEN period_type = 'FY' THEN 'FY' ELSE 'other' END LEFT JOIN bounds r ON r.metric IS NULL AND r.grp = CASE WHEN period_type = 'FY' THEN 'FY' ELSE 'other' END"
 
 
-def _violations(source: str) -> str:
+def _violations_sql(source: str) -> str:
     part = lambda p: f"max(CASE WHEN period_type = '{p}' THEN abs(value_usd) END)"
     bad = lambda whole, parts: f"abs({whole} - ({parts})) / greatest(abs({whole}), abs({parts}), 1.0) > {TOLERANCE}"
     inner = f"SELECT ticker, fy, metric, {part('Q1')} AS a, {part('Q2')} AS b, {part('Q3')} AS c, {part('Q4')} AS d, {part('H1')} AS h, {part('9M')} AS m, {part('FY')} AS y FROM {source} GROUP BY ALL"
@@ -249,23 +374,31 @@ def _violations(source: str) -> str:
 
 
 CONTINUITY = "SELECT ticker, fy, metric, period_type, value_usd / nullif(lag(value_usd) OVER (PARTITION BY ticker, metric ORDER BY fy, period_type, value_usd), 0) AS factor FROM won WHERE period_type IN ('Q1', 'Q2', 'Q3', 'Q4')"
-AUDITED = f"""{GAPS}, {RANGED}, ident AS ({_violations('won')}), cont AS ({CONTINUITY}), ranged AS ({_ranged('gaps')}),
-f AS (SELECT ranged.*, gap = 'present' AND coalesce(violations, '') <> '' AS b1, gap = 'present' AND range <> 'within' AS b2, gap = 'present' AND coalesce(NOT factor BETWEEN 0.4 AND 2.5, false) AS b3
-  FROM ranged LEFT JOIN ident USING (ticker, fy, metric) LEFT JOIN cont USING (ticker, fy, metric, period_type)),
-audited AS (SELECT *, concat_ws(';', CASE WHEN b1 THEN 'identity' END, CASE WHEN b2 THEN 'range' END, CASE WHEN b3 THEN 'continuity' END) AS failed,
-  CASE WHEN gap <> 'present' THEN gap WHEN b1 OR b2 OR b3 THEN 'flagged' WHEN starts_with(model, 'reconcile-derived') THEN 'derived' ELSE 'verified' END AS class,
-  CASE WHEN gap = 'gap_fixable' THEN 'extract' WHEN b1 AND NOT b2 AND NOT b3 THEN 'reconcile' WHEN b2 OR b3 THEN 'refetch' END AS fix FROM f)"""
+CHECKED = f"""{GAPS}, {RANGED}, ident AS ({_violations_sql('won')}), cont AS ({CONTINUITY}), ranged AS ({_ranged('won')}),
+checked AS (SELECT r.*, concat_ws(';', CASE WHEN coalesce(violations, '') <> '' THEN 'identity' END, CASE WHEN range <> 'within' THEN 'range' END, CASE WHEN coalesce(NOT factor BETWEEN 0.4 AND 2.5, false) THEN 'continuity' END,
+    CASE WHEN NOT ({CROSS}) THEN 'cross_source' END, CASE WHEN {SIGN} = 'error' THEN 'sign_error' END, CASE WHEN {SIGN} = 'warn' THEN 'sign_warn' END, CASE WHEN {MONEY} = 'error' THEN 'currency_error' END, CASE WHEN {MONEY} = 'warn' THEN 'currency_warn' END,
+    CASE WHEN NOT ({SEGMENT.replace('named', 'true').replace('also', 'false')}) THEN 'segment_def' END, CASE WHEN NOT {DURATION} THEN 'period_type' END) AS failed
+  FROM ranged r LEFT JOIN ident USING (ticker, fy, metric) LEFT JOIN cont USING (ticker, fy, metric, period_type))"""
+AUDITED = f"""{CHECKED}, audited AS (SELECT *, CASE WHEN gap <> 'present' THEN gap WHEN failed <> '' THEN 'flagged' WHEN starts_with(model, 'reconcile-derived') THEN 'derived' ELSE 'verified' END AS class,
+  CASE WHEN contains(failed, 'period_type') OR (contains(failed, 'cross_source') AND NOT contains(failed, 'identity')) THEN 'refetch' WHEN failed = 'identity' THEN 'reconcile' WHEN contains(failed, 'range') OR contains(failed, 'continuity') THEN 'refetch' WHEN gap = 'gap_fixable' THEN 'extract' END AS fix
+  FROM (SELECT gaps.*, coalesce(c.failed, '') AS failed FROM gaps LEFT JOIN checked c USING (ticker, fy, metric, period_type)))"""
+_won = f"{SQL}, won AS ({AUDIT}) SELECT ticker, fy, metric, period_type"
 ORACLES = {
-    "cell_universe": f"{CELLS} SELECT fy, metric, period_type, count(*) AS n, sum(ticker)::BIGINT AS tickers FROM cells GROUP BY ALL",
-    "check_gap": f"{GAPS} SELECT fy, metric, period_type, gap, count(*) AS n, sum(ticker)::BIGINT AS tickers FROM gaps GROUP BY ALL",
-    "check_identity": f"{_derive_sql()}, every AS (SELECT ticker, fy, metric, unnest(['Q1', 'Q2', 'Q3', 'Q4', 'H1', '9M', 'FY']) AS period_type, unnest([v_q1, v_q2, v_q3, v_q4, v_h1, v_9m, v_fy]) AS value_usd FROM wide), long AS (SELECT * FROM every WHERE value_usd IS NOT NULL) {_violations('long')}",
+    "cell_universe": f"{CELLS} SELECT ticker, fy, metric, period_type FROM cells",
+    "check_gap": f"{GAPS} SELECT ticker, fy, metric, period_type, gap, doc_id FROM gaps",
+    "check_identity": f"{_derive_sql()}, every AS (SELECT ticker, fy, metric, unnest(['Q1', 'Q2', 'Q3', 'Q4', 'H1', '9M', 'FY']) AS period_type, unnest([v_q1, v_q2, v_q3, v_q4, v_h1, v_9m, v_fy]) AS value_usd FROM wide), long AS (SELECT * FROM every WHERE value_usd IS NOT NULL) {_violations_sql('long')}",
     "check_range": f"{SQL}, won AS ({AUDIT}), {RANGED} SELECT ticker, fy, metric, period_type, range FROM ({_ranged('won')})",
     "check_continuity": f"{SQL}, won AS ({AUDIT}) SELECT ticker, fy, metric, period_type, round(factor, 6) AS factor, factor IS NULL OR factor BETWEEN 0.4 AND 2.5 AS continuous FROM ({CONTINUITY})",
-    "check_cross_source": f"""{SQL}, won AS ({AUDIT}) SELECT ticker, fy, metric, period_type, CASE WHEN suppkey % 3 > 0 AND len(nums) > 0 THEN len(list_filter(nums, lambda x: abs(x - value) / greatest(x, value, 1.0) <= {TOLERANCE})) > 0 END AS matches
-FROM (SELECT *, list_filter([round_even(value_usd, 0), round_even(value, 0), 1999.0], lambda x: x > 100) AS nums FROM won)""",
-    "check_sign": f"{SQL}, won AS ({AUDIT}) SELECT metric, CASE WHEN suppkey % 5 = 0 AND value_usd > 0 AND metric IN ('m1', 'm2') THEN 'error' WHEN suppkey % 5 = 0 AND value_usd > 0 AND metric = 'm4' THEN 'warn' ELSE 'ok' END AS sign, count(*) AS n FROM won GROUP BY ALL",
-    "check_currency": f"{SQL}, won AS ({AUDIT}) SELECT ticker, fy, metric, period_type, CASE WHEN currency <> 'USD' AND suppkey % 7 = 0 THEN 'warn' WHEN currency = 'USD' THEN CASE WHEN abs(value - value_usd) <= 0.5 THEN 'ok' ELSE 'error' END WHEN abs(value_usd / value - 0.95::DOUBLE) <= 0.001::DOUBLE * 0.95::DOUBLE THEN 'ok' ELSE 'error' END AS verdict FROM won",
-    "check_period_type": f"{SQL}, won AS ({AUDIT}) SELECT ticker, fy, metric, period_type, CASE " + " ".join(f"WHEN period_type = '{k}' THEN quantity::INT * 8 BETWEEN {lo} AND {hi}" for k, (lo, hi) in DURATIONS.items()) + " END AS fits FROM won",
+    "check_cross_source": f"{_won}, {CROSS} AS passed FROM won",
+    "check_sign": f"{_won}, {SIGN} AS sign FROM won",
+    "check_currency": f"{_won}, {MONEY} AS verdict FROM won",
+    "check_period_type": f"{_won}, {DURATION} AS passed FROM won",
+    "check_segment_def": f"{_won}, {SEGMENT} AS passed FROM (SELECT *, suppkey % 4 > 0 AS named, true AS also FROM won)",
+    "verdict_severity": f"{AUDITED} SELECT ticker, fy, metric, period_type, doc_id, failed, CASE WHEN contains(failed, 'identity') OR contains(failed, '_error') THEN 'error' ELSE 'warn' END AS severity FROM audited WHERE class = 'flagged'",
+    "fix_batches": f"{AUDITED} SELECT fix, count(*) AS cells, count(DISTINCT ticker) AS tickers, min(fy) AS first, max(fy) AS last, string_agg(DISTINCT metric, ',' ORDER BY metric) AS metrics FROM audited WHERE fix IS NOT NULL GROUP BY fix",
+    "fixes_dry_run": f"{AUDITED} SELECT ticker, fy, metric, period_type, fix, CASE WHEN fix = 'extract' AND period_type = 'FY' OR fix = 'refetch' THEN 'facts' WHEN fix = 'extract' THEN 'model' END AS extractor, value_usd AS old_usd, NULL::DOUBLE AS new_usd FROM audited WHERE fix IS NOT NULL",
+    "run_value_checks": f"{CHECKED} SELECT doc_id, ticker, fy, metric, period_type, x AS check_name, NOT list_contains(string_split(failed, ';'), x) AS passed FROM checked, (SELECT unnest(['identity', 'range', 'continuity', 'cross_source', 'sign_error', 'currency_error', 'segment_def', 'period_type']) AS x)",
+    "period_coverage": f"{SQL}, won AS ({AUDIT}) SELECT ticker, metric, fy, " + ", ".join(f"CASE max(CASE WHEN starts_with(model, 'reconcile-derived') THEN 1 ELSE 2 END) FILTER (period_type = '{p}') WHEN 2 THEN 'stored' WHEN 1 THEN 'derived' ELSE '-' END AS \"p_{p}\"" for p in ("Q1", "Q2", "Q3", "Q4", "H1", "9M", "FY")) + " FROM won GROUP BY ALL",
     "classify_cells": f"{AUDITED} SELECT metric, class, count(*) AS n FROM audited GROUP BY ALL",
     "fix_routing": f"{AUDITED} SELECT ticker, fy, metric, period_type, fix, failed FROM audited WHERE fix IS NOT NULL",
     "coverage_matrix": f"{AUDITED} SELECT ticker, " + ", ".join(f"round(avg(CASE WHEN class IN ('verified', 'derived') THEN 1.0 ELSE 0.0 END) FILTER (metric = '{m}') * 100, 2) AS {m}_pct, bool_or(class = 'flagged') FILTER (metric = '{m}') AS {m}_flag" for m in METRICS) + " FROM audited GROUP BY ticker",

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tallyspark.functions import text as T
 from tallyspark.plans.views import table
 
+#: Distinct keys of quotes that are broadcast at most; two numbers each.
+MOST_KEYS = 500_000
 HEADERS = {"three": "three months", "six": "six months", "year": "year ended", "the": "the", "digits": "[0-9]+"}
 
 
@@ -43,11 +45,6 @@ def _segment_values(o: DataFrame) -> DataFrame:
 
 
 def segment_values(spark, sf_dir):
-    """A tenth of the orders, as its SQL has it."""
-    return _segment_values(table(spark, sf_dir, "orders").filter("o_orderkey % 10 = 0"))
-
-
-def segment_values_all(spark, sf_dir):
     return _segment_values(table(spark, sf_dir, "orders"))
 
 
@@ -61,70 +58,75 @@ def provenance(texts: DataFrame, quotes: DataFrame, id_col: str, text_col: str,
 
     A quote's first word may be the end of a longer one in the text, and its last the start of one; so quotes meet texts by
     words between those (three, or one in quotes of three or four words), and are then compared whole. Quotes of one or two
-    words have none between: they must be whole words of the text. Empty and null quotes are found nowhere.
+    words have none between: they must be whole words of the text. Empty and null quotes are found nowhere. Texts' keys are
+    met without the texts; only the texts that share a key with a quote are then fetched, once each, with all their quotes.
     """
     split = lambda c: F.split(F.btrim(F.regexp_replace(c, r"\s+", " ")), " ")
     w = split(F.col(quote_col))
     size = F.when(F.size(w) >= 5, 3).when(F.size(w) >= 3, 1).otherwise(F.size(w))
     key = F.array_join(F.slice(w, F.when(F.size(w) >= 3, 2).otherwise(1), size), " ")
-    q = quotes.filter(F.btrim(quote_col) != "").select(quote_id, quote_col, size.alias("k"), key.alias("key"))
-    t = texts.filter(F.col(text_col).isNotNull()).select(id_col, text_col, split(F.col(text_col)).alias("w"))
-    by_size = F.array(*[F.struct(F.lit(n).alias("k"), _pieces(F.col("w"), n).alias("keys")) for n in (1, 2, 3)])
+    q = quotes.filter(F.btrim(quote_col) != "").select(quote_id, quote_col, size.alias("k"), F.xxhash64(key).alias("key"))
+    few = q.select("k", "key").distinct()
+    few = F.broadcast(few) if few.count() <= MOST_KEYS else few
     sizes = [r["k"] for r in q.select("k").distinct().collect()]  # three at most
-    t = t.select(id_col, text_col, F.explode(F.filter(by_size, lambda x: x["k"].isin(sizes))).alias("p")).select(id_col, text_col, "p.k", F.explode("p.keys").alias("key"))
-    return t.join(q, ["k", "key"]).filter(F.contains(text_col, quote_col)).select(id_col, quote_id).distinct()
+    by_size = F.array(*[F.struct(F.lit(n).alias("k"), F.array_distinct(F.transform(_pieces(F.col("w"), n), lambda x: F.xxhash64(x))).alias("keys")) for n in (1, 2, 3)])
+    t = texts.filter(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("text"), split(F.col(text_col)).alias("w"))
+    t = t.select("text", F.explode(F.filter(by_size, lambda x: x["k"].isin(sizes))).alias("p")).select("text", "p.k", F.explode("p.keys").alias("key"))
+    hits = t.join(few, ["k", "key"], "left_semi").distinct().join(q, ["k", "key"])
+    hits = hits.groupBy("text").agg(F.collect_set(F.struct(quote_id, quote_col)).alias("quotes"))
+    found = texts.withColumn("text_hash", F.xxhash64(text_col)).join(hits.withColumnRenamed("text", "text_hash"), "text_hash")
+    found = found.select(id_col, F.explode(F.filter("quotes", lambda x: F.contains(F.col(text_col), x[quote_col]))).alias("q"))
+    return found.select(id_col, f"q.{quote_id}").distinct()
 
 
 def provenance_contains(spark, sf_dir):
     return provenance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").withColumnRenamed("text", "quote"), "doc_id", "text", "item_id", "quote")
 
 
-def release_score(spark, sf_dir):
-    heads = F.element_at(F.array(F.lit("ACME Announces First Quarter Results. "), F.lit("Notice of General Meeting. "), F.lit("")), (F.col("doc_id") % 3 + 1).cast("int"))
-    out = table(spark, sf_dir, "documents").select("doc_id", T.release_score(F.concat(heads, F.lit("For the three months ended March 31, 1999. "), "text")).cast("long").alias("score"))
-    return out.withColumn("is_release", F.col("score") >= 4)
+#: Beginnings and ends that are set around texts, so that the rules meet varied ones.
+OPENINGS = ["ACME Announces\nFirst Quarter 1999\nResults. ", "Notice of the Annual General Meeting. ", "", "Foo reports full year results; proxy form enclosed. Financial results for the ", "announces something else. ", "Bar Reports Quarterly Unaudited Results. Monthly return of equity. "]
+MIDDLES = ["For the three months ended March 31, 1999. ", "for the year ended March 31, 1999; ", "second quarter ended Jun. 30 1999 and three and six months ended June 30, 1999 ", "3 months\nended Sept 31, 1999, quarter ended feb 28, 1999 "]
+ENDINGS = ["", " Condensed consolidated balance sheets", " condensed  consolidated statement of cash flows", " consolidated statements of income"]
 
 
-def _period_mode(d: DataFrame) -> DataFrame:
-    """The period that a text with dates set in speaks of."""
-    t = F.concat(F.lit("quarter ended March 31, 1999 and ended March 31, 1999; "), "text", F.lit(" year ended March 31, 1998, ended March 31, 1998, ended march 31, 1998, ended June 30, 1999, ended Foo 3, 1999"))
-    filed = F.date_add(F.lit("1999-04-20").cast("date"), (F.col("doc_id") % 200).cast("int"))
-    return d.select("doc_id", T.mode_date(T.period_ends(t), filed).alias("period"))
+def _set_around(d: DataFrame):
+    pick = lambda xs, k: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.floor(F.col("doc_id") / k) % len(xs) + 1).cast("int"))
+    return F.concat(pick(OPENINGS, 1), pick(MIDDLES, 6), F.coalesce(F.substring("text", 1, 5000), F.lit("")), pick(MIDDLES, 24), pick(ENDINGS, 96))
 
 
-def period_mode(spark, sf_dir):
-    """Every other document, as its SQL has it."""
-    return _period_mode(table(spark, sf_dir, "documents").filter("doc_id % 2 = 0"))
+def release_score(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    out = d.select("doc_id", T.release_score(_set_around(d)).cast("long").alias("score"))
+    return out.withColumn("is_release", F.col("score") >= 4)
 
 
-def period_mode_all(spark, sf_dir):
-    return _period_mode(table(spark, sf_dir, "documents"))
+def period_mode(spark, sf_dir):
+    """The period that each text, with dates set in, speaks of."""
+    d = table(spark, sf_dir, "documents")
+    filed = F.date_add(F.lit("1999-04-20").cast("date"), (F.col("doc_id") % 200).cast("int"))
+    return d.select("doc_id", T.mode_date(T.period_ends(_set_around(d)), filed).alias("period"))
 
 
 def json_props(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
-    return e.groupBy("event_type").agg(F.count("k").alias("n"), F.sum("k").alias("sum"), F.max("k").alias("max"))
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-def _answers(e: DataFrame) -> DataFrame:
+def answers(spark, sf_dir):
     """JSON found in answers: fenced, bare or none."""
+    e = table(spark, sf_dir, "events")
     said = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("Here:\n```json\n"), "props", F.lit("\n```\nok"))).when(F.col("event_id") % 3 == 1, F.concat(F.lit("so "), "props", F.lit(" it is"))).otherwise("none")
     return e.select("event_id", F.get_json_object(T.json_block(said), "$.k").alias("k"))
 
 
-def answers(spark, sf_dir):
-    """A fifth of the events, as its SQL has it."""
-    return _answers(table(spark, sf_dir, "events").filter("event_id % 5 = 0"))
-
-
-def answers_all(spark, sf_dir):
-    return _answers(table(spark, sf_dir, "events"))
+#: Messages that are set before the events' types.
+MESSAGES = ["HTTP 429 from ", "Error 401: ", "You've hit your weekly limit ", "model x-1 is not available: ", "Unknown model ", "read timed out ", "code 1500 ", "HTTP 503 ", "please /login ", "Claims the limit reached ", "odd ", "too many requests, network ", "invalid token, try again "]
 
 
 def error_classes(spark, sf_dir):
-    texts = F.array(*[F.lit(x) for x in ("HTTP 429 rate limit", "Invalid API key", "Model x not found", "read timeout", "odd")])
-    e = table(spark, sf_dir, "events").withColumn("m", F.element_at(texts, (F.col("event_id") % 5 + 1).cast("int")))
-    return e.groupBy(T.error_class(F.col("m")).alias("class")).agg(F.count("*").alias("n"))
+    texts = F.array(*[F.lit(x) for x in MESSAGES])
+    e = table(spark, sf_dir, "events")
+    message = F.concat(F.element_at(texts, (F.col("event_id") % len(MESSAGES) + 1).cast("int")), "event_type")
+    return e.select("event_id", T.error_class(message).alias("class"))
 
 
 QUERIES = {
@@ -134,27 +136,35 @@ QUERIES = {
     "light_strip": light_strip,
     "section_split": section_split,
     "segment_values": segment_values,
-    "segment_values_all": segment_values_all,
     "provenance_contains": provenance_contains,
     "release_score": release_score,
     "period_mode": period_mode,
-    "period_mode_all": period_mode_all,
     "json_props": json_props,
     "answer_json": answers,
-    "answer_json_all": answers_all,
     "error_classes": error_classes,
 }
+MONTH = "(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)"
+_texts = lambda xs: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+AROUND = f"""WITH around AS (SELECT doc_id, {_texts(OPENINGS)}[doc_id % 6 + 1] || {_texts(MIDDLES)}[doc_id // 6 % 4 + 1] || coalesce(substr(text, 1, 5000), '') || {_texts(MIDDLES)}[doc_id // 24 % 4 + 1] || {_texts(ENDINGS)}[doc_id // 96 % 4 + 1] AS t FROM documents)"""
 ORACLES = {
     "header_counts": "SELECT doc_id, " + ", ".join(f"len(regexp_extract_all(lower(text), '{p}'))::BIGINT AS n_{k}" for k, p in HEADERS.items()) + " FROM documents",
     "light_strip": r"SELECT page_id, length(trim(regexp_replace(regexp_replace(html, '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS n FROM pages",
     "section_split": "SELECT doc_id, 4::BIGINT AS n, '1,1A,2,_full' AS names FROM documents",
-    "segment_values": "SELECT o_orderkey, 2::BIGINT AS n, '1999' AS year, round_even(o_totalprice, 0) AS value FROM orders WHERE o_orderkey % 10 = 0",
+    "segment_values": "SELECT o_orderkey, 2::BIGINT AS n, '1999' AS year, round_even(o_totalprice, 0) AS value FROM orders",
+    "quote_first_numeric": r"SELECT doc_id, substr(list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '[0-9]'))[1], 1, 200) AS quote FROM documents",
     "provenance_contains": "SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)",
-    "release_score": """SELECT doc_id, (CASE doc_id % 3 WHEN 0 THEN 4 WHEN 1 THEN -6 ELSE 0 END + 1 + CASE WHEN regexp_matches(text, '(?i)today (announced|reported)') THEN 2 ELSE 0 END)::BIGINT AS score, doc_id % 3 = 0 AS is_release FROM documents""",
-    "period_mode": "SELECT doc_id, CASE WHEN DATE '1999-04-20' + (doc_id % 200)::INT - DATE '1999-03-31' <= 120 THEN DATE '1999-03-31' WHEN DATE '1999-04-20' + (doc_id % 200)::INT - DATE '1999-06-30' BETWEEN 0 AND 120 THEN DATE '1999-06-30' END AS period FROM documents WHERE doc_id % 2 = 0",
-    "json_props": "SELECT event_type, count(k) AS n, sum(k)::BIGINT AS sum, max(k) AS max FROM (SELECT event_type, regexp_extract(props, '[0-9]+')::BIGINT AS k FROM events) GROUP BY event_type",
-    "answer_json": "SELECT event_id, CASE WHEN event_id % 3 < 2 THEN regexp_extract(props, '[0-9]+') END AS k FROM events WHERE event_id % 5 = 0",
-    "error_classes": "SELECT ['limit', 'auth', 'model', 'transient', 'other'][event_id % 5 + 1] AS class, count(*) AS n FROM events GROUP BY class",
+    "release_score": rf"""{AROUND}, h AS (SELECT doc_id, substr(trim(regexp_replace(substr(t, 1, 6000), '\s+', ' ', 'g')), 1, 4000) AS head, trim(regexp_replace(substr(t, 1, 60000), '\s+', ' ', 'g')) AS body FROM around),
+s AS (SELECT doc_id, 4 * regexp_matches(head, '(?i)\b(announces?|reports?)\b[^\n]{{0,80}}?\b(quarter|quarterly|fiscal year|full year)\b[^\n]{{0,60}}?\bresults\b')::INT + 2 * regexp_matches(head, '(?i)\bfinancial results for the\b')::INT
+  + 2 * regexp_matches(body, '(?i)condensed consolidated (statements? of (operations|income|comprehensive|cash flows)|balance sheets?)')::INT + regexp_matches(head, '(?i)(three|3)( and (six|nine|twelve))? months ended {MONTH}\.? [0-9]{{1,2}},? [0-9]{{4}}|quarter ended {MONTH}\.? [0-9]{{1,2}},? [0-9]{{4}}')::INT
+  - 6 * regexp_matches(substr(head, 1, 600), '(?i)annual general meeting|extraordinary general meeting|notice of (the )?(annual|extraordinary)|proxy (statement|form)|next day disclosure return|monthly return of equity|this circular is important')::INT AS score FROM h)
+SELECT doc_id, score::BIGINT AS score, score >= 4 AS is_release FROM s""",
+    "period_mode": rf"""{AROUND}, e AS (SELECT doc_id, unnest(regexp_extract_all(substr(t, 1, 40000), '(?i)(?:months|quarter)\s+ended\s+{MONTH}\.?\s+\d{{1,2}},?\s+\d{{4}}')) AS said FROM around),
+p AS (SELECT doc_id, list_position(['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'], lower(regexp_extract(said, '(?i)ended\s+([a-z]{{3}})', 1))) AS m, regexp_extract(said, '(\d{{1,2}}),?\s+\d{{4}}$', 1)::INT AS d, right(said, 4)::INT AS y FROM e),
+k AS (SELECT doc_id, try_cast(y || '-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(d::VARCHAR, 2, '0') AS DATE) AS day FROM p),
+n AS (SELECT doc_id, day, count(*) AS n FROM k WHERE (DATE '1999-04-20' + (doc_id % 200)::INT) - day BETWEEN 0 AND 120 GROUP BY ALL)
+SELECT doc_id, arg_max(day, (n, day)) AS period FROM documents LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "json_props": "SELECT event_id, regexp_extract(props, '[0-9]+')::BIGINT AS k FROM events",
+    "answer_json": "SELECT event_id, CASE WHEN event_id % 3 < 2 THEN regexp_extract(props, '[0-9]+') END AS k FROM events",
+    "error_classes": rf"""SELECT event_id, CASE WHEN regexp_matches(m, '(?i)\b401\b|invalid (api key|token|bearer)|/login\b|expired|authenticat') THEN 'auth' WHEN regexp_matches(m, '(?i)\b429\b|limit|too many requests') THEN 'limit'
+  WHEN regexp_matches(m, '(?i)model.*not available|unknown model') THEN 'model' ELSE 'transient' END AS class FROM (SELECT event_id, {MESSAGES!r}[event_id % {len(MESSAGES)} + 1] || event_type AS m FROM events)""".replace('"You\'ve', "'You''ve").replace('limit ", ', "limit ', "),
 }
-#: The same SQL over whole tables.
-ORACLES |= {f"{k}_all": ORACLES[k].removesuffix(f" WHERE {part}") for k, part in (("segment_values", "o_orderkey % 10 = 0"), ("period_mode", "doc_id % 2 = 0"), ("answer_json", "event_id % 5 = 0"))}

@@ -12,7 +12,7 @@ from tallyspark.operators.winners import RECONCILE, WORKBOOK, reconcile, workboo
 from tallyspark.plans.views import SQL, facts
 
 PERIODS = ["Q1", "Q2", "Q3", "Q4", "H1", "9M", "FY"]
-#: (target, added, subtracted), in the order in which they are tried; later rules see what earlier ones gave.
+#: Fixed values: (target, added, subtracted), in the order in which they are tried; later rules see what earlier ones gave.
 IDENTITIES = [
     ("Q2", ["H1"], ["Q1"]),
     ("Q3", ["9M"], ["H1"]),
@@ -47,32 +47,27 @@ def pivot_periods(cells: DataFrame, keys: list[str], value: str = "v", kind: str
 def derive(wide: DataFrame) -> DataFrame:
     """wide with missing periods derived, a formula for each derived one (by_<period>) and the number of conflicts.
 
-    The rules run one after the other on a struct that a lambda binds, so that the expression grows with the rules only,
-    not with the paths through them.
+    A flat chain of columns, which compiles. A conflict, where a year differs from its quarters, is counted once for each
+    pass that is run: one, and another one after each pass that derived something (the third derives nothing).
     """
+    out = wide.withColumns({f"by_{p}": F.lit(None).cast("string") for p in PERIODS} | {"conflicts": F.lit(0), "__derived": F.lit(0)})
+    runs = F.lit(True)
+    for _ in range(PASSES):
+        for target, plus, minus in IDENTITIES:
+            value = reduce(lambda a, b: a - b, [F.col(v(p)) for p in minus], reduce(lambda a, b: a + b, [F.col(v(p)) for p in plus]))
+            found = F.col(v(target)).isNull() & (value > 0)
+            formula = "+".join(plus) + "".join(f"-{p}" for p in minus)
+            out = out.withColumns({v(target): F.when(found, value).otherwise(F.col(v(target))), f"by_{target}": F.when(found, formula).otherwise(F.col(f"by_{target}"))})
+        known = sum((F.col(f"by_{p}").isNotNull().cast("int") for p in PERIODS), F.lit(0))
+        out = out.withColumns({"conflicts": F.col("conflicts") + F.when(runs, _differs()).otherwise(0), "__last": F.col("__derived"), "__derived": known})
+        runs = F.col("__derived") > F.col("__last")
+    out = out.withColumn("conflicts", F.col("conflicts") + F.when(runs, _differs()).otherwise(0))
+    return out.drop("__derived", "__last")
 
-    def step(state: Column, rule) -> Column:
-        target, plus, minus = rule
-        formula = "+".join(plus) + "".join(f"-{p}" for p in minus)
-
-        def run(s):
-            value = reduce(lambda a, b: a - b, [s[v(p)] for p in minus], reduce(lambda a, b: a + b, [s[v(p)] for p in plus]))
-            found = s[v(target)].isNull() & (value > 0)
-            return s.withField(v(target), F.when(found, value).otherwise(s[v(target)])).withField(f"by_{target}", F.when(found, F.lit(formula)).otherwise(s[f"by_{target}"]))
-
-        return F.element_at(F.transform(F.array(state), run), 1)
-
-    def check(s):
-        total = s["v_q1"] + s["v_q2"] + s["v_q3"] + s["v_q4"]
-        differs = F.coalesce((relative_difference(s["v_fy"], total) > TOLERANCE).cast("int"), F.lit(0))
-        return s.withField("conflicts", s["conflicts"] + F.when(s["v_fy"].isNotNull() & total.isNotNull(), differs).otherwise(0))
 
-    state = F.struct(*[F.col(v(p)).alias(v(p)) for p in PERIODS], *[F.lit(None).cast("string").alias(f"by_{p}") for p in PERIODS], F.lit(0).alias("conflicts"))
-    for _ in range(PASSES):
-        state = reduce(step, IDENTITIES, state)
-        state = F.element_at(F.transform(F.array(state), check), 1)
-    out = wide.withColumn("__state", state)
-    return out.select(*[c for c in wide.columns if c not in set(map(v, PERIODS))], "__state.*")
+def _differs() -> Column:
+    total = F.col("v_q1") + F.col("v_q2") + F.col("v_q3") + F.col("v_q4")
+    return F.coalesce((relative_difference(F.col("v_fy"), total) > TOLERANCE).cast("int"), F.lit(0))
 
 
 def decumulate(rows: DataFrame, keys: list[str], order: str, token: str = "token", value: str = "v") -> DataFrame:
@@ -150,20 +145,30 @@ QUERIES = {
 }
 
 
+def _pass_sql(k: int) -> str:
+    """One pass written out; a later column sees the ones before it."""
+    return f"""p{k} AS (SELECT ticker, fy, metric, q1d AS v_q1, q2e AS v_q2, q3e AS v_q3, q4b AS v_q4, h1b AS v_h1, m9b AS v_9m, v_fy,
+  CASE WHEN by_q1 IS NULL AND v_q1 IS NULL AND q1d IS NOT NULL THEN 'FY-Q2-Q3-Q4' ELSE by_q1 END AS by_q1,
+  CASE WHEN by_q2 IS NULL AND v_q2 IS NULL THEN CASE WHEN q2a IS NOT NULL THEN 'H1-Q1' WHEN q2e IS NOT NULL THEN 'FY-Q1-Q3-Q4' END ELSE by_q2 END AS by_q2,
+  CASE WHEN by_q3 IS NULL AND v_q3 IS NULL THEN CASE WHEN q3a IS NOT NULL THEN '9M-H1' WHEN q3e IS NOT NULL THEN 'FY-Q1-Q2-Q4' END ELSE by_q3 END AS by_q3,
+  CASE WHEN by_q4 IS NULL AND v_q4 IS NULL THEN CASE WHEN q4a IS NOT NULL THEN 'FY-9M' WHEN q4b IS NOT NULL THEN 'FY-Q1-Q2-Q3' END ELSE by_q4 END AS by_q4,
+  CASE WHEN by_h1 IS NULL AND v_h1 IS NULL AND h1b IS NOT NULL THEN 'Q1+Q2' ELSE by_h1 END AS by_h1,
+  CASE WHEN by_9m IS NULL AND v_9m IS NULL THEN CASE WHEN m9a IS NOT NULL THEN 'Q1+Q2+Q3' WHEN m9b IS NOT NULL THEN 'H1+Q3' END ELSE by_9m END AS by_9m
+FROM (SELECT *, coalesce(v_q2, CASE WHEN v_h1 - v_q1 > 0 THEN v_h1 - v_q1 END) AS q2a, coalesce(v_q3, CASE WHEN v_9m - v_h1 > 0 THEN v_9m - v_h1 END) AS q3a,
+  coalesce(v_q4, CASE WHEN v_fy - v_9m > 0 THEN v_fy - v_9m END) AS q4a, coalesce(v_9m, CASE WHEN v_q1 + q2a + q3a > 0 THEN v_q1 + q2a + q3a END) AS m9a,
+  coalesce(v_h1, CASE WHEN v_q1 + q2a > 0 THEN v_q1 + q2a END) AS h1b, coalesce(m9a, CASE WHEN h1b + q3a > 0 THEN h1b + q3a END) AS m9b,
+  coalesce(q4a, CASE WHEN v_fy - v_q1 - q2a - q3a > 0 THEN v_fy - v_q1 - q2a - q3a END) AS q4b, coalesce(v_q1, CASE WHEN v_fy - q2a - q3a - q4b > 0 THEN v_fy - q2a - q3a - q4b END) AS q1d,
+  coalesce(q2a, CASE WHEN v_fy - q1d - q3a - q4b > 0 THEN v_fy - q1d - q3a - q4b END) AS q2e, coalesce(q3a, CASE WHEN v_fy - q1d - q2e - q4b > 0 THEN v_fy - q1d - q2e - q4b END) AS q3e FROM p{k - 1}))"""
+
+
 def _derive_sql() -> str:
-    """The rules as a chain of SELECTs."""
-    steps = [f"r AS ({RECONCILE}), w0 AS (SELECT ticker, fy, metric, " + ", ".join(f"max(CASE WHEN period_type = '{p}' THEN v END) AS {v(p)}, NULL::VARCHAR AS by_{p}" for p in PERIODS) + ", 0 AS conflicts FROM r GROUP BY ALL)"]
-    k = 0
-    for _ in range(PASSES):
-        for target, plus, minus in IDENTITIES:
-            value = " + ".join(map(v, plus)) + "".join(f" - {v(p)}" for p in minus)
-            formula = "+".join(plus) + "".join(f"-{p}" for p in minus)
-            k += 1
-            steps.append(f"w{k} AS (SELECT * REPLACE (CASE WHEN {v(target)} IS NULL AND {value} > 0 THEN {value} ELSE {v(target)} END AS {v(target)}, CASE WHEN {v(target)} IS NULL AND {value} > 0 THEN '{formula}' ELSE by_{target} END AS by_{target}) FROM w{k - 1})")
-        k += 1
-        total = "v_q1 + v_q2 + v_q3 + v_q4"
-        steps.append(f"w{k} AS (SELECT * REPLACE (conflicts + coalesce((abs(v_fy - ({total})) / greatest(abs(v_fy), abs({total}), 1.0) > {TOLERANCE})::INT, 0) AS conflicts) FROM w{k - 1})")
-    return f"{SQL}, {', '.join(steps)}, wide AS (SELECT * FROM w{k})"
+    """The passes written out; conflicts of each pass that is run, by how many periods are known after it."""
+    part = lambda p: f"max(v) FILTER (period_type = '{p}') AS {v(p)}"
+    start = f"r AS ({RECONCILE}), p0 AS (SELECT ticker, fy, metric, {', '.join(map(part, PERIODS))}, {', '.join(f'NULL::VARCHAR AS by_{x}' for x in ('q1', 'q2', 'q3', 'q4', 'h1', '9m'))} FROM r GROUP BY ALL)"
+    off = lambda k: f"coalesce((abs(p{k}.v_fy - (p{k}.v_q1 + p{k}.v_q2 + p{k}.v_q3 + p{k}.v_q4)) > 0.005 * greatest(p{k}.v_fy, p{k}.v_q1 + p{k}.v_q2 + p{k}.v_q3 + p{k}.v_q4, 1))::INT, 0)"
+    known = lambda k: " + ".join(f"(p{k}.{v(p)} IS NOT NULL)::INT" for p in PERIODS)
+    ran = f"SELECT p2.*, NULL::VARCHAR AS by_fy, {off(1)} + CASE WHEN {known(1)} > {known(0)} THEN {off(2)} ELSE 0 END + CASE WHEN {known(2)} > {known(1)} THEN {off(2)} ELSE 0 END AS conflicts FROM p2 JOIN p1 USING (ticker, fy, metric) JOIN p0 USING (ticker, fy, metric)"
+    return f"{SQL}, {start}, {_pass_sql(1)}, {_pass_sql(2)}, wide AS ({ran})"
 
 
 ORACLES = {
