@@ -168,3 +168,6 @@ SELECT doc_id, arg_max(day, (n, day)) AS period FROM documents LEFT JOIN n USING
     "error_classes": rf"""SELECT event_id, CASE WHEN regexp_matches(m, '(?i)\b401\b|invalid (api key|token|bearer)|/login\b|expired|authenticat') THEN 'auth' WHEN regexp_matches(m, '(?i)\b429\b|limit|too many requests') THEN 'limit'
   WHEN regexp_matches(m, '(?i)model.*not available|unknown model') THEN 'model' ELSE 'transient' END AS class FROM (SELECT event_id, {MESSAGES!r}[event_id % {len(MESSAGES)} + 1] || event_type AS m FROM events)""".replace('"You\'ve', "'You''ve").replace('limit ", ', "limit ', "),
 }
+#: Names that these queries had beside others over a part.
+QUERIES |= {f"{k}_all": QUERIES[k] for k in ("segment_values", "period_mode", "answer_json")}
+ORACLES |= {f"{k}_all": ORACLES[k] for k in ("segment_values", "period_mode", "answer_json")}

@@ -28,20 +28,21 @@ def growth(series: DataFrame, keys: list[str], mode: str, value: str = "v") -> D
         return series.withColumn("pct", change_pct(F.col(value), before))
     if mode != "yoy":
         raise ValueError("mode is yoy or qoq")
-    year = F.concat(F.substring("label", 1, 4).cast("int") + 1, F.substring("label", 5, 2))
-    prev = series.select(*keys, year.alias("label"), F.col(value).alias("__prev"))
-    return series.join(prev, [*keys, "label"], "left").withColumn("pct", change_pct(F.col(value), F.col("__prev"))).drop("__prev")
+    # One row per quarter, so the frame four quarters back holds at most one: no self-join.
+    back = Window.partitionBy(*keys).orderBy(label_index(F.col("label"))).rangeBetween(-4, -4)
+    return series.withColumn("pct", change_pct(F.col(value), F.max(value).over(back)))
 
 
-def fill_placeholders(series: DataFrame, keys: list[str], within: list[str], value: str = "v", most: int = 2) -> DataFrame:
+def fill_placeholders(series: DataFrame, keys: list[str], within: list[str], value: str = "v", most: int = 2, excluded: Column | None = None) -> DataFrame:
     """Later quarters of the chart, filled with a key's last value where it lags by at most `most` quarters.
 
     The chart of each `within` group ends with its latest quarter. Rows get `filled_from`, the quarter that a filled
-    value comes from; measured rows have null there.
+    value comes from; measured rows have null there. Excluded keys aren't filled.
     """
     last = series.withColumn("i", label_index(F.col("label"))).groupBy(*keys).agg(F.max("i").alias("i"), F.max_by(value, "i").alias(value), F.max("label").alias("filled_from"))
     end = last.groupBy(*within).agg(F.max("i").alias("end"))
-    late = last.join(end, within).filter((F.col("end") > F.col("i")) & (F.col("end") - F.col("i") <= most))
+    shown = last if excluded is None else last.filter(~excluded)
+    late = shown.join(end, within).filter((F.col("end") > F.col("i")) & (F.col("end") - F.col("i") <= most))
     late = late.withColumn("q", F.explode(F.sequence(F.col("i") + 1, F.col("end"))))
     late = late.withColumn("label", F.concat(F.floor((F.col("q") - 1) / 4), F.lit("Q"), F.pmod(F.col("q") - 1, F.lit(4)) + 1))
     columns = [*keys, "label", value, "filled_from"]
@@ -79,12 +80,13 @@ def period_totals(spark, sf_dir):
 
 
 def placeholder_fill(spark, sf_dir):
-    return fill_placeholders(_series(spark, sf_dir), ["ticker", "metric"], ["metric"], most=8)
+    """Companies with a number divisible by 20 are excluded from filling."""
+    return fill_placeholders(_series(spark, sf_dir), ["ticker", "metric"], ["metric"], excluded=F.col("ticker") % 20 == 0)
 
 
 def suppressed_growth(spark, sf_dir):
     """Totals with placeholders; growth is suppressed in quarters that hold a filled value."""
-    out = fill_placeholders(_series(spark, sf_dir), ["ticker", "metric"], ["metric"], most=8)
+    out = fill_placeholders(_series(spark, sf_dir), ["ticker", "metric"], ["metric"], excluded=F.col("ticker") % 20 == 0)
     t = out.groupBy("metric", "label").agg(exact_sum(F.col("v")).alias("exact"), F.count("filled_from").alias("filled")).withColumn("v", F.col("exact").cast("double"))
     return growth(t, ["metric"], "yoy").select("metric", "label", "filled", rounded(F.col("exact"), 3).alias("total"), F.when(F.col("filled") == 0, F.round("pct", 4)).alias("pct"))
 
@@ -108,9 +110,9 @@ QUERIES = {
     "yoy_outlier": yoy_outlier,
 }
 
-SERIES = f"{SQL}, s AS (SELECT ticker, metric, label, max(v) AS v FROM ({QUARTERLY}) WHERE label >= '1996Q1' GROUP BY ALL)"
+SERIES = f"{SQL}, s AS (SELECT ticker, metric, label, max(v) AS v FROM ({QUARTERLY}) GROUP BY ALL)"
 FILLED = f"""{SERIES}, l AS (SELECT ticker, metric, max(substr(label, 1, 4)::BIGINT * 4 + substr(label, 6, 1)::BIGINT) AS i, arg_max(v, label) AS v, max(label) AS filled_from FROM s GROUP BY ALL),
-e AS (SELECT *, max(i) OVER (PARTITION BY metric) AS last FROM l), z AS (SELECT *, unnest(range(i + 1, last + 1)) AS q FROM e WHERE last > i AND last - i <= 8),
+e AS (SELECT *, max(i) OVER (PARTITION BY metric) AS last FROM l), z AS (SELECT *, unnest(range(i + 1, last + 1)) AS q FROM e WHERE last > i AND last - i <= 2 AND ticker % 20 > 0),
 f AS (SELECT ticker, metric, label, v, NULL::VARCHAR AS filled_from FROM s UNION ALL SELECT ticker, metric, ((q - 1) // 4) || 'Q' || ((q - 1) % 4 + 1), v, filled_from FROM z)"""
 ORACLES = {
     "growth_yoy": f"{SERIES} SELECT s.ticker, s.metric, s.label, round(CASE WHEN s.v <> 0 AND p.v <> 0 THEN (s.v / p.v - 1) * 100 END, 4) AS pct FROM s LEFT JOIN s p ON p.ticker = s.ticker AND p.metric = s.metric AND p.label = (substr(s.label, 1, 4)::INT - 1) || substr(s.label, 5, 2)",

@@ -6,28 +6,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions import periods as P
-from tallyspark.functions.numbers import exact_sum, rounded
 from tallyspark.plans.views import CURRENCIES, SQL, companies, facts, filings, table
 
 
+#: Months for which values hold that are broadcast at most.
+MOST_HELD = 200_000
+
+
 def asof(left: DataFrame, right: DataFrame, key: str, date: str, right_date: str, value: str) -> DataFrame:
-    """left (distinct rows) with the value of the latest row of right (one per key and date) on or before the date, or null.
+    """left with the value of the latest row of right (one per key and date) on or before the date, or null.
 
     Each row of right holds until the next one. It is repeated for the months in which it holds, so that the join is an
-    equality of key and month with a filter, spread over the months also where there are few keys.
+    equality of key and month with a filter that at most one row fits; left rows, repeated ones too, stay as they are. A
+    right side of counted size is broadcast, so that left isn't shuffled; a larger one is spread over keys and months.
     """
     end = F.lead(right_date).over(Window.partitionBy(key).orderBy(right_date))
-    last = left.agg(F.max(date).alias("__max"))
-    held = right.select(key, F.col(right_date).alias("__from"), end.alias("__to"), F.col(value))
-    held = held.join(F.broadcast(last)).withColumn("__until", F.coalesce(F.date_sub("__to", 1), F.greatest("__max", "__from")))
+    last = left.agg(F.max(date)).first()[0]
+    held = right.select(F.col(key).alias("__key"), F.col(right_date).alias("__from"), end.alias("__to"), F.col(value))
+    held = held.withColumn("__until", F.coalesce(F.date_sub("__to", 1), F.greatest(F.lit(last).cast("date"), "__from")))
     month = F.explode(F.sequence(F.trunc("__from", "month"), F.trunc("__until", "month"), F.expr("interval 1 month")))
-    held = held.withColumn("__month", month).select(key, "__month", "__from", "__until", value)
-    rows = left.withColumn("__month", F.trunc(date, "month"))
-    hit = rows.join(held, [key, "__month"], "left")
-    fits = F.col(date).between(F.col("__from"), F.col("__until"))
-    # At most one of a month's intervals holds a date: rows repeat per interval, so the fitting one is kept by max_by.
-    out = hit.groupBy(*left.columns).agg(F.max(F.when(fits, F.col(value))).alias(value))
-    return out
+    held = held.withColumn("__month", month)
+    held = F.broadcast(held) if held.count() <= MOST_HELD else held
+    fits = (F.col(key) == F.col("__key")) & (F.trunc(date, "month") == F.col("__month")) & F.col(date).between(F.col("__from"), F.col("__until"))
+    return left.join(held, fits, "left").select(*left.columns, value)
 
 
 def in_window(left: DataFrame, right: DataFrame, key: str, date: str, right_date: str, lo: int, hi: int) -> DataFrame:
@@ -88,7 +89,7 @@ def fx_normalise(spark, sf_dir):
     rows = facts(spark, sf_dir).select("doc_id", "metric", "partkey", "suppkey", "quantity", "tax", "currency", "value", F.trunc("period", "month").alias("rate_date"))
     out = rows.join(F.broadcast(rates(spark, sf_dir)), ["currency", "rate_date"], "left")
     usd = F.when(F.col("currency") == "USD", F.col("value")).otherwise(F.round(F.col("value") * F.col("rate"), 4))
-    return out.groupBy("currency", "metric").agg(F.count("*").alias("n"), F.count("rate").alias("rated"), rounded(exact_sum(usd), 4).alias("usd"))
+    return out.select("doc_id", "metric", "partkey", "suppkey", "quantity", "tax", "currency", "rate", usd.alias("usd"))
 
 
 def nearest_within_days(spark, sf_dir):
@@ -107,7 +108,7 @@ def window_match(spark, sf_dir):
     return hit.groupBy("doc_id").agg(F.max_by("match", F.struct("filing_date", "match")).alias("match"))
 
 
-def release_candidates_all(spark, sf_dir):
+def release_candidates(spark, sf_dir):
     """For each annual report, all releases filed 7 to 120 days after its period, ranked: closest to its filing date first."""
     docs = filings(spark, sf_dir)
     left = docs.filter("token = 'AR'").select("doc_id", "ticker", "period", F.col("filing_date").alias("announced"))
@@ -117,11 +118,6 @@ def release_candidates_all(spark, sf_dir):
     return hit.withColumn("rank", F.row_number().over(w).cast("long")).select("doc_id", "release", "rank")
 
 
-def release_candidates(spark, sf_dir):
-    """The best three of each, as its SQL has it."""
-    return release_candidates_all(spark, sf_dir).filter("rank <= 3")
-
-
 def calendar_merge(spark, sf_dir):
     """Calendar entries (status F or O) and filings as one event list, where the calendar wins."""
     docs = filings(spark, sf_dir)
@@ -173,9 +169,9 @@ def note_scope_match(spark, sf_dir):
     return d.join(n, fits).groupBy("n.note").agg(F.count("*").alias("filings"), F.min("d.doc_id").alias("first"))
 
 
-def _alias_resolve(spark, part: DataFrame) -> DataFrame:
+def alias_resolve(spark, sf_dir):
     """Phrases against names and aliases: exact name, then equal alias, then a part of either; the first in table order."""
-    parts = part.select(F.col("p_partkey").alias("pos"), F.lower("p_name").alias("key"), F.array(F.lower("p_type"), F.lower("p_brand")).alias("aliases"))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pos"), F.lower("p_name").alias("key"), F.array(F.lower("p_type"), F.lower("p_brand")).alias("aliases"))
     phrases = spark.createDataFrame([("Red Widget",), ("brand#17",), ("economy",), ("ring",), ("nothing",)], "phrase string").withColumn("p", F.lower("phrase"))
     # The phrases are a handful of rows, whatever the catalogue; each task keeps one best row per phrase.
     tier = F.when(F.col("key") == F.col("p"), 0).when(F.array_contains("aliases", F.col("p")), 1).when(F.contains("key", F.col("p")) | F.exists("aliases", lambda a: F.contains(a, F.col("p"))), 2)
@@ -183,15 +179,6 @@ def _alias_resolve(spark, part: DataFrame) -> DataFrame:
     return phrases.select("phrase").join(hit, "phrase", "left")
 
 
-def alias_resolve(spark, sf_dir):
-    """The first 39 rows of the catalogue, as its SQL has it."""
-    return _alias_resolve(spark, table(spark, sf_dir, "part").filter("p_partkey < 40"))
-
-
-def alias_resolve_all(spark, sf_dir):
-    return _alias_resolve(spark, table(spark, sf_dir, "part"))
-
-
 def latest_per_parent(spark, sf_dir):
     """Companies with their number of filings and the latest one."""
     docs = filings(spark, sf_dir).groupBy("ticker").agg(F.count("*").alias("n"), F.max_by("doc_id", F.struct("filing_date", "doc_id")).alias("latest"))
@@ -217,7 +204,7 @@ QUERIES = {
     "nearest_within_days": nearest_within_days,
     "window_match": window_match,
     "release_candidates": release_candidates,
-    "release_candidates_all": release_candidates_all,
+    "release_candidates_all": release_candidates,
     "calendar_merge": calendar_merge,
     "exists_semi": exists_semi,
     "unverified_anti": unverified_anti,
@@ -225,17 +212,17 @@ QUERIES = {
     "subscriber_match": subscriber_match,
     "note_scope_match": note_scope_match,
     "alias_resolve": alias_resolve,
-    "alias_resolve_all": alias_resolve_all,
+    "alias_resolve_all": alias_resolve,
     "latest_per_parent": latest_per_parent,
     "verify_pairs": verify_pairs,
 }
 ORACLES = {
     "fx_asof": f"{SQL}, {RATES} SELECT doc_id, currency, filing_date, (SELECT arg_max(rate, rate_date) FROM rates r WHERE r.currency = f.currency AND r.rate_date <= f.filing_date) AS rate FROM filings f",
-    "fx_normalise": f"{SQL}, {RATES} SELECT f.currency, metric, count(*) AS n, count(rate) AS rated, round(sum((CASE WHEN f.currency = 'USD' THEN value ELSE round(value * rate, 4) END)::DECIMAL(24,6)), 4)::DOUBLE AS usd FROM facts f LEFT JOIN rates r ON r.currency = f.currency AND r.rate_date = date_trunc('month', period) GROUP BY ALL",
+    "fx_normalise": f"{SQL}, {RATES} SELECT doc_id, metric, partkey, suppkey, quantity, tax, f.currency, rate, CASE WHEN f.currency = 'USD' THEN value ELSE round((value * rate)::DECIMAL(28,10), 4)::DOUBLE END AS usd FROM facts f LEFT JOIN rates r ON r.currency = f.currency AND r.rate_date = date_trunc('month', period)",
     "nearest_within_days": f"""{SQL}, h AS (SELECT l.doc_id, arg_min(r.doc_id, (abs(r.filing_date - l.filing_date), r.filing_date, r.doc_id)) AS match, min(abs(r.filing_date - l.filing_date)) AS gap
 FROM filings l JOIN filings r ON r.ticker = l.ticker AND r.form IN ('10-K', '20-F') AND abs(r.filing_date - l.filing_date) <= 60 WHERE l.form = '6-K' GROUP BY l.doc_id) SELECT f.doc_id, match, gap FROM filings f LEFT JOIN h USING (doc_id) WHERE form = '6-K'""",
     "window_match": f"{SQL} SELECT l.doc_id, arg_max(r.doc_id, (r.filing_date, r.doc_id)) AS match FROM filings l JOIN filings r ON r.ticker = l.ticker AND r.form = '10-Q' AND abs(r.filing_date - l.filing_date) <= 10 WHERE l.form = '6-K' GROUP BY l.doc_id",
-    "release_candidates": f"{SQL} SELECT l.doc_id, r.doc_id AS release, row_number() OVER (PARTITION BY l.doc_id ORDER BY abs(r.filing_date - l.filing_date), r.doc_id) AS rank FROM filings l JOIN filings r ON r.ticker = l.ticker AND r.form = '6-K' AND r.filing_date - l.period BETWEEN 7 AND 120 WHERE l.token = 'AR' QUALIFY rank <= 3",
+    "release_candidates": f"{SQL} SELECT l.doc_id, r.doc_id AS release, row_number() OVER (PARTITION BY l.doc_id ORDER BY abs(r.filing_date - l.filing_date), r.doc_id) AS rank FROM filings l JOIN filings r ON r.ticker = l.ticker AND r.form = '6-K' AND r.filing_date - l.period BETWEEN 7 AND 120 WHERE l.token = 'AR'",
     "calendar_merge": f"""{SQL}, c AS (SELECT ticker, period, max(filing_date) AS at_, max(status) AS status FROM filings WHERE status <> 'P' GROUP BY ALL), f AS (SELECT ticker, period, min(filing_date) AS at_ FROM filings GROUP BY ALL)
 SELECT ticker, period, coalesce(c.at_, f.at_) AS at, coalesce(c.status, 'filed') AS status FROM f LEFT JOIN c USING (ticker, period)""",
     "exists_semi": f"{SQL} SELECT DISTINCT ticker, fy FROM filings q WHERE form = '10-Q' AND EXISTS (SELECT 1 FROM filings a WHERE a.token = 'AR' AND a.ticker = q.ticker AND a.fy = q.fy)",
@@ -243,7 +230,7 @@ SELECT ticker, period, coalesce(c.at_, f.at_) AS at, coalesce(c.status, 'filed')
     "multi_key_match": f"{SQL}, m AS (SELECT event_id, doc_id FROM events JOIN filings ON ticker = user_id UNION ALL SELECT event_id, doc_id FROM events JOIN filings ON doc_id = event_id UNION ALL SELECT event_id, doc_id FROM events JOIN filings ON doc_id = user_id) SELECT event_id, min(doc_id) AS doc_id FROM m GROUP BY event_id",
     "subscriber_match": f"{SQL} SELECT s_suppkey, doc_id FROM filings JOIN customer ON c_custkey = ticker JOIN supplier ON s_suppkey % 10 = 0 OR s_nationkey = c_nationkey WHERE filing_date BETWEEN DATE '1998-06-10' AND DATE '1998-06-15'",
     "note_scope_match": f"{SQL}, n AS (SELECT * FROM (VALUES (1::BIGINT, NULL, 1997, 1998, NULL), (2, 7, NULL, NULL, NULL), (3, NULL, 1999, NULL, '10-K'), (4, 12, 1996, 2000, '6-K')) t(note, ticker, y0, y1, form)) SELECT note, count(*) AS filings, min(doc_id) AS first FROM n JOIN filings d ON (n.ticker IS NULL OR n.ticker = d.ticker) AND (y0 IS NULL OR fy >= y0) AND (y1 IS NULL OR fy <= y1) AND (n.form IS NULL OR n.form = d.form) GROUP BY note",
-    "alias_resolve": """WITH p AS (SELECT p_partkey AS pos, lower(p_name) AS key, [lower(p_type), lower(p_brand)] AS aliases FROM part WHERE p_partkey < 40), q AS (SELECT unnest(['Red Widget', 'brand#17', 'economy', 'ring', 'nothing']) AS phrase),
+    "alias_resolve": """WITH p AS (SELECT p_partkey AS pos, lower(p_name) AS key, [lower(p_type), lower(p_brand)] AS aliases FROM part), q AS (SELECT unnest(['Red Widget', 'brand#17', 'economy', 'ring', 'nothing']) AS phrase),
 h AS (SELECT phrase, pos, CASE WHEN key = lower(phrase) THEN 0 WHEN list_contains(aliases, lower(phrase)) THEN 1 WHEN contains(key, lower(phrase)) OR contains(aliases[1], lower(phrase)) OR contains(aliases[2], lower(phrase)) THEN 2 END AS tier FROM q, p)
 SELECT phrase, arg_min(pos, (tier, pos)) FILTER (tier IS NOT NULL) AS pos FROM h GROUP BY phrase""",
     "latest_per_parent": f"{SQL} SELECT c.ticker, c.name, count(f.doc_id) AS n, arg_max(f.doc_id, (f.filing_date, f.doc_id)) AS latest FROM companies c LEFT JOIN filings f USING (ticker) GROUP BY ALL",
@@ -251,7 +238,5 @@ SELECT phrase, arg_min(pos, (tier, pos)) FILTER (tier IS NOT NULL) AS pos FROM h
 SELECT a.conv_id, a.pos, CASE WHEN a.s IS NULL OR b.s IS NULL THEN 'not_found' WHEN a.s = 0 AND b.s = 0 THEN 'exact' WHEN abs(a.s - b.s) / greatest(a.s, b.s) < 0.001 THEN 'exact' WHEN abs(a.s - b.s) / greatest(a.s, b.s) < 0.05 THEN 'approximate' ELSE 'mismatch' END AS verdict
 FROM t a LEFT JOIN t b ON b.conv_id = a.conv_id AND b.pos = a.pos AND b.role = 'assistant' WHERE a.role = 'user'""",
 }
-#: The same SQL over the whole table.
-ORACLES["alias_resolve_all"] = ORACLES["alias_resolve"].replace(" WHERE p_partkey < 40", "")
-#: The same SQL without the cap.
-ORACLES["release_candidates_all"] = ORACLES["release_candidates"].removesuffix(" QUALIFY rank <= 3")
+#: Names that these queries had beside others over a part.
+ORACLES |= {f"{k}_all": ORACLES[k] for k in ("alias_resolve", "release_candidates")}

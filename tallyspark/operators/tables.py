@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.functions import periods as P
 from tallyspark.operators.winners import ANNUAL, chart_annual
 from tallyspark.plans.views import SQL, facts, filings, named, table
 
@@ -61,30 +62,39 @@ def _orders(spark, sf_dir):
     return old, new
 
 
-def _summary(df):
-    return df.groupBy("status").agg(F.count("*").alias("n"), F.count("price").alias("priced"), F.round(F.sum("price"), 2).alias("price"), F.sum("id").alias("ids"))
-
-
 def upsert_force(spark, sf_dir):
-    return _summary(upsert(*_orders(spark, sf_dir), ["id"]))
+    return upsert(*_orders(spark, sf_dir), ["id"])
 
 
 def upsert_skip(spark, sf_dir):
-    return _summary(upsert(*_orders(spark, sf_dir), ["id"], force=False))
+    return upsert(*_orders(spark, sf_dir), ["id"], force=False)
 
 
 def guarded(spark, sf_dir):
-    return _summary(upsert_guarded(*_orders(spark, sf_dir), ["id"], F.col("status") == "O"))
+    return upsert_guarded(*_orders(spark, sf_dir), ["id"], F.col("status") == "O")
 
 
 def first_value(spark, sf_dir):
-    return _summary(upsert_first(*_orders(spark, sf_dir), ["id"]))
+    return upsert_first(*_orders(spark, sf_dir), ["id"])
 
 
 def manifest(spark, sf_dir):
     old, new = _orders(spark, sf_dir)
     sign = F.md5(F.concat_ws("|", "status", F.col("price").isNull().cast("string")))
-    return manifest_diff(new.select("id", sign.alias("s")), old.select("id", sign.alias("s")), "id", "s").groupBy("state").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+    return manifest_diff(new.select("id", sign.alias("s")), old.select("id", sign.alias("s")), "id", "s")
+
+
+def quarter_rotation(spark, sf_dir):
+    """Quarter labels of a company whose year was taken to end in the wrong month, moved on by one."""
+    names = {"Q1": "Q2", "Q2": "Q3", "Q3": "Q4", "Q4": "Q1"}
+    return relabel(filings(spark, sf_dir), "token", names).select("doc_id", "token")
+
+
+def period_backfill(spark, sf_dir):
+    """The period type that is stored, else the one that follows from form and dates."""
+    stored = F.when(F.col("doc_id") % 4 == 0, "FY").when(F.col("doc_id") % 4 == 1, "")
+    f = filings(spark, sf_dir)
+    return f.select("doc_id", P.period_type(stored, F.col("form"), F.col("token"), F.col("period"), F.col("fye")).alias("period_type"))
 
 
 def orphan_diff(spark, sf_dir):
@@ -132,11 +142,19 @@ def fingerprint(spark, sf_dir):
 
 
 def pivot_company_period(spark, sf_dir):
-    """Companies (those without data too) by fiscal year, for one metric."""
-    years = [1996, 1997, 1998, 1999, 2000]
-    v = chart_annual(facts(spark, sf_dir).filter("metric = 'm1'")).groupBy("ticker").pivot("fy", years).agg(F.round(F.max("v"), 4))
-    out = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ticker")).join(v, "ticker", "left")
-    return out.withColumnsRenamed({str(y): f"fy{y}" for y in years})
+    """Companies and metrics (those without data too) by fiscal year, the years that the filings have."""
+    first, last = filings(spark, sf_dir).agg(F.min("fy"), F.max("fy")).first()
+    v = chart_annual(facts(spark, sf_dir))
+    years = [F.round(F.max(F.when(F.col("fy") == y, F.col("v"))), 4).alias(f"fy{y}") for y in range(first, last + 1)]
+    every = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ticker"), F.explode(F.array(*[F.lit(f"m{i}") for i in range(1, 8)])).alias("metric"))
+    return every.join(v.groupBy("ticker", "metric").agg(*years), ["ticker", "metric"], "left")
+
+
+def display_pivot(spark, sf_dir):
+    """The same as rows, for tables of any number of years."""
+    v = chart_annual(facts(spark, sf_dir)).select("ticker", "metric", F.concat(F.lit("FY"), "fy").alias("label"), F.round("v", 0).alias("v"))
+    every = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ticker"))
+    return every.join(v, "ticker", "left")
 
 
 def traces(spark, sf_dir):
@@ -173,18 +191,24 @@ QUERIES = {
     "daily_budget": daily_budget,
     "fingerprint": fingerprint,
     "pivot_company_period": pivot_company_period,
+    "display_pivot": display_pivot,
+    "quarter_rotation": quarter_rotation,
+    "period_backfill": period_backfill,
     "series_traces": traces,
     "verdict_reduce": verdict,
     "scale_factor": scale_factor,
 }
 _O = "WITH o AS (SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price FROM orders), old AS (SELECT id, status, CASE WHEN id % 7 > 0 THEN price END AS price FROM o WHERE id % 3 <> 0), new AS (SELECT id, status, price + 1 AS price FROM o WHERE id % 5 < 2)"
-_S = "SELECT status, count(*) AS n, count(price) AS priced, round(sum(price), 2) AS price, sum(id)::BIGINT AS ids FROM r GROUP BY status"
+_S = "SELECT id, status, price FROM r"
 ORACLES = {
     "upsert_force": f"{_O}, r AS (SELECT * FROM old WHERE id NOT IN (SELECT id FROM new) UNION ALL SELECT * FROM new) {_S}",
     "upsert_skip": f"{_O}, r AS (SELECT * FROM old UNION ALL SELECT * FROM new WHERE id NOT IN (SELECT id FROM old)) {_S}",
     "upsert_guarded": f"{_O}, r AS (SELECT coalesce(old.id, new.id) AS id, CASE WHEN old.id IS NULL OR (old.status = 'O' AND new.id IS NOT NULL) THEN new.status ELSE old.status END AS status, CASE WHEN old.id IS NULL OR (old.status = 'O' AND new.id IS NOT NULL) THEN new.price ELSE old.price END AS price FROM old FULL JOIN new ON old.id = new.id) {_S}",
     "upsert_first_value": f"{_O}, r AS (SELECT coalesce(old.id, new.id) AS id, coalesce(old.status, new.status) AS status, coalesce(old.price, new.price) AS price FROM old FULL JOIN new ON old.id = new.id) {_S}",
-    "manifest_diff": f"{_O} SELECT CASE WHEN old.id IS NULL THEN 'added' WHEN new.id IS NULL THEN 'removed' WHEN old.status = new.status AND old.price IS NULL = (new.price IS NULL) THEN 'same' ELSE 'changed' END AS state, count(*) AS n, sum(coalesce(old.id, new.id))::BIGINT AS ids FROM old FULL JOIN new ON old.id = new.id GROUP BY state",
+    "manifest_diff": f"{_O} SELECT coalesce(old.id, new.id) AS id, CASE WHEN old.id IS NULL THEN 'added' WHEN new.id IS NULL THEN 'removed' WHEN old.status = new.status AND old.price IS NULL = (new.price IS NULL) THEN 'same' ELSE 'changed' END AS state FROM old FULL JOIN new ON old.id = new.id",
+    "quarter_rotation": f"{SQL} SELECT doc_id, CASE WHEN token LIKE 'Q_' THEN 'Q' || (substr(token, 2, 1)::INT % 4 + 1) ELSE token END AS token FROM filings",
+    "period_backfill": f"{SQL} SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'FY' ELSE period_type END AS period_type FROM filings",
+    "display_pivot": f"{SQL}, a AS ({ANNUAL}) SELECT c_custkey AS ticker, metric, 'FY' || fy AS label, round(v, 0) AS v FROM customer LEFT JOIN a ON ticker = c_custkey",
     "orphan_diff": f"{_O} SELECT id, (SELECT count(*) FROM lineitem WHERE l_orderkey = id) AS uses FROM old WHERE id NOT IN (SELECT id FROM new)",
     "keep_newest": f"{SQL} SELECT form, doc_id, filing_date FROM filings QUALIFY row_number() OVER (PARTITION BY form ORDER BY filing_date DESC, doc_id DESC) <= 20",
     "oldest_queue": f"{SQL} SELECT doc_id, filing_date FROM filings WHERE status = 'O' ORDER BY filing_date, doc_id LIMIT 50",
@@ -193,7 +217,7 @@ ORACLES = {
     "group_concat_models": f"{SQL} SELECT ticker, min(fy) AS first, max(fy) AS last, count(*) AS n, string_agg(DISTINCT model, ',' ORDER BY model) AS models FROM facts GROUP BY ticker",
     "daily_budget": "SELECT ts::DATE AS day, count(*) AS used, count(*) FILTER (event_type = 'error') AS failed, CASE WHEN count(*) >= 300 THEN 'exhausted' WHEN count(*) >= 240 THEN 'warn' ELSE 'ok' END AS state FROM events GROUP BY day",
     "fingerprint": f"{SQL} SELECT form, md5(count(*) || '|' || max(doc_id) || '|' || max(filing_date)) AS print FROM filings GROUP BY form",
-    "pivot_company_period": f"{SQL}, a AS ({ANNUAL}) SELECT c_custkey AS ticker, " + ", ".join(f"round(max(v) FILTER (fy = {y}), 4) AS fy{y}" for y in range(1996, 2001)) + " FROM customer LEFT JOIN a ON ticker = c_custkey AND metric = 'm1' GROUP BY c_custkey",
+    "pivot_company_period": f"{SQL}, a AS ({ANNUAL}), e AS (SELECT c_custkey AS ticker, 'm' || i AS metric FROM customer, range(1, 8) r(i)) SELECT ticker, metric, " + ", ".join(f"round(max(v) FILTER (fy = {y}), 4) AS fy{y}" for y in range(1994, 2003)) + " FROM e LEFT JOIN a USING (ticker, metric) GROUP BY ALL",
     "series_traces": f"{SQL}, a AS ({ANNUAL}) SELECT ticker, metric, string_agg(fy, ',' ORDER BY fy) AS years, string_agg(doc_id, ',' ORDER BY fy) AS docs FROM a GROUP BY ALL",
     "verdict_reduce": "SELECT user_id, CASE WHEN bool_or(event_type = 'error') THEN 'CRITICAL' WHEN bool_or(event_type = 'click') THEN 'WARN' ELSE 'OK' END AS verdict, arg_max(event_id, (ts, event_id)) AS last FROM events GROUP BY user_id",
     "scale_factor": f"{SQL} SELECT metric, fy, round(sum(value) FILTER (period_type = 'FY') / (sum(value) FILTER (period_type IN ('Q1', 'Q2', 'Q3')) * 4 / 3), 6) AS factor FROM facts WHERE period_type <> '' GROUP BY ALL",

@@ -13,6 +13,10 @@ FLOW_METRICS = ["m1", "m2", "m3", "m4", "m5"]
 KIND_RANK = {"direct": 0, "inferred": 1}
 
 
+#: Companies of the test tables with a first year of their own.
+FLOORS = {1: 1998, 4: 1997, 7: 1999}
+
+
 def pick(df: DataFrame, cell: list[str], order: list[Column], ties: list[str] = TIES) -> DataFrame:
     """The first row of each cell; the tie columns make the order total."""
     w = Window.partitionBy(*cell).orderBy(*order, *[F.col(t) for t in ties])
@@ -23,13 +27,24 @@ def usd(value_usd="value_usd", value="value") -> Column:
     return F.coalesce(F.col(value_usd), F.col(value))
 
 
-def chart_annual(df: DataFrame, first_year: int = 1996) -> DataFrame:
+def above_floor(df: DataFrame, first_year: int | None, floors: dict | None) -> DataFrame:
+    """Years from the first one on, and from its own one on for a company that has one."""
+    if first_year is not None:
+        df = df.filter(F.col("fy") >= first_year)
+    if floors:
+        own = F.coalesce(*[F.when(F.col("ticker") == t, F.lit(y)) for t, y in floors.items()])
+        df = df.filter(F.coalesce(F.col("fy") >= own, F.lit(True)))
+    return df
+
+
+def chart_annual(df: DataFrame, first_year: int | None = None, floors: dict | None = None) -> DataFrame:
     """Annual reports only; null, zero and negative values never win; the newest filing, then extraction, wins."""
-    rows = df.withColumn("v", usd()).filter((F.col("token") == "AR") & (F.col("period_type") == "FY") & (F.col("v") > 0) & (F.col("fy") >= first_year))
+    rows = df.withColumn("v", usd()).filter((F.col("token") == "AR") & (F.col("period_type") == "FY") & (F.col("v") > 0))
+    rows = above_floor(rows, first_year, floors)
     return pick(rows, ["ticker", "fy", "metric"], [F.desc("filing_date"), F.desc("extracted_at"), F.desc("doc_id")])
 
 
-def chart_quarterly(df: DataFrame, first_label: str = "1996Q1") -> DataFrame:
+def chart_quarterly(df: DataFrame, first_label: str = "") -> DataFrame:
     """Zero and null last, direct before inferred before others, newest filing, newest extraction; then absolute values."""
     rank = F.when(F.col("kind") == "direct", 0).when(F.col("kind") == "inferred", 1).otherwise(2)
     rows = df.filter(F.col("period_type").isin(*P.QUARTER_TYPES) & F.col("value_usd").isNotNull())
@@ -104,6 +119,7 @@ def annual_winner_growth(spark, sf_dir):
 QUERIES = {
     "annual_winner_growth": annual_winner_growth,
     "annual_winner": _q(chart_annual, "ticker", "fy", "metric", "doc_id", "v"),
+    "annual_winner_floors": _q(lambda f: chart_annual(f, 1996, FLOORS), "ticker", "fy", "metric", "doc_id", "v"),
     "quarterly_winner": _q(chart_quarterly, "ticker", "fy", "metric", "period_type", "label", "doc_id", "v"),
     "workbook_winner": _q(workbook, "ticker", "period", "metric", "doc_id", "value_usd"),
     "audit_winner": _q(audit, "ticker", "fy", "metric", "period_type", "model", "doc_id", "value_usd"),
@@ -118,7 +134,7 @@ def _first(columns: str, source: str, cell: str, order: str) -> str:
     return f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {cell} ORDER BY {order}, {', '.join(TIES)}) AS n FROM ({source})) WHERE n = 1"
 
 
-ANNUAL = _first("*", "SELECT *, coalesce(value_usd, value) AS v FROM facts WHERE token = 'AR' AND period_type = 'FY' AND coalesce(value_usd, value) > 0 AND fy >= 1996", "ticker, fy, metric", "filing_date DESC, extracted_at DESC, doc_id DESC")
+ANNUAL = _first("*", "SELECT *, coalesce(value_usd, value) AS v FROM facts WHERE token = 'AR' AND period_type = 'FY' AND coalesce(value_usd, value) > 0", "ticker, fy, metric", "filing_date DESC, extracted_at DESC, doc_id DESC")
 QUARTERLY = f"""SELECT *, abs(value_usd) AS v, CASE WHEN month(period) = fye THEN ((fy * 12 + fye - 1 - (4 - substr(period_type, 2, 1)::INT) * 3) // 12) || 'Q' || ((fy * 12 + fye - 1 - (4 - substr(period_type, 2, 1)::INT) * 3) % 12 // 3 + 1)
   ELSE year(period) || 'Q' || quarter(period) END AS label FROM ({_first("*", "SELECT * FROM facts WHERE period_type IN ('Q1', 'Q2', 'Q3', 'Q4') AND value_usd IS NOT NULL", "ticker, fy, metric, period_type", "CASE WHEN value_usd = 0 THEN 1 ELSE 0 END, CASE kind WHEN 'direct' THEN 0 WHEN 'inferred' THEN 1 ELSE 2 END, filing_date DESC, extracted_at DESC, doc_id DESC")}) WHERE abs(value_usd) > 0"""
 AUDIT = _first("*", "SELECT * FROM facts WHERE period_type <> ''", "ticker, fy, metric, period_type", "CASE WHEN starts_with(model, 'reconcile-derived') THEN 1 ELSE 0 END, filing_date DESC, doc_id DESC")
@@ -130,7 +146,8 @@ ORACLES = {
     "annual_winner_growth": f"""{SQL}, w AS ({ANNUAL}), t AS (SELECT metric, fy, sum(v::DECIMAL(24,6)) AS exact, exact::DOUBLE AS total, count(DISTINCT ticker) AS n FROM w GROUP BY 1, 2)
 SELECT t.metric, t.fy, t.n, round(t.exact, 3)::DOUBLE AS total, round((t.total / p.total - 1) * 100, 4) AS yoy_pct FROM t LEFT JOIN t p ON p.metric = t.metric AND p.fy = t.fy - 1""",
     "annual_winner": f"{SQL} SELECT ticker, fy, metric, doc_id, v FROM ({ANNUAL})",
-    "quarterly_winner": f"{SQL} SELECT ticker, fy, metric, period_type, label, doc_id, v FROM ({QUARTERLY}) WHERE label >= '1996Q1'",
+    "annual_winner_floors": f"{SQL} SELECT ticker, fy, metric, doc_id, v FROM ({ANNUAL}) WHERE fy >= CASE ticker WHEN 1 THEN 1998 WHEN 4 THEN 1997 WHEN 7 THEN 1999 ELSE 1996 END",
+    "quarterly_winner": f"{SQL} SELECT ticker, fy, metric, period_type, label, doc_id, v FROM ({QUARTERLY})",
     "workbook_winner": f"{SQL} SELECT ticker, period, metric, doc_id, value_usd FROM ({WORKBOOK})",
     "audit_winner": f"{SQL} SELECT ticker, fy, metric, period_type, model, doc_id, value_usd FROM ({AUDIT})",
     "reconcile_winner": f"{SQL} SELECT ticker, fy, metric, period_type, doc_id, v FROM ({RECONCILE})",
