@@ -24,6 +24,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -277,8 +278,7 @@ class Lexicon:
 
 def encode_slice(texts: list[str], lexicon: Lexicon, special: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in a row, how many each has)."""
-    pattern, numbers, codes, counts = _special_pattern(special), defaultdict(), [], []
-    numbers.default_factory = numbers.__len__
+    pattern, numbers, codes, counts = _special_pattern(special), defaultdict(count().__next__), [], []
     for t in texts:
         own = split_words(t, pattern)
         codes.append(np.fromiter(map(numbers.__getitem__, own), np.int64, len(own)))
@@ -330,7 +330,7 @@ def _slices(texts: pa.Array) -> Iterator[tuple[list[str], list[int]]]:
 
 
 def _counter(special):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for texts, _ in _slices(batch.column(0)):
@@ -341,7 +341,7 @@ def _counter(special):
                     seen.clear()
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
 
-    return count
+    return words
 
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col="text", max_words: int = MAX_WORDS) -> str:
@@ -397,9 +397,9 @@ def decode(docs: DataFrame, tokenizer_path: str, ids_col="ids", text_col="decode
 
     @arrow_udf(StringType())
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = sent.value
+        tokens = np.array(sent.value, object)
         for ids in batches:
-            yield pa.array([" ".join([tokens[i] for i in x.as_py()]) if x.is_valid else "" for x in ids], pa.string())
+            yield pa.array([" ".join(tokens[x.values.to_numpy(zero_copy_only=False)].tolist()) if x.is_valid else "" for x in ids], pa.string())
 
     return docs.withColumn(text_col, text(F.col(ids_col)))
 

@@ -15,6 +15,7 @@ caller's other columns pass through, and where a name clashes, the added column
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,7 @@ def _covered(words: list[bytes], ends: np.ndarray) -> np.ndarray:
     n = len(words)
     if n < WINDOW:
         return np.zeros(len(ends), np.int64)
-    ids: defaultdict = defaultdict()
-    ids.default_factory = ids.__len__
+    ids: defaultdict = defaultdict(count().__next__)
     code = np.fromiter(map(ids.__getitem__, words), np.uint64, n)
     doc = np.repeat(np.arange(len(ends), dtype=np.uint64), np.diff(ends, prepend=0))
     with np.errstate(over="ignore"):
