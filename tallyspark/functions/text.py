@@ -36,33 +36,87 @@ def html_to_text(page: str) -> str:
     return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
 
 
-def split_sections(text: str, skip: float = 0.1) -> dict[str, str]:
-    """Sections by item heading. Headings in the first tenth are a table of contents, unless no others follow; a section
-    starts only where the item changes; of items that come again the last stands."""
-    found = [(m.start(), m[1].upper()) for m in re.finditer(r"(?im)^[ \t]*item[ \t]+(\d{1,2}[a-c]?)\b", text)]
-    body = [x for x in found if x[0] >= skip * len(text)] or found
+#: Fixed value: an item's heading at the start of a line.
+ITEM = re.compile(r"^\s*(Item\s+(\d+[A-Za-z]?))\s*[\.\:\—\-–]?\s*(.*)", re.IGNORECASE | re.MULTILINE)
+
+
+def split_sections(text: str) -> dict[str, str]:
+    """Sections by item heading, and the whole text. Headings in the first tenth are a table of contents, unless no others
+    follow; a section starts only where the item changes; of items that come again the last stands."""
+    found = [(m.start(), m[2].upper()) for m in ITEM.finditer(text)]
+    body = [x for x in found if x[0] >= len(text) // 10] or found
     starts = [x for k, x in enumerate(body) if k == 0 or body[k - 1][1] != x[1]]
     ends = [at for at, _ in starts[1:]] + [len(text)]
-    return {"_full": text} | {name: text[at:end].strip() for (at, name), end in zip(starts, ends, strict=True)}
+    return {"_full": text} | {f"Item {name}": text[at:end].strip() for (at, name), end in zip(starts, ends, strict=True)}
+
+
+def _large(line: str) -> list[int]:
+    """Amounts over 100; smaller ones are notes or percentages."""
+    return [v for x in re.findall(r"\$?\s*([\d,]+)", line) if x.strip(",") and (v := int(x.replace(",", ""))) > 100]
 
 
-def _number(x: str) -> float:
-    return float(x.replace(",", "").strip("()")) * (-1 if x.startswith("(") else 1)
+def header_years(table: str) -> list[int]:
+    """The years after a period's header, else the different ones of the first five lines."""
+    head = re.search(r"(?i)(?:Year\s+Ended|Fiscal\s+Year|For\s+the\s+year)[^\n]*((?:20[12]\d[\s,]*)+)", table)
+    if head:
+        return [int(y) for y in re.findall(r"20[12]\d", head[0])]
+    return [int(y) for y in dict.fromkeys(re.findall(r"20[12]\d", "\n".join(table.split("\n")[:5])))]
+
+
+REVENUE = re.compile(r"(?i)^(revenue|net\s+sales)")
 
 
 def segment_values(table: str, names: list[str]) -> list[tuple[str, float]]:
-    """(year, value) of the first row of a table that names the segment: on its line, else on the next lines with numbers.
-
-    Values up to 100 are notes or percentages; no more values than years are kept."""
-    years = list(dict.fromkeys(re.findall(r"\b(?:19|20)\d{2}\b", table)))
-    lines = table.split("\n")
-    for k, line in enumerate(lines):
-        if not any(n.lower() in line.lower() for n in names):
-            continue
-        for near in lines[k : k + 3]:
-            got = [v for x in re.findall(r"\(?\d[\d,]*(?:\.\d+)?\)?", near) if x.strip("()") not in years and abs(v := _number(x)) > 100]
-            if got:
-                return list(zip(years, got, strict=False))
+    """(year, value) of the first segment name that a table has.
+
+    Tried in turn: a line with the name; a revenue line within the four lines after it; any of the line and the three after
+    it with at least two values. A line fits if it has values, and no more than there are years."""
+    name = next((n for n in names if n in table), None)
+    if name is None:
+        return []
+    years, rows = header_years(table), [x.strip() for x in table.split("\n") if x.strip()]
+    at = [i for i, row in enumerate(rows) if name in row]
+    tried = [*(_large(rows[i]) for i in at), *(_large(r) for i in at for r in rows[i + 1 : i + 5] if REVENUE.search(r)), *(v for i in at for r in rows[i : i + 4] if len(v := _large(r)) >= 2)]
+    fit = next((v for v in tried if v and len(v) <= len(years)), [])
+    return [(str(y), float(v)) for y, v in zip(years, fit, strict=False)]
+
+
+#: Two and four amounts in a row.
+AMOUNTS = {2: re.compile(r"\$?\s*([\d,]+)\s+\$?\s*([\d,]+)"), 4: re.compile(r"\$?\s*([\d,]+)\s+\$?\s*([\d,]+)\s+\$?\s*([\d,]+)\s+\$?\s*([\d,]+)")}
+
+
+def quarterly_values(text: str, names: list[str], token: str) -> list[tuple[str, float]]:
+    """(period type, value) of the current year from the first table that gives any: the quarter, and the year to date.
+
+    Tables must name a segment, revenue and months that ended. The header's first two years tell whether the current year
+    comes first (if they don't, it comes second). Values follow the name, or stand in a revenue line within the four lines
+    after it: quarter and year to date of both years, or, in a first quarter without a longer period, the quarter of both. A
+    year to date under its quarter, quarters under 100 or over five times apart give nothing."""
+    for table in re.findall(r"(?s)\[TABLE\](.*?)\[/TABLE\]", text):
+        if any(n in table for n in names) and re.search(r"(?i)net\s+sales|revenue", table) and re.search(r"(?i)(three|six|nine)\s*months?\s*ended", table):
+            if found := _quarterly(table, names, token):
+                return found
+    return []
+
+
+def _quarterly(table: str, names: list[str], token: str) -> list[tuple[str, float]]:
+    years = [int(y) for y in re.findall(r"\b(20\d{2})\b", table[:400])[:2]]
+    place = 0 if len(years) == 2 and years[0] > years[1] else 1
+    said = [p for p, word in (("9M", "nine"), ("H1", "six")) if re.search(rf"(?i){word}\s+months?\s+ended", table)]
+    longer = said[0] if said else {"Q3": "9M", "Q2": "H1"}.get(token, "")
+    n = 2 if token == "Q1" and not longer else 4
+    rows = table.split("\n")
+    for i, row in enumerate(rows):
+        for name in (x for x in names if x in row):
+            after = [x for x in rows[i + 1 : i + 5] if REVENUE.search(x.strip())]
+            for line in (row[row.index(name) + len(name) :], *after):
+                if m := AMOUNTS[n].search(line):
+                    v = [int(x.replace(",", "") or 0) for x in m.groups()]
+                    if n == 2:
+                        return [("Q1", float(v[place]))] if min(v) >= 100 and max(v) <= 5 * min(v) else []
+                    quarter, total = v[place], v[place + 2]
+                    kind = token if token in ("Q1", "Q2", "Q3") else "3M_reported"
+                    return [(kind, float(quarter)), *([(longer, float(total))] if longer else [])] if total >= quarter else []
     return []
 
 
@@ -94,6 +148,12 @@ def segments(tables: pa.Array, names: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.struct([("year", pa.string()), ("value", pa.float64())])))
 
 
+@arrow_udf(ArrayType(TABLE))
+def quarters(texts: pa.Array, names: pa.Array, tokens: pa.Array) -> pa.Array:
+    out = [[{"year": k, "value": v} for k, v in quarterly_values(t or "", n or [], q or "")] for t, n, q in zip(texts.to_pylist(), names.to_pylist(), tokens.to_pylist(), strict=True)]
+    return pa.array(out, pa.list_(pa.struct([("year", pa.string()), ("value", pa.float64())])))
+
+
 @arrow_udf(StringType())
 def quotes(texts: pa.Array, values: pa.Array, keywords: pa.Array) -> pa.Array:
     return pa.array([find_quote(t or "", v, k or []) if v is not None else None for t, v, k in zip(texts.to_pylist(), values.to_pylist(), keywords.to_pylist(), strict=True)], pa.string())

@@ -31,21 +31,42 @@ def light_strip(spark, sf_dir):
 
 
 def section_split(spark, sf_dir):
-    """Texts with headings set in, split again: the number of sections and their names."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Item 1\nItem 2\n"), F.repeat(F.lit("contents "), 20), F.lit("\nItem 1\n"), "text", F.lit("\nItem 1\nmore\nItem 1A\nrisks\nITEM 2\nend")).alias("text"))
-    out = docs.select("doc_id", T.sections("text").alias("s"))
-    return out.select("doc_id", F.size("s").cast("long").alias("n"), F.array_join(F.sort_array(F.map_keys("s")), ",").alias("names"))
+    """Texts with headings set in, split again: each section's length. Items change with the document's number."""
+    i = F.col("doc_id")
+    body = F.regexp_replace(F.rpad(F.coalesce("text", F.lit("")), 2000, "x"), "(?i)item", "thing")
+    contents = F.when(i % 3 == 0, "Item 1. Business\nItem 2: Risks\n").otherwise("")
+    text = F.concat(contents, F.lit("begin\n"), body, F.lit("\nITEM "), i % 4 + 1, F.lit(". One\n"), body, F.lit("\n  item "), i % 5 + 1, F.lit("a - Two\nmore\nItem "), i % 5 + 1, F.lit("A again\nitem 1 end"))
+    out = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.sections(text)).alias("name", "part"))
+    return out.select("doc_id", "name", F.length("part").cast("long").alias("n"))
 
 
-def _segment_values(o: DataFrame) -> DataFrame:
-    """Tables made of order data, read again: the values of one segment by year."""
-    t = F.concat(F.lit("Segment\t1999\t1998\nCloud services\t"), F.format_number("o_totalprice", 0), F.lit("\t"), F.format_number(F.col("o_totalprice") / 2 + 200, 0), F.lit("\nOther\t12\t9"))
-    out = o.select("o_orderkey", T.segments(t, F.array(F.lit("cloud"))).alias("s"))
-    return out.select("o_orderkey", F.size("s").cast("long").alias("n"), F.col("s")[0]["year"].alias("year"), F.col("s")[0]["value"].alias("value"))
+def _split_segments(t):
+    return F.array_join(F.transform(t, lambda x: F.concat_ws("=", x["year"], x["value"].cast("long"))), ";")
 
 
 def segment_values(spark, sf_dir):
-    return _segment_values(table(spark, sf_dir, "orders"))
+    """Tables made of order data, read again: values on the segment's line, in a revenue line below it, or near it."""
+    o = table(spark, sf_dir, "orders").withColumn("v", F.floor("o_totalprice"))
+    a, b = F.format_number("v", 0), F.format_number(F.col("v") + 200, 0)
+    head = F.when(F.col("o_orderkey") % 2 == 0, "Segments\nYear Ended December 31, 2014 2013\n").otherwise("Segment\t2016\t2015\t2016\n")
+    rows = F.element_at(F.array(
+        F.concat(F.lit("Cloud services\t$"), a, F.lit("\t$ "), b), F.concat(F.lit("Cloud\nCost 9 8\nNet  sales "), a, F.lit(" "), b), F.concat(F.lit("Cloud note 7\nprofit "), a, F.lit("\nall "), b, F.lit(" "), a),
+        F.concat(F.lit("Other "), a, F.lit(" "), b), F.concat(F.lit("Cloud 500 600 700 800\nRevenue "), b)), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    return o.select("o_orderkey", _split_segments(T.segments(F.concat(head, rows, F.lit("\nRest\t12\t9")), F.array(F.lit("AI"), F.lit("Cloud")))).alias("found"))
+
+
+def segment_quarters(spark, sf_dir):
+    """Quarterly tables of both column orders and layouts, read again."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").withColumn("v", F.floor("o_totalprice"))
+    years = F.when(k % 2 == 0, "2024 2023").otherwise("2023 2024")
+    months = F.element_at(F.array(F.lit("Three Months Ended"), F.lit("Three months ended Six Months Ended"), F.lit("three months ended Nine months ended")), (k % 3 + 1).cast("int"))
+    number = lambda x: F.concat(F.lit("$ "), F.format_number(x, 0))
+    values = F.concat_ws(" ", number(F.col("v")), number(F.col("v") + 50), number(F.col("v") * 2), number(F.col("v") * 2 + 70))
+    row = F.when(k % 5 < 3, F.concat(F.lit("Cloud "), values)).otherwise(F.concat(F.lit("Cloud\nnote\nNet sales "), values))
+    text = F.concat(F.lit("[TABLE]Cloud headcount 5 6[/TABLE] x [TABLE]"), months, F.lit(" "), years, F.lit("\nRevenue by segment\n"), row, F.lit("\n[/TABLE]"))
+    token = F.concat(F.lit("Q"), k % 3 + 1)
+    return o.select("o_orderkey", _split_segments(T.quarters(text, F.array(F.lit("Cloud")), token)).alias("found"))
 
 
 def _pieces(words, n: int):
@@ -136,6 +157,7 @@ QUERIES = {
     "light_strip": light_strip,
     "section_split": section_split,
     "segment_values": segment_values,
+    "segment_quarters": segment_quarters,
     "provenance_contains": provenance_contains,
     "release_score": release_score,
     "period_mode": period_mode,
@@ -149,8 +171,16 @@ AROUND = f"""WITH around AS (SELECT doc_id, {_texts(OPENINGS)}[doc_id % 6 + 1] |
 ORACLES = {
     "header_counts": "SELECT doc_id, " + ", ".join(f"len(regexp_extract_all(lower(text), '{p}'))::BIGINT AS n_{k}" for k, p in HEADERS.items()) + " FROM documents",
     "light_strip": r"SELECT page_id, length(trim(regexp_replace(regexp_replace(html, '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS n FROM pages",
-    "section_split": "SELECT doc_id, 4::BIGINT AS n, '1,1A,2,_full' AS names FROM documents",
-    "segment_values": "SELECT o_orderkey, 2::BIGINT AS n, '1999' AS year, round_even(o_totalprice, 0) AS value FROM orders",
+    "section_split": r"""WITH b AS (SELECT doc_id, regexp_replace(rpad(coalesce(text, ''), 2000, 'x'), '(?i)item', 'thing', 'g') AS body, CASE WHEN doc_id % 3 = 0 THEN E'Item 1. Business\nItem 2: Risks\n' ELSE '' END AS contents FROM documents),
+p AS (SELECT doc_id, contents || E'begin\n' || body AS a, E'ITEM ' || (doc_id % 4 + 1) || E'. One\n' || body AS b, 'item ' || (doc_id % 5 + 1) || E'a - Two\nmore\nItem ' || (doc_id % 5 + 1) || 'A again' AS c FROM b),
+t AS (SELECT *, a || chr(10) || b || E'\n  ' || c || E'\nitem 1 end' AS whole FROM p),
+s AS (SELECT doc_id, '_full' AS name, length(whole) AS n, 0 AS k FROM t
+  UNION ALL SELECT doc_id, 'Item ' || (doc_id % 4 + 1), length(rtrim(b, E' \t\n\r\x0b\x0c')), 1 FROM t UNION ALL SELECT doc_id, 'Item ' || (doc_id % 5 + 1) || 'A', length(c), 2 FROM t UNION ALL SELECT doc_id, 'Item 1', 10, 3 FROM t)
+SELECT doc_id, name, arg_max(n, k) AS n FROM s GROUP BY doc_id, name""",
+    "segment_values": """WITH v AS (SELECT o_orderkey, floor(o_totalprice)::BIGINT AS v, CASE WHEN o_orderkey % 2 = 0 THEN '2014' ELSE '2016' END AS y, CASE WHEN o_orderkey % 2 = 0 THEN '2013' ELSE '2015' END AS z FROM orders)
+SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN y || '=' || v || ';' || z || '=' || (v + 200) WHEN 1 THEN y || '=' || v || ';' || z || '=' || (v + 200) WHEN 2 THEN y || '=' || (v + 200) || ';' || z || '=' || v WHEN 3 THEN '' ELSE y || '=' || (v + 200) END AS found FROM v""",
+    "segment_quarters": """WITH v AS (SELECT o_orderkey, floor(o_totalprice)::BIGINT AS v, o_orderkey % 2 AS late, o_orderkey % 3 AS q FROM orders)
+SELECT o_orderkey, CASE WHEN q = 0 THEN CASE WHEN v >= 100 THEN 'Q1=' || (v + 50 * late) ELSE '' END ELSE 'Q' || (q + 1) || '=' || (v + 50 * late) || CASE q WHEN 1 THEN ';H1=' ELSE ';9M=' END || (v * 2 + 70 * late) END AS found FROM v""",
     "quote_first_numeric": r"SELECT doc_id, substr(list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '[0-9]'))[1], 1, 200) AS quote FROM documents",
     "provenance_contains": "SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)",
     "release_score": rf"""{AROUND}, h AS (SELECT doc_id, substr(trim(regexp_replace(substr(t, 1, 6000), '\s+', ' ', 'g')), 1, 4000) AS head, trim(regexp_replace(substr(t, 1, 60000), '\s+', ' ', 'g')) AS body FROM around),
