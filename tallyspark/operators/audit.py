@@ -19,10 +19,13 @@ ABSOLUTE, WARNED = ["capital_expenditures"], ["operating_cash_flow"]
 EARLY_STAGE = ["CRWV", "APLD", "IREN", "NBIS"]
 #: The same roles among the metrics of the test tables.
 SIGNS = {"positive": ["m1", "m2", "m3"], "absolute": ["m3"], "warned": ["m4"], "exempt": [1, 2, 3, 4]}
+#: Bounds that are broadcast at most.
+MOST_BOUNDS = 100_000
 CELL = ["ticker", "fy", "metric", "period_type"]
 METRICS = [f"m{i}" for i in range(1, 8)]
-#: Default bounds of values, for the year and for shorter periods, and those of single metrics.
-BOUNDS = [(None, "FY", 2000.0, 90000.0), (None, "other", 1500.0, 85000.0), ("m3", "FY", 10000.0, 60000.0), ("m7", "other", 5000.0, 95000.0)]
+#: (ticker or none for all, metric, period group or type, low, high) of the test tables.
+BOUNDS = [(None, f"m{i}", g, 1500.0 * i, 80000.0 + 1000 * i) for i in range(1, 7) for g in ("Q1_Q2_Q3_Q4", "FY")] + [(None, "m2", "H1", 5000.0, 60000.0), (1, "m3", "FY", 10000.0, 50000.0), (2, "m7", "Q1_Q2_Q3_Q4", 5000.0, 70000.0), (4, "m1", "Q2", 100.0, 40000.0)]
+BOUND = "ticker long, metric string, group string, lo double, hi double"
 
 
 def universe(firms: DataFrame, metrics: list[str], first: Column, last: Column, kinds: Column) -> DataFrame:
@@ -68,13 +71,22 @@ def with_neighbours(cells: DataFrame) -> DataFrame:
 
 
 def check_range(cells: DataFrame, bounds: DataFrame) -> DataFrame:
-    """within, below or above, inclusive. A metric's own bounds come before the default ones."""
-    group = F.when(F.col("period_type") == "FY", "FY").otherwise("other")
-    own = F.broadcast(bounds.filter("metric is not null").select("metric", "group", F.col("lo").alias("lo1"), F.col("hi").alias("hi1")))
-    rest = F.broadcast(bounds.filter("metric is null").select("group", F.col("lo").alias("lo0"), F.col("hi").alias("hi0")))
-    out = cells.withColumn("group", group).join(own, ["metric", "group"], "left").join(rest, "group", "left")
-    lo, hi = F.coalesce("lo1", "lo0"), F.coalesce("hi1", "hi0")
-    return out.withColumn("range", F.when(F.col("value_usd") < lo, "below").when(F.col("value_usd") > hi, "above").otherwise("within")).drop("group", "lo0", "lo1", "hi0", "hi1")
+    """within, below or above, inclusive; within where there are no bounds.
+
+    A company's own bounds of a metric stand in place of the default ones, all of them; among them those of the period's
+    group (quarters together) come before those of the period type itself. Bounds are hand-kept; beyond a counted size they
+    aren't broadcast."""
+    pair = F.map_from_entries(F.collect_list(F.struct("group", F.struct("lo", "hi"))))
+    sets = bounds.groupBy("ticker", "metric").agg(pair.alias("b"))
+    small = bounds.count() <= MOST_BOUNDS
+    hint = F.broadcast if small else lambda d: d
+    own = hint(sets.filter("ticker is not null").withColumnRenamed("b", "__own"))
+    rest = hint(sets.filter("ticker is null").select("metric", F.col("b").alias("__rest")))
+    out = cells.join(own, ["ticker", "metric"], "left").join(rest, "metric", "left").withColumn("__b", F.coalesce("__own", "__rest"))
+    group = F.when(F.col("period_type").isin(*P.QUARTER_TYPES, "3M_reported"), "Q1_Q2_Q3_Q4").otherwise(F.col("period_type"))
+    at = F.coalesce(F.col("__b")[group], F.col("__b")[F.col("period_type")])
+    out = out.withColumn("range", F.when(F.col("value_usd") < at["lo"], "below").when(F.col("value_usd") > at["hi"], "above").otherwise("within"))
+    return out.drop("__own", "__rest", "__b")
 
 
 def check_continuity(cells: DataFrame) -> DataFrame:
@@ -168,7 +180,7 @@ def _cells(spark, sf_dir):
 def _checked(spark, sf_dir):
     """The audit winners with all nine checks but gap. Quotes, contexts and rates are made of the columns at hand."""
     won = with_neighbours(audit(facts(spark, sf_dir)))
-    bounds = spark.createDataFrame(BOUNDS, "metric string, group string, lo double, hi double")
+    bounds = spark.createDataFrame(BOUNDS, BOUND)
     out = check_range(won, bounds)
     value = F.when(F.col("suppkey") % 5 == 0, -F.col("value_usd")).otherwise(F.col("value_usd"))
     sign_ = check_sign(F.col("ticker"), F.col("metric"), value, **SIGNS)
@@ -227,7 +239,7 @@ def identity(spark, sf_dir):
 
 
 def range_(spark, sf_dir):
-    bounds = spark.createDataFrame(BOUNDS, "metric string, group string, lo double, hi double")
+    bounds = spark.createDataFrame(BOUNDS, BOUND)
     return check_range(audit(facts(spark, sf_dir)), bounds).select(*CELL, "range")
 
 
@@ -313,9 +325,12 @@ def unfixable(spark, sf_dir):
 
 
 def flag_clusters(spark, sf_dir):
-    rows = _audited(spark, sf_dir).filter("class = 'flagged'")
+    """Flagged cells of a company and metric, and all cells beside them."""
+    flagged = F.col("class") == "flagged"
     member = F.concat(F.col("fy"), F.col("period_type"))
-    return rows.groupBy("ticker", "metric").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list(member)), ",").alias("members"))
+    text = lambda c: F.array_join(F.sort_array(F.collect_list(c)), ",")
+    rows = _audited(spark, sf_dir).groupBy("ticker", "metric").agg(F.count_if(flagged).alias("n"), text(F.when(flagged, member)).alias("members"), text(member).alias("siblings"))
+    return rows.filter("n > 0")
 
 
 def restatement_detect(spark, sf_dir):
@@ -346,7 +361,7 @@ QUERIES = {
     "restatement_detect": restatement_detect,
 }
 
-_bounds = ", ".join(f"({'NULL' if m is None else repr(m)}, '{g}', {lo}, {hi})" for m, g, lo, hi in BOUNDS)
+_bounds = ", ".join(f"({'NULL::BIGINT' if t is None else t}, '{m}', '{g}', {lo}::DOUBLE, {hi}::DOUBLE)" for t, m, g, lo, hi in BOUNDS)
 CELLS = f"""{SQL}, won AS ({AUDIT}), u AS (SELECT ticker, unnest(range((SELECT min(fy) FROM filings), (SELECT max(fy) FROM filings) + 1)) AS fy, CASE WHEN currency = 'HKD' THEN ['H1', 'H2', 'FY'] ELSE ['Q1', 'Q2', 'Q3', 'Q4', 'FY'] END AS kinds FROM companies),
 u2 AS (SELECT ticker, fy, unnest(kinds) AS period_type FROM u), cells AS (SELECT u2.*, m AS metric FROM u2, (SELECT unnest({METRICS}) AS m))"""
 QUOTED = """CASE WHEN suppkey % 3 > 0 THEN 'Total for segment ' || (suppkey % 10) || ' was ' || format('{:,}', round_even(value_usd * CASE WHEN suppkey % 7 = 0 THEN 2 ELSE 1 END, 0)::BIGINT) || ' against 112,000,000' END"""
@@ -359,11 +374,14 @@ DURATION = f"coalesce(CASE WHEN period_type LIKE 'Q_' THEN {DAYS} BETWEEN 75 AND
 GAPS = f"""{CELLS}, c AS (SELECT ticker, fy, bool_or(form IN ('10-K', '20-F', 'HK-AR')) AS annual, bool_or(form = '6-K') AS k6, bool_or(form NOT IN ('10-K', '20-F', 'HK-AR', '6-K')) AS interim FROM filings GROUP BY ALL),
 gaps AS (SELECT cells.*, w.doc_id, w.value_usd, w.model, CASE WHEN w.doc_id IS NOT NULL THEN 'present' WHEN coalesce(CASE cells.period_type WHEN 'FY' THEN annual WHEN 'Q4' THEN annual OR k6 ELSE k6 OR interim END, false) THEN 'gap_fixable' ELSE 'gap_unfixable' END AS gap
   FROM cells LEFT JOIN won w USING (ticker, fy, metric, period_type) LEFT JOIN c USING (ticker, fy))"""
-RANGED = f"bounds AS (SELECT * FROM (VALUES {_bounds}) b(metric, grp, lo, hi))"
+RANGED = f"bounds AS (SELECT * FROM (VALUES {_bounds}) b(ticker, metric, grp, lo, hi))"
 
 
 def _ranged(source: str) -> str:
-    return f"SELECT x.*, CASE WHEN value_usd < coalesce(o.lo, r.lo) THEN 'below' WHEN value_usd > coalesce(o.hi, r.hi) THEN 'above' ELSE 'within' END AS range FROM {source} x LEFT JOIN bounds o ON o.metric = x.metric AND o.grp = CASE WHEN period_type = 'FY' THEN 'FY' ELSE 'other' END LEFT JOIN bounds r ON r.metric IS NULL AND r.grp = CASE WHEN period_type = 'FY' THEN 'FY' ELSE 'other' END"
+    group = "CASE WHEN period_type LIKE 'Q_' THEN 'Q1_Q2_Q3_Q4' ELSE period_type END"
+    owner = "(b.ticker = x.ticker OR (b.ticker IS NULL AND NOT EXISTS (SELECT 1 FROM bounds o WHERE o.ticker = x.ticker AND o.metric = x.metric)))"
+    pick = lambda c: f"(SELECT arg_min(b.{c}, CASE WHEN b.grp = {group} THEN 0 ELSE 1 END) FROM bounds b WHERE b.metric = x.metric AND {owner} AND b.grp IN ({group}, period_type))"
+    return f"SELECT *, CASE WHEN value_usd < lo THEN 'below' WHEN value_usd > hi THEN 'above' ELSE 'within' END AS range FROM (SELECT x.*, {pick('lo')} AS lo, {pick('hi')} AS hi FROM {source} x)"
 
 
 def _violations_sql(source: str) -> str:
@@ -403,7 +421,7 @@ ORACLES = {
     "fix_routing": f"{AUDITED} SELECT ticker, fy, metric, period_type, fix, failed FROM audited WHERE fix IS NOT NULL",
     "coverage_matrix": f"{AUDITED} SELECT ticker, " + ", ".join(f"round(avg(CASE WHEN class IN ('verified', 'derived') THEN 1.0 ELSE 0.0 END) FILTER (metric = '{m}') * 100, 2) AS {m}_pct, bool_or(class = 'flagged') FILTER (metric = '{m}') AS {m}_flag" for m in METRICS) + " FROM audited GROUP BY ticker",
     "unfixable_gaps": f"{AUDITED} SELECT ticker, count(*) AS n, count(DISTINCT metric) AS metrics, min(fy) AS first, max(fy) AS last FROM audited WHERE class = 'gap_unfixable' GROUP BY ticker",
-    "flag_clusters": f"{AUDITED} SELECT ticker, metric, count(*) AS n, string_agg(fy || period_type, ',' ORDER BY fy || period_type) AS members FROM audited WHERE class = 'flagged' GROUP BY ALL",
+    "flag_clusters": f"{AUDITED} SELECT ticker, metric, count(*) FILTER (class = 'flagged') AS n, string_agg(fy || period_type, ',' ORDER BY fy || period_type) FILTER (class = 'flagged') AS members, string_agg(fy || period_type, ',' ORDER BY fy || period_type) AS siblings FROM audited GROUP BY ALL HAVING n > 0",
     "restatement_detect": f"""{SQL}, r AS (SELECT ticker, fy, metric, period_type, arg_min(value_usd, (filing_date, doc_id, partkey, suppkey, quantity, tax, value)) AS first, arg_max(value_usd, (filing_date, doc_id, partkey, suppkey, quantity, tax, value)) AS last, count(*) AS n
 FROM facts WHERE period_type <> '' GROUP BY ALL) SELECT *, round(abs(last - first) / greatest(abs(first), 1.0), 6) AS change FROM r WHERE n >= 2 AND abs(last - first) / greatest(abs(first), 1.0) > 0.005""",
 }

@@ -130,6 +130,42 @@ def reconcile_anchor(spark, sf_dir):
     return anchors(rows, rows)
 
 
+def derived_rows(wide: DataFrame, cells: DataFrame, stored: DataFrame) -> DataFrame:
+    """A row for each derived period that isn't stored: value, formula, months, the components' documents (none for those
+    that are derived themselves) and the document that it is attached to."""
+    docs = cells.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(F.struct("period_type", "doc_id"))).alias("docs"))
+    each = F.array(*[F.struct(F.lit(p).alias("period_type"), F.col(v(p)).alias("value"), F.col(f"by_{p}").alias("formula")) for p in PERIODS])
+    rows = derive(wide).select(*KEYS, F.explode(F.filter(each, lambda x: x["formula"].isNotNull())).alias("d")).select(*KEYS, "d.*")
+    rows = rows.join(docs, KEYS).withColumn("components", F.transform(F.split("formula", "[+-]"), lambda p: F.col("docs")[p])).drop("docs")
+    rows = rows.join(anchors(cells, cells), KEYS).withColumn("months", P.basis_months(F.col("period_type")))
+    return rows.join(stored.select(*KEYS, "period_type").distinct(), [*KEYS, "period_type"], "left_anti")
+
+
+def decumulate_rows(rows: DataFrame, flow: Column, keys: list[str], order: str = "period") -> DataFrame:
+    """Stored rows as quarterly values: flows by their absolute values, quarters less what came before in the year, years as
+    they are; stocks unchanged. A value in dollars that is 0 or null gives way to the native one."""
+    value = F.coalesce(F.nullif(F.col("value_usd"), F.lit(0.0)), F.col("value"), F.lit(0.0))
+    w = Window.partitionBy(*keys).orderBy(order, "token", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    quarter = F.col("token").isin("Q1", "Q2", "Q3")
+    before = F.coalesce(F.last(F.when(quarter, F.abs(value)), ignorenulls=True).over(w), F.lit(0.0))
+    alone = F.when(F.col("token").isin("Q2", "Q3"), F.abs(value) - before).otherwise(F.abs(value))
+    return rows.withColumn("quarterly", F.when(flow, alone).otherwise(value))
+
+
+def reconcile_write(spark, sf_dir):
+    """Derived rows to be inserted; derived ones of the third metric are stored already."""
+    cells = reconcile(facts(spark, sf_dir))
+    wide = pivot_periods(cells, KEYS)
+    stored = cells.unionByName(cells.filter("metric = 'm3'").withColumn("period_type", F.lit("Q4")))
+    out = derived_rows(wide, cells, stored)
+    return out.select(*KEYS, "period_type", F.round("value", 4).alias("value"), "formula", F.array_join("components", ",", "-").alias("components"), "doc_id", F.col("months").cast("long").alias("months"))
+
+
+def decumulate_stored(spark, sf_dir):
+    rows = workbook(facts(spark, sf_dir)).filter("token is not null")
+    return decumulate_rows(rows, F.col("metric") != "m2", KEYS).select(*KEYS, "period", "token", "doc_id", F.round("quarterly", 4).alias("quarterly"))
+
+
 def basis(spark, sf_dir):
     cells = reconcile(facts(spark, sf_dir))
     return cells.groupBy("period_type").agg(F.count("*").alias("cells"), F.max(P.basis_months(F.col("period_type"))).cast("long").alias("months"))
@@ -141,6 +177,8 @@ QUERIES = {
     "decumulate_ytd": decumulate_ytd,
     "decumulate_skip_standalone": decumulate_skip_standalone,
     "reconcile_anchor": reconcile_anchor,
+    "reconcile_write": reconcile_write,
+    "decumulate_stored": decumulate_stored,
     "basis_months": basis,
 }
 
@@ -182,5 +220,12 @@ SELECT ticker, fy, metric, period, token, form, doc_id, round(CASE WHEN (token I
   OVER (PARTITION BY ticker, fy, metric ORDER BY period, token, form, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) ELSE v END, 4) AS standalone FROM x WHERE has_other = 1""",
     "reconcile_anchor": f"""{SQL}, r AS ({RECONCILE}), a AS (SELECT ticker, fy, arg_max(doc_id, (period, doc_id)) AS annual FROM r WHERE token = 'AR' GROUP BY ALL)
 SELECT ticker, fy, metric, coalesce(max(annual), arg_min(r.doc_id, (r.period, r.doc_id))) AS doc_id FROM r LEFT JOIN a USING (ticker, fy) GROUP BY ticker, fy, metric""",
+    "reconcile_write": f"""{_derive_sql()}, l AS (SELECT ticker, fy, metric, unnest(['Q1', 'Q2', 'Q3', 'Q4', 'H1', '9M']) AS period_type, unnest([v_q1, v_q2, v_q3, v_q4, v_h1, v_9m]) AS value, unnest([by_q1, by_q2, by_q3, by_q4, by_h1, by_9m]) AS formula FROM wide),
+d AS (SELECT * FROM l WHERE formula IS NOT NULL AND NOT (metric = 'm3' AND period_type = 'Q4')), p AS (SELECT *, unnest(regexp_split_to_array(formula, '[+-]')) AS part, generate_subscripts(regexp_split_to_array(formula, '[+-]'), 1) AS i FROM d),
+c AS (SELECT p.ticker, p.fy, p.metric, p.period_type, p.value, p.formula, string_agg(coalesce(r.doc_id::VARCHAR, '-'), ',' ORDER BY i) AS components FROM p LEFT JOIN r ON r.ticker = p.ticker AND r.fy = p.fy AND r.metric = p.metric AND r.period_type = part GROUP BY ALL),
+a AS (SELECT ticker, fy, arg_max(doc_id, (period, doc_id)) AS annual FROM r WHERE token = 'AR' GROUP BY ALL), h AS (SELECT r.ticker, r.fy, r.metric, coalesce(max(annual), arg_min(r.doc_id, (r.period, r.doc_id))) AS doc_id FROM r LEFT JOIN a USING (ticker, fy) GROUP BY r.ticker, r.fy, r.metric)
+SELECT ticker, fy, metric, period_type, round(value, 4) AS value, formula, components, doc_id, CASE period_type WHEN 'H1' THEN 6 WHEN '9M' THEN 9 ELSE 3 END::BIGINT AS months FROM c JOIN h USING (ticker, fy, metric)""",
+    "decumulate_stored": f"""{SQL}, w AS ({WORKBOOK}), x AS (SELECT *, CASE WHEN value_usd IS NULL OR value_usd = 0 THEN coalesce(value, 0) ELSE value_usd END AS raw FROM w WHERE token IS NOT NULL)
+SELECT ticker, fy, metric, period, token, doc_id, round(CASE WHEN metric = 'm2' THEN raw WHEN token IN ('Q2', 'Q3') THEN abs(raw) - coalesce(last_value(CASE WHEN token IN ('Q1', 'Q2', 'Q3') THEN abs(raw) END IGNORE NULLS) OVER (PARTITION BY ticker, fy, metric ORDER BY period, token, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) ELSE abs(raw) END, 4) AS quarterly FROM x""",
     "basis_months": f"{SQL}, r AS ({RECONCILE}) SELECT period_type, count(*) AS cells, CASE period_type WHEN 'FY' THEN 12 WHEN '9M' THEN 9 WHEN 'H1' THEN 6 WHEN 'H2' THEN 6 ELSE 3 END::BIGINT AS months FROM r GROUP BY period_type",
 }

@@ -141,6 +141,19 @@ def fingerprint(spark, sf_dir):
     return out.select("form", F.md5(F.concat_ws("|", "n", "id", "at")).alias("print"))
 
 
+def data_fingerprint(spark, sf_dir):
+    """One text that changes whenever facts or filings do."""
+    f = facts(spark, sf_dir).agg(F.count("*").alias("n"), F.max("partkey").alias("id"), F.max("extracted_at").alias("at"))
+    d = filings(spark, sf_dir).agg(F.count("*").alias("docs"), F.max("doc_id").alias("doc"))
+    return f.join(F.broadcast(d)).select(F.concat(F.lit("[["), F.concat_ws(", ", "n", "id", F.concat(F.lit('"'), "at", F.lit('"'))), F.lit("], ["), F.concat_ws(", ", "docs", "doc"), F.lit("]]")).alias("print"))
+
+
+def stored_models(spark, sf_dir):
+    """Facts whose model isn't a derivation, in files with a name like a price list's."""
+    f = facts(spark, sf_dir)
+    return f.filter(~F.col("model").like("reconcile%") & F.col("form").like("_0-_")).select("doc_id", "metric", "partkey", "suppkey", "value")
+
+
 def pivot_company_period(spark, sf_dir):
     """Companies and metrics (those without data too) by fiscal year, the years that the filings have."""
     first, last = filings(spark, sf_dir).agg(F.min("fy"), F.max("fy")).first()
@@ -190,6 +203,8 @@ QUERIES = {
     "group_concat_models": group_concat_models,
     "daily_budget": daily_budget,
     "fingerprint": fingerprint,
+    "data_fingerprint": data_fingerprint,
+    "stored_models": stored_models,
     "pivot_company_period": pivot_company_period,
     "display_pivot": display_pivot,
     "quarter_rotation": quarter_rotation,
@@ -216,6 +231,8 @@ ORACLES = {
     "sparse_flags": f"{SQL} SELECT ticker, count(*) AS n, count(DISTINCT metric) AS metrics, min(fy) AS first, count(DISTINCT metric) < 5 AS few_metrics, count(*) < 10 AS few_rows FROM facts GROUP BY ticker",
     "group_concat_models": f"{SQL} SELECT ticker, min(fy) AS first, max(fy) AS last, count(*) AS n, string_agg(DISTINCT model, ',' ORDER BY model) AS models FROM facts GROUP BY ticker",
     "daily_budget": "SELECT ts::DATE AS day, count(*) AS used, count(*) FILTER (event_type = 'error') AS failed, CASE WHEN count(*) >= 300 THEN 'exhausted' WHEN count(*) >= 240 THEN 'warn' ELSE 'ok' END AS state FROM events GROUP BY day",
+    "data_fingerprint": f"""{SQL}, f AS (SELECT count(*) AS n, max(partkey) AS id, max(extracted_at) AS last FROM facts), d AS (SELECT count(*) AS docs, max(doc_id) AS doc FROM filings) SELECT '[[' || n || ', ' || id || ', "' || last || '"], [' || docs || ', ' || doc || ']]' AS print FROM f, d""",
+    "stored_models": f"{SQL} SELECT doc_id, metric, partkey, suppkey, value FROM facts WHERE model NOT LIKE 'reconcile%' AND form LIKE '_0-_'",
     "fingerprint": f"{SQL} SELECT form, md5(count(*) || '|' || max(doc_id) || '|' || max(filing_date)) AS print FROM filings GROUP BY form",
     "pivot_company_period": f"{SQL}, a AS ({ANNUAL}), e AS (SELECT c_custkey AS ticker, 'm' || i AS metric FROM customer, range(1, 8) r(i)) SELECT ticker, metric, " + ", ".join(f"round(max(v) FILTER (fy = {y}), 4) AS fy{y}" for y in range(1994, 2003)) + " FROM e LEFT JOIN a USING (ticker, metric) GROUP BY ALL",
     "series_traces": f"{SQL}, a AS ({ANNUAL}) SELECT ticker, metric, string_agg(fy, ',' ORDER BY fy) AS years, string_agg(doc_id, ',' ORDER BY fy) AS docs FROM a GROUP BY ALL",
