@@ -58,11 +58,12 @@ def calendar_rows(replies: DataFrame, text_col: str, *keys: str) -> DataFrame:
     return rows.filter("line <> ''").select(*keys, *[known(n).alias(n) for n in CALENDAR])
 
 
-def first_in_feed(pages: DataFrame, json_col: str, page: str, code: Column, kind: Column, *keys: str) -> DataFrame:
-    """The first item of the pages, in their order, for each key: its codes hold `code` and its category contains `kind`."""
-    rows = pages.select(*pages.columns, F.posexplode(F.from_json(json_col, FEED)["newsInfoLst"]).alias("pos", "item"))
-    fits = F.array_contains(F.transform("item.stock", lambda s: s["sc"]), code) & F.contains(F.coalesce("item.t2Code", F.lit("")), kind)
-    return rows.filter(fits).groupBy(*keys).agg(F.min_by(F.struct("item.id", "item.title", "item.relTime"), F.struct(page, "pos")).alias("item")).select(*keys, "item.*")
+def first_in_feed(pages: DataFrame, json_col: str, page: str, kind: Column, *keys: str) -> DataFrame:
+    """For each stock code of a feed (keys) the first item of its pages, in their order, whose category contains `kind`."""
+    rows = pages.select(*keys, page, F.posexplode(F.from_json(json_col, FEED)["newsInfoLst"]).alias("pos", "item"))
+    rows = rows.filter(F.contains(F.coalesce("item.t2Code", F.lit("")), kind))
+    rows = rows.withColumn("code", F.explode(F.array_distinct(F.transform("item.stock", lambda s: s["sc"]))))
+    return rows.groupBy(*keys, "code").agg(F.min_by(F.struct("item.id", "item.title", "item.relTime"), F.struct(page, "pos")).alias("item")).select(*keys, "code", "item.*")
 
 
 def cached_rates(asked: DataFrame, cache: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -163,7 +164,7 @@ def paged_feed(spark, sf_dir):
     pages = o.groupBy((F.col("o_custkey") % 50).alias("feed"), F.floor(F.col("n") / 100).alias("page")).agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["i"]).alias("newsInfoLst"))
     pages = pages.select("feed", "page", F.to_json(F.struct("newsInfoLst")).alias("text"))
     asked = companies(spark, sf_dir).select("ticker", (F.col("ticker") % 50).alias("feed"), F.lpad("ticker", 5, "0").alias("code"))
-    out = first_in_feed(pages.join(asked, "feed"), "text", "page", F.col("code"), F.lit("40100"), "ticker")
+    out = asked.join(first_in_feed(pages, "text", "page", F.lit("40100"), "feed"), ["feed", "code"])
     filed = L.feed_date(F.col("relTime"))
     return out.select("ticker", "id", filed.alias("filed"), *[L.feed_period(F.col("title"), filed, F.lit(f)).alias(n) for f, n in (("HK-AR", "annual"), ("HK-IR", "interim"))])
 

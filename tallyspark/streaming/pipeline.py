@@ -284,9 +284,9 @@ def outcome_counts(spark, sf_dir):
 def failed_filings(spark, sf_dir):
     """Failures of the last ninety days, with the newest five."""
     rows = _events(spark, sf_dir).filter((F.col("status") == "failed") & (F.col("filed") >= F.date_sub(_today(), 90)))
-    w = Window.orderBy(F.desc("filed"), "event_id")
-    listed = rows.withColumn("k", F.row_number().over(w)).filter("k <= 5")
-    first = listed.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", F.concat_ws(" ", "ticker", "form", "period").alias("said")))), lambda x: x["said"]), ", ").alias("listed"))
+    listed = rows.orderBy(F.desc("filed"), "event_id").limit(5)  # the five that the report names
+    said = F.struct(-F.unix_date("filed"), "event_id", F.concat_ws(" ", "ticker", "form", "period").alias("said"))
+    first = listed.agg(F.array_join(F.transform(F.sort_array(F.collect_list(said)), lambda x: x["said"]), ", ").alias("listed"))
     return rows.agg(F.count("*").alias("n")).join(F.broadcast(first))
 
 
