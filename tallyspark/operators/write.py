@@ -191,7 +191,7 @@ def _docs(spark, sf_dir):
 
 def _rates(spark, sf_dir):
     f = _docs(spark, sf_dir).select("currency", F.col("period").alias("rate_date")).distinct()
-    return f.withColumn("rate", F.round(0.1 + F.month("rate_date") / 100 + F.length("currency") / 10, 4))
+    return f.withColumn("rate", F.pow(F.lit(2.0), F.month("rate_date") / 3 % 4 - 2))
 
 
 def result_errors(spark, sf_dir):
@@ -337,7 +337,7 @@ met AS (SELECT one.*, stored.doc_id IS NOT NULL AS known FROM one LEFT JOIN stor
 _as = "'model' AS model, 'FY' AS period_type"
 ORACLES = {
     "result_errors": f"{RESULTS} SELECT doc_id, metric, partkey, suppkey, errors FROM e",
-    "fx_on_write": f"""{RESULTS}, d AS (SELECT doc_id, currency, period, round(0.1::DOUBLE + month(period) / 100 + length(currency) / 10, 4) AS rate FROM filings WHERE doc_id % 4 > 0)
+    "fx_on_write": f"""{RESULTS}, d AS (SELECT doc_id, currency, period, 2.0::DOUBLE ** (month(period) / 3 % 4 - 2) AS rate FROM filings WHERE doc_id % 4 > 0)
 SELECT doc_id, metric, partkey, suppkey, quantity, tax, value, CASE WHEN given IS NOT NULL THEN round(given, 2) WHEN coalesce(currency, 'USD') = 'USD' THEN round(value, 2) ELSE round((value * rate)::DECIMAL(24,8), 2)::DOUBLE END AS value_usd,
   CASE WHEN given IS NULL THEN CASE WHEN coalesce(currency, 'USD') = 'USD' THEN 1.0 ELSE rate END END AS fx_rate, CASE WHEN given IS NULL THEN period END AS fx_date, CASE WHEN given IS NULL THEN coalesce(currency, 'USD') END AS currency FROM r LEFT JOIN d USING (doc_id)""",
     "fact_write": f"{RESULTS} SELECT doc_id, metric, {_as}, 1.0::DOUBLE AS value FROM stored UNION ALL SELECT doc_id, metric, {_as}, value FROM met WHERE NOT known",
