@@ -253,8 +253,8 @@ def latest_releases(spark, sf_dir):
 def found_quotes(spark, sf_dir):
     """The sentence around each order's value, in a text made of it."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.floor("o_totalprice").alias("v"))
-    text = F.concat(F.lit("First words here. In the year, capex was "), F.when(F.col("o_orderkey") % 2 == 0, F.format_number("v", 0)).otherwise(F.concat(F.format_number(F.col("v") / 1000, 1), F.lit(" billion"))), F.lit(" for us. More of it."))
-    keys = F.array(F.when(F.col("o_orderkey") % 3 == 0, F.lit("nothing")).otherwise(F.lit("CAPEX")))
+    text = F.concat(F.lit("First words here. In the year, spending was "), F.when(F.col("o_orderkey") % 2 == 0, F.format_number("v", 0)).otherwise(F.concat(F.format_number(F.col("v") / 1000, 1), F.lit(" billion"))), F.lit(" for us. More of it."))
+    keys = F.array(F.when(F.col("o_orderkey") % 3 == 0, F.lit("nothing")).otherwise(F.lit("SPENDING")))
     return o.select("o_orderkey", T.quotes(text, F.col("v").cast("double"), keys).alias("quote"))
 
 

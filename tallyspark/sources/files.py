@@ -187,7 +187,7 @@ def sidecar_sweep(spark, sf_dir):
     return sidecars(texts, "text", firms).select("doc_id", "ticker", "fye", F.array_join("missing", ",").alias("missing"))
 
 
-CONFIG = '{"cloud": {"metric": "m5", "companies_included": ["1", {"ticker": "2", "treatment": "named_segment", "segment_names": ["Cloud", "AI"]}, {"ticker": "3", "treatment": "whole_company"}], "companies_excluded": ["4", "5"]}, "capex": {"metric": "m3", "companies_included": ["1", "2"]}}'
+CONFIG = '{"cloud": {"metric": "m5", "companies_included": ["1", {"ticker": "2", "treatment": "named_segment", "segment_names": ["Cloud", "AI"]}, {"ticker": "3", "treatment": "whole_company"}], "companies_excluded": ["4", "5"]}, "spending": {"metric": "m3", "companies_included": ["1", "2"]}}'
 
 
 def coverage_config(spark, sf_dir):
@@ -244,7 +244,7 @@ UNION ALL SELECT ticker::VARCHAR, 'Foo', '1997-08-01', '1997-06-30', '1.5', '' F
     "rate_cache": f"""{SQL}, f AS (SELECT DISTINCT currency || 'USD' AS pair, period AS rate_date, month(period) AS m FROM filings), r AS (SELECT *, round(m / 10 + length(pair), 4) AS rate FROM f)
 SELECT pair, rate_date, CASE WHEN m <> 12 THEN rate END AS rate, CASE WHEN m = 3 THEN 'cache' ELSE 'source' END AS origin FROM r UNION ALL SELECT pair, rate_date, rate, 'stored' FROM r WHERE m <> 12 UNION ALL SELECT pair, rate_date - 1, rate, 'stored' FROM r WHERE m NOT IN (3, 12)""",
     "sidecar_sweep": f"{SQL} SELECT doc_id, ticker::VARCHAR AS ticker, fye, concat_ws(',', CASE WHEN doc_id % 4 = 0 THEN 'sha256' END, CASE WHEN doc_id % 3 = 0 THEN 'source_url' END) AS missing FROM filings",
-    "coverage_config": f"""{SQL}, k AS (SELECT * FROM (VALUES ('cloud', 'm5', 1, false, NULL, NULL), ('cloud', 'm5', 2, false, 'named_segment', 'Cloud,AI'), ('cloud', 'm5', 3, false, 'whole_company', NULL), ('cloud', 'm5', 4, true, NULL, NULL), ('cloud', 'm5', 5, true, NULL, NULL), ('capex', 'm3', 1, false, NULL, NULL), ('capex', 'm3', 2, false, NULL, NULL)) v(dataset, metric, ticker, excluded, treatment, segments))
+    "coverage_config": f"""{SQL}, k AS (SELECT * FROM (VALUES ('cloud', 'm5', 1, false, NULL, NULL), ('cloud', 'm5', 2, false, 'named_segment', 'Cloud,AI'), ('cloud', 'm5', 3, false, 'whole_company', NULL), ('cloud', 'm5', 4, true, NULL, NULL), ('cloud', 'm5', 5, true, NULL, NULL), ('spending', 'm3', 1, false, NULL, NULL), ('spending', 'm3', 2, false, NULL, NULL)) v(dataset, metric, ticker, excluded, treatment, segments))
 SELECT dataset, metric, ticker::VARCHAR AS ticker, name, excluded, treatment, segments FROM k JOIN companies USING (ticker)""",
     "file_names": f"{SQL} SELECT doc_id, CASE WHEN form = '10-Q' AND token IN ('Q1', 'Q2', 'Q3') THEN filing_date END AS filed, CASE WHEN form = '10-Q' AND token IN ('Q1', 'Q2', 'Q3') THEN 'T' || ticker END AS ticker, CASE WHEN form = '10-Q' AND token IN ('Q1', 'Q2', 'Q3') THEN token END AS token FROM filings",
     "newest_workbook": f"{SQL}, w AS (SELECT ticker, year(filing_date) AS y, greatest(doc_id % 12, 1) AS v FROM filings), m AS (SELECT ticker, max((y, v)) AS k FROM w GROUP BY ticker) SELECT ticker, '[' || k[1] || '.01.01 - 09h30] sourcebook' || CASE WHEN k[2] > 1 THEN ' v' || k[2] ELSE '' END || '.xlsx' AS name FROM m",

@@ -251,3 +251,11 @@ def test_plausible_and_chains(spark):
     rows = [("revenue", 700_000.0), ("revenue", 700_001.0), ("operating_cash_flow", -50_000.0), ("x", 1.0), ("revenue", None)]
     assert values(spark, "m string, v double", rows, report.plausible(F.col("m"), F.col("v"))) == [True, False, True, None, None]
     assert math.isclose(values(spark, "v double", [(1.0,)], L.pct_of(F.col("v"), F.lit(3.0)))[0], 33.333)
+
+
+def test_found_quotes(spark):
+    prices = dict(spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_totalprice").collect())
+    for r in extract.QUERIES["found_quotes"](spark, SF).collect():
+        v = math.floor(prices[r.o_orderkey])
+        said = f"{v:,}" if r.o_orderkey % 2 == 0 else f"{v / 1000:.1f} billion"
+        assert r.quote == (None if r.o_orderkey % 3 == 0 else f"In the year, spending was {said} for us")
