@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 #: The same for the bytes of rows that hold arrays.
 BROADCAST_BYTES = 8 << 20
+#: Keys with fewer rows are never split.
+HOT_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -79,12 +81,15 @@ def checked_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, s
     return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, n: str, total: int, share: int = 1_000) -> DataFrame:
-    """Inner join with a written table of one row per key, whose column n says how many rows of left have it, `total` in all.
+def skew_join(left: DataFrame, right: DataFrame, key: str, n: str, total: int, most: int, share: int = 1_000, few: int = HOT_ROWS) -> DataFrame:
+    """Inner join with a written table of one row per key, whose column n says how many rows of left have it, `total` in all
+    and `most` at most.
 
     Keys with at least a thousandth of the rows are at most a thousand, so these are broadcast; the others are shuffled,
-    and none of them is large.
+    and none of them is large. Where no key has `few` rows all are shuffled.
     """
+    if most < few:
+        return left.join(right, key).drop(n)
     hot = right.filter(F.col(n) * share >= total)
     cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right.filter(F.col(n) * share < total), key)
     return left.join(F.broadcast(hot), key).unionByName(cold).drop(n)

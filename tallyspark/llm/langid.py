@@ -29,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tallyspark.llm.common import bounded_batches, need, plain, table
-from tallyspark.llm.linear import Ftrl, logits, softmax, temperature
+from tallyspark.llm.linear import Ftrl, lists, logits, softmax, temperature
 
 DIM = 1 << 13
 MAX_ROWS = 2_400
@@ -169,7 +169,7 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", ma
     share = F.element_at(F.create_map(*[F.lit(y) for lang in langs for y in (lang, min(1.0, max_rows / len(langs) / sizes[lang]))]), F.col("lang"))
     sample = known.select("text", "lang", (u / share).alias("u")).filter("u < 1").dropDuplicates()  # null for other languages
     got = sample.mapInArrow(_rows(idf), "lang string, u double, at array<int>, x array<double>").toArrow().sort_by([("u", "ascending"), ("lang", "ascending")])
-    rows = [(np.array(at, np.int64), np.array(x)) for at, x in zip(got["at"].to_pylist(), got["x"].to_pylist(), strict=True)]
+    rows = list(zip(lists(got["at"]), lists(got["x"]), strict=True))
     label = np.array([langs.index(x) for x in got["lang"].to_pylist()], np.int64)
     order = np.array([i for i, (at, _) in enumerate(rows) if len(at)], np.int64)
     fit, rest = order[len(order) // 5 :], order[: len(order) // 5]

@@ -48,6 +48,13 @@ class Ftrl:
         return self
 
 
+def lists(column) -> list[np.ndarray]:
+    """The rows of an Arrow list column as views of one array."""
+    column = column.combine_chunks()
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def logits(rows: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray) -> np.ndarray:
     return np.array([x @ weights[at] + weights[-1] for at, x in rows]).reshape(len(rows), weights.shape[1])
 

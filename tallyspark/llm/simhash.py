@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from tallyspark.llm.common import bounded_batches, need, skew_join, table, written
+from tallyspark.llm.common import HOT_ROWS, bounded_batches, need, skew_join, table, written
 
 RADIUS = 3
 SHINGLE = 3
@@ -159,28 +159,34 @@ def find_links(fps: DataFrame) -> DataFrame:
     return rows.mapInArrow(_link, "a long, b long").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node with a link; root is the component's smallest node."""
+def components(links: DataFrame) -> tuple[DataFrame, int]:
+    """(node, root) of every node with a link, root its component's smallest node; and the largest number of one root's nodes."""
 
-    def stars(edges: DataFrame, large: bool) -> DataFrame:
+    def stars(edges: DataFrame, large: bool, most: int) -> DataFrame:
         """Each node's neighbours (the larger ones, or the smaller ones with the node) are linked to the smallest of all."""
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
         both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "simhash-low")
-        joined = skew_join(both, low, "u", "n", low.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        if most >= HOT_ROWS:
+            low = written(low, "simhash-low")
+            joined = skew_join(both, low, "u", "n", *low.agg(F.sum("n"), F.max("n")).first())
+        else:
+            joined = both.join(low, "u")
         out = joined.filter("v > u" if large else "v <> m").select(F.col("m").alias("a"), F.col("v").alias("b"))
         if not large:
             out = out.unionByName(low.select(F.col("m").alias("a"), F.col("u").alias("b")))
         return out.filter("a <> b").distinct()
 
-    state = None
+    state, most = None, 0
     while True:
-        new = links.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)))).first()
+        # How many links a node has bounds what one key brings to the next joins.
+        at = links.groupBy("a").agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31))).alias("h"))
+        new = at.agg(F.sum("n"), F.sum("h"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
         if new == state:
             break
-        state = new
-        links = written(stars(stars(links, True), False), "simhash-stars")
-    return links.select(F.col("b").alias("node"), F.col("a").alias("root"))
+        state, most = new, new["most"]
+        links = written(stars(stars(links, True, most), False, most), "simhash-stars")
+    return links.select(F.col("b").alias("node"), F.col("a").alias("root")), most
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
@@ -189,13 +195,17 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
     bounded_batches(docs.sparkSession)
     rows = written(docs.select(F.col(id_col).alias("id"), _fingerprints(F.col(text_col)).alias("fp")), "simhash-rows")
     fps = written(rows.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")), "simhash-fps")
-    total = fps.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = components(written(find_links(fps), "simhash-links"))
-    roots = written(fps.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-    least = written(roots.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("fps")), "simhash-least")
-    named = skew_join(roots, least, "root", "fps", least.agg(F.coalesce(F.sum("fps"), F.lit(0))).first()[0])
+    total, copies = fps.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    parts, most = components(written(find_links(fps), "simhash-links"))
+    roots = fps.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", "first", F.coalesce("root", "fp").alias("root"))
+    least = roots.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("fps"))
+    if most >= HOT_ROWS:
+        roots, least = written(roots, "simhash-roots"), written(least, "simhash-least")
+        named = skew_join(roots, least, "root", "fps", *least.agg(F.sum("fps"), F.max("fps")).first())
+    else:
+        named = roots.join(least, "root")
     named = written(named.select("fp", "n", "component_id"), "simhash-components")
-    return skew_join(rows, named, "fp", "n", total).select(F.col("id").alias(id_col), "fp", "component_id")
+    return skew_join(rows, named, "fp", "n", total, copies).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def op5_simhash(spark, sf_dir):

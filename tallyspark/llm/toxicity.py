@@ -21,6 +21,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyspark.llm.common import bounded_batches, need, plain, table
-from tallyspark.llm.linear import Ftrl, logits, sigmoid
+from tallyspark.llm.linear import Ftrl, lists, logits, sigmoid
 
 BITS = 18
 DIM = 1 << BITS
@@ -120,16 +121,15 @@ def train(docs: DataFrame, labels: DataFrame, categories=CHAIN, id_col="doc_id",
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
     rows = rows.groupBy("id", "labels").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     got = rows.mapInArrow(_rows, "id long, labels array<int>, at array<int>, n array<int>").toArrow().sort_by("id")
-    sparse = [(np.array(a, np.int64), np.array(n, np.int64)) for a, n in zip(got["at"].to_pylist(), got["n"].to_pylist(), strict=True)]
-    said = np.array(got["labels"].to_pylist(), np.int64).reshape(len(sparse), len(categories))
+    sparse = list(zip(lists(got["at"]), lists(got["n"]), strict=True))
+    said = np.array(lists(got["labels"]), np.int64).reshape(len(sparse), len(categories))
     rates = np.array([1 / share[int(y)] for y in said[:, -1]])
     return train_chain(sparse, {c: said[:, k] for k, c in enumerate(categories)}, rates)
 
 
 def slice_scores(texts: list[str], chain: Chain) -> np.ndarray:
     """(texts, categories) probabilities. Weights add up over a text's distinct words, each looked up once for the slice."""
-    numbers: defaultdict = defaultdict()
-    numbers.default_factory = numbers.__len__
+    numbers: defaultdict = defaultdict(count().__next__)  # with its own __len__ it would hold itself, and stay
     codes, counts = [], []
     for t in texts:
         own = set(WORDS.findall(t.lower()))

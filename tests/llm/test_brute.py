@@ -345,8 +345,8 @@ def test_joins(spark, monkeypatch):
     left = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 7 END AS k")
     right = common.written(left.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.col("k") * 10), "join-test")
     want = sorted((r.id, r.k, r.k * 10) for r in left.collect())
-    for share in (2, 1000):
-        got = common.skew_join(left, right, "k", "n", 1000, share)
+    for share, few in ((2, 1), (1000, 1), (1000, 1000)):
+        got = common.skew_join(left, right, "k", "n", 1000, 500, share, few)
         assert sorted(map(tuple, got.select("id", "k", "v").collect())) == want
     for limit in (-1, 100):
         got = common.checked_join(left, right, ["k"], "inner", spread="id", limit=limit)
@@ -355,6 +355,14 @@ def test_joins(spark, monkeypatch):
     assert sorted(map(tuple, common.checked_join(left, right, ["k"], "left", spread="id", size=F.lit(99)).select("id", "k", "v").collect())) == want
 
 
+def test_simhash_hot_nodes(spark, monkeypatch):
+    """Nodes with many links take another way to the same components."""
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    want = sorted(map(tuple, simhash.near_duplicates(docs).collect()))
+    monkeypatch.setattr(simhash, "HOT_ROWS", 1)
+    assert sorted(map(tuple, simhash.near_duplicates(docs).collect())) == want
+
+
 def test_simhash_runs_over_batches():
     """Runs of equal keys that span batches give the links of the whole."""
     import pyarrow as pa
