@@ -14,7 +14,9 @@ caller's other columns pass through, and where a name clashes, the added column
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
+from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
@@ -35,15 +37,14 @@ BASE = StructType([StructField(c, LongType()) for c in COUNTS])
 #: Texts are handled in slices of about so many characters.
 SLICE_CHARS = 2_000_000
 WINDOW = 5
+BREAK = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
 
-def _covered(words: list[bytes], ends: np.ndarray) -> np.ndarray:
-    """For each text (ends: where its words end in the list), the words in 5-word windows that its text has twice or more."""
-    n = len(words)
+def _covered(code: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each text (ends: where its words end among the word numbers), the words in 5-word windows that its text has twice or more."""
+    n = len(code)
     if n < WINDOW:
         return np.zeros(len(ends), np.int64)
-    ids: defaultdict = defaultdict(count().__next__)
-    code = np.fromiter(map(ids.__getitem__, words), np.uint64, n)
     doc = np.repeat(np.arange(len(ends), dtype=np.uint64), np.diff(ends, prepend=0))
     with np.errstate(over="ignore"):
         h = doc[: n - WINDOW + 1] * np.uint64(0x9E3779B97F4A7C15)
@@ -63,16 +64,28 @@ def _covered(words: list[bytes], ends: np.ndarray) -> np.ndarray:
     return np.bincount(doc[inside].astype(np.int64), minlength=len(ends))
 
 
+def _words(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, in pieces of about SLICE_CHARS bytes."""
+    at = 0
+    while at < len(text):
+        end = next((m.start() for m in BREAK.finditer(text, at + SLICE_CHARS)), len(text))
+        yield text[at:end].split()
+        at = end
+
+
 def base_stats(texts: list[str]) -> list[tuple]:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of each text."""
-    words, counts, rest = [], [], []
+    ids: defaultdict = defaultdict(count().__next__)
+    codes, counts, rest = [np.zeros(0, np.uint64)], [], []
     for t in texts:
-        own = t.encode().split()
-        words += own
-        counts.append(len(own))
+        n = 0
+        for own in _words(t.encode()):
+            codes.append(np.fromiter(map(ids.__getitem__, own), np.uint64, len(own)))
+            n += len(own)
+        counts.append(n)
         lines = [x for x in t.split("\n") if x.strip(SPACE)]
-        rest.append((len(t) - sum(map(t.count, SPACE)) if own else 0, sum(map(t.count, SYMBOLS)), len(lines) - len(set(lines))))
-    repeat = _covered(words, np.cumsum(counts)) if texts else []
+        rest.append((len(t) - sum(map(t.count, SPACE)) if n else 0, sum(map(t.count, SYMBOLS)), len(lines) - len(set(lines))))
+    repeat = _covered(np.concatenate(codes), np.cumsum(counts)) if texts else []
     return [(n, *r, int(k)) for n, r, k in zip(counts, rest, repeat, strict=True)]
 
 

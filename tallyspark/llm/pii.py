@@ -153,6 +153,18 @@ def _near(window: int) -> Column:
     return F.flatten(F.transform(spans, of))
 
 
+def _one_of_each(texts: DataFrame) -> DataFrame:
+    """Each different text once. Only hashes are shuffled, and of texts that repeat one a task, so that large groups of copies
+    are no large groups of rows; where more texts repeat than are broadcast, all go that way."""
+    one = lambda rows: rows.groupBy("__hash").agg(F.first("text").alias("text")).select("text")
+    twice = texts.groupBy("__hash").agg(F.count("*").alias("n")).filter("n > 1").select("__hash", F.lit(True).alias("__copied"))
+    twice = written(twice, "pii-copied")
+    if twice.count() > BROADCAST_ROWS:
+        return one(texts)
+    marked = texts.join(F.broadcast(twice), "__hash", "left")
+    return marked.filter("__copied is null").select("text").unionByName(one(marked.filter("__copied")))
+
+
 def disclosing(near: DataFrame, texts: DataFrame, min_contexts: int, threshold: float) -> DataFrame:
     """(entity, term, disclosure) above the threshold. near: (hash, entity, at, term, start, context) rows; texts: (hash, text) of every row."""
     contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
@@ -160,8 +172,7 @@ def disclosing(near: DataFrame, texts: DataFrame, min_contexts: int, threshold:
     entities = near.select("entity", "__hash", "at").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     pairs = written(contexts.filter(F.col("contexts") >= min_contexts).join(pairs, ["entity", "term"]).join(entities, "entity"), "pii-pairs")
     candidates = written(pairs.select("term").distinct().withColumn("known", F.lit(True)), "pii-candidates")
-    # Equal texts meet as one row a task, so that large groups of copies are no large groups of rows.
-    own = texts.groupBy("__hash").agg(F.first("text").alias("text"))
+    own = _one_of_each(texts)
     counts = own.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("term"))
     known = F.when(F.col("known"), F.col("term")).alias("term")
     if candidates.count() <= BROADCAST_ROWS:

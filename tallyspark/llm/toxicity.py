@@ -7,7 +7,8 @@ fifth of the sample gets them from models of the other four; at prediction they
 last category's threshold is the one of best F1 on its out-of-fold probabilities, at the corpus rate of the labels.
 
 The models are trained (follow-the-regularised-leader, elastic net) on labelled rows up to a documented bound, `max_rows`,
-whose sparse rows are made by Spark tasks and gathered on the driver. Prediction covers every text whole.
+whose sparse rows are made by Spark tasks, gathered on the driver and broadcast; the five folds' models of a category and that
+of the whole sample are fitted as a task each. Prediction covers every text whole.
 
 Defined cases: a null or empty text has no features, and the probabilities of the bias alone. Labelled rows without a
 document, or with a null in the last category, aren't used; a null in an earlier one is 0. Of labels that repeat an id the
@@ -26,7 +27,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -52,10 +53,16 @@ def _features_of(word: str) -> list[int]:
     return [zlib.crc32(p) >> (32 - BITS) for p in parts]
 
 
+def distinct_words(text: str) -> set[str]:
+    """The words of a text; those of a very long one aren't held all at once."""
+    low = text.lower()
+    return set(WORDS.findall(low)) if len(low) <= SLICE_CHARS else {m[0] for m in WORDS.finditer(low)}
+
+
 def doc_features(text: str | None) -> np.ndarray:
     """The distinct features of a text, with how many of its distinct words have each."""
     got: defaultdict = defaultdict(int)
-    for w in set(WORDS.findall((text or "").lower())):
+    for w in distinct_words(text or ""):
         for f in _features_of(w):
             got[f] += 1
     at = np.fromiter(got.keys(), np.int64, len(got))
@@ -75,25 +82,58 @@ class Chain:
         self.names, self.weights, self.threshold = names, weights, threshold
 
 
-def train_chain(rows: list[tuple[np.ndarray, np.ndarray]], labels: dict[str, np.ndarray], rates: np.ndarray, seed: int = 1) -> Chain:
+def _own_rows(rows: list, earlier: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    k = earlier.shape[1]
+    return [(np.concatenate([at, DIM + np.arange(k)]), np.concatenate([x.astype(float), earlier[i]])) for i, (at, x) in enumerate(rows)]
+
+
+def fit_here(rows: list, earlier: np.ndarray, y: np.ndarray, parts: list[np.ndarray]) -> list[np.ndarray]:
+    """The weights of a model of each part of the rows."""
+    own = _own_rows(rows, earlier)
+    return [Ftrl(DIM + earlier.shape[1], 1, l1=0.6).fit([own[i] for i in part], y[part], EPOCHS).weights() for part in parts]
+
+
+def fit_as_tasks(spark: SparkSession):
+    """fit_here() with a Spark task for each part; the sampled rows are broadcast, once for all models."""
+    sent: dict[int, object] = {}
+
+    def fit(rows, earlier, y, parts):
+        if id(rows) not in sent:
+            flat = [np.concatenate([r[k] for r in rows]) if rows else np.zeros(0, np.int32) for k in (0, 1)]
+            sent[id(rows)] = spark.sparkContext.broadcast((*flat, np.cumsum([len(r[0]) for r in rows])[:-1]))
+        shared = sent[id(rows)]
+
+        def of(batches):
+            at, n, ends = shared.value
+            own = list(zip(np.split(at, ends), np.split(n, ends), strict=True))
+            for batch in batches:
+                for k in batch.column(0).to_pylist():
+                    w = fit_here(own, earlier, y, [parts[k]])[0]
+                    yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([w.tobytes()])], ["part", "weights"])
+
+        got = spark.range(0, len(parts), 1, len(parts)).mapInArrow(of, "part long, weights binary").collect()
+        return [np.frombuffer(bytes(w)).reshape(-1, 1) for _, w in sorted(got)]
+
+    return fit
+
+
+def train_chain(rows: list[tuple[np.ndarray, np.ndarray]], labels: dict[str, np.ndarray], rates: np.ndarray, seed: int = 1, fit=fit_here) -> Chain:
     """rows: (features, counts); labels: category -> 0/1, in the chain's order; rates: how many rows each stands for."""
     n, names = len(rows), list(labels)
     fold = np.random.default_rng(seed).permutation(n) % FOLDS
     weights, earlier, threshold = [], np.zeros((n, 0)), 0.5
     for k, name in enumerate(names):
         y = labels[name].astype(float)
-        dim = DIM + k
-        own = [(np.concatenate([at, DIM + np.arange(k)]), np.concatenate([x.astype(float), earlier[i]])) for i, (at, x) in enumerate(rows)]
         if not 0 < y.sum() < n:
             weights.append(None)
             earlier = np.column_stack([earlier, np.zeros(n)])
             continue
-        out = np.zeros(n)
-        for f in range(FOLDS):
-            fit, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            w = Ftrl(dim, 1, l1=0.6).fit([own[i] for i in fit], y[fit], EPOCHS).weights()
+        *folds, whole = fit(rows, earlier, y, [*(np.flatnonzero(fold != f) for f in range(FOLDS)), np.arange(n)])
+        own, out = _own_rows(rows, earlier), np.zeros(n)
+        for f, w in enumerate(folds):
+            rest = np.flatnonzero(fold == f)
             out[rest] = sigmoid(logits([own[i] for i in rest], w)[:, 0]) if len(rest) else 0
-        weights.append(Ftrl(dim, 1, l1=0.6).fit(own, y, EPOCHS).weights())
+        weights.append(whole)
         earlier = np.column_stack([earlier, out])
         if k == len(names) - 1:
             order = np.argsort(-out, kind="stable")
@@ -120,11 +160,12 @@ def train(docs: DataFrame, labels: DataFrame, categories=CHAIN, id_col="doc_id",
     # At most 2 * max_rows labels, so they may be broadcast. The ids are different, so no more than these can be sampled.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
     rows = rows.groupBy("id", "labels").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
-    got = rows.mapInArrow(_rows, "id long, labels array<int>, at array<int>, n array<int>").toArrow().sort_by("id")
+    kind = rows.schema["id"].dataType.simpleString()
+    got = rows.mapInArrow(_rows, f"id {kind}, labels array<int>, at array<int>, n array<int>").toArrow().sort_by("id")
     sparse = list(zip(lists(got["at"]), lists(got["n"]), strict=True))
     said = np.array(lists(got["labels"]), np.int64).reshape(len(sparse), len(categories))
     rates = np.array([1 / share[int(y)] for y in said[:, -1]])
-    return train_chain(sparse, {c: said[:, k] for k, c in enumerate(categories)}, rates)
+    return train_chain(sparse, {c: said[:, k] for k, c in enumerate(categories)}, rates, fit=fit_as_tasks(docs.sparkSession))
 
 
 def slice_scores(texts: list[str], chain: Chain) -> np.ndarray:
@@ -132,7 +173,7 @@ def slice_scores(texts: list[str], chain: Chain) -> np.ndarray:
     numbers: defaultdict = defaultdict(count().__next__)  # with its own __len__ it would hold itself, and stay
     codes, counts = [], []
     for t in texts:
-        own = set(WORDS.findall(t.lower()))
+        own = distinct_words(t)
         codes += map(numbers.__getitem__, own)
         counts.append(len(own))
     at, starts = [], []

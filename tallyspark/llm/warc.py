@@ -103,7 +103,7 @@ def _writer(directory: str, max_bytes: int, level: int):
 
 
 def write_warc(pages: DataFrame, directory: str, id_col="page_id", url_col="url", payload_col="html", min_revisit_bytes: int = 0, max_bytes: int = 64 << 20, level: int = 4) -> DataFrame:
-    """Writes a record per row and returns the written manifest (path, records, bytes) of the archives.
+    """Writes a record per row and returns the written manifest (path, records, bytes) of the archives. Ids are whole numbers.
 
     Among rows with equal payloads of at least min_revisit_bytes, those with the largest id become responses and the
     others revisits of it. Digests are grouped with partial sums, and only digests that occur twice are joined back: up to
