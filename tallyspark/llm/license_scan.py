@@ -307,12 +307,13 @@ def _keywords() -> ahocorasick.Automaton:
     return out
 
 
-_WORDS = bytes(b if 48 <= b < 58 or 97 <= b < 123 or b >= 128 else b + 32 if 65 <= b < 91 else 32 for b in range(256))
+#: Bytes of UTF-8: A-Z lowered, all ASCII signs but letters and digits as blanks.
+TO_WORDS = bytes(b if 48 <= b < 58 or 97 <= b < 123 or b >= 128 else b + 32 if 65 <= b < 91 else 32 for b in range(256))
 
 
 def as_words(text: str) -> bytes:
     """A text's words in UTF-8, A-Z lowered, a blank before and after each."""
-    signs = text.encode().translate(_WORDS)
+    signs = text.encode().translate(TO_WORDS)
     parts, at = [], 0
     while at < len(signs):
         end = signs.find(b" ", at + PIECE)
