@@ -11,8 +11,13 @@ def safe_days(start: Column, end: Column) -> Column:
     return F.date_diff(F.try_to_date(end, "yyyy-MM-dd"), F.try_to_date(start, "yyyy-MM-dd"))
 
 
+def padded(x: Column, n: int) -> Column:
+    """x with zeros before it, up to n signs; longer ones stay whole."""
+    return F.lpad(x, F.greatest(F.length(x), F.lit(n)), F.lit("0"))
+
+
 def cik(x: Column) -> Column:
-    return F.lpad(F.ltrim(x, F.lit("0")), 10, "0")
+    return padded(F.ltrim(x, F.lit("0")), 10)
 
 
 def accession_url(base: Column, cik_: Column, accession: Column) -> Column:

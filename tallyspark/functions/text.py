@@ -89,7 +89,7 @@ def quarterly_values(text: str, names: list[str], token: str) -> list[tuple[str,
     """(period type, value) of the current year from the first table that gives any: the quarter, and the year to date.
 
     Tables must name a segment, revenue and months that ended. The header's first two years tell whether the current year
-    comes first (if they don't, it comes second). Values follow the name, or stand in a revenue line within the four lines
+    comes first (if they don't, it comes second). Values follow the name, or stand in the first revenue line within the four lines
     after it: quarter and year to date of both years, or, in a first quarter without a longer period, the quarter of both. A
     year to date under its quarter, quarters under 100 or over five times apart give nothing."""
     for table in re.findall(r"(?s)\[TABLE\](.*?)\[/TABLE\]", text):
@@ -108,7 +108,7 @@ def _quarterly(table: str, names: list[str], token: str) -> list[tuple[str, floa
     rows = table.split("\n")
     for i, row in enumerate(rows):
         for name in (x for x in names if x in row):
-            after = [x for x in rows[i + 1 : i + 5] if REVENUE.search(x.strip())]
+            after = [x for x in rows[i + 1 : i + 5] if REVENUE.search(x.strip())][:1]
             for line in (row[row.index(name) + len(name) :], *after):
                 if m := AMOUNTS[n].search(line):
                     v = [int(x.replace(",", "") or 0) for x in m.groups()]
@@ -120,15 +120,34 @@ def _quarterly(table: str, names: list[str], token: str) -> list[tuple[str, floa
     return []
 
 
+def _spelled(value: float) -> list[re.Pattern]:
+    """How a value in millions is written: as millions with separators; from a thousand on as billions, too."""
+    forms = [rf"\$?\s*{round(value):,}(?:\.\d+)?\s*(?:million|M)?\b"]
+    if value >= 1000:
+        forms += [rf"\$?\s*{re.escape(f'{value / 1000:.{d}f}')}\s*(?:billion|B|bn)\b" for d in (1, 2)]
+    return [re.compile(f, re.IGNORECASE) for f in forms]
+
+
+#: The signs around a value in which a keyword is sought, those kept without a sentence's end, and of a quote.
+BEFORE, AFTER, REST, LONGEST = 180, 120, 80, 300
+
+
 def find_quote(text: str, value: float, keywords: list[str]) -> str | None:
-    """The sentence around a known value, in millions or billions, near one of the keywords; at most 300 characters."""
-    forms = [f"{value:,.0f}", f"{value:.0f}", f"{value / 1000:.1f}", f"{value / 1000:.2f}"]
-    for form in dict.fromkeys(forms):
-        for m in re.finditer(rf"(?<![\d.,]){re.escape(form)}(?![\d]|[.,]\d)", text):
-            near = text[max(0, m.start() - 180) : m.end() + 120]
-            if any(k.lower() in near.lower() for k in keywords):
-                left = max(near.rfind(". ", 0, m.start() - max(0, m.start() - 180)), -2) + 2
-                return " ".join(near[left:].split(". ")[0].split())[:300]
+    """The sentence around a known value, in millions, with one of the keywords near it (any place, if there are none).
+
+    Spellings are tried in turn, each at all places. A sentence begins after the last ". ", line end after a full stop, "!"
+    or "?" before the value, and ends before the next ". " or some signs after it. Values of 0 or less have no quote."""
+    if value <= 0:
+        return None
+    for m in (m for p in _spelled(value) for m in p.finditer(text)):
+        near = text[max(0, m.start() - BEFORE) : m.end() + AFTER]
+        if keywords and not any(k.lower() in near.lower() for k in keywords):
+            continue
+        left, right = text[max(0, m.start() - BEFORE) : m.start()], text[m.end() : m.end() + AFTER]
+        begin = max(0, *(left.rfind(stop) for stop in (". ", ".\n", "!", "?")))
+        end = right.find(". ")
+        quote = (left[begin:] + m[0] + right[: end if end > 0 else REST]).strip(" .\n")
+        return quote if len(quote) <= LONGEST else quote[: LONGEST - 3] + "..."
     return None
 
 
@@ -159,6 +178,22 @@ def quotes(texts: pa.Array, values: pa.Array, keywords: pa.Array) -> pa.Array:
     return pa.array([find_quote(t or "", v, k or []) if v is not None else None for t, v, k in zip(texts.to_pylist(), values.to_pylist(), keywords.to_pylist(), strict=True)], pa.string())
 
 
+#: Period headers of filings.
+HEADERS = {
+    "three_months": r"three[\s\-\u2013\u2014]*months?\s+ended",
+    "six_months": r"six[\s\-\u2013\u2014]*months?\s+ended",
+    "nine_months": r"nine[\s\-\u2013\u2014]*months?\s+ended",
+    "year": r"(?:year|twelve[\s\-]?months?|fiscal\s+year)\s+ended",
+    "quarter": r"quarter(?:ly)?\s+ended",
+    "interim": r"interim\s+(?:report|results|consolidated)",
+}
+
+
+def header_counts(text: Column) -> dict[str, Column]:
+    """How often each period header stands in a text."""
+    return {k: F.regexp_count(text, F.lit(f"(?iU){p}")) for k, p in HEADERS.items()}
+
+
 def light_strip(page: Column) -> Column:
     return F.btrim(F.regexp_replace(F.regexp_replace(page, "(?s)<[^>]+>", " "), r"\s+", " "))
 

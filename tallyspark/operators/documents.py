@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from tallyspark.functions import text as T
 from tallyspark.plans.views import table
 
-#: Distinct keys of quotes that are broadcast at most; two numbers each.
-MOST_KEYS = 500_000
-HEADERS = {"three": "three months", "six": "six months", "year": "year ended", "the": "the", "digits": "[0-9]+"}
+#: Period headers in the spellings of filings, set around whole texts.
+SAID = ["Three months ended", "for the SIX-MONTHS ended", "nine\u2013 month  ended", "fiscal\nyear ended", "Twelve-months ended", "Quarterly ended", "interim Results", "an interim, three month ended", "years ended", "quarters ended"]
+
+
+def said_around(d: DataFrame):
+    pick = lambda k: F.element_at(F.array(*[F.lit(x) for x in SAID]), (F.floor(F.col("doc_id") / k) % len(SAID) + 1).cast("int"))
+    return F.concat(pick(1), F.lit(". "), F.coalesce("text", F.lit("")), F.lit(" "), pick(10), F.lit("; "), pick(3))
 
 
 def header_counts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", *[F.regexp_count(F.lower("text"), F.lit(p)).cast("long").alias(f"n_{k}") for k, p in HEADERS.items()])
+    """How often each period header stands in a text."""
+    d = table(spark, sf_dir, "documents")
+    n = T.header_counts(said_around(d))
+    return d.select("doc_id", *[n[k].cast("long").alias(f"n_{k}") for k in T.HEADERS])
 
 
 def quote_first_numeric(spark, sf_dir):
@@ -33,7 +40,7 @@ def light_strip(spark, sf_dir):
 def section_split(spark, sf_dir):
     """Texts with headings set in, split again: each section's length. Items change with the document's number."""
     i = F.col("doc_id")
-    body = F.regexp_replace(F.rpad(F.coalesce("text", F.lit("")), 2000, "x"), "(?i)item", "thing")
+    body = F.regexp_replace(F.concat(F.coalesce("text", F.lit("")), F.lit("x"), F.repeat(F.lit("x"), F.greatest(2000 - F.length("text"), F.lit(0)))), "(?i)item", "thing")
     contents = F.when(i % 3 == 0, "Item 1. Business\nItem 2: Risks\n").otherwise("")
     text = F.concat(contents, F.lit("begin\n"), body, F.lit("\nITEM "), i % 4 + 1, F.lit(". One\n"), body, F.lit("\n  item "), i % 5 + 1, F.lit("a - Two\nmore\nItem "), i % 5 + 1, F.lit("A again\nitem 1 end"))
     out = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.sections(text)).alias("name", "part"))
@@ -69,41 +76,6 @@ def segment_quarters(spark, sf_dir):
     return o.select("o_orderkey", _split_segments(T.quarters(text, F.array(F.lit("Cloud")), token)).alias("found"))
 
 
-def _pieces(words, n: int):
-    """The distinct runs of n words, joined by blanks."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " ")))
-
-
-def provenance(texts: DataFrame, quotes: DataFrame, id_col: str, text_col: str, quote_id: str, quote_col: str) -> DataFrame:
-    """Pairs of a text and a quote that it contains.
-
-    A quote's first word may be the end of a longer one in the text, and its last the start of one; so quotes meet texts by
-    words between those (three, or one in quotes of three or four words), and are then compared whole. Quotes of one or two
-    words have none between: they must be whole words of the text. Empty and null quotes are found nowhere. Texts' keys are
-    met without the texts; only the texts that share a key with a quote are then fetched, once each, with all their quotes.
-    """
-    split = lambda c: F.split(F.btrim(F.regexp_replace(c, r"\s+", " ")), " ")
-    w = split(F.col(quote_col))
-    size = F.when(F.size(w) >= 5, 3).when(F.size(w) >= 3, 1).otherwise(F.size(w))
-    key = F.array_join(F.slice(w, F.when(F.size(w) >= 3, 2).otherwise(1), size), " ")
-    q = quotes.filter(F.btrim(quote_col) != "").select(quote_id, quote_col, size.alias("k"), F.xxhash64(key).alias("key"))
-    few = q.select("k", "key").distinct()
-    few = F.broadcast(few) if few.count() <= MOST_KEYS else few
-    sizes = [r["k"] for r in q.select("k").distinct().collect()]  # three at most
-    by_size = F.array(*[F.struct(F.lit(n).alias("k"), F.array_distinct(F.transform(_pieces(F.col("w"), n), lambda x: F.xxhash64(x))).alias("keys")) for n in (1, 2, 3)])
-    t = texts.filter(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("text"), split(F.col(text_col)).alias("w"))
-    t = t.select("text", F.explode(F.filter(by_size, lambda x: x["k"].isin(sizes))).alias("p")).select("text", "p.k", F.explode("p.keys").alias("key"))
-    hits = t.join(few, ["k", "key"], "left_semi").distinct().join(q, ["k", "key"])
-    hits = hits.groupBy("text").agg(F.collect_set(F.struct(quote_id, quote_col)).alias("quotes"))
-    found = texts.withColumn("text_hash", F.xxhash64(text_col)).join(hits.withColumnRenamed("text", "text_hash"), "text_hash")
-    found = found.select(id_col, F.explode(F.filter("quotes", lambda x: F.contains(F.col(text_col), x[quote_col]))).alias("q"))
-    return found.select(id_col, f"q.{quote_id}").distinct()
-
-
-def provenance_contains(spark, sf_dir):
-    return provenance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").withColumnRenamed("text", "quote"), "doc_id", "text", "item_id", "quote")
-
-
 #: Beginnings and ends that are set around texts, so that the rules meet varied ones.
 OPENINGS = ["ACME Announces\nFirst Quarter 1999\nResults. ", "Notice of the Annual General Meeting. ", "", "Foo reports full year results; proxy form enclosed. Financial results for the ", "announces something else. ", "Bar Reports Quarterly Unaudited Results. Monthly return of equity. "]
 MIDDLES = ["For the three months ended March 31, 1999. ", "for the year ended March 31, 1999; ", "second quarter ended Jun. 30 1999 and three and six months ended June 30, 1999 ", "3 months\nended Sept 31, 1999, quarter ended feb 28, 1999 "]
@@ -112,7 +84,7 @@ ENDINGS = ["", " Condensed consolidated balance sheets", " condensed  consolidat
 
 def _set_around(d: DataFrame):
     pick = lambda xs, k: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.floor(F.col("doc_id") / k) % len(xs) + 1).cast("int"))
-    return F.concat(pick(OPENINGS, 1), pick(MIDDLES, 6), F.coalesce(F.substring("text", 1, 5000), F.lit("")), pick(MIDDLES, 24), pick(ENDINGS, 96))
+    return F.concat(pick(OPENINGS, 1), pick(MIDDLES, 6), F.coalesce("text", F.lit("")), pick(MIDDLES, 24), pick(ENDINGS, 96))
 
 
 def release_score(spark, sf_dir):
@@ -158,7 +130,6 @@ QUERIES = {
     "section_split": section_split,
     "segment_values": segment_values,
     "segment_quarters": segment_quarters,
-    "provenance_contains": provenance_contains,
     "release_score": release_score,
     "period_mode": period_mode,
     "json_props": json_props,
@@ -167,11 +138,14 @@ QUERIES = {
 }
 MONTH = "(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)"
 _texts = lambda xs: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
-AROUND = f"""WITH around AS (SELECT doc_id, {_texts(OPENINGS)}[doc_id % 6 + 1] || {_texts(MIDDLES)}[doc_id // 6 % 4 + 1] || coalesce(substr(text, 1, 5000), '') || {_texts(MIDDLES)}[doc_id // 24 % 4 + 1] || {_texts(ENDINGS)}[doc_id // 96 % 4 + 1] AS t FROM documents)"""
+AROUND = f"""WITH around AS (SELECT doc_id, {_texts(OPENINGS)}[doc_id % 6 + 1] || {_texts(MIDDLES)}[doc_id // 6 % 4 + 1] || coalesce(text, '') || {_texts(MIDDLES)}[doc_id // 24 % 4 + 1] || {_texts(ENDINGS)}[doc_id // 96 % 4 + 1] AS t FROM documents)"""
 ORACLES = {
-    "header_counts": "SELECT doc_id, " + ", ".join(f"len(regexp_extract_all(lower(text), '{p}'))::BIGINT AS n_{k}" for k, p in HEADERS.items()) + " FROM documents",
+    "header_counts": f"""WITH t AS (SELECT doc_id, lower({_texts(SAID)}[doc_id % 10 + 1] || '. ' || coalesce(text, '') || ' ' || {_texts(SAID)}[doc_id // 10 % 10 + 1] || '; ' || {_texts(SAID)}[doc_id // 3 % 10 + 1]) AS t FROM documents)
+SELECT doc_id, """ + ", ".join(f"len(regexp_extract_all(t, '{p}'))::BIGINT AS n_{k}" for k, p in {
+        "three_months": r"three[-\s–—]*months?\s+ended", "six_months": r"six[-\s–—]*months?\s+ended", "nine_months": r"nine[-\s–—]*months?\s+ended", "year": r"(year|twelve[-\s]?months?|fiscal\s+year)\s+ended",
+        "quarter": r"(quarter|quarterly)\s+ended", "interim": r"interim\s+(report|results|consolidated)"}.items()) + " FROM t",
     "light_strip": r"SELECT page_id, length(trim(regexp_replace(regexp_replace(html, '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS n FROM pages",
-    "section_split": r"""WITH b AS (SELECT doc_id, regexp_replace(rpad(coalesce(text, ''), 2000, 'x'), '(?i)item', 'thing', 'g') AS body, CASE WHEN doc_id % 3 = 0 THEN E'Item 1. Business\nItem 2: Risks\n' ELSE '' END AS contents FROM documents),
+    "section_split": r"""WITH b AS (SELECT doc_id, regexp_replace(coalesce(text, '') || 'x' || repeat('x', greatest(2000 - length(text), 0)::BIGINT), '(?i)item', 'thing', 'g') AS body, CASE WHEN doc_id % 3 = 0 THEN E'Item 1. Business\nItem 2: Risks\n' ELSE '' END AS contents FROM documents),
 p AS (SELECT doc_id, contents || E'begin\n' || body AS a, E'ITEM ' || (doc_id % 4 + 1) || E'. One\n' || body AS b, 'item ' || (doc_id % 5 + 1) || E'a - Two\nmore\nItem ' || (doc_id % 5 + 1) || 'A again' AS c FROM b),
 t AS (SELECT *, a || chr(10) || b || E'\n  ' || c || E'\nitem 1 end' AS whole FROM p),
 s AS (SELECT doc_id, '_full' AS name, length(whole) AS n, 0 AS k FROM t
@@ -182,7 +156,6 @@ SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN y || '=' || v || ';' || z ||
     "segment_quarters": """WITH v AS (SELECT o_orderkey, floor(o_totalprice)::BIGINT AS v, o_orderkey % 2 AS late, o_orderkey % 3 AS q FROM orders)
 SELECT o_orderkey, CASE WHEN q = 0 THEN CASE WHEN v >= 100 THEN 'Q1=' || (v + 50 * late) ELSE '' END ELSE 'Q' || (q + 1) || '=' || (v + 50 * late) || CASE q WHEN 1 THEN ';H1=' ELSE ';9M=' END || (v * 2 + 70 * late) END AS found FROM v""",
     "quote_first_numeric": r"SELECT doc_id, substr(list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '[0-9]'))[1], 1, 200) AS quote FROM documents",
-    "provenance_contains": "SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)",
     "release_score": rf"""{AROUND}, h AS (SELECT doc_id, substr(trim(regexp_replace(substr(t, 1, 6000), '\s+', ' ', 'g')), 1, 4000) AS head, trim(regexp_replace(substr(t, 1, 60000), '\s+', ' ', 'g')) AS body FROM around),
 s AS (SELECT doc_id, 4 * regexp_matches(head, '(?i)\b(announces?|reports?)\b[^\n]{{0,80}}?\b(quarter|quarterly|fiscal year|full year)\b[^\n]{{0,60}}?\bresults\b')::INT + 2 * regexp_matches(head, '(?i)\bfinancial results for the\b')::INT
   + 2 * regexp_matches(body, '(?i)condensed consolidated (statements? of (operations|income|comprehensive|cash flows)|balance sheets?)')::INT + regexp_matches(head, '(?i)(three|3)( and (six|nine|twelve))? months ended {MONTH}\.? [0-9]{{1,2}},? [0-9]{{4}}|quarter ended {MONTH}\.? [0-9]{{1,2}},? [0-9]{{4}}')::INT
@@ -198,6 +171,3 @@ SELECT doc_id, arg_max(day, (n, day)) AS period FROM documents LEFT JOIN n USING
     "error_classes": rf"""SELECT event_id, CASE WHEN regexp_matches(m, '(?i)\b401\b|invalid (api key|token|bearer)|/login\b|expired|authenticat') THEN 'auth' WHEN regexp_matches(m, '(?i)\b429\b|limit|too many requests') THEN 'limit'
   WHEN regexp_matches(m, '(?i)model.*not available|unknown model') THEN 'model' ELSE 'transient' END AS class FROM (SELECT event_id, {MESSAGES!r}[event_id % {len(MESSAGES)} + 1] || event_type AS m FROM events)""".replace('"You\'ve', "'You''ve").replace('limit ", ', "limit ', "),
 }
-#: Names that these queries had beside others over a part.
-QUERIES |= {f"{k}_all": QUERIES[k] for k in ("segment_values", "period_mode", "answer_json")}
-ORACLES |= {f"{k}_all": ORACLES[k] for k in ("segment_values", "period_mode", "answer_json")}

@@ -1,4 +1,4 @@
-"""Text extraction from filings: sections, windows, tables, values by pattern, conventions, citations."""
+"""Text extraction from filings: sections, windows, tables, values by pattern, conventions."""
 
 from __future__ import annotations
 
@@ -12,7 +12,8 @@ from pyspark.sql.types import MapType, StringType
 
 from tallyspark.functions import labels as L
 from tallyspark.functions import text as T
-from tallyspark.plans.views import SQL, facts, filings, table
+from tallyspark.operators.documents import SAID, said_around
+from tallyspark.plans.views import SQL, companies, filings, table
 
 #: Headings of half-yearly reports, in the order in which they are tried.
 HEADINGS = [
@@ -30,9 +31,6 @@ HEADINGS = [
 WHOLE, HEAD, TAIL = 500_000, 35_000, 60_000
 #: Cues of tables with segment revenue.
 INDICATORS = ["North America", "International", "Total", "Productivity", "Personal Computing", "Google Services", "Other Bets"]
-#: Period headers that are counted.
-HEADERS = {"three_months": r"three\s+months\s+ended", "six_months": r"six\s+months\s+ended", "nine_months": r"nine\s+months\s+ended", "year": r"(?:fiscal\s+)?years?\s+ended", "quarter": r"quarters?\s+ended", "interim": r"interim"}
-
 
 def headed_sections(text: str) -> dict[str, str]:
     """Sections by headings near the start of a line; a later one of the same name counts if it is longer than 500 signs."""
@@ -116,28 +114,35 @@ def derived_rest(total: Column, online: Column, third: Column, non_online: Colum
     return F.coalesce(total - online - third, non_online)
 
 
-def convention_warnings(text: Column, declared: Column, expect: Column, forbid: Column) -> Column:
-    """Where a filing's period headers don't fit the declared convention: names of rules, as an array."""
-    n = {k: F.regexp_count(text, F.lit(f"(?i){p}")) for k, p in HEADERS.items()}
-    low = F.lower(text)
-    some = lambda xs: F.exists(xs, lambda x: F.contains(low, F.lower(x)))
+def convention_warnings(text: Column, known: Column, declared: Column, expect: Column, forbid: Column) -> Column:
+    """Where a filing's period headers don't fit the company's convention: warnings, as an array.
+
+    known: whether the company has a convention; without one that is the only warning. declared: that of the metric, if it
+    has one of its own, else the company's. One of the phrases of expect must be in the text, and none of forbid, in any case."""
+    n, low = T.header_counts(text), F.lower(text)
+    listed = lambda xs: F.coalesce(xs, F.array().cast("array<string>"))
+    within = lambda x: F.contains(low, F.lower(x))
     rules = [
-        (declared.isNull(), "undeclared"),
-        ((F.size(expect) > 0) & ~some(expect), "expected phrase missing"),
-        (some(forbid), "disallowed phrase"),
+        ((F.size(listed(expect)) > 0) & ~F.exists(listed(expect), within), "expected phrase missing"),
         ((declared == "standalone_quarterly") & (n["nine_months"] > 0), "nine months in a standalone filer"),
         ((declared == "ytd_cumulative") & (n["three_months"] == 0) & (n["nine_months"] == 0), "no cumulative headers"),
         ((declared == "semi_annual") & (n["three_months"] > 0) & (n["six_months"] == 0), "three months in a half-yearly filer"),
     ]
-    return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for bad, name in rules]))
+    said = [F.when(bad, F.lit(name)) for bad, name in rules]
+    seen = F.transform(F.filter(listed(forbid), within), lambda x: F.concat(F.lit("disallowed phrase: "), x))
+    return F.when(known, F.concat(F.array_compact(F.array(said[0])), seen, F.array_compact(F.array(*said[1:])))).otherwise(F.array(F.lit("undeclared")))
+
 
+def check_conventions(texts: DataFrame, conventions: DataFrame) -> DataFrame:
+    """texts (ticker, metric or null, text, and others) with `declared` and `warnings`.
 
-def citation(form: Column, filed: Column, section: Column, quote: Column, formula: Column, verified: Column) -> Column:
-    """A fact's citation, line by line: what it is derived from, or its filing, section and first sentence with a number."""
-    source = F.when(formula.isNotNull(), F.concat(F.lit("Derived: "), formula)).when(form.startswith("HK-"), F.concat(F.lit("HKEX "), form, F.lit(" of "), filed)).otherwise(F.concat(F.lit("SEC "), form, F.lit(" filed "), filed))
-    said = F.try_element_at(F.filter(F.split(L.clean_entities(quote), r"(?<=[.!?])\s+"), lambda s: s.rlike("[0-9]")), F.lit(1))
-    parts = F.array(source, F.when(section != "", F.concat(F.lit("Section: "), section)), F.when(verified, "Independently verified"), F.when(said.isNotNull(), F.concat(F.lit('Quote: "'), F.substring(said, 1, 200), F.lit('"'))))
-    return F.array_join(F.array_compact(parts), "\n")
+    conventions: one row a company: ticker, convention, per_metric (a map of metrics' own), expect, forbid (phrases). Each
+    company's row meets its texts by an equality join."""
+    c = conventions.select("ticker", F.lit(True).alias("__known"), "convention", "per_metric", "expect", "forbid")
+    out = texts.join(c, "ticker", "left")
+    declared = F.coalesce(F.try_element_at("per_metric", F.coalesce("metric", F.lit(""))), "convention")
+    warnings = convention_warnings(F.coalesce("text", F.lit("")), F.coalesce("__known", F.lit(False)), declared, F.col("expect"), F.col("forbid"))
+    return out.select(*texts.columns, declared.alias("declared"), warnings.alias("warnings"))
 
 
 def release_search(candidates: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -156,7 +161,7 @@ def release_search(candidates: DataFrame, keys: list[str], order: list[Column])
 def _reports(spark, sf_dir):
     """Texts with headings and tables set in."""
     d = table(spark, sf_dir, "documents")
-    body = F.substring(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\[\]]", " "), 1, 3000)
+    body = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\[\]]", " ")
     tables = F.concat(F.lit("\n[TABLE]\nSegment\t2014\t2013\nCloud\t"), F.col("doc_id") * 37 + 800, F.lit("\t900\nTotal revenue\t5,000\n[/TABLE]\nand "), F.lit("[TABLE]Cloud goodwill"), F.when(F.col("doc_id") % 3 == 0, " employees").otherwise(" 2012 2011 net  sales International"), F.lit("[/TABLE][TABLE]AI\t12[/TABLE]"))
     heads = F.concat(F.lit("\nFinancial  Review\n"), body, F.lit("\nsee md&a above, notes to the accounts\nManagement discussion and analysis\n"), F.when(F.col("doc_id") % 2 == 0, body).otherwise("short"), F.lit("\nFinancial review\nend"))
     return d.select("doc_id", F.concat(heads, tables).alias("text"))
@@ -221,18 +226,14 @@ def derived_values(spark, sf_dir):
 
 
 def convention_check(spark, sf_dir):
+    """Documents with period headers set in, against conventions of companies and of metrics."""
     d = table(spark, sf_dir, "documents")
-    said = F.expr("element_at(array('three months ended', 'Nine  Months ended', 'six months ended three months ended', 'interim report', 'year ended'), cast(doc_id % 5 as int) + 1)")
-    declared = F.expr("element_at(array('standalone_quarterly', 'ytd_cumulative', 'semi_annual', null), cast(doc_id % 4 as int) + 1)")
-    expect = F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("INTERIM"))).otherwise(F.array().cast("array<string>"))
-    return d.select("doc_id", F.array_join(convention_warnings(said, declared, expect, F.array(F.lit("Six months"))), ";").alias("warnings"))
-
-
-def citations(spark, sf_dir):
-    f = facts(spark, sf_dir)
-    quote = F.concat(F.lit("Well said!&nbsp;It was&#160;"), F.col("partkey"), F.lit(" in all. End"))
-    formula = F.when(F.col("model") == "reconcile-derived", F.lit("FY-9M"))
-    return f.select("doc_id", "metric", "partkey", "suppkey", "quantity", "tax", F.md5(citation(F.col("form"), F.col("filing_date").cast("string"), F.when(F.col("suppkey") % 2 == 0, "Notes").otherwise(""), quote, formula, F.col("suppkey") % 3 == 0)).alias("digest"))
+    texts = d.select("doc_id", (F.col("doc_id") % 30).alias("ticker"), F.expr("element_at(array('revenue', 'other', null), cast(doc_id % 3 as int) + 1)").alias("metric"), said_around(d).alias("text"))
+    kind = F.expr("element_at(array('standalone_quarterly', 'ytd_cumulative', 'semi_annual'), cast(ticker % 3 as int) + 1)")
+    own = F.when(F.col("ticker") % 4 == 0, F.create_map(F.lit("revenue"), F.lit("semi_annual")))
+    expect = F.when(F.col("ticker") % 5 == 0, F.array(F.lit("INTERIM"), F.lit("Quarterly ended")))
+    rows = companies(spark, sf_dir).filter("ticker < 30 and ticker % 7 > 0").select("ticker", kind.alias("convention"), own.alias("per_metric"), expect.alias("expect"), F.array(F.lit("six-Months"), F.lit("twelve-")).alias("forbid"))
+    return check_conventions(texts, rows).select("doc_id", "declared", F.array_join("warnings", ";").alias("warnings"))
 
 
 def releases(spark, sf_dir):
@@ -250,12 +251,26 @@ def latest_releases(spark, sf_dir):
     return f.groupBy("ticker").agg(F.max_by("doc_id", F.struct("filing_date", "doc_id")).alias("doc_id"))
 
 
+#: Sentences around a value, set into documents; without a full stop before, of other endings, or with an odd unit.
+AROUND_VALUE = [" Spending was {} for us. More of it.", " note 1.2 spending {}! Then", " capex: $ {} and so on without an end, which goes further than a quote does, for a whole line and more of it", "? We spent {}.\nNext line. ", " of 3.{} (capex). "]
+
+
+def quote_texts(spark, sf_dir):
+    """Documents with a value set into the middle: doc_id, value, keywords, text."""
+    d = table(spark, sf_dir, "documents")
+    i = F.col("doc_id")
+    v = (i * 977 % 20_000 - 50).cast("double") + F.when(i % 4 == 0, 0.5).otherwise(0.0)
+    said = F.when(i % 3 == 0, F.concat(F.format_number(v, 0), F.lit(" million"))).when(i % 3 == 1, F.format_number(v, 0)).otherwise(F.concat(F.format_number(v / 1000, 1), F.lit(" billion")))
+    pick = F.element_at(F.array(*[F.lit(x) for x in AROUND_VALUE]), (i % len(AROUND_VALUE) + 1).cast("int"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    text = F.concat(F.substring(F.col("text"), F.lit(1), half), F.replace(pick, F.lit("{}"), said), F.substring(F.col("text"), half + 1, F.length("text")))
+    keys = F.when(i % 7 == 0, F.array().cast("array<string>")).when(i % 7 == 1, F.array(F.lit("nothing"))).otherwise(F.array(F.lit("CAPEX"), F.lit("sp")))
+    return d.select("doc_id", v.alias("value"), keys.alias("keywords"), text.alias("text"))
+
+
 def found_quotes(spark, sf_dir):
-    """The sentence around each order's value, in a text made of it."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.floor("o_totalprice").alias("v"))
-    text = F.concat(F.lit("First words here. In the year, spending was "), F.when(F.col("o_orderkey") % 2 == 0, F.format_number("v", 0)).otherwise(F.concat(F.format_number(F.col("v") / 1000, 1), F.lit(" billion"))), F.lit(" for us. More of it."))
-    keys = F.array(F.when(F.col("o_orderkey") % 3 == 0, F.lit("nothing")).otherwise(F.lit("SPENDING")))
-    return o.select("o_orderkey", T.quotes(text, F.col("v").cast("double"), keys).alias("quote"))
+    """The sentence around a known value in each document."""
+    return quote_texts(spark, sf_dir).select("doc_id", T.quotes(F.col("text"), F.col("value"), F.col("keywords")).alias("quote"))
 
 
 def keyword_lists(spark, sf_dir):
@@ -274,15 +289,14 @@ QUERIES = {
     "pattern_values": pattern_values,
     "derived_values": derived_values,
     "convention_check": convention_check,
-    "citations": citations,
     "release_search": releases,
     "latest_releases": latest_releases,
     "found_quotes": found_quotes,
     "keyword_lists": keyword_lists,
 }
-_BODY = "substr(regexp_replace(coalesce(text, ''), '[\\[\\]]', ' ', 'g'), 1, 3000)"
 _RAW = """t AS (SELECT doc_id, 0 AS pos, 'Segment' || chr(9) || '2014' || chr(9) || '2013' || chr(10) || 'Cloud' || chr(9) || (doc_id * 37 + 800) || chr(9) || '900' || chr(10) || 'Total revenue' || chr(9) || '5,000' AS raw, 23 AS score FROM documents
 UNION ALL SELECT doc_id, 1, 'Cloud goodwill' || CASE WHEN doc_id % 3 = 0 THEN ' employees' ELSE ' 2012 2011 net  sales International' END, CASE WHEN doc_id % 3 = 0 THEN -20 ELSE 13 END FROM documents UNION ALL SELECT doc_id, 2, 'AI' || chr(9) || '12', 10 FROM documents)"""
+_SAID = "[" + ", ".join(f"'{x}'" for x in SAID) + "]"
 ORACLES = {
     "section_choice": "SELECT doc_id, 'ITEM 7A' AS name, 'two' AS part FROM documents UNION ALL SELECT doc_id, 'Item 1', 'one' FROM documents WHERE doc_id % 4 = 1",
     "section_fallback": "SELECT doc_id, '_full (truncated)' AS name, md5(substr(coalesce(text, ''), 1, 500000)) AS digest FROM documents",
@@ -292,9 +306,11 @@ ORACLES = {
     "pattern_values": """WITH s AS (SELECT o_orderkey, floor(o_totalprice) + CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 0.5 END AS n, CASE WHEN o_orderkey % 3 = 0 THEN 1000 ELSE 1 END AS f, ['A', 'A', 'B', 'C', 'B'][o_orderkey % 5 + 1] AS key FROM orders)
 SELECT o_orderkey, CASE key WHEN 'A' THEN CASE WHEN o_orderkey % 4 < 2 THEN n * f ELSE 7 END WHEN 'B' THEN CASE WHEN o_orderkey % 4 = 2 THEN n * f END END::DOUBLE AS value FROM s""",
     "derived_values": "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN o_orderkey + 200 WHEN o_orderkey % 5 = 0 THEN 77 END::DOUBLE AS rest FROM orders",
-    "convention_check": """WITH x AS (SELECT doc_id, doc_id % 5 AS s, doc_id % 4 AS d, doc_id % 3 = 0 AS e FROM documents)
-SELECT doc_id, concat_ws(';', CASE WHEN d = 3 THEN 'undeclared' END, CASE WHEN e AND s <> 3 THEN 'expected phrase missing' END, CASE WHEN s = 2 THEN 'disallowed phrase' END, CASE WHEN d = 0 AND s = 1 THEN 'nine months in a standalone filer' END, CASE WHEN d = 1 AND s IN (3, 4) THEN 'no cumulative headers' END, CASE WHEN d = 2 AND s = 0 THEN 'three months in a half-yearly filer' END) AS warnings FROM x""",
-    "citations": f"""{SQL} SELECT doc_id, metric, partkey, suppkey, quantity, tax, md5(concat_ws(chr(10), CASE WHEN model = 'reconcile-derived' THEN 'Derived: FY-9M' WHEN form = 'HK-IR' THEN 'HKEX HK-IR of ' || filing_date ELSE 'SEC ' || form || ' filed ' || filing_date END, CASE WHEN suppkey % 2 = 0 THEN 'Section: Notes' END, CASE WHEN suppkey % 3 = 0 THEN 'Independently verified' END, 'Quote: "It was ' || partkey || ' in all."')) AS digest FROM facts""",
+    "convention_check": f"""{SQL}, t AS (SELECT doc_id, doc_id % 30 AS ticker, ['revenue', 'other', NULL][doc_id % 3 + 1] AS metric, lower({_SAID}[doc_id % 10 + 1] || '. ' || coalesce(text, '') || ' ' || {_SAID}[doc_id // 10 % 10 + 1] || '; ' || {_SAID}[doc_id // 3 % 10 + 1]) AS t FROM documents),
+c AS (SELECT ticker, ['standalone_quarterly', 'ytd_cumulative', 'semi_annual'][ticker % 3 + 1] AS kind FROM companies WHERE ticker < 30 AND ticker % 7 > 0),
+x AS (SELECT t.*, kind, CASE WHEN kind IS NOT NULL AND metric = 'revenue' AND ticker % 4 = 0 THEN 'semi_annual' ELSE kind END AS declared, regexp_matches(t, 'three[-\\s–—]*months?\\s+ended') AS m3, regexp_matches(t, 'six[-\\s–—]*months?\\s+ended') AS m6, regexp_matches(t, 'nine[-\\s–—]*months?\\s+ended') AS m9 FROM t LEFT JOIN c USING (ticker))
+SELECT doc_id, declared, CASE WHEN kind IS NULL THEN 'undeclared' ELSE concat_ws(';', CASE WHEN ticker % 5 = 0 AND NOT contains(t, 'interim') AND NOT contains(t, 'quarterly ended') THEN 'expected phrase missing' END, CASE WHEN contains(t, 'six-months') THEN 'disallowed phrase: six-Months' END, CASE WHEN contains(t, 'twelve-') THEN 'disallowed phrase: twelve-' END,
+  CASE WHEN declared = 'standalone_quarterly' AND m9 THEN 'nine months in a standalone filer' END, CASE WHEN declared = 'ytd_cumulative' AND NOT m3 AND NOT m9 THEN 'no cumulative headers' END, CASE WHEN declared = 'semi_annual' AND m3 AND NOT m6 THEN 'three months in a half-yearly filer' END) END AS warnings FROM x""",
     "release_search": f"""{SQL}, c AS (SELECT ticker, filing_date AS filed, doc_id AS accession, doc_id % 10 AS score, period AS period_end, abs(filing_date - (period + 45)) AS off FROM filings
   WHERE filing_date - period BETWEEN 7 AND 120 AND (doc_id % 7 = 0 OR trunc(total)::BIGINT % 90000 >= 40000 OR trunc(total)::BIGINT % 90000 = 0) AND doc_id % 10 >= 4 AND doc_id % 11 <= 7),
 d AS (SELECT *, first_value(filed) OVER (PARTITION BY ticker, period_end ORDER BY off, filed DESC, accession) AS day FROM c)

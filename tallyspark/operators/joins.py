@@ -17,13 +17,14 @@ def asof(left: DataFrame, right: DataFrame, key: str, date: str, right_date: str
     """left with the value of the latest row of right (one per key and date) on or before the date, or null.
 
     Each row of right holds until the next one. It is repeated for the months in which it holds, so that the join is an
-    equality of key and month with a filter that at most one row fits; left rows, repeated ones too, stay as they are. A
+    equality of key and month with a filter that at most one row fits; left rows, repeated ones too, stay as they are. Of
+    right rows of one key and date the largest value counts. A
     right side of counted size is broadcast, so that left isn't shuffled; a larger one is spread over keys and months.
     """
-    end = F.lead(right_date).over(Window.partitionBy(key).orderBy(right_date))
+    end = F.lead(right_date).over(Window.partitionBy(key).orderBy(right_date, value))
     last = left.agg(F.max(date)).first()[0]
     held = right.select(F.col(key).alias("__key"), F.col(right_date).alias("__from"), end.alias("__to"), F.col(value))
-    held = held.withColumn("__until", F.coalesce(F.date_sub("__to", 1), F.greatest(F.lit(last).cast("date"), "__from")))
+    held = held.filter("__to is null or __to > __from").withColumn("__until", F.coalesce(F.date_sub("__to", 1), F.greatest(F.lit(last).cast("date"), "__from")))
     month = F.explode(F.sequence(F.trunc("__from", "month"), F.trunc("__until", "month"), F.expr("interval 1 month")))
     held = held.withColumn("__month", month)
     held = F.broadcast(held) if held.count() <= MOST_HELD else held

@@ -25,12 +25,13 @@ def plausible(metric: Column, value: Column) -> Column:
     return F.coalesce(*[F.when(metric == m, value.between(lo, hi)) for m, (lo, hi) in RANGES.items()])
 
 
-def extraction_chain(metric: Column, approach: Column, treatment: Column) -> Column:
+def extraction_chain(metric: Column, approach: Column, treatment: Column, form: Column) -> Column:
     """The extractors to try, in order: facts before the model for statements and whole companies, segments where they are
-    named and facts are the main source, else the model; none for an unknown company."""
+    named and facts are the main source, else the model; none for an unknown company. Of a 6-K only the model remains."""
     chain = lambda *names: F.array(*map(F.lit, names))
     segment = F.when(treatment == "whole_company", chain("facts", "model")).when(treatment.isin("named_segment", "named_segment_fuzzy") & (approach == "xbrl_primary"), chain("segment", "model"))
     known = F.when(metric.isin(*HEADLINE), chain("facts", "model")).when(metric == "cloud_segment_revenue", F.coalesce(segment, chain("model"))).otherwise(chain("model"))
+    known = F.when(form == "6-K", F.filter(known, lambda x: x == "model")).otherwise(known)
     return F.when(approach.isNull(), F.array().cast("array<string>")).otherwise(known)
 
 
@@ -128,7 +129,8 @@ def range_plausibility(spark, sf_dir):
 def chains(spark, sf_dir):
     approach = F.expr("element_at(array('xbrl_primary', 'llm_primary', null), cast(ticker % 3 as int) + 1)")
     treatment = F.expr("element_at(array('whole_company', 'named_segment', 'named_segment_fuzzy', 'derived_subtraction', null), cast(ticker % 5 as int) + 1)")
-    return _named(spark, sf_dir).select("ticker", "name").distinct().select("ticker", "name", F.array_join(extraction_chain(F.col("name"), approach, treatment), ">").alias("chain"))
+    form = F.when(F.col("ticker") % 4 == 0, "6-K").otherwise("10-K")
+    return _named(spark, sf_dir).select("ticker", "name").distinct().select("ticker", "name", F.array_join(extraction_chain(F.col("name"), approach, treatment, form), ">").alias("chain"))
 
 
 def filtered_facts(spark, sf_dir):
@@ -310,7 +312,7 @@ ORACLES = {
     "range_plausibility": f"""{_won}, x AS (SELECT *, (value_usd - 20000) * CASE WHEN suppkey % 5 = 0 THEN 20 ELSE 1 END AS x FROM won)
 SELECT ticker, fy, metric, period_type, CASE metric WHEN 'm1' THEN x BETWEEN 0 AND 200000 WHEN 'm2' THEN x BETWEEN 0 AND 700000 WHEN 'm3' THEN x BETWEEN -50000 AND 250000 WHEN 'm4' THEN x BETWEEN 0 AND 100000 WHEN 'm5' THEN x BETWEEN 0 AND 500000 WHEN 'm6' THEN x BETWEEN 0 AND 200000 END AS passed FROM x""",
     "extraction_chains": f"""{_won}, d AS (SELECT DISTINCT ticker, metric FROM won) SELECT ticker, CASE metric WHEN 'm1' THEN 'capital_expenditures' WHEN 'm2' THEN 'revenue' WHEN 'm3' THEN 'operating_cash_flow' WHEN 'm4' THEN 'depreciation_amortization' WHEN 'm5' THEN 'property_plant_equipment_net' WHEN 'm6' THEN 'cloud_segment_revenue' ELSE 'other' END AS name,
-  CASE WHEN ticker % 3 = 2 THEN '' WHEN metric IN ('m1', 'm2', 'm3', 'm4', 'm5') THEN 'facts>model' WHEN metric = 'm6' AND ticker % 5 = 0 THEN 'facts>model' WHEN metric = 'm6' AND ticker % 5 IN (1, 2) AND ticker % 3 = 0 THEN 'segment>model' ELSE 'model' END AS chain FROM d""",
+  CASE WHEN ticker % 3 = 2 THEN '' WHEN ticker % 4 = 0 THEN 'model' WHEN metric IN ('m1', 'm2', 'm3', 'm4', 'm5') THEN 'facts>model' WHEN metric = 'm6' AND ticker % 5 = 0 THEN 'facts>model' WHEN metric = 'm6' AND ticker % 5 IN (1, 2) AND ticker % 3 = 0 THEN 'segment>model' ELSE 'model' END AS chain FROM d""",
     "filtered_facts": f"{_won} SELECT ticker, fy, metric, period_type, value_usd / 1000 AS billions FROM won WHERE metric = 'm2' AND fy BETWEEN 1995 AND 1997",
     "evidence_rows": f"{SQL}, {_ev} SELECT doc_id, pos, excerpt FROM ev WHERE role = 'primary_value' AND doc_id IN (SELECT doc_id FROM filings WHERE form = '20-F')",
     "evidence_quote": f"{SQL}, {_ev} SELECT f.doc_id, arg_min(excerpt, (pos, excerpt)) AS excerpt FROM filings f LEFT JOIN ev ON ev.doc_id = f.doc_id AND role = 'primary_value' GROUP BY f.doc_id",

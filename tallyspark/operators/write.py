@@ -50,13 +50,15 @@ def in_dollars(results: DataFrame, docs: DataFrame, rates: DataFrame) -> DataFra
 def write_results(stored: DataFrame, results: DataFrame, docs: DataFrame, rates: DataFrame, order: list[str], force: bool = False, convention: Callable[[DataFrame], Column] | None = None) -> dict[str, DataFrame]:
     """Results put into the stored facts: tables `facts`, `audit`, `errors` and `summary`.
 
-    Results with errors aren't written. `convention` gives an array of warnings for a result; these are reported and the
-    result is written all the same. Known results (by KEY; of results that repeat one the first by `order` counts) are
+    Results with errors aren't written. `convention` gives an array of warnings for a result, and a foreign value without a rate
+    has one, too; these are reported and the result is written all the same. Known results (by KEY; of results that repeat one the first by `order` counts) are
     skipped, or replaced if forced; the audit has a row for each insertion and replacement.
     """
     checked = results.withColumn("errors", validation_errors(results))
     good = in_dollars(checked.filter("size(errors) = 0"), docs, rates)
-    warned = good.withColumn("warnings", convention(good)) if convention else good.withColumn("warnings", F.array().cast("array<string>"))
+    unpriced = F.when((F.col("currency") != "USD") & F.col("value").isNotNull() & F.col("value_usd").isNull(), F.lit("no exchange rate: the value in dollars is missing"))
+    told = convention(good) if convention else F.array().cast("array<string>")
+    warned = good.withColumn("warnings", F.concat(F.array_compact(F.array(unpriced)), told))
     bad = checked.filter("size(errors) > 0").select(*KEY, F.col("errors").alias("messages")).unionByName(warned.filter("size(warnings) > 0").select(*KEY, F.col("warnings").alias("messages")))
     w = Window.partitionBy(*KEY).orderBy(*order)
     one = warned.withColumn("__k", F.row_number().over(w)).withColumn("__n", F.count("*").over(Window.partitionBy(*KEY))).filter("__k = 1")
@@ -165,12 +167,33 @@ def restated_documents(docs: DataFrame, comparatives: DataFrame) -> DataFrame:
     return new.groupBy("ticker", "period").agg(F.min_by("doc_id", F.struct("filing_date", "doc_id")).alias("restating"))
 
 
+#: Sequence numbers that one task counts through at most.
+CHUNK = 10_000
+
+
 def note_ids(notes: DataFrame, existing: DataFrame) -> DataFrame:
-    """notes with ids HN-<date>-<number>, going on from the day's highest."""
-    top = existing.groupBy("day").agg(F.max(F.element_at(F.split("note_id", "-"), -1).cast("int")).alias("__top"))
-    n = F.row_number().over(Window.partitionBy("day").orderBy("seq"))
-    out = notes.join(top, "day", "left").withColumn("__n", n + F.coalesce("__top", F.lit(0)))
-    return out.withColumn("note_id", F.concat(F.lit("HN-"), F.date_format("day", "yyyyMMdd"), F.lit("-"), F.lpad("__n", 3, "0"))).drop("__top", "__n")
+    """notes (day, seq, and others) with ids HN-<date>-<number> of at least three digits, going on from the day's highest.
+
+    Numbers follow seq. A day's notes are counted in chunks of sequence numbers, whose running totals come first, so that a
+    busy day isn't one task's sort."""
+    number = F.regexp_extract("note_id", r"^HN-\d{4}-\d{2}-\d{2}-(\d+)$", 1).try_cast("long")
+    top = existing.groupBy("day").agg(F.max(number).alias("__top"))
+    rows = notes.withColumn("__chunk", F.floor(F.col("seq") / CHUNK))
+    counts = rows.groupBy("day", "__chunk").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("day").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.withColumn("__before", before).join(top, "day", "left").select("day", "__chunk", (F.col("__before") + F.coalesce("__top", F.lit(0))).alias("__start"))
+    own = F.row_number().over(Window.partitionBy("day", "__chunk").orderBy("seq"))
+    out = rows.withColumn("__own", own).join(starts, ["day", "__chunk"])
+    number = L.padded((F.col("__own") + F.col("__start")).cast("string"), 3)
+    return out.withColumn("note_id", F.concat(F.lit("HN-"), F.date_format("day", "yyyy-MM-dd"), F.lit("-"), number)).select(*notes.columns, "note_id")
+
+
+def revoke_notes(notes: DataFrame, doomed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(notes with the state of the doomed ids revoked, doomed ids that no note has)."""
+    gone = doomed.select("note_id").distinct()
+    marked = notes.join(gone.withColumn("__gone", F.lit(True)), "note_id", "left")
+    marked = marked.withColumn("state", F.when(F.col("__gone"), "revoked").otherwise(F.col("state"))).select(*notes.columns)
+    return marked, gone.join(notes, "note_id", "left_anti")
 
 
 def _results(spark, sf_dir):
@@ -301,10 +324,22 @@ def restated(spark, sf_dir):
     return restated_documents(f, rows)
 
 
-def note_numbering(spark, sf_dir):
+def _notes(spark, sf_dir):
     e = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.to_date("ts").alias("day"))
-    old = e.filter("seq % 50 = 0").select("day", F.concat(F.lit("HN-"), F.date_format("day", "yyyyMMdd"), F.lit("-"), F.lpad(F.col("seq") % 40, 3, "0")).alias("note_id"))
-    return note_ids(e.filter("seq % 50 > 0"), old).select("seq", "note_id")
+    old = e.filter("seq % 50 = 0").select("day", F.concat(F.lit("HN-"), "day", F.lit("-"), L.padded((F.col("seq") % 40 + 980).cast("string"), 3)).alias("note_id"))
+    return note_ids(e.filter("seq % 50 > 0"), old)
+
+
+def note_numbering(spark, sf_dir):
+    return _notes(spark, sf_dir).select("seq", "note_id")
+
+
+def note_revoked(spark, sf_dir):
+    """Notes whose number ends in 7, and an unknown one a day, are revoked: states, and what wasn't found."""
+    notes = _notes(spark, sf_dir).withColumn("state", F.lit("active"))
+    doomed = notes.filter("note_id like '%7'").select("note_id").unionByName(notes.select(F.concat(F.lit("HN-"), "day", F.lit("-0")).alias("note_id")).distinct())
+    out, unknown = revoke_notes(notes, doomed)
+    return out.select("note_id", "state").unionByName(unknown.withColumn("state", F.lit("unknown")))
 
 
 QUERIES = {
@@ -326,6 +361,7 @@ QUERIES = {
     "path_renames": path_renames,
     "restated_documents": restated,
     "note_numbering": note_numbering,
+    "note_revoked": note_revoked,
 }
 
 RESULTS = f"""{SQL}, r AS (SELECT l_orderkey AS doc_id, 'm' || l_linenumber AS metric, l_extendedprice AS value, ['USD_millions', 'USD_millions', 'bushel', 'percent'][l_partkey % 4 + 1] AS unit, ['direct', 'inferred', 'direct', 'derived', 'guess'][l_suppkey % 5 + 1] AS kind,
@@ -335,6 +371,8 @@ one AS (SELECT *, count(*) OVER (PARTITION BY doc_id, metric) AS n FROM e WHERE
 stored AS (SELECT DISTINCT doc_id, metric FROM r WHERE doc_id % 5 = 0),
 met AS (SELECT one.*, stored.doc_id IS NOT NULL AS known FROM one LEFT JOIN stored USING (doc_id, metric))"""
 _as = "'model' AS model, 'FY' AS period_type"
+NOTES = """WITH e AS (SELECT event_id AS seq, ts::DATE AS day FROM events), t AS (SELECT day, max(seq % 40 + 980) AS top FROM e WHERE seq % 50 = 0 GROUP BY day),
+k AS (SELECT seq, day, row_number() OVER (PARTITION BY day ORDER BY seq) + coalesce(top, 0) AS k FROM e LEFT JOIN t USING (day) WHERE seq % 50 > 0), n AS (SELECT seq, day, 'HN-' || day || '-' || repeat('0', greatest(3 - length(k::VARCHAR), 0)::BIGINT) || k AS note_id FROM k)"""
 ORACLES = {
     "result_errors": f"{RESULTS} SELECT doc_id, metric, partkey, suppkey, errors FROM e",
     "fx_on_write": f"""{RESULTS}, d AS (SELECT doc_id, currency, period, 2.0::DOUBLE ** (month(period) / 3 % 4 - 2) AS rate FROM filings WHERE doc_id % 4 > 0)
@@ -363,6 +401,6 @@ SELECT ticker, CASE WHEN ticker % 11 > 0 THEN '{{"currency":"' || currency || '"
     "path_renames": f"{SQL} SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN CASE WHEN doc_id % 2 = 0 THEN 'a/b/' ELSE '' END || '[' || strftime(filing_date, '%Y.%m.%d') || '][' || ticker || '][' || coalesce(token, 'AR') || '].htm' END AS path FROM filings",
     "restated_documents": f"""{SQL}, c AS (SELECT doc_id, ticker, filing_date, CASE WHEN doc_id % 2 = 0 THEN (period - INTERVAL 12 MONTH)::DATE ELSE make_date(fy - 1, fye, CASE WHEN fye = 2 THEN 28 WHEN fye IN (4, 6, 9, 11) THEN 30 ELSE 31 END) END AS period FROM filings WHERE doc_id % 5 > 0)
 SELECT ticker, period, arg_min(doc_id, (filing_date, doc_id)) AS restating FROM c WHERE (ticker, period) NOT IN (SELECT (ticker, period) FROM filings WHERE form = '6-K') GROUP BY ticker, period""",
-    "note_numbering": """WITH e AS (SELECT event_id AS seq, ts::DATE AS day FROM events), t AS (SELECT day, max(seq % 40) AS top FROM e WHERE seq % 50 = 0 GROUP BY day)
-SELECT seq, 'HN-' || strftime(day, '%Y%m%d') || '-' || lpad((row_number() OVER (PARTITION BY day ORDER BY seq) + coalesce(top, 0))::VARCHAR, 3, '0') AS note_id FROM e LEFT JOIN t USING (day) WHERE seq % 50 > 0""",
+    "note_numbering": f"{NOTES} SELECT seq, note_id FROM n",
+    "note_revoked": f"{NOTES} SELECT note_id, CASE WHEN note_id LIKE '%7' THEN 'revoked' ELSE 'active' END AS state FROM n UNION ALL SELECT DISTINCT 'HN-' || day || '-0', 'unknown' FROM n",
 }

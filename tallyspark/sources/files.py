@@ -45,17 +45,33 @@ def main_exhibit(found: Column, least: int = 40_000) -> Column:
     return F.try_element_at(F.filter(found, lambda x: (x["size"] >= least) | (x["size"] == 0)), F.lit(1))
 
 
+#: A field of comma-separated text, quoted or not, and a record of such fields; a quoted one may hold commas and line ends.
+FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,\r\n]*+|(?!")[^,\r\n]*+|"[^,\r\n]*+)'
+RECORD = rf"{FIELD}(?:,{FIELD})*+"
+
+
+def csv_fields(record: Column) -> Column:
+    """The fields of a record, without their quotes."""
+    fields = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(rf",({FIELD})"), 1)
+    inner = lambda x: F.replace(F.regexp_extract(x, r'(?s)^"(.*)"([^"]*)$', 1), F.lit('""'), F.lit('"'))
+    after = lambda x: F.regexp_extract(x, r'(?s)^"(.*)"([^"]*)$', 2)
+    return F.transform(fields, lambda x: F.when(x.rlike(r'(?s)^".*"[^"]*$'), F.concat(inner(x), after(x))).otherwise(x))
+
+
 def calendar_rows(replies: DataFrame, text_col: str, *keys: str) -> DataFrame:
-    """Rows of earnings calendars as comma-separated text with a header; an error body or an unknown header is an error."""
+    """Rows of earnings calendars as comma-separated text with a header; an error body or an unknown header is an error.
+
+    Fields may be quoted, with commas, line ends and doubled quotes within. Missing fields are null, empty lines are skipped."""
     text = F.ltrim(text_col)
-    lines = F.split(F.rtrim(text), r"\r?\n")
+    records = F.filter(F.regexp_extract_all(text, F.lit(RECORD), 0), lambda x: x != "")
+    head = csv_fields(F.try_element_at(records, F.lit(1)))
     fault = F.when(text.startswith("{"), F.raise_error(F.concat(F.lit("an error instead of a calendar: "), F.substring(text, 1, 200))))
-    fault = fault.when(~F.forall(F.array(*[F.lit(x) for x in ("symbol", "reportDate", "fiscalDateEnding")]), lambda n: F.array_contains(F.split(lines[0], ","), n)), F.raise_error(F.lit("no earnings-calendar header")))
-    rows = replies.select(*keys, F.coalesce(fault.cast("array<string>"), lines).alias("lines"))
-    rows = rows.select(*keys, F.split(F.col("lines")[0], ",").alias("head"), F.explode(F.slice("lines", F.lit(2), F.size("lines"))).alias("line"))
-    at = lambda n: F.try_element_at(F.split("line", ",", -1), F.array_position("head", n).cast("int"))
-    known = lambda n: F.when(F.array_contains("head", n), at(n))
-    return rows.filter("line <> ''").select(*keys, *[known(n).alias(n) for n in CALENDAR])
+    fault = fault.when(~F.forall(F.array(*[F.lit(x) for x in ("symbol", "reportDate", "fiscalDateEnding")]), lambda n: F.coalesce(F.array_contains(head, n), F.lit(False))), F.raise_error(F.lit("no earnings-calendar header")))
+    rows = replies.select(*keys, F.coalesce(fault.cast("array<string>"), records).alias("records"))
+    rows = rows.select(*keys, csv_fields(F.col("records")[0]).alias("head"), F.explode(F.slice("records", F.lit(2), F.size("records"))).alias("record"))
+    rows = rows.withColumn("fields", csv_fields(F.col("record")))
+    at = lambda n: F.try_element_at("fields", F.array_position("head", n).cast("int"))
+    return rows.select(*keys, *[F.when(F.array_contains("head", n), at(n)).alias(n) for n in CALENDAR])
 
 
 def first_in_feed(pages: DataFrame, json_col: str, page: str, kind: Column, *keys: str) -> DataFrame:
@@ -152,18 +168,18 @@ def exhibit_index(spark, sf_dir):
 def calendar_feed(spark, sf_dir):
     """A reply per company, with its columns in one of two orders."""
     c = companies(spark, sf_dir)
-    a = F.concat(F.lit("symbol,name,reportDate,fiscalDateEnding,estimate,currency\n"), "ticker", F.lit(",Foo,1997-05-0"), F.col("ticker") % 9 + 1, F.lit(",1997-03-31,,"), "currency", F.lit("\n"), "ticker", F.lit(",Foo,1997-08-01,1997-06-30,1.5,\n"))
-    b = F.concat(F.lit("reportDate,symbol,fiscalDateEnding\r\n1998-01-02,"), "ticker", F.lit(",1997-12-31\r\n"))
+    a = F.concat(F.lit("symbol,name,reportDate,fiscalDateEnding,estimate,currency\n"), "ticker", F.lit(',"Foo, ""the"" Corp",1997-05-0'), F.col("ticker") % 9 + 1, F.lit(",1997-03-31,,"), "currency", F.lit("\n"), "ticker", F.lit(",Foo,1997-08-01,1997-06-30,1.5,\n"))
+    b = F.concat(F.lit('reportDate,symbol,"fiscalDateEnding"\r\n\r\n1998-01-02,'), "ticker", F.lit(",1997-12-31\r\n"))
     return calendar_rows(c.select(F.when(F.col("ticker") % 3 > 0, a).otherwise(b).alias("text")), "text")
 
 
 def paged_feed(spark, sf_dir):
-    """Orders as feed items, a hundred a page, newest first; the first annual report of each company."""
-    o = table(spark, sf_dir, "orders").withColumn("n", F.row_number().over(Window.partitionBy(F.col("o_custkey") % 50).orderBy(F.desc("o_orderkey"))) - 1)
-    item = F.struct("n", F.struct(F.col("o_orderkey").alias("id"), F.array(F.struct(F.lit("x").alias("sc")), F.struct(F.lpad("o_custkey", 5, "0").alias("sc"))).alias("stock"), F.when(F.col("o_orderstatus") == "F", "40000,40100").otherwise("40300").alias("t2Code"), F.concat(F.lit("Report 20"), F.lpad(F.col("o_orderkey") % 30, 2, "0")).alias("title"), F.date_format("o_orderdate", "dd/MM/yyyy HH:mm").alias("relTime")).alias("i"))
-    pages = o.groupBy((F.col("o_custkey") % 50).alias("feed"), F.floor(F.col("n") / 100).alias("page")).agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["i"]).alias("newsInfoLst"))
+    """Orders as feed items, twenty companies a feed, a hundred items a page, newest first; the first annual report of each company."""
+    o = table(spark, sf_dir, "orders").withColumn("n", F.row_number().over(Window.partitionBy(F.floor(F.col("o_custkey") / 20)).orderBy(F.desc("o_orderkey"))) - 1)
+    item = F.struct("n", F.struct(F.col("o_orderkey").alias("id"), F.array(F.struct(F.lit("x").alias("sc")), F.struct(L.padded(F.col("o_custkey").cast("string"), 5).alias("sc"))).alias("stock"), F.when(F.col("o_orderstatus") == "F", "40000,40100").otherwise("40300").alias("t2Code"), F.concat(F.lit("Report 20"), F.lpad(F.col("o_orderkey") % 30, 2, "0")).alias("title"), F.date_format("o_orderdate", "dd/MM/yyyy HH:mm").alias("relTime")).alias("i"))
+    pages = o.groupBy(F.floor(F.col("o_custkey") / 20).alias("feed"), F.floor(F.col("n") / 100).alias("page")).agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["i"]).alias("newsInfoLst"))
     pages = pages.select("feed", "page", F.to_json(F.struct("newsInfoLst")).alias("text"))
-    asked = companies(spark, sf_dir).select("ticker", (F.col("ticker") % 50).alias("feed"), F.lpad("ticker", 5, "0").alias("code"))
+    asked = companies(spark, sf_dir).select("ticker", F.floor(F.col("ticker") / 20).alias("feed"), L.padded(F.col("ticker").cast("string"), 5).alias("code"))
     out = asked.join(first_in_feed(pages, "text", "page", F.lit("40100"), "feed"), ["feed", "code"])
     filed = L.feed_date(F.col("relTime"))
     return out.select("ticker", "id", filed.alias("filed"), *[L.feed_period(F.col("title"), filed, F.lit(f)).alias(n) for f, n in (("HK-AR", "annual"), ("HK-IR", "interim"))])
@@ -237,7 +253,7 @@ ORACLES = {
 SELECT ticker, pos, 'a-' || doc_id AS "accessionNumber", filing_date::VARCHAR AS "filingDate", form FROM n WHERE form IN ('10-K', '10-K/A')""",
     "exhibit_index": """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN '0:ex99-0.htm:' || trunc(o_totalprice)::BIGINT || '|1:exhibit99.HTML:0' WHEN o_orderkey % 4 = 1 THEN '1:ex99-1.htm:' || trunc(o_totalprice)::BIGINT || '|1:exhibit99.HTML:0'
   ELSE '1:exhibit99.HTML:0|' || (o_orderkey % 4) || ':ex99-' || (o_orderkey % 4) || '.htm:' || trunc(o_totalprice)::BIGINT END AS exhibits, CASE WHEN o_orderkey % 4 < 2 AND trunc(o_totalprice) >= 100000 THEN 'ex99-' || (o_orderkey % 4) || '.htm' ELSE 'exhibit99.HTML' END AS main FROM orders""",
-    "calendar_feed": f"""{SQL} SELECT ticker::VARCHAR AS symbol, 'Foo' AS name, '1997-05-0' || (ticker % 9 + 1) AS "reportDate", '1997-03-31' AS "fiscalDateEnding", '' AS estimate, currency FROM companies WHERE ticker % 3 > 0
+    "calendar_feed": f"""{SQL} SELECT ticker::VARCHAR AS symbol, 'Foo, "the" Corp' AS name, '1997-05-0' || (ticker % 9 + 1) AS "reportDate", '1997-03-31' AS "fiscalDateEnding", '' AS estimate, currency FROM companies WHERE ticker % 3 > 0
 UNION ALL SELECT ticker::VARCHAR, 'Foo', '1997-08-01', '1997-06-30', '1.5', '' FROM companies WHERE ticker % 3 > 0 UNION ALL SELECT ticker::VARCHAR, NULL, '1998-01-02', '1997-12-31', NULL, NULL FROM companies WHERE ticker % 3 = 0""",
     "paged_feed": """WITH a AS (SELECT o_custkey AS ticker, max(o_orderkey) AS id FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) SELECT ticker, id, o_orderdate::DATE AS filed,
   make_date(CASE WHEN id % 30 BETWEEN 10 AND 29 THEN 2000 + id % 30 ELSE year(o_orderdate) - 1 END, 12, 31) AS annual, make_date(CASE WHEN id % 30 BETWEEN 10 AND 29 THEN 2000 + id % 30 ELSE year(o_orderdate) END, 6, 30) AS interim FROM a JOIN orders ON o_orderkey = id""",
