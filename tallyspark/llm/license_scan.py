@@ -51,7 +51,7 @@ NAMES = [
     ("mit-0", "mit 0", " mit ", f"mit no attribution(?: {LIC})?"),
     ("x11", "x11", " x11", f"(?:mit )?x11(?: style)? {LIC}"),
     ("isc", "isc", " isc ", f"isc {LIC}"),
-    ("bsd-2-clause", "bsd 2 clause", " bsd ", f"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd|two clause bsd)(?: {LIC})?"),
+    ("bsd-2-clause", "bsd 2 clause", "bsd", f"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd|two clause bsd)(?: {LIC})?"),
     ("bsd-3-clause", "bsd 3 clause", " bsd ", f"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd|three clause bsd)(?: {LIC})?"),
     ("bsd-4-clause", "bsd 4 clause", " bsd ", f"(?:bsd 4 clause|4 clause bsd|original bsd|old bsd|four clause bsd)(?: {LIC})?"),
     ("0bsd", "0bsd", "bsd", f"(?:0bsd|zero clause bsd|bsd 0 clause|bsd zero clause)(?: {LIC})?"),
@@ -78,7 +78,7 @@ NAMES = [
     ("unlicense", "unlicense", "unlicense", "(?:the )?unlicense"),
     ("wtfpl", "wtfpl", "public", f"do what the f[a-z]+ you want to public {LIC}"),
     ("zlib", "zlib", " zlib ", f"zlib(?: libpng)? {LIC}"),
-    ("libpng", "libpng", "libpng", f"(?:libpng|png reference library) {LIC}"),
+    ("libpng", "libpng", "png", f"(?:libpng|png reference library) {LIC}"),
     ("openssl", "openssl", "openssl", f"openssl {LIC}"),
     ("ssleay", "ssleay", "ssleay", f"(?:original )?ssleay {LIC}"),
     ("psf-2.0", "psf 2 0", "python software", f"python software foundation {LIC}(?: (?:v|version ?)?2)?"),
@@ -229,10 +229,10 @@ SHORT = [
     ("agpl-3.0", " agpl", "(?:gnu )?agpl(?: ?v? ?3(?: 0)?)?(?: only| or later)?"),
     ("gfdl", "free documentation", f"(?:gnu )?free documentation {LIC}"),
     ("apache", " apache ", f"apache(?: software)? {LIC}"),
-    ("apache-2.0", " apache ", "(?:under|using|with) apache(?: v)? ?2(?: 0)?"),
+    ("apache-2.0", " apache", "(?:under|using|with) apache(?: v)? ?2(?: 0)?"),
     ("asl-2.0", " asl ", "asl 2 0"),
     ("bsd", " bsd ", f"bsd(?: style| type)? {LIC}"),
-    ("mit", " mit ", f"(?:expat|mit style|mit type|mit expat|mit x11) {LIC}"),
+    ("mit", " mit ", f"(?:mit style|mit type|mit expat|mit x11) {LIC}"),
     ("mit", "expat", f"expat {LIC}"),
     ("mpl", "mozilla", f"mozilla public {LIC}"),
     ("mpl-2.0", " mpl", "mpl ?v? ?2 0"),
