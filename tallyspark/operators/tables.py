@@ -54,7 +54,7 @@ def relabel(df: DataFrame, column: str, names: dict[str, str]) -> DataFrame:
     return df.withColumn(column, F.coalesce(named(F.col(column), names), F.col(column)))
 
 
-def _orders(spark, sf_dir):
+def change_tables(spark, sf_dir):
     """A table before a change and the rows of the change."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
     old = o.filter("id % 3 <> 0").withColumn("price", F.when(F.col("id") % 7 > 0, F.col("price")))
@@ -63,23 +63,23 @@ def _orders(spark, sf_dir):
 
 
 def upsert_force(spark, sf_dir):
-    return upsert(*_orders(spark, sf_dir), ["id"])
+    return upsert(*change_tables(spark, sf_dir), ["id"])
 
 
 def upsert_skip(spark, sf_dir):
-    return upsert(*_orders(spark, sf_dir), ["id"], force=False)
+    return upsert(*change_tables(spark, sf_dir), ["id"], force=False)
 
 
 def guarded(spark, sf_dir):
-    return upsert_guarded(*_orders(spark, sf_dir), ["id"], F.col("status") == "O")
+    return upsert_guarded(*change_tables(spark, sf_dir), ["id"], F.col("status") == "O")
 
 
 def first_value(spark, sf_dir):
-    return upsert_first(*_orders(spark, sf_dir), ["id"])
+    return upsert_first(*change_tables(spark, sf_dir), ["id"])
 
 
 def manifest(spark, sf_dir):
-    old, new = _orders(spark, sf_dir)
+    old, new = change_tables(spark, sf_dir)
     sign = F.md5(F.concat_ws("|", "status", F.col("price").isNull().cast("string")))
     return manifest_diff(new.select("id", sign.alias("s")), old.select("id", sign.alias("s")), "id", "s")
 
@@ -98,7 +98,7 @@ def period_backfill(spark, sf_dir):
 
 
 def orphan_diff(spark, sf_dir):
-    old, new = _orders(spark, sf_dir)
+    old, new = change_tables(spark, sf_dir)
     uses = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"))
     return orphans(old, new, "id", uses)
 

@@ -47,12 +47,14 @@ def in_dollars(results: DataFrame, docs: DataFrame, rates: DataFrame) -> DataFra
     return out.withColumns({"value_usd": keep("value_usd", usd), "fx_rate": keep("fx_rate", rate), "fx_date": keep("fx_date", F.col("__p")), "currency": keep("currency", currency)}).drop("__c", "__p", "__r")
 
 
-def write_results(stored: DataFrame, results: DataFrame, docs: DataFrame, rates: DataFrame, order: list[str], force: bool = False, convention: Callable[[DataFrame], Column] | None = None) -> dict[str, DataFrame]:
-    """Results put into the stored facts: tables `facts`, `audit`, `errors` and `summary`.
+def write_results(stored: DataFrame, results: DataFrame, docs: DataFrame, rates: DataFrame, order: list[str], force: bool = False, convention: Callable[[DataFrame], Column] | None = None, provenance: Callable[[DataFrame], Column] | None = None, children: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Results put into the stored facts: tables `facts`, `audit`, `errors`, `checks` and `summary`, and the children.
 
     Results with errors aren't written. `convention` gives an array of warnings for a result, and a foreign value without a rate
-    has one, too; these are reported and the result is written all the same. Known results (by KEY; of results that repeat one the first by `order` counts) are
-    skipped, or replaced if forced; the audit has a row for each insertion and replacement.
+    has one, too; these are reported and the result is written all the same. Known results (by KEY; of results that repeat one
+    the first by `order` counts) are skipped, or replaced if forced; the rows that children (evidence, verdicts; with KEY) have
+    of a replaced fact are removed. The audit has a row for each insertion, and one before it, with the old values, for each
+    replacement. `provenance` tells whether a result's quote stands in its source; that is a check of each written result.
     """
     checked = results.withColumn("errors", validation_errors(results))
     good = in_dollars(checked.filter("size(errors) = 0"), docs, rates)
@@ -62,16 +64,24 @@ def write_results(stored: DataFrame, results: DataFrame, docs: DataFrame, rates:
     bad = checked.filter("size(errors) > 0").select(*KEY, F.col("errors").alias("messages")).unionByName(warned.filter("size(warnings) > 0").select(*KEY, F.col("warnings").alias("messages")))
     w = Window.partitionBy(*KEY).orderBy(*order)
     one = warned.withColumn("__k", F.row_number().over(w)).withColumn("__n", F.count("*").over(Window.partitionBy(*KEY))).filter("__k = 1")
-    old = stored.select(*KEY, F.col("value").alias("__old"), F.lit(True).alias("__known"))
+    old = stored.select(*KEY, F.col("value").alias("__old"), F.col("value_usd").alias("__old_usd"), F.lit(True).alias("__known"))
     met = one.join(old, KEY, "left").withColumn("__known", F.coalesce("__known", F.lit(False)))
     taken = met if force else met.filter(~F.col("__known"))
     rows = taken.select(*stored.columns)
     kept = stored.join(taken.select(*KEY), KEY, "left_anti") if force else stored
-    action = F.when(F.col("__known"), "overwritten").otherwise("inserted")
-    payload = F.to_json(F.struct(F.when(F.col("__known"), F.col("__old")).alias("old_value"), F.col("value").alias("new_value")))
+    names = {"doc_id": "source_document_id", "metric": "metric_key", "model": "extracting_model"}
+    who = {new: F.col(c) for c, new in names.items()}
+    told = lambda **values: F.to_json(F.struct(*[c.alias(n) for n, c in sorted((who | values).items())]), {"ignoreNullFields": "false"})
+    replaced = taken.filter("__known").select(*KEY, F.lit("overwritten").alias("action"), told(old_value=F.col("__old"), old_value_usd=F.col("__old_usd"), new_value=F.col("value"), period_type=F.col("period_type")).alias("payload"))
+    audit = replaced.unionByName(taken.select(*KEY, F.lit("inserted").alias("action"), told(value=F.col("value")).alias("payload")))
     summary = met.select(F.when(~F.col("__known"), "inserted").when(F.lit(force), "overwritten").otherwise("skipped").alias("outcome"), F.lit(1).alias("n"))
     summary = summary.unionByName(met.filter("__n > 1").select(F.lit("skipped").alias("outcome"), (F.col("__n") - 1).cast("int").alias("n"))).unionByName(bad.select(F.lit("errors").alias("outcome"), F.lit(1).alias("n")))
-    return {"facts": kept.unionByName(rows), "audit": taken.select(*KEY, action.alias("action"), payload.alias("payload")), "errors": bad, "summary": summary.groupBy("outcome").agg(F.sum("n").alias("n"))}
+    out = {"facts": kept.unionByName(rows), "audit": audit, "errors": bad, "summary": summary.groupBy("outcome").agg(F.sum("n").alias("n"))}
+    if provenance:
+        words = F.to_json(F.struct(F.when(F.btrim("quote") == "", 0).otherwise(F.size(F.split(F.btrim("quote"), r"\s+"))).alias("quote_length")))
+        out["checks"] = taken.select(*KEY, F.lit("provenance_substring").alias("check_name"), F.coalesce(provenance(taken), F.lit(False)).alias("passed"), words.alias("details"))
+    gone = taken.filter("__known").select(*KEY)
+    return out | {name: child.join(gone, KEY, "left_anti") for name, child in (children or {}).items()}
 
 
 def evidence_roles(excerpts: Column) -> Column:
@@ -226,11 +236,17 @@ def fx_on_write(spark, sf_dir):
     return in_dollars(_results(spark, sf_dir), _docs(spark, sf_dir), _rates(spark, sf_dir)).select("doc_id", "metric", *ORDER, F.round("value_usd", 2).alias("value_usd"), "fx_rate", "fx_date", "currency")
 
 
-def _written(spark, sf_dir, force):
+def write_tables(spark, sf_dir):
+    """Stored facts, results, documents and rates."""
     r = _results(spark, sf_dir)
     stored = r.filter("doc_id % 5 = 0").withColumn("__k", F.row_number().over(Window.partitionBy(*KEY).orderBy(*ORDER))).filter("__k = 1").drop("__k").withColumn("value", F.lit(1.0))
+    return stored, r, _docs(spark, sf_dir), _rates(spark, sf_dir)
+
+
+def _written(spark, sf_dir, force, provenance=None):
     late = lambda d: F.when(F.col("doc_id") % 10 == 1, F.array(F.lit("odd header"))).otherwise(F.array().cast("array<string>"))
-    return write_results(stored, r, _docs(spark, sf_dir), _rates(spark, sf_dir), ORDER, force, late)
+    stored, results, docs, rates = write_tables(spark, sf_dir)
+    return write_results(stored, results, docs, rates, ORDER, force, late, provenance)
 
 
 def fact_write(spark, sf_dir):
@@ -245,6 +261,12 @@ def write_audit(spark, sf_dir):
     return _written(spark, sf_dir, True)["audit"]
 
 
+def write_checks(spark, sf_dir):
+    """Whether each written result's quote stands in a source, here a sentence made of the part's number."""
+    source = F.when(F.col("partkey") % 2 == 0, "as it was said then").otherwise("nothing")
+    return _written(spark, sf_dir, True, lambda d: F.contains(source, F.col("quote")))["checks"].select(*KEY, "passed", "details")
+
+
 def write_summary(spark, sf_dir):
     return _written(spark, sf_dir, True)["summary"]
 
@@ -349,6 +371,7 @@ QUERIES = {
     "fact_overwrite": fact_overwrite,
     "write_audit": write_audit,
     "write_summary": write_summary,
+    "write_checks": write_checks,
     "evidence_write": evidence_write,
     "verdict_write": verdict_write,
     "cascade_delete": cascade,
@@ -380,7 +403,10 @@ SELECT doc_id, metric, partkey, suppkey, quantity, tax, value, CASE WHEN given I
   CASE WHEN given IS NULL THEN CASE WHEN coalesce(currency, 'USD') = 'USD' THEN 1.0 ELSE rate END END AS fx_rate, CASE WHEN given IS NULL THEN period END AS fx_date, CASE WHEN given IS NULL THEN coalesce(currency, 'USD') END AS currency FROM r LEFT JOIN d USING (doc_id)""",
     "fact_write": f"{RESULTS} SELECT doc_id, metric, {_as}, 1.0::DOUBLE AS value FROM stored UNION ALL SELECT doc_id, metric, {_as}, value FROM met WHERE NOT known",
     "fact_overwrite": f"{RESULTS} SELECT doc_id, metric, {_as}, coalesce(value, 1.0) AS value FROM stored FULL JOIN one USING (doc_id, metric)",
-    "write_audit": f"""{RESULTS} SELECT doc_id, metric, {_as}, CASE WHEN known THEN 'overwritten' ELSE 'inserted' END AS action, CASE WHEN known THEN '{{"old_value":1.0,"new_value":' ELSE '{{"new_value":' END || value || '}}' AS payload FROM met""",
+    "write_audit": f"""{RESULTS}, first AS (SELECT doc_id, metric, given AS usd FROM r WHERE doc_id % 5 = 0 QUALIFY row_number() OVER (PARTITION BY doc_id, metric ORDER BY partkey, suppkey, quantity, tax, value) = 1)
+SELECT doc_id, metric, {_as}, 'inserted' AS action, '{{"extracting_model":"model","metric_key":"' || metric || '","source_document_id":' || doc_id || ',"value":' || value || '}}' AS payload FROM met
+UNION ALL SELECT doc_id, metric, {_as}, 'overwritten', '{{"extracting_model":"model","metric_key":"' || metric || '","new_value":' || value || ',"old_value":1.0,"old_value_usd":' || coalesce(usd::VARCHAR, 'null') || ',"period_type":"FY","source_document_id":' || doc_id || '}}' FROM met JOIN first USING (doc_id, metric) WHERE known""",
+    "write_checks": f"""{RESULTS} SELECT doc_id, metric, {_as}, partkey % 2 = 0 AS passed, '{{"quote_length":3}}' AS details FROM met""",
     "write_summary": f"""{RESULTS} SELECT * FROM (SELECT CASE WHEN known THEN 'overwritten' ELSE 'inserted' END AS outcome, count(*) AS n FROM met GROUP BY 1 UNION ALL SELECT 'skipped', sum(n - 1)::BIGINT FROM met WHERE n > 1 HAVING count(*) > 0
 UNION ALL SELECT 'errors', count(*) FILTER (errors <> '') + count(*) FILTER (errors = '' AND doc_id % 10 = 1) FROM e)""",
     "evidence_write": """WITH r AS (SELECT conv_id, turn, text, ['', 'footnote', 'odd', 'primary_value', ''][(conv_id + turn * 3) % 5 + 1] AS role, (row_number() OVER w - 1)::INT AS pos FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, text, ['', 'footnote', 'odd', 'primary_value', ''][(conv_id + turn * 3) % 5 + 1])),
