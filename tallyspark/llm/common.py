@@ -65,16 +65,16 @@ def bounded_batches(spark: SparkSession, size: str = "8m", rows: int = 2_000) ->
             spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
 
 
-def checked_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread: str, salts: int = 16, limit: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
+def checked_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread: str, salts: int = 16, limit: int = BROADCAST_ROWS, size: Column | None = None, most: int = BROADCAST_BYTES) -> DataFrame:
     """Joins left with a written table that has one row per key.
 
     The table is broadcast if its counted rows are at most limit and its bytes (by the column `size`, where rows hold
-    arrays) at most BROADCAST_BYTES. Beyond that both sides are shuffled on the keys and a salt: left rows get theirs from
+    arrays) at most `most`. Beyond that both sides are shuffled on the keys and a salt: left rows get theirs from
     a hash of the column `spread`, right rows are repeated for each salt, so that a key with a large part of the left rows
     is dealt to `salts` tasks.
     """
     rows, total = right.agg(F.count("*"), F.coalesce(F.sum(F.lit(0) if size is None else size), F.lit(0)).cast("long")).first()
-    if rows <= limit and total <= BROADCAST_BYTES:
+    if rows <= limit and total <= most:
         return left.join(F.broadcast(right), keys, how)
     salted = left.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = right.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))

@@ -30,6 +30,8 @@ ORDER = 3
 #: Weight of the shorter order's estimate, in observations.
 BETA = 5.0
 SIGNS = 32
+#: The model is broadcast, as it has a bound: some 40 bytes for each of at most 33^4 grams.
+MODEL_BYTES = 64 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -103,22 +105,19 @@ def judge_urls(pages: DataFrame, id_col="page_id", url_col="url", rules=RULES) -
     rule, label = matching_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("label", label)
     left_out = F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 1).isin("0", "1", "2")
-    rows = rows.withColumn("trains", F.col("label").isNotNull() & ~left_out)
+    rows = rows.withColumn("trains", F.col("label").isNotNull() & ~left_out).withColumn("row", F.monotonically_increasing_id())
+    rows = written(rows, "url-rows")
     # Counts of all grams, those that no labelled URL has included: the model covers every URL.
     grams = rows.select("label", "trains", F.explode(_grams(_signs(F.col("url")))).alias("gram"))
     counts = grams.groupBy("gram").agg(*[F.count_if(F.col("trains") & (F.col("label") == c)).alias(c) for c in ("allow", "block")])
     model = written(gram_scores(written(counts, "url-grams")), "url-model")
-    # Rows that repeat are summed together and dealt out again: their number is the sum of lengths by the length.
-    parts = rows.withColumn("__grams", _grams(_signs(F.col("url")))).withColumn("__n", F.size("__grams"))
-    parts = parts.select("id", "url", "host", "path", "rule", "label", "trains", "__n", F.explode("__grams").alias("gram"))
-    scored = checked_join(parts, model, ["gram"], "inner", spread="url", limit=(SIGNS + 1) ** (ORDER + 1)).groupBy("id", "url", "host", "path", "rule", "label", "trains", "__n")
-    scored = scored.agg(F.sum("llr").alias("sum"), F.count("*").alias("n"))
-    scored = scored.withColumn("score", F.col("sum") / F.col("n")).withColumn("copies", (F.col("n") / F.col("__n")).cast("int"))
-    scored = written(scored.select("id", "url", "host", "path", "rule", "label", "trains", "score", "copies"), "url-scores")
+    # Only a row's number goes with each gram.
+    parts = rows.select("row", F.explode(_grams(_signs(F.col("url")))).alias("gram"))
+    scored = checked_join(parts, model, ["gram"], "inner", spread="row", limit=(SIGNS + 1) ** (ORDER + 1), size=F.lit(40), most=MODEL_BYTES)
+    scored = written(scored.groupBy("row").agg(F.avg("llr").alias("score")).join(rows, "row"), "url-scores")
     at = threshold(scored.filter("label is not null and not trains").select("score", "label"))
     method = F.when(F.col("score") >= at, "allow").otherwise("block")
-    out = scored.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return out.select(F.col("id").alias(id_col), "url", "host", "path", "rule", F.coalesce("label", method).alias("verdict"), "score")
+    return scored.select(F.col("id").alias(id_col), "url", "host", "path", "rule", F.coalesce("label", method).alias("verdict"), "score")
 
 
 def op3_url_filter(spark, sf_dir):
