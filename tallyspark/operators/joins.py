@@ -208,7 +208,6 @@ QUERIES = {
     "nearest_within_days": nearest_within_days,
     "window_match": window_match,
     "release_candidates": release_candidates,
-    "release_candidates_all": release_candidates,
     "calendar_merge": calendar_merge,
     "exists_semi": exists_semi,
     "unverified_anti": unverified_anti,
@@ -216,7 +215,6 @@ QUERIES = {
     "subscriber_match": subscriber_match,
     "note_scope_match": note_scope_match,
     "alias_resolve": alias_resolve,
-    "alias_resolve_all": alias_resolve,
     "latest_per_parent": latest_per_parent,
     "verify_pairs": verify_pairs,
 }
@@ -243,5 +241,3 @@ p AS (SELECT a.conv_id, a.pos, a.s AS x, CASE WHEN (a.conv_id + a.pos) % 7 > 0 T
 v AS (SELECT conv_id, pos, CASE WHEN x IS NULL OR y IS NULL THEN 'not_found' WHEN x = 0 AND y = 0 THEN 'exact' WHEN abs(x - y) / greatest(x, y) < 0.001 THEN 'exact' WHEN abs(x - y) / greatest(x, y) < 0.05 THEN 'approximate' ELSE 'mismatch' END AS verdict FROM p)
 SELECT *, verdict IN ('mismatch', 'not_found') AS needs_review FROM v""",
 }
-#: Names that these queries had beside others over a part.
-ORACLES |= {f"{k}_all": ORACLES[k] for k in ("alias_resolve", "release_candidates")}

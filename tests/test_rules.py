@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions import labels as L
 from tallyspark.functions import text as T
 from tallyspark.operators import audit, extract, reconcile, report, write
-from tallyspark.operators.documents import provenance
+from tallyspark.operators.provenance import provenance
 from tallyspark.operators.joins import asof
 from tallyspark.sources import facts, files
 from tallyspark.streaming import pipeline, windows
@@ -158,6 +158,13 @@ def test_concepts(spark):
     assert sorted(r.val for r in facts.best_entries(df, [], ["10-Q", "10-Q/A", "10-K"], ["pos"]).collect()) == [6.0, 1861.0]
 
 
+def test_asof_of_rows_of_one_day(spark):
+    """Two rates on the first of a month: the larger one counts."""
+    left = spark.createDataFrame([("a", D(2020, 1, 15)), ("a", D(2020, 3, 1))], "k string, at date")
+    right = spark.createDataFrame([("a", D(2020, 1, 1), 1.0), ("a", D(2020, 1, 1), 3.0), ("a", D(2020, 3, 1), 2.0), ("a", D(2020, 3, 1), 1.5)], "k string, on date, v double")
+    assert sorted(r.v for r in asof(left, right, "k", "at", "on", "v").collect()) == [2.0, 3.0]
+
+
 def test_asof_keeps_repeated_rows(spark):
     left = spark.createDataFrame([("a", D(2020, 1, 15)), ("a", D(2020, 1, 15)), ("a", D(2019, 1, 1)), ("b", D(2020, 5, 5)), ("a", D(2030, 1, 1))], "k string, at date")
     right = spark.createDataFrame([("a", D(2020, 1, 1), 1.0), ("a", D(2020, 1, 20), 2.0)], "k string, on date, v double")
@@ -253,9 +260,3 @@ def test_plausible_and_chains(spark):
     assert math.isclose(values(spark, "v double", [(1.0,)], L.pct_of(F.col("v"), F.lit(3.0)))[0], 33.333)
 
 
-def test_found_quotes(spark):
-    prices = dict(spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_totalprice").collect())
-    for r in extract.QUERIES["found_quotes"](spark, SF).collect():
-        v = math.floor(prices[r.o_orderkey])
-        said = f"{v:,}" if r.o_orderkey % 2 == 0 else f"{v / 1000:.1f} billion"
-        assert r.quote == (None if r.o_orderkey % 3 == 0 else f"In the year, spending was {said} for us")

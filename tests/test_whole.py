@@ -1,4 +1,4 @@
-"""Queries over whole tables, where others of the same operators take a part."""
+"""Queries take every row, whatever its place."""
 
 import datetime
 
@@ -10,7 +10,7 @@ from tallyspark.operators.joins import in_window
 from tests.helpers import SF, assert_same, duck
 
 
-@pytest.mark.parametrize("name, table, key", [("segment_values_all", "orders", "o_orderkey"), ("period_mode_all", "documents", "doc_id"), ("answer_json_all", "events", "event_id")])
+@pytest.mark.parametrize("name, table, key", [("segment_values", "orders", "o_orderkey"), ("period_mode", "documents", "doc_id"), ("answer_json", "events", "event_id")])
 def test_every_row(spark, name, table, key):
     want = duck(f"SELECT {key} FROM {table}")[key].to_pylist()
     assert sorted(r[key] for r in entry.queries()[name](spark, SF).select(key).collect()) == sorted(want)
@@ -19,7 +19,7 @@ def test_every_row(spark, name, table, key):
 def test_alias_in_a_late_row(spark, tmp_path):
     rows = [(i, f"part {i}", "economy tin" if i == 3 else "small tin", "Brand#11") for i in range(1, 400)] + [(400, "Red Widget", "economy", "Brand#17")]
     spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
-    got = dict(entry.queries()["alias_resolve_all"](spark, str(tmp_path)).collect())
+    got = dict(entry.queries()["alias_resolve"](spark, str(tmp_path)).collect())
     assert got == {"Red Widget": 400, "brand#17": 400, "economy": 400, "ring": None, "nothing": None}
 
 
@@ -29,9 +29,9 @@ def test_candidates_beyond_the_third(spark, tmp_path):
         t = spark.read.parquet(f"{SF}/{name}.parquet")
         (t.withColumn("o_custkey", F.lit(1).cast(t.schema["o_custkey"].dataType)) if name == "orders" else t).coalesce(1).write.parquet(f"{tmp_path}/{name}")
         next((tmp_path / name).glob("part-*.parquet")).rename(tmp_path / f"{name}.parquet")
-    out = entry.queries()["release_candidates_all"](spark, str(tmp_path))
+    out = entry.queries()["release_candidates"](spark, str(tmp_path))
     assert max(r["rank"] for r in out.select("rank").collect()) > 3
-    for name in ("release_candidates_all", "release_candidates", "nearest_within_days", "window_match"):
+    for name in ("release_candidates", "nearest_within_days", "window_match"):
         assert_same(entry.queries()[name](spark, str(tmp_path)), entry.oracle_sql()[name], str(tmp_path))
 
 
