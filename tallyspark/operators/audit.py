@@ -178,9 +178,13 @@ def _cells(spark, sf_dir):
 
 
 def _checked(spark, sf_dir):
-    """The audit winners with all nine checks but gap. Quotes, contexts and rates are made of the columns at hand."""
-    won = with_neighbours(audit(facts(spark, sf_dir)))
-    bounds = spark.createDataFrame(BOUNDS, BOUND)
+    return checked(facts(spark, sf_dir))
+
+
+def checked(stored: DataFrame) -> DataFrame:
+    """The audit winners of facts with all nine checks but gap. Quotes, contexts and rates are made of the columns at hand."""
+    won = with_neighbours(audit(stored))
+    bounds = stored.sparkSession.createDataFrame(BOUNDS, BOUND)
     out = check_range(won, bounds)
     value = F.when(F.col("suppkey") % 5 == 0, -F.col("value_usd")).otherwise(F.col("value_usd"))
     sign_ = check_sign(F.col("ticker"), F.col("metric"), value, **SIGNS)
@@ -216,9 +220,12 @@ def _basis() -> Column:
 
 
 def _audited(spark, sf_dir):
+    return audited(facts(spark, sf_dir), _cells(spark, sf_dir), filings(spark, sf_dir))
+
+
+def audited(stored: DataFrame, cells: DataFrame, docs: DataFrame) -> DataFrame:
     """Universe cells with gap, failed checks, class and fix. The winners are made once, with all their checks."""
-    won = _checked(spark, sf_dir)
-    out = check_gap(_cells(spark, sf_dir), won, filings(spark, sf_dir), "failed")
+    out = check_gap(cells, checked(stored), docs, "failed")
     out = out.withColumn("failed", F.coalesce("failed", F.array().cast("array<string>")))
     return out.withColumn("class", classify(F.col("gap"), F.col("failed"), F.col("model"))).withColumn("fix", route(F.col("gap"), F.col("failed")))
 
@@ -319,6 +326,34 @@ def coverage_matrix(spark, sf_dir):
     return out
 
 
+#: What a row of audit_totals() is about.
+LEVELS = {"class": ["metric", "class"], "coverage": ["ticker", "metric"], "company": ["ticker"], "all": []}
+
+
+def audit_totals(cells: DataFrame) -> DataFrame:
+    """All roll-ups of audited cells in one pass: cells by metric and class, each company's share of verified and derived cells
+    by metric and whether any is flagged, its gaps that can't be fixed, and the totals.
+
+    `level` names the grouping (LEVELS). One aggregation over grouping sets, from one audit; its partial sums are shuffled."""
+    gap = F.col("class") == "gap_unfixable"
+    columns = ["ticker", "metric", "class"]
+    # Copies under other names, as a grouped column is null in the sets that lack it.
+    rows = cells.withColumns({"__metric": F.when(gap, F.col("metric")), "__fy": F.when(gap, F.col("fy")), "__gap": gap, "__good": F.col("class").isin("verified", "derived"), "__flag": F.col("class") == "flagged"})
+    sets = [[F.col(c) for c in LEVELS[k]] for k in LEVELS]
+    out = rows.groupingSets(sets, *columns).agg(
+        F.grouping_id(*columns).alias("__id"), F.count("*").alias("n"), F.count_if("__good").alias("good"), F.count_if("__flag").alias("flagged"), F.count_if("__gap").alias("unfixable"),
+        F.size(F.collect_set("__metric")).cast("long").alias("metrics"), F.min("__fy").alias("first"), F.max("__fy").alias("last"),
+    )
+    bit = {c: 1 << (len(columns) - 1 - k) for k, c in enumerate(columns)}
+    ids = {sum(b for c, b in bit.items() if c not in LEVELS[k]): k for k in LEVELS}
+    level = F.element_at(F.create_map(*[F.lit(x) for pair in ids.items() for x in pair]), F.col("__id").cast("int"))
+    return out.select(level.alias("level"), *columns, "n", F.round(F.col("good") / F.col("n") * 100, 2).alias("pct"), "flagged", "unfixable", "metrics", "first", "last")
+
+
+def audit_rollup(spark, sf_dir):
+    return audit_totals(_audited(spark, sf_dir))
+
+
 def unfixable(spark, sf_dir):
     rows = _audited(spark, sf_dir).filter("class = 'gap_unfixable'")
     return rows.groupBy("ticker").agg(F.count("*").alias("n"), F.count_distinct("metric").alias("metrics"), F.min("fy").alias("first"), F.max("fy").alias("last"))
@@ -354,6 +389,7 @@ QUERIES = {
     "run_value_checks": run_value_checks,
     "period_coverage": period_coverage,
     "classify_cells": classify_cells,
+    "audit_rollup": audit_rollup,
     "fix_routing": fix_routing,
     "coverage_matrix": coverage_matrix,
     "unfixable_gaps": unfixable,
@@ -417,6 +453,9 @@ ORACLES = {
     "fixes_dry_run": f"{AUDITED} SELECT ticker, fy, metric, period_type, fix, CASE WHEN fix = 'extract' AND period_type = 'FY' OR fix = 'refetch' THEN 'facts' WHEN fix = 'extract' THEN 'model' END AS extractor, value_usd AS old_usd, NULL::DOUBLE AS new_usd FROM audited WHERE fix IS NOT NULL",
     "run_value_checks": f"{CHECKED} SELECT doc_id, ticker, fy, metric, period_type, x AS check_name, NOT list_contains(string_split(failed, ';'), x) AS passed FROM checked, (SELECT unnest(['identity', 'range', 'continuity', 'cross_source', 'sign_error', 'currency_error', 'segment_def', 'period_type']) AS x)",
     "period_coverage": f"{SQL}, won AS ({AUDIT}) SELECT ticker, metric, fy, " + ", ".join(f"CASE max(CASE WHEN starts_with(model, 'reconcile-derived') THEN 1 ELSE 2 END) FILTER (period_type = '{p}') WHEN 2 THEN 'stored' WHEN 1 THEN 'derived' ELSE '-' END AS \"p_{p}\"" for p in ("Q1", "Q2", "Q3", "Q4", "H1", "9M", "FY")) + " FROM won GROUP BY ALL",
+    "audit_rollup": f"""{AUDITED}, x AS (SELECT *, class = 'gap_unfixable' AS gone, class IN ('verified', 'derived') AS good, metric AS m, fy AS y, class AS c FROM audited)
+SELECT CASE WHEN grouping(class) = 0 THEN 'class' WHEN grouping(ticker) = 1 THEN 'all' WHEN grouping(metric) = 0 THEN 'coverage' ELSE 'company' END AS level, ticker, metric, class, count(*) AS n, round(count(*) FILTER (good) / count(*) * 100, 2) AS pct,
+  count(*) FILTER (c = 'flagged') AS flagged, count(*) FILTER (gone) AS unfixable, count(DISTINCT m) FILTER (gone) AS metrics, min(y) FILTER (gone) AS first, max(y) FILTER (gone) AS last FROM x GROUP BY GROUPING SETS ((metric, class), (ticker, metric), (ticker), ())""",
     "classify_cells": f"{AUDITED} SELECT metric, class, count(*) AS n FROM audited GROUP BY ALL",
     "fix_routing": f"{AUDITED} SELECT ticker, fy, metric, period_type, fix, failed FROM audited WHERE fix IS NOT NULL",
     "coverage_matrix": f"{AUDITED} SELECT ticker, " + ", ".join(f"round(avg(CASE WHEN class IN ('verified', 'derived') THEN 1.0 ELSE 0.0 END) FILTER (metric = '{m}') * 100, 2) AS {m}_pct, bool_or(class = 'flagged') FILTER (metric = '{m}') AS {m}_flag" for m in METRICS) + " FROM audited GROUP BY ticker",
