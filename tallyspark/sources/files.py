@@ -173,13 +173,19 @@ def calendar_feed(spark, sf_dir):
     return calendar_rows(c.select(F.when(F.col("ticker") % 3 > 0, a).otherwise(b).alias("text")), "text")
 
 
-def paged_feed(spark, sf_dir):
-    """Orders as feed items, twenty companies a feed, a hundred items a page, newest first; the first annual report of each company."""
+def feed_pages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Orders as feed items, twenty companies a feed, a hundred items a page, newest first; and what each company's code is."""
     o = table(spark, sf_dir, "orders").withColumn("n", F.row_number().over(Window.partitionBy(F.floor(F.col("o_custkey") / 20)).orderBy(F.desc("o_orderkey"))) - 1)
     item = F.struct("n", F.struct(F.col("o_orderkey").alias("id"), F.array(F.struct(F.lit("x").alias("sc")), F.struct(L.padded(F.col("o_custkey").cast("string"), 5).alias("sc"))).alias("stock"), F.when(F.col("o_orderstatus") == "F", "40000,40100").otherwise("40300").alias("t2Code"), F.concat(F.lit("Report 20"), F.lpad(F.col("o_orderkey") % 30, 2, "0")).alias("title"), F.date_format("o_orderdate", "dd/MM/yyyy HH:mm").alias("relTime")).alias("i"))
     pages = o.groupBy(F.floor(F.col("o_custkey") / 20).alias("feed"), F.floor(F.col("n") / 100).alias("page")).agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["i"]).alias("newsInfoLst"))
     pages = pages.select("feed", "page", F.to_json(F.struct("newsInfoLst")).alias("text"))
     asked = companies(spark, sf_dir).select("ticker", F.floor(F.col("ticker") / 20).alias("feed"), L.padded(F.col("ticker").cast("string"), 5).alias("code"))
+    return pages, asked
+
+
+def paged_feed(spark, sf_dir):
+    """The first annual report of each company in its feed."""
+    pages, asked = feed_pages(spark, sf_dir)
     out = asked.join(first_in_feed(pages, "text", "page", F.lit("40100"), "feed"), ["feed", "code"])
     filed = L.feed_date(F.col("relTime"))
     return out.select("ticker", "id", filed.alias("filed"), *[L.feed_period(F.col("title"), filed, F.lit(f)).alias(n) for f, n in (("HK-AR", "annual"), ("HK-IR", "interim"))])
