@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions import periods as P
 from tallyspark.operators.reconcile import PERIODS, TOLERANCE, _derive_sql, derive, pivot_periods, relative_difference, v
 from tallyspark.operators.winners import AUDIT, audit, reconcile
+from tallyspark.plans.shared import fresh_folder
 from tallyspark.plans.views import SQL, companies, facts, filings
 
 #: Duration bands in days of each period type.
@@ -294,14 +295,25 @@ def fixes_dry_run(spark, sf_dir):
     return rows.select(*CELL, "fix", suggested.alias("extractor"), F.col("value_usd").alias("old_usd"), F.lit(None).cast("double").alias("new_usd"))
 
 
-def run_value_checks(spark, sf_dir):
-    """A row per winner and check, as persisted."""
-    rows = _checked(spark, sf_dir)
-    names = ["identity", "range", "continuity", "cross_source", "sign_error", "currency_error", "segment_def", "period_type"]
-    checks = F.array(*[F.struct(F.lit(n).alias("check_name"), (~F.array_contains("failed", n)).alias("passed")) for n in names])
+#: The checks of a value that are persisted; those that end in _warn only warn.
+VALUE_CHECKS = ["identity", "range", "continuity", "cross_source", "sign_error", "sign_warn", "currency_error", "currency_warn", "segment_def", "period_type"]
+
+
+def value_checks(rows: DataFrame) -> DataFrame:
+    """A row for each checked winner and check: whether it passed, and how grave a failure is."""
+    grave = lambda n: "warn" if n.endswith("_warn") else "error"
+    checks = F.array(*[F.struct(F.lit(n).alias("check_name"), (~F.array_contains("failed", n)).alias("passed"), F.lit(grave(n)).alias("severity")) for n in VALUE_CHECKS])
     return rows.select("doc_id", *CELL, F.explode(checks).alias("c")).select("doc_id", *CELL, "c.*")
 
 
+def run_value_checks(spark, sf_dir):
+    """All value checks of all winners, persisted and read again."""
+    path = fresh_folder(spark, "value-checks")
+    rows = value_checks(_checked(spark, sf_dir))
+    rows.write.partitionBy("check_name").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def period_coverage(spark, sf_dir):
     """What each company has of a year's period types: a stored value beats a derived one."""
     f = audit(facts(spark, sf_dir))
@@ -451,7 +463,7 @@ ORACLES = {
     "verdict_severity": f"{AUDITED} SELECT ticker, fy, metric, period_type, doc_id, failed, CASE WHEN contains(failed, 'identity') OR contains(failed, '_error') THEN 'error' ELSE 'warn' END AS severity FROM audited WHERE class = 'flagged'",
     "fix_batches": f"{AUDITED} SELECT fix, count(*) AS cells, count(DISTINCT ticker) AS tickers, min(fy) AS first, max(fy) AS last, string_agg(DISTINCT metric, ',' ORDER BY metric) AS metrics FROM audited WHERE fix IS NOT NULL GROUP BY fix",
     "fixes_dry_run": f"{AUDITED} SELECT ticker, fy, metric, period_type, fix, CASE WHEN fix = 'extract' AND period_type = 'FY' OR fix = 'refetch' THEN 'facts' WHEN fix = 'extract' THEN 'model' END AS extractor, value_usd AS old_usd, NULL::DOUBLE AS new_usd FROM audited WHERE fix IS NOT NULL",
-    "run_value_checks": f"{CHECKED} SELECT doc_id, ticker, fy, metric, period_type, x AS check_name, NOT list_contains(string_split(failed, ';'), x) AS passed FROM checked, (SELECT unnest(['identity', 'range', 'continuity', 'cross_source', 'sign_error', 'currency_error', 'segment_def', 'period_type']) AS x)",
+    "run_value_checks": f"{CHECKED} SELECT doc_id, ticker, fy, metric, period_type, x AS check_name, NOT list_contains(string_split(failed, ';'), x) AS passed, CASE WHEN ends_with(x, '_warn') THEN 'warn' ELSE 'error' END AS severity FROM checked, (SELECT unnest({VALUE_CHECKS}) AS x)",
     "period_coverage": f"{SQL}, won AS ({AUDIT}) SELECT ticker, metric, fy, " + ", ".join(f"CASE max(CASE WHEN starts_with(model, 'reconcile-derived') THEN 1 ELSE 2 END) FILTER (period_type = '{p}') WHEN 2 THEN 'stored' WHEN 1 THEN 'derived' ELSE '-' END AS \"p_{p}\"" for p in ("Q1", "Q2", "Q3", "Q4", "H1", "9M", "FY")) + " FROM won GROUP BY ALL",
     "audit_rollup": f"""{AUDITED}, x AS (SELECT *, class = 'gap_unfixable' AS gone, class IN ('verified', 'derived') AS good, metric AS m, fy AS y, class AS c FROM audited)
 SELECT CASE WHEN grouping(class) = 0 THEN 'class' WHEN grouping(ticker) = 1 THEN 'all' WHEN grouping(metric) = 0 THEN 'coverage' ELSE 'company' END AS level, ticker, metric, class, count(*) AS n, round(count(*) FILTER (good) / count(*) * 100, 2) AS pct,

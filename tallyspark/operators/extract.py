@@ -245,6 +245,28 @@ def releases(spark, sf_dir):
     return out.select("ticker", "period_end", "accession", "score")
 
 
+def chosen_releases(asked: DataFrame, candidates: DataFrame, day: Column, days: int = 210) -> DataFrame:
+    """asked (ticker, accession or null) with the release to read and whether it was chosen: the filing that was asked for,
+    whatever it looks like, else the company's newest release of the last days; null where there is neither.
+
+    candidates: ticker, filed, accession, score (4 or more is a release)."""
+    given = candidates.select("ticker", "accession", F.lit(True).alias("__given")).distinct()
+    recent = candidates.filter((F.col("score") >= 4) & F.col("filed").between(F.date_sub(day, days), day))
+    latest = recent.groupBy("ticker").agg(F.max_by("accession", F.struct("filed", "accession")).alias("__latest"))
+    out = asked.join(given, ["ticker", "accession"], "left").join(latest, "ticker", "left")
+    chosen = F.col("__given").isNotNull()
+    release = F.when(chosen, F.col("accession")).when(F.col("accession").isNull(), F.col("__latest"))
+    return out.select(*asked.columns, release.alias("release"), chosen.alias("chosen"))
+
+
+def chosen_release(spark, sf_dir):
+    """Every customer asks for a filing of theirs, an unknown one, or the latest."""
+    f = filings(spark, sf_dir).select("ticker", F.col("filing_date").alias("filed"), F.col("doc_id").alias("accession"), (F.col("doc_id") % 10).alias("score"))
+    own = f.groupBy("ticker").agg(F.min("accession").alias("first"))
+    asked = companies(spark, sf_dir).join(own, "ticker", "left").select("ticker", F.when(F.col("ticker") % 3 == 0, F.col("first")).when(F.col("ticker") % 3 == 1, F.lit(-1)).alias("accession"))
+    return chosen_releases(asked, f, F.lit("1998-01-01").cast("date"))
+
+
 def latest_releases(spark, sf_dir):
     """A company's newest release within 210 days of a day."""
     f = filings(spark, sf_dir).filter("doc_id % 10 >= 4").filter(F.col("filing_date").between(F.date_sub(F.lit("1998-01-01").cast("date"), 210), F.lit("1998-01-01").cast("date")))
@@ -291,6 +313,7 @@ QUERIES = {
     "convention_check": convention_check,
     "release_search": releases,
     "latest_releases": latest_releases,
+    "chosen_release": chosen_release,
     "found_quotes": found_quotes,
     "keyword_lists": keyword_lists,
 }
@@ -315,6 +338,8 @@ SELECT doc_id, declared, CASE WHEN kind IS NULL THEN 'undeclared' ELSE concat_ws
   WHERE filing_date - period BETWEEN 7 AND 120 AND (doc_id % 7 = 0 OR trunc(total)::BIGINT % 90000 >= 40000 OR trunc(total)::BIGINT % 90000 = 0) AND doc_id % 10 >= 4 AND doc_id % 11 <= 7),
 d AS (SELECT *, first_value(filed) OVER (PARTITION BY ticker, period_end ORDER BY off, filed DESC, accession) AS day FROM c)
 SELECT ticker, period_end, accession, score FROM d WHERE filed = day QUALIFY row_number() OVER (PARTITION BY ticker, period_end ORDER BY score DESC, off, filed DESC, accession) = 1""",
+    "chosen_release": f"""{SQL}, l AS (SELECT ticker, arg_max(doc_id, (filing_date, doc_id)) AS latest FROM filings WHERE doc_id % 10 >= 4 AND filing_date BETWEEN DATE '1998-01-01' - 210 AND DATE '1998-01-01' GROUP BY ticker), o AS (SELECT ticker, min(doc_id) AS first FROM filings GROUP BY ticker)
+SELECT ticker, CASE ticker % 3 WHEN 0 THEN first WHEN 1 THEN -1 END AS accession, CASE WHEN ticker % 3 = 0 AND first IS NOT NULL THEN first WHEN ticker % 3 = 1 THEN NULL ELSE latest END AS release, ticker % 3 = 0 AND first IS NOT NULL AS chosen FROM companies LEFT JOIN o USING (ticker) LEFT JOIN l USING (ticker)""",
     "latest_releases": f"{SQL} SELECT ticker, arg_max(doc_id, (filing_date, doc_id)) AS doc_id FROM filings WHERE doc_id % 10 >= 4 AND filing_date BETWEEN DATE '1998-01-01' - 210 AND DATE '1998-01-01' GROUP BY ticker",
     "keyword_lists": "SELECT p_partkey, array_to_string(list_transform(list_sort(list_distinct(list_transform(list_zip(w, range(len(w))), lambda z: list_position(w, z[1])))), lambda i: w[i]), ',') AS keywords FROM (SELECT p_partkey, list_concat(string_split(p_name, ' '), [lower(p_type), 'widget', 'cloud']) AS w FROM part)",
 }

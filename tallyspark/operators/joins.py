@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions import periods as P
+from tallyspark.plans.shared import sent
 from tallyspark.plans.views import CURRENCIES, SQL, companies, facts, filings, table
 
 
@@ -27,7 +28,7 @@ def asof(left: DataFrame, right: DataFrame, key: str, date: str, right_date: str
     held = held.filter("__to is null or __to > __from").withColumn("__until", F.coalesce(F.date_sub("__to", 1), F.greatest(F.lit(last).cast("date"), "__from")))
     month = F.explode(F.sequence(F.trunc("__from", "month"), F.trunc("__until", "month"), F.expr("interval 1 month")))
     held = held.withColumn("__month", month)
-    held = F.broadcast(held) if held.count() <= MOST_HELD else held
+    held = sent(held, MOST_HELD)
     fits = (F.col(key) == F.col("__key")) & (F.trunc(date, "month") == F.col("__month")) & F.col(date).between(F.col("__from"), F.col("__until"))
     return left.join(held, fits, "left").select(*left.columns, value)
 
@@ -88,7 +89,7 @@ def fx_asof(spark, sf_dir):
 def fx_normalise(spark, sf_dir):
     """Values in USD: those in USD as they are, others by the rate of the period, rounded; without a rate null."""
     rows = facts(spark, sf_dir).select("doc_id", "metric", "partkey", "suppkey", "quantity", "tax", "currency", "value", F.trunc("period", "month").alias("rate_date"))
-    out = rows.join(F.broadcast(rates(spark, sf_dir)), ["currency", "rate_date"], "left")
+    out = rows.join(sent(rates(spark, sf_dir)), ["currency", "rate_date"], "left")
     usd = F.when(F.col("currency") == "USD", F.col("value")).otherwise(F.round(F.col("value") * F.col("rate"), 4))
     return out.select("doc_id", "metric", "partkey", "suppkey", "quantity", "tax", "currency", "rate", usd.alias("usd"))
 

@@ -11,7 +11,7 @@ from tallyspark.functions import text as T
 from tallyspark.functions.numbers import exact_sum, rounded
 from tallyspark.operators.audit import AUDITED, CELL, _audited
 from tallyspark.operators.winners import AUDIT, audit
-from tallyspark.plans.shared import fresh_folder
+from tallyspark.plans.shared import fresh_folder, sent
 from tallyspark.plans.views import SQL, companies, facts, filings, table
 
 #: Plausible ranges in millions, metrics of the statements, and the order of companies in displays.
@@ -66,7 +66,7 @@ def with_context(flagged: DataFrame, evidence: DataFrame, notes: DataFrame, trea
     rows = flagged.join(first_excerpt(evidence, "doc_id", ["pos"]), "doc_id", "left")
     rows = rows.groupBy("ticker", "metric").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("fy", "period_type", "doc_id", F.md5("excerpt").alias("excerpt")))).alias("members"))
     said = notes.groupBy("ticker").agg(F.sort_array(F.collect_list("note")).alias("notes"))
-    return rows.join(said, "ticker", "left").join(F.broadcast(treatments), "metric", "left")
+    return rows.join(said, "ticker", "left").join(sent(treatments), "metric", "left")
 
 
 def treatments_view(config: DataFrame, notes: DataFrame, feedback: DataFrame) -> DataFrame:
@@ -208,7 +208,7 @@ def shares(spark, sf_dir):
     """Each company's share of its metric's total, in hundredths to three places."""
     t = audit(facts(spark, sf_dir)).groupBy("metric", "ticker").agg(exact_sum(F.col("value_usd")).alias("v"))
     all_ = t.groupBy("metric").agg(F.sum("v").alias("all"))
-    return t.join(F.broadcast(all_), "metric").select("metric", "ticker", L.pct_of(F.col("v").cast("double"), F.col("all").cast("double")).alias("pct"))
+    return t.join(sent(all_), "metric").select("metric", "ticker", L.pct_of(F.col("v").cast("double"), F.col("all").cast("double")).alias("pct"))
 
 
 def limit_resets(spark, sf_dir):

@@ -11,20 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions import labels as L
-from tallyspark.plans.shared import fresh_folder
+from tallyspark.plans.shared import fresh_folder, sent
 from tallyspark.plans.views import SQL, companies, filings, table
 
-#: Rows that are broadcast at most.
-MOST_SENT = 200_000
 #: Patterns that are sent to all tasks at once; each worker compiles those that a text meets.
 BLOCK_PATTERNS = 5_000
 
 
-def _sent(rows: DataFrame) -> DataFrame:
-    """rows to be broadcast, if they are few enough."""
-    return F.broadcast(rows) if rows.limit(MOST_SENT + 1).count() <= MOST_SENT else rows
-
-
 def _written(rows: DataFrame, name: str) -> DataFrame:
     path = fresh_folder(rows.sparkSession, name)
     rows.write.parquet(path)
@@ -72,7 +65,7 @@ def scope_matches(rules: DataFrame, rows: DataFrame, rule_id: str, fields: list[
             group = cut.filter(F.lit(True) if not mask else _all(mask)).select(rule_id, *[F.col(f"__{f}").alias(f) for f in held], "__level", "__block")
             if group.isEmpty():
                 continue
-            hit = spread.join(_sent(group), [*held, "__level", "__block"]).select(*rows.columns, rule_id)
+            hit = spread.join(sent(group), [*held, "__level", "__block"]).select(*rows.columns, rule_id)
             out = hit if out is None else out.unionByName(hit)
     return out if out is not None else rows.withColumn(rule_id, F.lit(None).cast(rules.schema[rule_id].dataType)).limit(0)
 
@@ -112,7 +105,7 @@ def resolve(phrases: DataFrame, names: DataFrame, phrase: str, pos: str, key: st
         wanted = _written(sized.select("__p", F.explode(_grams(F.col("__p"), n)).alias("gram")), "phrase-grams")
         common = index.groupBy("gram").agg(F.count("*").alias("n"))
         rarest = wanted.join(common, "gram", "left").groupBy("__p").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
-        found = index.join(_sent(_written(rarest, "rarest-grams")), "gram").filter(F.contains("text", F.col("__p")))
+        found = index.join(sent(_written(rarest, "rarest-grams")), "gram").filter(F.contains("text", F.col("__p")))
         hits = hits.unionByName(found.select("__p", F.lit(2).alias("tier"), "pos"))
     best = hits.groupBy("__p").agg(F.min_by("pos", F.struct("tier", "pos")).alias("pos"))
     return asked.join(best, "__p", "left").select(phrase, "pos")
@@ -207,11 +200,11 @@ def pattern_table_values(texts: DataFrame, patterns: DataFrame, id_col: str, own
         own = sorted((tuple(r)[:4] for r in kept.filter(F.col("block") == b).collect()), key=lambda r: (r[2], r[3]))  # about a block
         if not own:
             continue
-        sent, name = spark.sparkContext.broadcast(own), f"{path}/{b}"
+        shared, name = spark.sparkContext.broadcast(own), f"{path}/{b}"
 
-        def walk(batches, sent=sent, name=name):
+        def walk(batches, shared=shared, name=name):
             for batch in batches:
-                ids, said = batch.column(0), [matches(t.as_py(), o.as_py(), name, sent.value) for o, t in zip(batch.column(1), batch.column(2), strict=True)]
+                ids, said = batch.column(0), [matches(t.as_py(), o.as_py(), name, shared.value) for o, t in zip(batch.column(1), batch.column(2), strict=True)]
                 take = pa.array([k for k, x in enumerate(said) for _ in x], pa.int64())
                 parts = list(zip(*[v for x in said for v in x], strict=True)) or [()] * 4
                 columns = [pa.array(c, t) for c, t in zip(parts, (pa.string(), pa.int32(), pa.string(), pa.string()), strict=True)]
