@@ -24,13 +24,14 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
@@ -47,10 +48,28 @@ BLOCK_ITEMS = 1_000
 BLOCK_TERMS = 200_000
 #: Segments that an item visits first.
 FIRST = 4
-ROW_GROUP = 16 << 20
+ROW_GROUP = 4 << 20
 SEGMENT = "m long, piece int, docs array<long>, terms array<string>, df array<int>, max_tf array<int>, runs array<int>, run_tf array<int>, run_end array<int>, post array<int>"
 
 
+#: While an index is built or searched: rows that a Parquet reader decodes at once, and bytes of Arrow batches. Texts and
+#: segments are large rows, of which the usual 4,096 would be held decoded.
+SETTINGS = {"spark.sql.parquet.columnarReaderBatchSize": "256", "spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """SETTINGS for the jobs within, which all run there; then the session has its own again."""
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    try:
+        for k, v in SETTINGS.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @dataclass
 class Index:
     segments: DataFrame
@@ -124,6 +143,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     need(docs, id_col, text_col)
     spark = docs.sparkSession
     bounded_batches(spark)
+    with small_batches(spark):
+        return _built(docs, id_col, text_col, segment_bytes, segment_docs)
+
+
+def _built(docs: DataFrame, id_col: str, text_col: str, segment_bytes: int, segment_docs: int) -> Index:
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("n", _count_udf("text"))
     lengths = written(rows.groupBy("n").agg(F.count("*").alias("docs"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).filter("n > 0"), "index-lengths")
@@ -308,6 +333,11 @@ def _blocks(items: DataFrame, most_items: int, most_terms: int) -> Iterator[list
 def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: str = "text", top: int = TOP, first: int = FIRST, block_items: int = BLOCK_ITEMS, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(item_id, rank, doc_id, score): each item's `top` documents by score."""
     need(items, id_col, text_col)
+    with small_batches(items.sparkSession):
+        return _ranked(index, items, id_col, text_col, top, first, block_items, block_terms)
+
+
+def _ranked(index: Index, items: DataFrame, id_col: str, text_col: str, top: int, first: int, block_items: int, block_terms: int) -> DataFrame:
     spark, segments = items.sparkSession, index.segments
     path = fresh_dir(spark, "search")
     schema = "item_id long, rank int, doc_id long, score long"
