@@ -223,7 +223,7 @@ def store(docs: DataFrame, text_col="text", name: str = "audio") -> DataFrame:
     docs = plain(docs, "media", "n_bytes")
     bounded_batches(docs.sparkSession)
     media = docs.withColumn("n_bytes", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")).withColumn("media", _media(F.col(text_col)))
-    return written(media.drop(text_col), name)
+    return written(media.drop(text_col), name, compression="zstd")
 
 
 def audio_features(stored: DataFrame) -> DataFrame:

@@ -50,10 +50,11 @@ def clear_written(spark: SparkSession, *paths: str) -> None:
         _MADE.remove(path)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: computed once, its lineage cut, readable after the loss of any executor."""
+def written(df: DataFrame, name: str, **options) -> DataFrame:
+    """df as a table in the shared folder: computed once, its lineage cut, readable after the loss of any executor. Options are
+    the Parquet writer's."""
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
