@@ -29,24 +29,41 @@ BOUNDS = [(None, f"m{i}", g, 1500.0 * i, 80000.0 + 1000 * i) for i in range(1, 7
 BOUND = "ticker long, metric string, group string, lo double, hi double"
 
 
-def universe(firms: DataFrame, metrics: list[str], first: Column, last: Column, kinds: Column) -> DataFrame:
-    """Each expected cell. firms: a row per ticker, with its first and last year; kinds: its array of period types. Rows are exploded, so the work is
-    spread over the companies and nothing is crossed."""
-    out = firms.withColumn("fy", F.explode(F.sequence(first.cast("long"), last.cast("long")))).withColumn("period_type", F.explode(kinds))
-    return out.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in metrics])))
-
-
-def check_gap(cells: DataFrame, winners: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
-    """present, gap_fixable (a filing that could hold the cell exists) or gap_unfixable.
-
-    A fourth quarter may come from an annual form or a 6-K."""
-    held = winners.select(*CELL, "doc_id", "value_usd", "model", *more)
-    classes = docs.select("ticker", "fy", F.when(F.col("form").isin(*P.ANNUAL_FORMS), "annual").when(F.col("form") == "6-K", "6-K").otherwise("interim").alias("class")).distinct()
-    classes = classes.groupBy("ticker", "fy").agg(F.collect_set("class").alias("classes"))
-    out = cells.join(held, CELL, "left").join(classes, ["ticker", "fy"], "left")
-    has = lambda c: F.coalesce(F.array_contains("classes", c), F.lit(False))
-    fixable = F.when(F.col("period_type") == "FY", has("annual")).when(F.col("period_type") == "Q4", has("annual") | has("6-K")).otherwise(has("6-K") | has("interim"))
-    return out.withColumn("gap", F.when(F.col("doc_id").isNotNull(), "present").when(fixable, "gap_fixable").otherwise("gap_unfixable")).drop("classes")
+def expected(firms: DataFrame, metrics: list[str], first: Column, last: Column, kinds: Column) -> DataFrame:
+    """A row per company with what its expected cells are made of: (ticker, years, kinds, metrics), three arrays. firms: a row
+    per ticker, with its first and last year; kinds: its array of period types."""
+    return firms.select("ticker", F.sequence(first.cast("long"), last.cast("long")).alias("years"), kinds.alias("kinds"), F.array(*[F.lit(m) for m in metrics]).alias("metrics"))
+
+
+def exploded(firms: DataFrame) -> DataFrame:
+    """Each expected cell, and the company's other columns. Rows are exploded, so the work is spread over the companies and
+    nothing is crossed."""
+    out = firms.withColumn("metric", F.explode("metrics")).withColumn("fy", F.explode("years")).withColumn("period_type", F.explode("kinds"))
+    return out.drop("years", "kinds", "metrics")
+
+
+def check_gap(firms: DataFrame, winners: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
+    """present, gap_fixable (a filing that could hold the cell exists) or gap_unfixable, of each cell of expected() companies.
+
+    A fourth quarter may come from an annual form or a 6-K. Winners and filings meet their company as maps, of which cells
+    take theirs as they are exploded: cells, many times the facts in number, are neither shuffled nor sorted."""
+    own = ["doc_id", "value_usd", "model", *more]
+    at = F.struct("fy", "period_type")
+    held = winners.filter("ticker is not null and metric is not null").repartition("ticker").groupBy("ticker", "metric").agg(F.map_from_entries(F.collect_list(F.struct(at.alias("at"), F.struct(*own).alias("won")))).alias("of"))
+    held = held.groupBy("ticker").agg(F.map_from_entries(F.collect_list(F.struct("metric", "of"))).alias("__held"))
+    some = lambda c: F.max(c)
+    form = F.col("form")
+    annual, half = F.coalesce(form.isin(*P.ANNUAL_FORMS), F.lit(False)), F.coalesce(form == "6-K", F.lit(False))
+    classes = docs.filter("ticker is not null and fy is not null").groupBy("ticker", "fy").agg(some(annual).alias("annual"), some(half).alias("half"), some(~annual & ~half).alias("interim"))
+    classes = classes.groupBy("ticker").agg(F.map_from_entries(F.collect_list(F.struct("fy", F.struct("annual", "half", "interim")))).alias("__classes"))
+    out = firms.join(held, "ticker", "left").join(classes, "ticker", "left")
+    out = out.withColumn("metric", F.explode("metrics")).withColumn("__held", F.col("__held")[F.col("metric")])
+    out = out.withColumn("fy", F.explode("years")).withColumn("__classes", F.col("__classes")[F.col("fy")])
+    out = out.withColumn("period_type", F.explode("kinds")).withColumn("__won", F.col("__held")[at])
+    has = lambda c: F.coalesce(F.col("__classes")[c], F.lit(False))
+    fixable = F.when(F.col("period_type") == "FY", has("annual")).when(F.col("period_type") == "Q4", has("annual") | has("half")).otherwise(has("half") | has("interim"))
+    gap = F.when(F.col("__won.doc_id").isNotNull(), "present").when(fixable, "gap_fixable").otherwise("gap_unfixable")
+    return out.select(*CELL, *[F.col(f"__won.{c}").alias(c) for c in own], gap.alias("gap"))
 
 
 def check_identity(cells: DataFrame, keys=("ticker", "fy", "metric")) -> DataFrame:
@@ -61,13 +78,14 @@ def _violations(at: dict[str, Column]) -> Column:
 
 
 def with_neighbours(cells: DataFrame) -> DataFrame:
-    """Winners with the violated identities of their group and the factor to the quarter before: one shuffle for both."""
+    """Winners with the violated identities of their group and the factor to the quarter before: one shuffle, by company, for
+    both and for what follows. A company has one winner a cell, however many facts."""
     group, series = Window.partitionBy("ticker", "metric", "fy"), Window.partitionBy("ticker", "metric")
     part = {p: F.max(F.when(F.col("period_type") == p, F.abs("value_usd"))).over(group) for p in PERIODS}
     quarter = F.col("period_type").isin(*P.QUARTER_TYPES)
     order = series.orderBy("fy", "period_type", "value_usd").rowsBetween(Window.unboundedPreceding, -1)
     before = F.last(F.when(quarter, F.struct("value_usd")), ignorenulls=True).over(order)["value_usd"]
-    out = cells.repartition("ticker", "metric").withColumn("violations", _violations(part))
+    out = cells.repartition("ticker").withColumn("violations", _violations(part))
     return out.withColumn("factor", F.when(quarter & (before != 0), F.col("value_usd") / before))
 
 
@@ -161,10 +179,11 @@ def severity(failed: Column) -> Column:
     return F.when(F.arrays_overlap(failed, F.array(*[F.lit(x) for x in ERRORS])), "error").when(F.size(failed) > 0, "warn")
 
 
-def restatements(df: DataFrame) -> DataFrame:
-    """Cells whose last observation differs from the first by over half a percent; null filing dates come first."""
+def restatements(df: DataFrame, **more: Column) -> DataFrame:
+    """Cells whose last observation differs from the first by over half a percent; null filing dates come first. more: further
+    aggregates of a cell's observations, by name."""
     order = F.struct(F.col("filing_date").isNotNull(), "filing_date", "doc_id", "partkey", "suppkey", "quantity", "tax", "value")
-    out = df.filter("value_usd is not null").groupBy(*CELL).agg(F.min_by("value_usd", order).alias("first"), F.max_by("value_usd", order).alias("last"), F.count("*").alias("n"))
+    out = df.filter("value_usd is not null").groupBy(*CELL).agg(F.min_by("value_usd", order).alias("first"), F.max_by("value_usd", order).alias("last"), F.count("*").alias("n"), *[c.alias(n) for n, c in more.items()])
     change = F.abs(F.col("last") - F.col("first")) / F.greatest(F.abs("first"), F.lit(1.0))
     return out.filter("n >= 2").withColumn("change", change).filter("change > 0.005")
 
@@ -175,7 +194,7 @@ def _cells(spark, sf_dir):
     half = F.array(F.lit("H1"), F.lit("H2"), F.lit("FY"))
     first, last = filings(spark, sf_dir).agg(F.min("fy"), F.max("fy")).first()
     firms = companies(spark, sf_dir).select("ticker", "currency")
-    return universe(firms, METRICS, F.lit(first), F.lit(last), F.when(F.col("currency") == "HKD", half).otherwise(every)).drop("currency")
+    return expected(firms, METRICS, F.lit(first), F.lit(last), F.when(F.col("currency") == "HKD", half).otherwise(every))
 
 
 def _checked(spark, sf_dir):
@@ -224,15 +243,16 @@ def _audited(spark, sf_dir):
     return audited(facts(spark, sf_dir), _cells(spark, sf_dir), filings(spark, sf_dir))
 
 
-def audited(stored: DataFrame, cells: DataFrame, docs: DataFrame) -> DataFrame:
-    """Universe cells with gap, failed checks, class and fix. The winners are made once, with all their checks."""
-    out = check_gap(cells, checked(stored), docs, "failed")
+def audited(stored: DataFrame, firms: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
+    """The cells of expected() companies with gap, failed checks, class and fix, and more columns of checked(). The winners are
+    made once, with all their checks."""
+    out = check_gap(firms, checked(stored), docs, "failed", *more)
     out = out.withColumn("failed", F.coalesce("failed", F.array().cast("array<string>")))
     return out.withColumn("class", classify(F.col("gap"), F.col("failed"), F.col("model"))).withColumn("fix", route(F.col("gap"), F.col("failed")))
 
 
 def cell_universe(spark, sf_dir):
-    return _cells(spark, sf_dir).select(*CELL)
+    return exploded(_cells(spark, sf_dir)).select(*CELL)
 
 
 def gap(spark, sf_dir):
@@ -346,15 +366,18 @@ def audit_totals(cells: DataFrame) -> DataFrame:
     """All roll-ups of audited cells in one pass: cells by metric and class, each company's share of verified and derived cells
     by metric and whether any is flagged, its gaps that can't be fixed, and the totals.
 
-    `level` names the grouping (LEVELS). One aggregation over grouping sets, from one audit; its partial sums are shuffled."""
+    `level` names the grouping (LEVELS). Cells are first counted by company, metric and class, where they are; only these counts
+    are repeated for the grouping sets."""
     gap = F.col("class") == "gap_unfixable"
     columns = ["ticker", "metric", "class"]
+    rows = cells.groupBy(*columns).agg(F.count("*").alias("n"), F.min("fy").alias("__first"), F.max("fy").alias("__last"))
     # Copies under other names, as a grouped column is null in the sets that lack it.
-    rows = cells.withColumns({"__metric": F.when(gap, F.col("metric")), "__fy": F.when(gap, F.col("fy")), "__gap": gap, "__good": F.col("class").isin("verified", "derived"), "__flag": F.col("class") == "flagged"})
+    of = lambda c: F.when(c, F.col("n")).otherwise(0)
+    rows = rows.withColumns({"__metric": F.when(gap, F.col("metric")), "__first": F.when(gap, F.col("__first")), "__last": F.when(gap, F.col("__last")), "__gap": of(gap), "__good": of(F.col("class").isin("verified", "derived")), "__flag": of(F.col("class") == "flagged")})
     sets = [[F.col(c) for c in LEVELS[k]] for k in LEVELS]
     out = rows.groupingSets(sets, *columns).agg(
-        F.grouping_id(*columns).alias("__id"), F.count("*").alias("n"), F.count_if("__good").alias("good"), F.count_if("__flag").alias("flagged"), F.count_if("__gap").alias("unfixable"),
-        F.size(F.collect_set("__metric")).cast("long").alias("metrics"), F.min("__fy").alias("first"), F.max("__fy").alias("last"),
+        F.grouping_id(*columns).alias("__id"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("__good"), F.lit(0)).alias("good"), F.coalesce(F.sum("__flag"), F.lit(0)).alias("flagged"),
+        F.coalesce(F.sum("__gap"), F.lit(0)).alias("unfixable"), F.count_distinct("__metric").alias("metrics"), F.min("__first").alias("first"), F.max("__last").alias("last"),
     )
     bit = {c: 1 << (len(columns) - 1 - k) for k, c in enumerate(columns)}
     ids = {sum(b for c, b in bit.items() if c not in LEVELS[k]): k for k in LEVELS}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.operators.audit import AUDITED, CELL, _cells, audited, checked, restatements
+from tallyspark.operators.audit import AUDITED, CELL, _cells, audited, restatements
 from tallyspark.plans.shared import fresh_folder
 from tallyspark.plans.views import facts, filings
 
@@ -102,11 +102,11 @@ def report_document(cells: DataFrame, fixes: DataFrame, changes: DataFrame, metr
 
 
 def write_snapshot(path: str, cells: DataFrame, fixes: DataFrame, changes: DataFrame, run: str) -> None:
-    """Everything for other programs, as JSON in four folders: cells (all classes), counts, fixes, restatements."""
+    """Everything for other programs, as JSON (gzip) in four folders: cells (all classes), counts, fixes, restatements."""
     key = _text(F.col("ticker").cast("string"), ":", F.col("metric"), ":", F.col("fy"), F.col("period_type"))
     tables = {"cells": cells.withColumn("cell_key", key), "counts": cells.groupBy("class").agg(F.count("*").alias("n")), "fixes": fixes, "restatements": changes}
     for name, rows in tables.items():
-        rows.withColumn("run", F.lit(run)).write.option("ignoreNullFields", "false").json(f"{path}/{name}")
+        rows.withColumn("run", F.lit(run)).write.option("ignoreNullFields", "false").option("compression", "gzip").json(f"{path}/{name}")
 
 
 def read_snapshot(spark: SparkSession, path: str, name: str, schema) -> DataFrame:
@@ -115,14 +115,14 @@ def read_snapshot(spark: SparkSession, path: str, name: str, schema) -> DataFram
 
 def report_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Audited cells with what their checks found, fixes (every third of those that are routed), and restatements."""
-    f, docs = facts(spark, sf_dir), filings(spark, sf_dir)
+    f, found = facts(spark, sf_dir), ["violations", "range", "factor"]
     path = fresh_folder(spark, "report-cells")
-    found = checked(f).select(*CELL, "violations", "range", "factor")
-    audited(f, _cells(spark, sf_dir), docs).join(found, CELL, "left").select(*CELL, "class", "failed", "fix", "value_usd", "model", "doc_id", "violations", "range", "factor").write.parquet(path)
+    audited(f, _cells(spark, sf_dir), filings(spark, sf_dir), *found).select(*CELL, "class", "failed", "fix", "value_usd", "model", "doc_id", *found).write.parquet(path)
     cells = spark.read.parquet(path)
     fixes = cells.filter("fix is not null and (fy + length(period_type)) % 3 = 0").select(*CELL, "fix", F.col("value_usd").alias("old_usd"), F.when(F.col("ticker") % 2 == 0, F.col("value_usd") + 1).alias("new_usd"))
-    filed = f.filter("period_type <> '' and value_usd is not null").groupBy(*CELL).agg(F.min("filing_date").cast("string").alias("first_filed"), F.max("filing_date").cast("string").alias("last_filed"))
-    return cells, fixes, restatements(f.filter("period_type <> ''")).join(filed, CELL)
+    at = fresh_folder(spark, "report-changes")
+    restatements(f.filter("period_type <> ''"), first_filed=F.min("filing_date").cast("string"), last_filed=F.max("filing_date").cast("string")).write.parquet(at)
+    return cells, fixes, spark.read.parquet(at)
 
 
 DISPLAY = {"m1": "CapEx", "m2": "Revenue", "m3": "OCF", "m4": "D&A", "m5": "PP&E", "m6": "Cloud Seg"}

@@ -56,7 +56,8 @@ def refresh(store: stored.Store, now: DataFrame, stored_facts: DataFrame, cells:
 
     def plan(old: dict[str, DataFrame], new: DataFrame) -> dict[str, DataFrame]:
         keys = new.select(*GROUP)
-        own = audited(stored_facts.join(keys, GROUP, "left_semi"), cells.join(keys, GROUP, "left_semi"), docs.join(keys.select("ticker").distinct(), "ticker", "left_semi"))
+        asked = keys.groupBy("ticker").agg(F.collect_set("metric").alias("__asked"))
+        own = audited(stored_facts.join(keys, GROUP, "left_semi"), cells.join(asked, "ticker").withColumn("metrics", F.array_intersect("metrics", "__asked")).drop("__asked"), docs.join(keys.select("ticker").distinct(), "ticker", "left_semi"))
         keep = {n: t.join(keys, GROUP, "left_anti") for n, t in old.items()}
         return {"marks": keep["marks"].unionByName(new.filter("n is not null")), "cells": keep["cells"].unionByName(own.select(*keep["cells"].columns))}
 
