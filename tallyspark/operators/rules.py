@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from itertools import combinations
 
 import ahocorasick
@@ -47,6 +48,23 @@ def scope_matches(rules: DataFrame, rows: DataFrame, rule_id: str, fields: list[
     Rules are grouped by the fields that they set, so that each group is an equality join. A range is cut into blocks of powers
     of two, and a value lies in one block of each size; it meets a rule in exactly one of them. Nulls in a row's fields fit
     rules that don't set them; rows without a value fit rules without a range."""
+    out = _met(rules, rows, lambda held: rows, rule_id, fields, value, low, high)
+    return out if out is not None else rows.withColumn(rule_id, F.lit(None).cast(rows.schema[rule_id].dataType)).limit(0)
+
+
+def scope_totals(rules: DataFrame, rows: DataFrame, rule_id: str, fields: list[str], value: str, key: str, low: str = "low", high: str = "high") -> DataFrame:
+    """(rule_id, n, first): how many rows each rule fits, and their smallest key; rules that fit none are left out.
+
+    What scope_matches() gives, counted without its pairs: rows are counted by the fields that a group of rules sets and the
+    value, so a rule for all meets one row for each value, however many rows there are."""
+    every = _written(rows.groupBy(*fields, value).agg(F.count("*").alias("n"), F.min(key).alias("first")), "scope-counts")
+    totals = [F.sum("n").alias("n"), F.min("first").alias("first")]
+    out = _met(rules, every, lambda held: every.groupBy(*held, value).agg(*totals), rule_id, fields, value, low, high)
+    return out.groupBy(rule_id).agg(*totals) if out is not None else rules.select(rule_id).crossJoin(every.select("n", "first")).limit(0)
+
+
+def _met(rules: DataFrame, rows: DataFrame, side: Callable[[tuple], DataFrame], rule_id: str, fields: list[str], value: str, low: str, high: str) -> DataFrame | None:
+    """The rows that side() gives for the fields held by a group of rules, with each rule that fits; None without rules."""
     first, last = rows.agg(F.min(value), F.max(value)).first()
     first, last = (0, 0) if first is None else (int(first), int(last))
     levels = max(1, (last - first + 1).bit_length())
@@ -57,7 +75,6 @@ def scope_matches(rules: DataFrame, rows: DataFrame, rule_id: str, fields: list[
     cut = _written(cut.select(rule_id, *[f"__{f}" for f in fields], F.col("p.level").alias("__level"), F.col("p.block").alias("__block")), "scopes")
     blocks = F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), lambda k: F.struct(k.alias("level"), F.floor((F.col(value) - first) / F.pow(F.lit(2.0), k)).cast("bigint").alias("block")))
     own = F.concat(whole, F.when(F.col(value).isNotNull(), blocks).otherwise(F.array().cast("array<struct<level:int,block:bigint>>")))
-    spread = rows.withColumn("__p", F.explode(own)).withColumns({"__level": F.col("__p.level"), "__block": F.col("__p.block")}).drop("__p")
     out = None
     for k in range(len(fields) + 1):
         for held in combinations(fields, k):
@@ -65,9 +82,11 @@ def scope_matches(rules: DataFrame, rows: DataFrame, rule_id: str, fields: list[
             group = cut.filter(F.lit(True) if not mask else _all(mask)).select(rule_id, *[F.col(f"__{f}").alias(f) for f in held], "__level", "__block")
             if group.isEmpty():
                 continue
-            hit = spread.join(sent(group), [*held, "__level", "__block"]).select(*rows.columns, rule_id)
-            out = hit if out is None else out.unionByName(hit)
-    return out if out is not None else rows.withColumn(rule_id, F.lit(None).cast(rules.schema[rule_id].dataType)).limit(0)
+            given = side(held)
+            spread = given.withColumn("__p", F.explode(own)).withColumns({"__level": F.col("__p.level"), "__block": F.col("__p.block")}).drop("__p")
+            hit = spread.join(sent(group), [*held, "__level", "__block"]).select(*given.columns, rule_id)
+            out = hit if out is None else out.unionByName(hit, allowMissingColumns=True)
+    return out
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -231,8 +250,8 @@ def _rules(spark, sf_dir) -> DataFrame:
 
 def scope_rules(spark, sf_dir):
     """How many filings each rule fits, and the first."""
-    out = scope_matches(_rules(spark, sf_dir), filings(spark, sf_dir).select("doc_id", "ticker", "form", "fy"), "rule", ["ticker", "form"], "fy")
-    return out.groupBy("rule").agg(F.count("*").alias("filings"), F.min("doc_id").alias("first"))
+    out = scope_totals(_rules(spark, sf_dir), filings(spark, sf_dir).select("doc_id", "ticker", "form", "fy"), "rule", ["ticker", "form"], "fy", "doc_id")
+    return out.withColumnRenamed("n", "filings")
 
 
 def alias_phrases(spark, sf_dir):

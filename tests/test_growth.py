@@ -1,6 +1,9 @@
 """Work that grows with the input: what is shuffled, written and repeated."""
 
+from pyspark.sql import functions as F
+
 from tallyspark.operators import audit
+from tallyspark.operators import rules as R
 from tests.helpers import SF
 
 
@@ -25,3 +28,15 @@ def test_null_metrics_are_dropped(spark):
     docs = spark.createDataFrame([(1, 2000, "10-Q"), (2, None, "10-K"), (2, 2001, "20-F")], "ticker long, fy long, form string")
     got = sorted((r.ticker, r.period_type, r.gap, r.doc_id) for r in audit.check_gap(firms, won, docs).collect())
     assert got == [(1, "FY", "present", 5), (1, "Q1", "gap_fixable", None), (2, "FY", "gap_unfixable", None)]
+
+
+def test_scope_totals_make_no_pairs(spark):
+    """As many as the pairs of scope_matches(); a rule for all meets a row for each value, not each filing."""
+    rules = spark.createDataFrame([(k, None if k % 3 else k % 5, "a" if k % 4 == 0 else None, None if k % 7 == 0 else k % 9, 5 + k % 6) for k in range(60)], "rule long, t int, f string, low int, high int")
+    rows = spark.createDataFrame([(k % 5 if k % 11 else None, "ab"[k % 2], k % 12 if k % 13 else None, k) for k in range(1, 2000)], "t int, f string, y int, k int")
+    pairs = R.scope_matches(rules, rows, "rule", ["t", "f"], "y").groupBy("rule").agg(F.count("*").alias("n"), F.min("k").alias("first"))
+    out = R.scope_totals(rules, rows, "rule", ["t", "f"], "y", "k")
+    assert sorted(out.select("rule", "n", "first").collect()) == sorted(pairs.collect())
+    met = R._met(rules, rows.withColumn("n", F.lit(1)).withColumn("first", F.col("k")), lambda held: rows.groupBy(*held, "y").agg(F.count("*").alias("n"), F.min("k").alias("first")), "rule", ["t", "f"], "y", "low", "high")
+    assert met.groupBy("rule").count().agg(F.max("count")).first()[0] <= 60  # of some 2,000 rows
+    assert R.scope_totals(rules.limit(0), rows, "rule", ["t", "f"], "y", "k").count() == 0
