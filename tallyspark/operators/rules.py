@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import OrderedDict
 from collections.abc import Callable
 from itertools import combinations
+from uuid import uuid4
 
 import ahocorasick
 import pyarrow as pa
@@ -15,8 +17,10 @@ from tallyspark.functions import labels as L
 from tallyspark.plans.shared import fresh_folder, sent
 from tallyspark.plans.views import SQL, companies, filings, table
 
-#: Patterns that are sent to all tasks at once; each worker compiles those that a text meets.
+#: Patterns for all owners that are sent to all tasks at once; each worker compiles those that a text meets.
 BLOCK_PATTERNS = 5_000
+#: Patterns of an owner that meet a text in a row, and such rows whose patterns a worker keeps compiled.
+OWN_PATTERNS, KEPT = 64, 500
 
 
 def _written(rows: DataFrame, name: str) -> DataFrame:
@@ -162,78 +166,112 @@ def literal_of(pattern: str) -> str:
     return max(runs, key=len)
 
 
-#: What a Python worker has compiled last, by its block: (automaton or None, patterns).
+#: What a Python worker has compiled last: by its block, and by owner.
 _LAST: dict[str, tuple] = {}
+_OWN: OrderedDict[tuple, tuple] = OrderedDict()
+
+
+def _prepared(rows: list[tuple]) -> tuple:
+    """(automaton of literals or None, patterns without one, compiled patterns) of (owner or None, field, priority, pattern)."""
+    by: dict[str, list[int]] = {}
+    for k, r in enumerate(rows):
+        by.setdefault(literal_of(r[3]), []).append(k)
+    always, automaton = by.pop("", []), None
+    if by:
+        automaton = ahocorasick.Automaton()
+        for literal, own in by.items():
+            automaton.add_word(literal, own)
+        automaton.make_automaton()
+    return automaton, always, {}
 
 
 def _ready(key: str, rows: list[tuple]) -> tuple:
     if key not in _LAST:
         _LAST.clear()
-        by: dict[str, list[int]] = {}
-        for k, r in enumerate(rows):
-            by.setdefault(literal_of(r[3]), []).append(k)
-        always, automaton = by.pop("", []), None
-        if by:
-            automaton = ahocorasick.Automaton()
-            for literal, own in by.items():
-                automaton.add_word(literal, own)
-            automaton.make_automaton()
-        _LAST[key] = automaton, always, {}
+        _LAST[key] = _prepared(rows)
     return _LAST[key]
 
 
-def matches(text: str, owner, key: str, rows: list[tuple]) -> list[tuple[str, int, str, str]]:
-    """(field, priority, number, unit) of the first matching pattern of each field; rows: (owner or None, field, priority, pattern)."""
-    automaton, always, compiled = _ready(key, rows)
+def _own_ready(key: tuple, rows: pa.Scalar) -> tuple:
+    """(rows, what _prepared() gives) of an owner's patterns; texts come in the order of their owners."""
+    if key not in _OWN:
+        given = [(None, x["field"], x["priority"], x["pattern"]) for x in rows.as_py()]
+        _OWN[key] = given, _prepared(given)
+        if len(_OWN) > KEPT:
+            _OWN.popitem(last=False)
+    return _OWN[key]
+
+
+def matches(text: str, rows: list[tuple], prepared: tuple) -> list[tuple[str, int, str, str, str]]:
+    """(field, priority, number, unit, pattern) of the first matching pattern of each field; rows are in their order."""
+    automaton, always, compiled = prepared
     may = set(always)
     for _, own in automaton.iter(text) if automaton else ():
         may.update(own)
     out: dict[str, tuple] = {}
-    for k in sorted((k for k in may if rows[k][0] is None or rows[k][0] == owner), key=lambda k: (rows[k][2], k)):
-        field = rows[k][1]
+    for k in sorted(may):
+        _, field, priority, pattern = rows[k]
         if field not in out:
             if k not in compiled:
-                compiled[k] = re.compile(rows[k][3])
+                compiled[k] = re.compile(pattern)
             if m := compiled[k].search(text):
-                out[field] = (field, rows[k][2], m[1], m[2] if m.re.groups > 1 else None)
+                out[field] = (field, priority, m[1], m[2] if m.re.groups > 1 else None, pattern)
     return list(out.values())
 
 
+def _found(ids: pa.Array, id_col: str, said: list[list[tuple]]) -> pa.RecordBatch:
+    take = pa.array([k for k, x in enumerate(said) for _ in x], pa.int64())
+    parts = list(zip(*[v for x in said for v in x], strict=True)) or [()] * 5
+    columns = [pa.array(c, t) for c, t in zip(parts, (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()), strict=True)]
+    return pa.RecordBatch.from_arrays([ids.take(take), *columns], [id_col, "field", "priority", "number", "unit", "pattern"])
+
+
 def pattern_table_values(texts: DataFrame, patterns: DataFrame, id_col: str, owner_col: str, text_col: str, block: int = BLOCK_PATTERNS) -> DataFrame:
     """(id, field, value, priority): of each field the value, in millions, of the first pattern that a text matches.
 
     patterns: owner (null: for all), field, priority, pattern (Python's; its groups are the number and, if there are two, the
-    unit). Owners share a text's patterns by equality. Patterns go to all tasks in blocks; one walk over a text tells, by their
-    literals, which of them it can match, and only those of its owner are tried, in the order of priority, then of the pattern's
-    text. Texts aren't shuffled, only what was found."""
+    unit). An owner's patterns meet its texts in a join by the owner, some of them in a row, so a text is walked for those of
+    its owner only, however many owners there are. Patterns for all go to all tasks in blocks. One walk over a text tells, by
+    their literals, which patterns it can match; these are tried in the order of priority, then of the pattern's text."""
     spark = texts.sparkSession
     rows = patterns.select(F.col("owner").cast("string").alias("owner"), "field", "priority", "pattern").filter("pattern is not null").distinct()
-    n = max(1, -(-rows.count() // block))
-    path = fresh_folder(spark, "patterns")
-    rows.withColumn("block", F.pmod(F.xxhash64("owner", "field", "pattern"), F.lit(n)).cast("int")).write.partitionBy("block").parquet(path)
-    kept = spark.read.schema("owner string, field string, priority int, pattern string, block int").parquet(path)
+    kept = _written(rows, "patterns")
     kind = texts.schema[id_col].dataType.simpleString()
-    given = texts.filter(F.col(text_col).isNotNull()).select(id_col, F.col(owner_col).cast("string").alias(owner_col), text_col)
-    out = None
+    given = texts.filter(F.col(text_col).isNotNull()).select(id_col, F.col(owner_col).cast("string").alias("__owner"), F.col(text_col).alias("__text"))
+    name = uuid4().hex
+    shape = f"`{id_col}` {kind}, field string, priority int, number string, unit string, pattern string"
+
+    own = kept.filter("owner is not null").withColumnRenamed("owner", "__owner")
+    sizes = own.groupBy("__owner").agg(F.ceil(F.count("*") / OWN_PATTERNS).alias("__chunks"))
+    dealt = own.join(sizes, "__owner").withColumn("__chunk", F.pmod(F.xxhash64("field", "pattern"), F.col("__chunks")))
+    chunks = dealt.groupBy("__owner", "__chunk").agg(F.sort_array(F.collect_list(F.struct("priority", "pattern", "field"))).alias("__patterns"))
+
+    def walk_own(batches, name=name):
+        for batch in batches:
+            said = []
+            for owner, chunk, text, held in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
+                said.append(matches(text.as_py(), *_own_ready((name, owner, chunk), held)))
+            yield _found(batch.column(0), id_col, said)
+
+    # Merged, not broadcast: texts then come in the order of their owners, whose patterns a worker compiles once.
+    met = given.join(chunks.hint("merge"), "__owner").select(id_col, "__owner", "__chunk", "__text", "__patterns")
+    out = met.mapInArrow(walk_own, shape)
+
+    every = kept.filter("owner is null")
+    n = max(1, -(-every.count() // block))
     for b in range(n):
-        own = sorted((tuple(r)[:4] for r in kept.filter(F.col("block") == b).collect()), key=lambda r: (r[2], r[3]))  # about a block
-        if not own:
+        part = every.filter(F.pmod(F.xxhash64("field", "pattern"), F.lit(n)) == b)
+        held = sorted((tuple(r) for r in part.select("owner", "field", "priority", "pattern").collect()), key=lambda r: (r[2], r[3]))  # about a block
+        if not held:
             continue
-        shared, name = spark.sparkContext.broadcast(own), f"{path}/{b}"
+        shared, of = spark.sparkContext.broadcast(held), f"{name}-{b}"
 
-        def walk(batches, shared=shared, name=name):
+        def walk(batches, shared=shared, of=of):
             for batch in batches:
-                ids, said = batch.column(0), [matches(t.as_py(), o.as_py(), name, shared.value) for o, t in zip(batch.column(1), batch.column(2), strict=True)]
-                take = pa.array([k for k, x in enumerate(said) for _ in x], pa.int64())
-                parts = list(zip(*[v for x in said for v in x], strict=True)) or [()] * 4
-                columns = [pa.array(c, t) for c, t in zip(parts, (pa.string(), pa.int32(), pa.string(), pa.string()), strict=True)]
-                yield pa.RecordBatch.from_arrays([ids.take(take), *columns], [id_col, "field", "priority", "number", "unit"])
-
-        part = given.mapInArrow(walk, f"`{id_col}` {kind}, field string, priority int, number string, unit string")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return texts.select(id_col, *[F.lit(None).cast(t).alias(c) for c, t in (("field", "string"), ("value", "double"), ("priority", "int"))]).limit(0)
-    best = F.min_by(F.struct("number", "unit", "priority"), F.struct("priority", "number", "unit")).alias("m")
+                yield _found(batch.column(0), id_col, [matches(t.as_py(), shared.value, _ready(of, shared.value)) for t in batch.column(1)])
+
+        out = out.unionByName(given.select(id_col, "__text").mapInArrow(walk, shape))
+    best = F.min_by(F.struct("number", "unit", "priority"), F.struct("priority", "pattern", "number", "unit")).alias("m")
     first = out.groupBy(id_col, "field").agg(best)
     return first.select(id_col, "field", L.scaled_millions(F.col("m.number"), F.coalesce("m.unit", F.lit("million"))).alias("value"), "m.priority")
 

@@ -40,3 +40,14 @@ def test_scope_totals_make_no_pairs(spark):
     met = R._met(rules, rows.withColumn("n", F.lit(1)).withColumn("first", F.col("k")), lambda held: rows.groupBy(*held, "y").agg(F.count("*").alias("n"), F.min("k").alias("first")), "rule", ["t", "f"], "y", "low", "high")
     assert met.groupBy("rule").count().agg(F.max("count")).first()[0] <= 60  # of some 2,000 rows
     assert R.scope_totals(rules.limit(0), rows, "rule", ["t", "f"], "y", "k").count() == 0
+
+
+def test_owners_texts_meet_their_patterns_only(spark):
+    """Many owners' patterns make one walk by a join, not one for each block; an owner with many has several rows."""
+    n = R.OWN_PATTERNS * 3
+    patterns = [(k, "f", 1, rf"unit {k} ([\d,]+)") for k in range(200)] + [(1, "f", 2 + k, rf"no {k} ([\d,]+)") for k in range(n)] + [(1, "f", 2 + n, r"late ([\d,]+)"), (None, "f", 0, r"first ([\d,]+)")]
+    texts = [(k, k, f"unit {k} 5") for k in range(200)] + [(500, 1, "late 9, no 7 8"), (501, 1, "late 9"), (502, 3, "late 9"), (503, 3, "unit 3 5, first 4")]
+    out = R.pattern_table_values(spark.createDataFrame(texts, "i int, o int, t string"), spark.createDataFrame(patterns, "owner int, field string, priority int, pattern string"), "i", "o", "t", 20)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+    got = {r.i: (r.value, r.priority) for r in out.collect()}
+    assert got == {**{k: (5.0, 1) for k in range(200)}, 500: (8.0, 9), 501: (9.0, 2 + n), 503: (4.0, 0)}
