@@ -1,7 +1,7 @@
 """Calendar rows as a running state machine: polls, processing attempts, people's actions, pauses and deadlines.
 
 Messages about a row (cal_id, at, seq, kind, word, detail, due, form) come in the order of their time. A row's state lives in
-the stream's state store; timers in event time wake it when a pause is over, when it goes stale, and when a closed row is
+the stream's state store, with those of the rows whose ids are next to its own; timers in event time wake it when a pause is over, when it goes stale, and when a closed row is
 forgotten, so the state holds open rows and recently closed ones only. The same rules fold a batch: both give the same changes
 for the same messages, however these are dealt to triggers and wherever a run is stopped and started again.
 
@@ -15,7 +15,7 @@ Kinds of messages:
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass, replace
+from dataclasses import dataclass, replace
 from itertools import groupby
 
 import pyarrow as pa
@@ -30,6 +30,10 @@ from tallyspark.streaming.pipeline import FIRST_PAUSE, LONGEST_PAUSE, RETRYABLE,
 MESSAGE = "cal_id long, at timestamp, seq long, kind string, word string, detail string, due date, form string"
 STATE = "status string, attempts int, due int, form string, polled long, next long, error string, closed long"
 CHANGED = "cal_id long, t long, n long, status string, attempts int, next long, error string, cause string"
+CHANGED_NAMES = [x.split()[0] for x in CHANGED.split(", ")]
+#: What the stream's state store holds for a group of 2^GROUP_BITS consecutive ids.
+ROWS = f"rows array<struct<cal_id: bigint, {STATE.replace(' ', ': ').replace(',: ', ', ')}, n: bigint>>"
+GROUP_BITS = 6
 MINUTE, DAY = 60_000_000, 86_400_000_000
 CLOSED = ("extracted", "skipped", "failed", "stale")
 ERROR_CHARS = 500
@@ -103,6 +107,10 @@ def applied(s: State | None, m: dict, rules: Rules) -> State | None:
     return s
 
 
+def _values(s: State) -> tuple:
+    return s.status, s.attempts, s.due, s.form, s.polled, s.next, s.error, s.closed
+
+
 def wake(s: State, rules: Rules) -> tuple[int, str]:
     """When a row is to be woken next, and why. A row is never without a timer, so none stays for ever."""
     times = []
@@ -204,45 +212,56 @@ def fold(messages: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 class Machine(StatefulProcessor):
-    """A calendar row's state in the state store, with one timer."""
+    """The states of a group of calendar rows in the state store, with one timer: each call to the store serves them all."""
 
     def __init__(self, rules: Rules):
         self.rules = rules
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("row", f"{STATE}, n long")
+        self.state = handle.getValueState("rows", ROWS)
 
-    def _load(self) -> tuple[State | None, int]:
+    def _load(self) -> dict[int, tuple[State, int]]:
         if not self.state.exists():
-            return None, 0
-        *values, n = self.state.get()
-        return State(*values), n
+            return {}
+        return {cal_id: (State(*values), n) for cal_id, *values, n in self.state.get()[0]}
 
-    def _store(self, key, before: State | None, s: State | None, changes: list[Change], n: int) -> Iterator[Row]:
-        for t in list(self.handle.listTimers()):
+    def _store(self, known: bool, held: dict[int, tuple[State, int]]) -> None:
+        for t in list(self.handle.listTimers()) if known else []:
             self.handle.deleteTimer(t)
+        if held:
+            self.state.update(([(k, *_values(s), n) for k, (s, n) in held.items()],))
+            # Timers have milliseconds; the rules look at the exact time again.
+            self.handle.registerTimer(-(-min(wake(s, self.rules)[0] for s, _ in held.values()) // 1000))
+        elif known:
+            self.state.clear()
+
+    def _given(self, held: dict, own: int, s: State | None, changes: list[Change]) -> list[Row]:
+        """The changes of a row, whose new state is put into held."""
+        n = held[own][1] if own in held else 0
         if s is None:
-            if before is not None:
-                self.state.clear()
+            held.pop(own, None)
         else:
-            self.state.update((*asdict(s).values(), n + len(changes)))
-            # Timers have milliseconds; the rules look at the exact time again.
-            self.handle.registerTimer(-(-wake(s, self.rules)[0] // 1000))
-        names = [x.split()[0] for x in CHANGED.split(", ")]
-        for row in _change_rows(key[0], changes, n):
-            yield Row(**dict(zip(names, row, strict=True)))
+            held[own] = (s, n + len(changes))
+        return [Row(**dict(zip(CHANGED_NAMES, row, strict=True))) for row in _change_rows(own, changes, n)]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before, n = self._load()
-        messages = sorted((r.asDict() for r in rows), key=lambda m: (m["t"], m["seq"]))
-        s, changes = advanced(before, messages, self.rules)
-        yield from self._store(key, before, s, changes, n)
+        held = self._load()
+        known, out = bool(held), []
+        messages = sorted((r.asDict() for r in rows), key=lambda m: (m["cal_id"], m["t"], m["seq"]))
+        for own, said in groupby(messages, key=lambda m: m["cal_id"]):
+            out += self._given(held, own, *advanced(held[own][0] if own in held else None, list(said), self.rules))
+        self._store(known, held)
+        yield from out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        before, n = self._load()
-        s, changes = until(before, timerValues.getCurrentWatermarkInMs() * 1000, self.rules)
-        yield from self._store(key, before, s, changes, n)
+        held, out = self._load(), []
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        for own, (s, _) in list(held.items()):
+            if wake(s, self.rules)[0] <= now:
+                out += self._given(held, own, *until(s, now, self.rules))
+        self._store(True, held)
+        yield from out
 
     def close(self) -> None:
         pass
@@ -255,7 +274,8 @@ def running(messages: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The same changes from a stream of messages. Those later than the watermark are left out. The session must keep its
     state in RocksDB when the query starts: run() sees to that."""
     rows = _shaped(messages.withWatermark("at", f"{rules.delay // 1000} milliseconds")).filter("cal_id is not null")
-    return _named(rows.groupBy("cal_id").transformWithState(Machine(rules), CHANGED, "Append", "EventTime"))
+    rows = rows.withColumn("id_group", F.shiftright("cal_id", GROUP_BITS))
+    return _named(rows.groupBy("id_group").transformWithState(Machine(rules), CHANGED, "Append", "EventTime"))
 
 
 def run(messages: DataFrame, path: str, rules: Rules = Rules()) -> None:

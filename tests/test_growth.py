@@ -3,11 +3,13 @@
 import json
 from pathlib import Path
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tallyspark.operators import audit
 from tallyspark.operators import rules as R
 from tallyspark.sources import scans
+from tallyspark.streaming import calendar_state as C
 from tests.helpers import SF
 
 
@@ -73,3 +75,59 @@ def test_bundled_files(spark, tmp_path):
     assert scans.scan(spark, "submissions", f"file://{tmp_path}/b").filter("error is not null").count() == 2
     path = scans._folder(spark, "many", spark.range(3000).selectExpr("id as ticker", "'{}' as text").coalesce(2), "ticker")
     assert len(list(Path(path.removeprefix("file://")).rglob("*.json.gz"))) == 2
+
+
+class Store:
+    """A state store of one group that counts what it is asked."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.value = None
+
+    def listTimers(self):
+        self.calls += 1
+        return iter(self.timers)
+
+    def deleteTimer(self, t):
+        self.calls += 1
+        self.timers.remove(t)
+
+    def registerTimer(self, t):
+        self.calls += 1
+        self.timers.append(t)
+
+
+def test_a_group_of_calendar_rows_asks_the_store_once(spark):
+    """64 rows of two messages each: a few calls, and the changes of each row by itself."""
+    store, rules = Store(), C.Rules()
+    m = C.Machine(rules)
+    m.init(store)
+    said = lambda k: [{"cal_id": k, "t": k, "seq": 0, "kind": "entry", "word": None, "detail": None, "due": k, "form": "10-K"}, {"cal_id": k, "t": k + 1, "seq": 1, "kind": "poll", "word": "error" if k % 2 else "hit", "detail": "x", "due": None, "form": None}]
+    rows = [Row(**x) for k in range(64) for x in said(k)]
+    got = list(m.handleInputRows((0,), iter(rows[::2] + rows[1::2]), None))
+    want = [r for k in range(64) for r in C._change_rows(k, C.advanced(None, said(k), rules)[1], 0)]
+    assert [tuple(r) for r in got] == want and store.calls <= 6 and len(store.timers) == 1
+
+    class Late:
+        def getCurrentWatermarkInMs(self):
+            return C.DAY * 90 // 1000
+
+    fired = list(m.handleExpiredTimer((0,), Late(), None))
+    want = [r for k in range(64) for r in C._change_rows(k, C.until(C.advanced(None, said(k), rules)[0], C.DAY * 90, rules)[1], 2)]
+    assert [tuple(r) for r in fired] == want and any(r.cause == "pause over" for r in fired)
