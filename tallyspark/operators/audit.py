@@ -45,25 +45,36 @@ def exploded(firms: DataFrame) -> DataFrame:
 def check_gap(firms: DataFrame, winners: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
     """present, gap_fixable (a filing that could hold the cell exists) or gap_unfixable, of each cell of expected() companies.
 
-    A fourth quarter may come from an annual form or a 6-K. Winners and filings meet their company as maps, of which cells
-    take theirs as they are exploded: cells, many times the facts in number, are neither shuffled nor sorted."""
+    A fourth quarter may come from an annual form or a 6-K. A company's cells have numbers: its winners are listed with theirs,
+    the numbers that are left are gaps. Numbers alone are exploded, and a winner is found by its place: cells, many times the
+    facts in number, are neither shuffled nor sorted, and none is searched for."""
     own = ["doc_id", "value_usd", "model", *more]
-    at = F.struct("fy", "period_type")
-    held = winners.filter("ticker is not null and metric is not null").repartition("ticker").groupBy("ticker", "metric").agg(F.map_from_entries(F.collect_list(F.struct(at.alias("at"), F.struct(*own).alias("won")))).alias("of"))
-    held = held.groupBy("ticker").agg(F.map_from_entries(F.collect_list(F.struct("metric", "of"))).alias("__held"))
+    held = winners.filter("ticker is not null and metric is not null").groupBy("ticker").agg(F.collect_list(F.struct("metric", "fy", "period_type", F.struct(*own).alias("won"))).alias("__held"))
     some = lambda c: F.max(c)
     form = F.col("form")
     annual, half = F.coalesce(form.isin(*P.ANNUAL_FORMS), F.lit(False)), F.coalesce(form == "6-K", F.lit(False))
     classes = docs.filter("ticker is not null and fy is not null").groupBy("ticker", "fy").agg(some(annual).alias("annual"), some(half).alias("half"), some(~annual & ~half).alias("interim"))
     classes = classes.groupBy("ticker").agg(F.map_from_entries(F.collect_list(F.struct("fy", F.struct("annual", "half", "interim")))).alias("__classes"))
     out = firms.join(held, "ticker", "left").join(classes, "ticker", "left")
-    out = out.withColumn("metric", F.explode("metrics")).withColumn("__held", F.col("__held")[F.col("metric")])
-    out = out.withColumn("fy", F.explode("years")).withColumn("__classes", F.col("__classes")[F.col("fy")])
-    out = out.withColumn("period_type", F.explode("kinds")).withColumn("__won", F.col("__held")[at])
-    has = lambda c: F.coalesce(F.col("__classes")[c], F.lit(False))
+    n_kinds, n_cells = F.size("kinds"), F.size("kinds") * F.size("metrics")
+    place = lambda names, x: F.nullif(F.array_position(names, x), F.lit(0)) - 1
+    number = lambda x: (place("years", x["fy"]) * n_cells + place("metrics", x["metric"]) * n_kinds + place("kinds", x["period_type"])).cast("int")
+    listed = F.transform("__held", lambda x: F.struct(number(x).alias("number"), x["won"].alias("won")))
+    none = F.array().cast("array<int>")
+    every = F.when(F.size("years") * n_cells > 0, F.sequence(F.lit(0), F.size("years") * n_cells - 1)).otherwise(none)
+    out = out.withColumn("__held", F.filter(listed, lambda x: x["number"].isNotNull()))
+    out = out.withColumn("__classes", F.transform("years", lambda y: F.col("__classes")[y])).withColumn("__taken", F.coalesce(F.col("__held")["number"], none))
+    # Winners come by their place below zero, gaps by their number.
+    places = F.transform("__taken", lambda x, i: -1 - i)
+    out = out.withColumn("__at", F.explode(F.concat(places, F.array_except(every, "__taken"))))
+    at = F.when(F.col("__at") < 0, F.get("__taken", -1 - F.col("__at"))).otherwise(F.col("__at"))
+    year = F.floor(at / n_cells).cast("int")
+    out = out.withColumn("fy", F.get("years", year)).withColumn("metric", F.get("metrics", F.floor(at % n_cells / n_kinds).cast("int"))).withColumn("period_type", F.get("kinds", at % n_kinds))
+    has = lambda c: F.coalesce(F.get("__classes", year)[c], F.lit(False))
+    won = F.get("__held", -1 - F.col("__at"))["won"]
     fixable = F.when(F.col("period_type") == "FY", has("annual")).when(F.col("period_type") == "Q4", has("annual") | has("half")).otherwise(has("half") | has("interim"))
-    gap = F.when(F.col("__won.doc_id").isNotNull(), "present").when(fixable, "gap_fixable").otherwise("gap_unfixable")
-    return out.select(*CELL, *[F.col(f"__won.{c}").alias(c) for c in own], gap.alias("gap"))
+    gap = F.when(won["doc_id"].isNotNull(), "present").when(fixable, "gap_fixable").otherwise("gap_unfixable")
+    return out.select(*CELL, *[won[c].alias(c) for c in own], gap.alias("gap"))
 
 
 def check_identity(cells: DataFrame, keys=("ticker", "fy", "metric")) -> DataFrame:
@@ -74,19 +85,27 @@ def check_identity(cells: DataFrame, keys=("ticker", "fy", "metric")) -> DataFra
 
 def _violations(at: dict[str, Column]) -> Column:
     rules = [("FY=Q1+Q2+Q3+Q4", at["FY"], at["Q1"] + at["Q2"] + at["Q3"] + at["Q4"]), ("9M=Q1+Q2+Q3", at["9M"], at["Q1"] + at["Q2"] + at["Q3"]), ("H1=Q1+Q2", at["H1"], at["Q1"] + at["Q2"])]
-    return F.array_compact(F.array(*[F.when(relative_difference(whole, parts) > TOLERANCE, F.lit(name)) for name, whole, parts in rules]))
+    return _names([(name, relative_difference(whole, parts) > TOLERANCE) for name, whole, parts in rules])
+
+
+def _names(tests: list[tuple[str, Column]]) -> Column:
+    """The names of the conditions that hold, in their order. Arrays are joined, as array_compact() leaves what it filters to
+    the interpreter, condition by condition."""
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(holds, F.array(F.lit(name))).otherwise(none) for name, holds in tests])
 
 
 def with_neighbours(cells: DataFrame) -> DataFrame:
-    """Winners with the violated identities of their group and the factor to the quarter before: one shuffle, by company, for
-    both and for what follows. A company has one winner a cell, however many facts."""
+    """Winners with the violated identities of their group and the factor to the quarter before. Rows that are dealt by their
+    company need no further shuffle, neither for both nor for what follows, and winners of winners.audit() are in the order that
+    both ask for. A company has one winner a cell, however many facts."""
     group, series = Window.partitionBy("ticker", "metric", "fy"), Window.partitionBy("ticker", "metric")
     part = {p: F.max(F.when(F.col("period_type") == p, F.abs("value_usd"))).over(group) for p in PERIODS}
     quarter = F.col("period_type").isin(*P.QUARTER_TYPES)
-    order = series.orderBy("fy", "period_type", "value_usd").rowsBetween(Window.unboundedPreceding, -1)
+    order = series.orderBy("fy", "period_type").rowsBetween(Window.unboundedPreceding, -1)
     before = F.last(F.when(quarter, F.struct("value_usd")), ignorenulls=True).over(order)["value_usd"]
-    out = cells.repartition("ticker").withColumn("violations", _violations(part))
-    return out.withColumn("factor", F.when(quarter & (before != 0), F.col("value_usd") / before))
+    out = cells.withColumn("factor", F.when(quarter & (before != 0), F.col("value_usd") / before))
+    return out.withColumn("violations", _violations(part))
 
 
 def check_range(cells: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -121,9 +140,8 @@ def check_cross_source(quote: Column, value_usd: Column) -> Column:
     size = F.abs(value_usd)
     # Fixed value: what is read as a number.
     numbers = F.transform(F.regexp_extract_all(quote, F.lit(r"\d[\d,]{2,}(?:\.\d+)?"), 0), lambda x: F.regexp_replace(x, ",", "").cast("double"))
-    some = F.filter(numbers, lambda x: x > 100)
-    near = F.exists(some, lambda x: F.abs(x - size) / F.greatest(size, F.lit(1.0)) <= TOLERANCE)
-    return F.coalesce((F.size(some) == 0) | near, F.lit(True))
+    near = F.transform(F.filter(numbers, lambda x: x > 100), lambda x: F.abs(x - size) / F.greatest(size, F.lit(1.0)) <= TOLERANCE)
+    return F.coalesce(F.array_max(near), F.lit(True))  # the quote is read once
 
 
 def check_sign(ticker: Column, metric: Column, value: Column, positive=POSITIVE, absolute=ABSOLUTE, warned=WARNED, exempt=EARLY_STAGE) -> Column:
@@ -202,19 +220,20 @@ def _checked(spark, sf_dir):
 
 
 def checked(stored: DataFrame) -> DataFrame:
-    """The audit winners of facts with all nine checks but gap. Quotes, contexts and rates are made of the columns at hand."""
-    won = with_neighbours(audit(stored))
+    """The audit winners of facts with all nine checks but gap. Quotes, contexts and rates are made of the columns at hand.
+    Facts are dealt once, by company, for the winners and all that follows."""
+    won = with_neighbours(audit(stored.repartition("ticker")))
     bounds = stored.sparkSession.createDataFrame(BOUNDS, BOUND)
-    out = check_range(won, bounds)
+    out = check_range(won, bounds).withColumn("__quote", _quote())
     value = F.when(F.col("suppkey") % 5 == 0, -F.col("value_usd")).otherwise(F.col("value_usd"))
     sign_ = check_sign(F.col("ticker"), F.col("metric"), value, **SIGNS)
     money = check_currency(F.col("currency"), F.col("value"), F.col("value_usd"), _rate())
-    segment = check_segment_def(F.col("metric"), F.array(F.lit("cloud"), F.lit("Segment 7")), F.lit(""), _quote(), applies=["m5"])
+    segment = check_segment_def(F.col("metric"), F.array(F.lit("cloud"), F.lit("Segment 7")), F.lit(""), F.col("__quote"), applies=["m5"])
     tests = [
         ("identity", F.size("violations") > 0),
         ("range", F.col("range") != "within"),
         ("continuity", ~F.col("factor").between(0.4, 2.5)),
-        ("cross_source", ~check_cross_source(_quote(), F.col("value_usd"))),
+        ("cross_source", ~check_cross_source(F.col("__quote"), F.col("value_usd"))),
         ("sign_error", sign_ == "error"),
         ("sign_warn", sign_ == "warn"),
         ("currency_error", money == "error"),
@@ -222,7 +241,7 @@ def checked(stored: DataFrame) -> DataFrame:
         ("segment_def", ~segment),
         ("period_type", ~check_duration(F.col("period_type"), _basis() * 30)),
     ]
-    return out.withColumn("failed", F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in tests])))
+    return out.withColumn("failed", _names(tests)).drop("__quote")
 
 
 def _quote() -> Column:
@@ -251,12 +270,26 @@ def audited(stored: DataFrame, firms: DataFrame, docs: DataFrame, *more: str) ->
     return out.withColumn("class", classify(F.col("gap"), F.col("failed"), F.col("model"))).withColumn("fix", route(F.col("gap"), F.col("failed")))
 
 
+def flagged(stored: DataFrame, firms: DataFrame) -> DataFrame:
+    """The flagged ones of audited() cells. They are winners with a failed check that some company expects, so no other cell is
+    made."""
+    rows = checked(stored).filter("size(failed) > 0 and doc_id is not null and metric is not null").join(firms.select("ticker", "years", "kinds", "metrics"), "ticker")
+    rows = rows.filter("array_contains(years, fy) and array_contains(kinds, period_type) and array_contains(metrics, metric)")
+    gap = F.lit("present")
+    rows = rows.withColumn("class", classify(gap, F.col("failed"), F.col("model"))).withColumn("fix", route(gap, F.col("failed")))
+    return rows.select(*CELL, "doc_id", "value_usd", "model", "failed", gap.alias("gap"), "class", "fix")
+
+
+def _flagged(spark, sf_dir):
+    return flagged(facts(spark, sf_dir), _cells(spark, sf_dir))
+
+
 def cell_universe(spark, sf_dir):
     return exploded(_cells(spark, sf_dir)).select(*CELL)
 
 
 def gap(spark, sf_dir):
-    out = check_gap(_cells(spark, sf_dir), audit(facts(spark, sf_dir)), filings(spark, sf_dir))
+    out = check_gap(_cells(spark, sf_dir), audit(facts(spark, sf_dir).repartition("ticker")), filings(spark, sf_dir))
     return out.select(*CELL, "gap", "doc_id")
 
 
@@ -299,7 +332,7 @@ def duration(spark, sf_dir):
 
 def verdict_severity(spark, sf_dir):
     """What is stored for a flagged cell: its failures and their severity."""
-    rows = _audited(spark, sf_dir).filter("class = 'flagged'")
+    rows = _flagged(spark, sf_dir)
     return rows.select(*CELL, "doc_id", F.array_join("failed", ";").alias("failed"), severity(F.col("failed")).alias("severity"))
 
 

@@ -9,7 +9,7 @@ from tallyspark.functions import labels as L
 from tallyspark.functions import periods as P
 from tallyspark.functions import text as T
 from tallyspark.functions.numbers import exact_sum, rounded
-from tallyspark.operators.audit import AUDITED, CELL, _audited
+from tallyspark.operators.audit import AUDITED, CELL, _audited, _flagged
 from tallyspark.operators.winners import AUDIT, audit
 from tallyspark.plans.shared import fresh_folder, sent
 from tallyspark.plans.views import SQL, companies, facts, filings, table
@@ -159,7 +159,7 @@ def contexts(spark, sf_dir):
 
 
 def cluster_context(spark, sf_dir):
-    flagged = _audited(spark, sf_dir).filter("class = 'flagged'")
+    flagged = _flagged(spark, sf_dir)
     notes = companies(spark, sf_dir).filter("ticker % 3 = 0").select("ticker", F.concat(F.lit("see "), "currency").alias("note"))
     treatments = spark.createDataFrame([("m1", "whole"), ("m5", "segment")], "metric string, treatment string")
     out = with_context(flagged, _evidence(spark, sf_dir).withColumn("pos", F.struct("pos", "excerpt")), notes, treatments)
@@ -246,7 +246,7 @@ def period_rules(spark, sf_dir):
 
 def report_sidecar(spark, sf_dir):
     """Flagged cells written as JSON and read again."""
-    cells = _audited(spark, sf_dir).filter("class = 'flagged'").select(*CELL, "class", "failed")
+    cells = _flagged(spark, sf_dir).select(*CELL, "class", "failed")
     at = fresh_folder(spark, "report")
     write_sidecar(cells, at)
     return read_sidecar(spark, at, cells.schema).select(*CELL, "class", F.array_join("failed", ";").alias("failed"))
@@ -262,7 +262,7 @@ def action_log(spark, sf_dir):
 
 
 def report_lines(spark, sf_dir):
-    return flagged_fragments(_audited(spark, sf_dir).filter("class = 'flagged'"))
+    return flagged_fragments(_flagged(spark, sf_dir))
 
 
 def report_matrix(spark, sf_dir):

@@ -63,7 +63,7 @@ def workbook(df: DataFrame) -> DataFrame:
 def audit(df: DataFrame) -> DataFrame:
     """Stored facts beat derived ones; then the newest filing, then the highest document."""
     derived = F.when(F.col("model").startswith("reconcile-derived"), 1).otherwise(0)
-    return pick(df.filter("period_type <> ''"), ["ticker", "fy", "metric", "period_type"], [derived, F.desc("filing_date"), F.desc("doc_id")])
+    return pick(df.filter("period_type <> ''"), ["ticker", "metric", "fy", "period_type"], [derived, F.desc("filing_date"), F.desc("doc_id")])
 
 
 def reconcile(df: DataFrame, flow: list[str] = FLOW_METRICS) -> DataFrame:

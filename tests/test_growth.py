@@ -36,6 +36,27 @@ def test_null_metrics_are_dropped(spark):
     assert got == [(1, "FY", "present", 5), (1, "Q1", "gap_fixable", None), (2, "FY", "gap_unfixable", None)]
 
 
+def test_flagged_cells_need_no_others(spark):
+    """Flagged cells are winners: no cell is exploded for them, and they are those of the whole audit."""
+    out = audit._flagged(spark, SF)
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    columns = ["ticker", "fy", "metric", "period_type", "doc_id", "class", "fix", "failed"]
+    want = audit._audited(spark, SF).filter("class = 'flagged'").select(columns).collect()
+    assert sorted(map(str, out.select(columns).collect())) == sorted(map(str, want)) and want
+
+
+def test_checks_are_compiled(spark):
+    """Conditions aren't put into an array that a lambda filters, and a cell doesn't look its winner up in a map."""
+    plan = audit._audited(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(array(CASE" not in plan and "array_except" in plan and "map_from_entries(collect_list(struct(metric" not in plan
+    firms = spark.createDataFrame([(1, [], ["FY"], ["m1"]), (2, [2000, 2001], ["Q1", "FY"], ["m1", "m2"]), (3, [2000], [], ["m1"])], "ticker long, years array<bigint>, kinds array<string>, metrics array<string>")
+    won = spark.createDataFrame([(2, 2001, "m2", "Q1", 5, 1.0, "x"), (2, 2001, "m9", "Q1", 6, 1.0, "x"), (2, 1999, "m1", "FY", 7, 1.0, "x"), (2, 2000, "m1", "FY", None, 1.0, "x"), (1, 2000, "m1", "FY", 8, 1.0, "x")], "ticker long, fy long, metric string, period_type string, doc_id long, value_usd double, model string")
+    docs = spark.createDataFrame([(2, 2000, "10-K"), (2, 2001, "6-K")], "ticker long, fy long, form string")
+    got = {(r.fy, r.metric, r.period_type): (r.gap, r.doc_id) for r in audit.check_gap(firms, won, docs).collect()}
+    gap = lambda y, k: ("gap_fixable" if (y, k) in ((2000, "FY"), (2001, "Q1")) else "gap_unfixable", None)
+    assert got == {(y, m, k): gap(y, k) for y in (2000, 2001) for m in ("m1", "m2") for k in ("Q1", "FY")} | {(2001, "m2", "Q1"): ("present", 5)}
+
+
 def test_scope_totals_make_no_pairs(spark):
     """As many as the pairs of scope_matches(); a rule for all meets a row for each value, not each filing."""
     rules = spark.createDataFrame([(k, None if k % 3 else k % 5, "a" if k % 4 == 0 else None, None if k % 7 == 0 else k % 9, 5 + k % 6) for k in range(60)], "rule long, t int, f string, low int, high int")
