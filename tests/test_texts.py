@@ -4,13 +4,17 @@ import csv
 import io
 import random
 import re
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.functions import labels as L
 from tallyspark.functions import text as T
 from tallyspark.operators import extract, report, write
+from tallyspark.operators import provenance as provenances
 from tallyspark.operators.provenance import provenance
 from tallyspark.sources import files
 from tallyspark.streaming import pipeline
@@ -202,3 +206,52 @@ def test_missing_rate_is_told(spark):
     assert [r.messages for r in out["errors"].collect()] == [["no exchange rate: the value in dollars is missing"]] and out["facts"].count() == 1
 
 
+
+
+def said_in(texts, quotes):
+    """(text, quote) pairs that an index finds and the counts that it gives, without Spark."""
+    columns = list(provenances._indexed([pa.RecordBatch.from_pydict({"q": quotes, "block": pa.array([0] * len(quotes), pa.int32())})]))
+    tiers = provenances.tiers_of(pa.Table.from_batches(columns))
+    short, long = {}, Counter()
+    provenances.counted_in(texts, np.ones(len(texts), np.int64), tiers, short, long)
+    counts = {**long, **{q: n for t in tiers if t.length in short for q, n in zip(t.short, short[t.length].tolist(), strict=True)}}
+    return set(provenances.found_in(texts, tiers)), counts
+
+
+@pytest.mark.parametrize("base", [provenances._BASE, 1])
+def test_provenance_index(monkeypatch, base):
+    """Pairs and counts from windows' hashes, also with a base for which all strings of the same letters share a hash."""
+    monkeypatch.setattr(provenances, "_BASE", base)
+    monkeypatch.setattr(provenances, "_INVERSE", pow(base, -1, 1 << 64))
+    monkeypatch.setattr(provenances, "_POWERS", {})
+    monkeypatch.setattr(provenances, "BATCH_CHARS", 700)
+    monkeypatch.setattr(provenances, "MOST_AT_ONCE", 50)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab日🙂\0") for _ in range(rng.choice([0, 1, 5, 300]))) for _ in range(60)] + ["ab" * 600, "", "ba" * 80]
+    whole = [t for t in texts if t]
+    quotes = sorted({t[k : k + rng.choice([1, 2, 3, 7, 15, 16, 17, 33, 70, 130, 400])] for t in whole * 4 for k in [rng.randrange(len(t))]} | {"x", "ab" * 100, "aab", whole[0][-1] + whole[1][0]})
+    found, counts = said_in(texts, quotes)
+    want = {(i, q) for i, t in enumerate(texts) for q in quotes if q in t}
+    assert {(i, q) for i, q in found if q in set(quotes)} == want
+    assert {q: n for q, n in counts.items() if n and q in set(quotes)} == Counter(q for _, q in want)
+
+
+def test_provenance_reads_texts_once(spark):
+    """Eighteen thousand quotes of 180 characters, more than an automaton of a million held, are one index; copies count."""
+    texts = spark.range(18_000).select(F.col("id").alias("i"), F.repeat(F.concat(F.lit("w"), F.expr("id div 2"), F.lit(" ")), 30).alias("t"))
+    quotes = texts.select(F.col("i").alias("q"), F.rpad(F.substring("t", 1, 180), 180, "-").alias("s"))
+    sent = list(provenances._sent(provenances._asked(quotes, "q", "s"), provenances.BLOCK_CHARS))
+    assert len(sent) == 1
+    got = provenances.containing(texts, texts.selectExpr("i q", "substring(t, 2, 21) s"), "i", "t", "q", "s")
+    assert got.agg(F.count("*"), F.sum("n")).first()[:] == (18_000, 36_000)
+
+
+def test_containing_counts_ids_once(spark):
+    """Ids that repeat or are null: their texts and quotes count together."""
+    texts = [(1, "a b"), (1, "b c"), (2, "b"), (None, "c")]
+    quotes = [("x", "a"), ("x", "c"), ("y", "b"), ("z", "q"), ("n", " ")]
+    got = dict(provenances.containing(spark.createDataFrame(texts, "i int, t string"), spark.createDataFrame(quotes, "q string, s string"), "i", "t", "q", "s").collect())
+    assert got == {"x": 1, "y": 2}
+    some = spark.createDataFrame([(1, "a"), (2, "a")], "i int, t string")
+    assert provenances.containing(some, some.limit(0).toDF("q", "s"), "i", "t", "q", "s").count() == 0
+    assert dict(provenances.containing(some, some.toDF("q", "s"), "i", "t", "q", "s").collect()) == {1: 2, 2: 2}
