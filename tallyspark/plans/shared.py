@@ -37,6 +37,9 @@ def clear_folders(spark: SparkSession, *paths: str) -> None:
         _MADE.remove(path)
 
 
-def sent(rows: DataFrame, most: int = MOST_SENT) -> DataFrame:
-    """rows to be broadcast, if they are at most so many: counted up to there, not further."""
-    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+def sent(rows: DataFrame, most: int = MOST_SENT, by_hash: bool = False) -> DataFrame:
+    """rows to be broadcast, if they are at most so many: counted up to there, not further. Others are joined as Spark decides,
+    or by_hash: both sides shuffled and these rows, evenly spread by the key, held in tasks without a sort."""
+    if rows.limit(most + 1).count() <= most:
+        return F.broadcast(rows)
+    return rows.hint("shuffle_hash") if by_hash else rows

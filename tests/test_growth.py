@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators import audit
 from tallyspark.operators import rules as R
+from tallyspark.operators import write
 from tallyspark.sources import scans
 from tallyspark.streaming import calendar_state as C
 from tests.helpers import SF
@@ -152,3 +153,17 @@ def test_a_group_of_calendar_rows_asks_the_store_once(spark):
     fired = list(m.handleExpiredTimer((0,), Late(), None))
     want = [r for k in range(64) for r in C._change_rows(k, C.until(C.advanced(None, said(k), rules)[0], C.DAY * 90, rules)[1], 2)]
     assert [tuple(r) for r in fired] == want and any(r.cause == "pause over" for r in fired)
+
+
+def test_many_doomed_keys_are_dealt(spark):
+    """Beyond MOST_SENT the doomed keys are neither broadcast nor sorted; few are broadcast."""
+    parent = spark.range(300_000).withColumnRenamed("id", "k")
+    child = spark.range(600_000).select((F.col("id") % 300_000).alias("k"))
+    doomed = parent.filter("k % 4 > 0")
+    left, children, log = write.cascade_delete(parent, {"c": child}, doomed.union(doomed), "k")
+    assert (left.count(), children["c"].count(), log.count()) == (75_000, 150_000, 225_000)
+    for rows in (left, children["c"], log):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "Sort " not in plan
+    few = write.cascade_delete(parent, {"c": child}, doomed.limit(10), "k")[0]
+    assert few.count() == 299_990 and "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
