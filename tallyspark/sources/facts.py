@@ -101,7 +101,9 @@ def _pages(spark, sf_dir):
     form = F.expr("CASE WHEN l_suppkey % 3 = 0 THEN '10-K' WHEN l_suppkey % 3 = 1 THEN '10-Q' ELSE '10-K/A' END")
     fp = F.expr("element_at(array('Q1', 'Q2', 'Q3', 'FY'), cast(l_partkey % 4 as int) + 1)")
     entry = F.struct(start.alias("start"), end.alias("end"), F.col("l_extendedprice").alias("val"), form.alias("form"), F.date_format(F.date_add("l_shipdate", 40), "yyyy-MM-dd").alias("filed"), F.year("l_shipdate").alias("fy"), fp.alias("fp"), F.col("l_linenumber").cast("string").alias("accn"))
-    rows = table(spark, sf_dir, "lineitem").withColumn("concept", F.concat(F.lit("c"), F.col("l_linenumber") % 3)).withColumn("unit", unit).withColumn("e", entry)
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity", "l_suppkey", "l_partkey", "l_extendedprice")
+    items = items.repartition("l_orderkey")  # once, as plain columns; the groups below lie within a filing
+    rows = items.select("l_orderkey", "l_linenumber", F.concat(F.lit("c"), F.col("l_linenumber") % 3).alias("concept"), unit.alias("unit"), entry.alias("e"))
     entries = F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "e"))), lambda x: x["e"])  # a filing has seven items at most
     rows = rows.groupBy("l_orderkey", "concept", "unit").agg(entries.alias("entries"))
     rows = rows.groupBy("l_orderkey", "concept").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("unit", "entries")))).alias("units"))

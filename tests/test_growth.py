@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyspark.operators import audit
 from tallyspark.operators import rules as R
 from tallyspark.operators import write
-from tallyspark.sources import scans
+from tallyspark.sources import facts, scans
 from tallyspark.streaming import calendar_state as C
 from tests.helpers import SF
 
@@ -167,3 +167,9 @@ def test_many_doomed_keys_are_dealt(spark):
         assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "Sort " not in plan
     few = write.cascade_delete(parent, {"c": child}, doomed.limit(10), "k")[0]
     assert few.count() == 299_990 and "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+
+
+def test_anchor_pages_shuffle_items_once(spark):
+    """A filing's items are brought together once, before they are JSON."""
+    plan = facts._pages(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.rindex("collect_list") < plan.index("Exchange ")
