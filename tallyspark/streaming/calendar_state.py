@@ -15,8 +15,11 @@ Kinds of messages:
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from functools import lru_cache
 from itertools import groupby
+from operator import itemgetter
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
@@ -35,6 +38,8 @@ CHANGED_NAMES = [x.split()[0] for x in CHANGED.split(", ")]
 ROWS = f"rows array<struct<cal_id: bigint, {STATE.replace(' ', ': ').replace(',: ', ', ')}, n: bigint>>"
 GROUP_BITS = 6
 MINUTE, DAY = 60_000_000, 86_400_000_000
+#: After all times.
+LAST = 1 << 80
 CLOSED = ("extracted", "skipped", "failed", "stale")
 ERROR_CHARS = 500
 
@@ -51,8 +56,7 @@ class Rules:
     delay: int = DAY
 
 
-@dataclass(frozen=True)
-class State:
+class State(NamedTuple):
     """A row: due is a day, the times are microseconds."""
 
     status: str
@@ -77,60 +81,62 @@ def applied(s: State | None, m: dict, rules: Rules) -> State | None:
     if kind == "entry":
         if s is None:
             return State("upcoming", 0, m["due"], m["form"])
-        return replace(s, due=m["due"]) if s.status == "extracted" else replace(s, due=m["due"], status="upcoming", closed=None)
+        return s._replace(due=m["due"]) if s.status == "extracted" else s._replace(due=m["due"], status="upcoming", closed=None)
     if s is None:
         return None
     if kind == "poll" and s.status == "upcoming":
-        s = replace(s, polled=t)
+        s = s._replace(polled=t)
         if word == "hit":
-            return replace(s, status="detected", next=None, error=None)
+            return s._replace(status="detected", next=None, error=None)
         if word == "known":
-            return replace(s, status="skipped", error=detail, closed=t)
+            return s._replace(status="skipped", error=detail, closed=t)
         if word == "not_yet":
-            return replace(s, next=None, error=None)
-        return replace(s, next=t + (60 if word == "error" else 1440) * MINUTE, error=detail)
+            return s._replace(next=None, error=None)
+        return s._replace(next=t + (60 if word == "error" else 1440) * MINUTE, error=detail)
     if kind == "attempt" and s.status in ("detected", "partial"):
         if word == "fatal":
-            return replace(s, error="deferred")
-        s = replace(s, attempts=s.attempts + 1)
+            return s._replace(error="deferred")
+        s = s._replace(attempts=s.attempts + 1)
         if word == "done":
-            return replace(s, status="extracted", next=None, error=detail, closed=t)
+            return s._replace(status="extracted", next=None, error=detail, closed=t)
         error = "crashed" if word == "crashed" else detail
         if s.attempts >= rules.max_attempts:
-            return replace(s, status="failed", next=None, error=error, closed=t)
-        return replace(s, status=s.status if word == "crashed" else "partial", next=t + backoff(s.attempts), error=error)
+            return s._replace(status="failed", next=None, error=error, closed=t)
+        return s._replace(status=s.status if word == "crashed" else "partial", next=t + backoff(s.attempts), error=error)
     if kind == "action":
         if (word == "requeue" and s.status in ("failed", "stale")) or (word == "retry" and s.status in RETRYABLE):
-            return replace(s, status="upcoming", attempts=0, polled=None, next=None, error=None, closed=None)
+            return s._replace(status="upcoming", attempts=0, polled=None, next=None, error=None, closed=None)
         if word == "skip" and s.status != "extracted":
-            return replace(s, status="skipped", next=None, error="skipped" + (f": {detail}" if detail else ""), closed=t)
+            return s._replace(status="skipped", next=None, error="skipped" + (f": {detail}" if detail else ""), closed=t)
     return s
 
 
-def _values(s: State) -> tuple:
-    return s.status, s.attempts, s.due, s.form, s.polled, s.next, s.error, s.closed
+@lru_cache(maxsize=16)
+def _by_form(days: tuple[tuple[str, int], ...]) -> dict[str, int]:
+    return dict(days)
 
 
 def wake(s: State, rules: Rules) -> tuple[int, str]:
     """When a row is to be woken next, and why. A row is never without a timer, so none stays for ever."""
-    times = []
-    if s.next is not None and s.closed is None:
-        times.append((s.next, "pause over"))
-    if s.status == "upcoming":
-        deadline = s.due + dict(rules.stale_days).get(s.form, STALE_DAYS)
-        looked = s.polled is not None and s.polled // DAY >= deadline
-        first = deadline + 1 if looked else max(deadline, s.due + rules.lookback) + 1
-        times.append((max(first * DAY, s.polled or 0), "deadline"))
-    if s.closed is not None:
-        times.append((s.closed + rules.keep_days * DAY, "forgotten"))
-    return min(times) if times else ((s.due + rules.lookback + rules.keep_days) * DAY + rules.keep_days * DAY, "forgotten")
+    status, _, due, form, polled, next_, _, closed = s
+    first = None
+    if next_ is not None and closed is None:
+        first = (next_, "pause over")
+    if status == "upcoming":
+        deadline = due + _by_form(rules.stale_days).get(form, STALE_DAYS)
+        looked = polled is not None and polled // DAY >= deadline
+        day = deadline + 1 if looked else max(deadline, due + rules.lookback) + 1
+        first = min(first or (LAST, ""), (max(day * DAY, polled or 0), "deadline"))
+    if closed is not None:
+        first = min(first or (LAST, ""), (closed + rules.keep_days * DAY, "forgotten"))
+    return first or ((due + rules.lookback + rules.keep_days) * DAY + rules.keep_days * DAY, "forgotten")
 
 
 def woken(s: State, cause: str, t: int) -> State | None:
     if cause == "pause over":
-        return replace(s, next=None)
+        return s._replace(next=None)
     if cause == "deadline":
-        return replace(s, status="stale", closed=t, error="no filing by the deadline")
+        return s._replace(status="stale", closed=t, error="no filing by the deadline")
     return None
 
 
@@ -177,6 +183,20 @@ def _change_rows(key: int, changes: list[Change], first: int) -> list[tuple]:
     return [(key, t, first + k, s.status, s.attempts, s.next, s.error, cause) for k, (t, s, cause) in enumerate(changes)]
 
 
+def _said(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The messages of a batch. Texts repeat, so each different one is made once."""
+    columns = []
+    for column in batch.columns:
+        if pa.types.is_string(column.type):
+            coded = column.dictionary_encode()
+            texts = [*coded.dictionary.to_pylist(), None]  # null is the last
+            columns.append([texts[k] for k in coded.indices.fill_null(-1).to_numpy().tolist()])
+        else:
+            columns.append(column.to_pylist() if column.null_count else column.to_numpy().tolist())
+    names = batch.schema.names
+    return (dict(zip(names, row)) for row in zip(*columns))  # noqa: B905
+
+
 def fold(messages: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The changes (cal_id, at, n, status, attempts, next_attempt, error, cause) of a batch of messages, timers included up to
     the watermark that a stream of them ends with. n counts a row's changes.
@@ -197,7 +217,7 @@ def fold(messages: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
         for batch in batches:
             out = []
-            for own, rows in groupby(batch.to_pylist(), key=lambda m: m["cal_id"]):
+            for own, rows in groupby(_said(batch), key=itemgetter("cal_id")):
                 if own != key:
                     out += _change_rows(key, until(state, end, rules)[1], n)
                     key, state, n = own, None, 0
@@ -230,7 +250,7 @@ class Machine(StatefulProcessor):
         for t in list(self.handle.listTimers()) if known else []:
             self.handle.deleteTimer(t)
         if held:
-            self.state.update(([(k, *_values(s), n) for k, (s, n) in held.items()],))
+            self.state.update(([(k, *s, n) for k, (s, n) in held.items()],))
             # Timers have milliseconds; the rules look at the exact time again.
             self.handle.registerTimer(-(-min(wake(s, self.rules)[0] for s, _ in held.values()) // 1000))
         elif known:

@@ -3,6 +3,7 @@
 import json
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -173,3 +174,23 @@ def test_anchor_pages_shuffle_items_once(spark):
     """A filing's items are brought together once, before they are JSON."""
     plan = facts._pages(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and plan.rindex("collect_list") < plan.index("Exchange ")
+
+
+def test_messages_are_decoded_by_columns():
+    """A fold's messages: repeated texts are one object, nulls stay null, and states are plain tuples."""
+    rows = [{"cal_id": k // 2, "t": k, "kind": "poll", "word": [None, "", "hit"][k % 3], "due": None if k % 2 else k} for k in range(9)]
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([("cal_id", pa.int64()), ("t", pa.int64()), ("kind", pa.string()), ("word", pa.string()), ("due", pa.int32())]))
+    for part, want in ((batch, rows), (batch.slice(3, 4), rows[3:7]), (batch.slice(0, 0), [])):
+        got = list(C._said(part))
+        assert got == want and len({id(m["kind"]) for m in got}) == min(len(got), 1)
+    assert isinstance(C.State("upcoming", 0, 5, None), tuple)
+
+
+def test_wake_takes_the_first_timer():
+    """Of timers at one time that with the smallest name."""
+    rules = C.Rules(stale_days=(("10-K", 3),), lookback=5, keep_days=2)
+    for s in [C.State(status, 0, 10, form, polled, next_, None, closed) for status in ("upcoming", "failed") for form in ("10-K", None) for polled in (None, 14 * C.DAY, 300 * C.DAY) for next_ in (None, 5, 16 * C.DAY) for closed in (None, 14 * C.DAY)]:
+        deadline = 10 + (3 if s.form else C.STALE_DAYS)
+        day = deadline + 1 if s.polled is not None and s.polled // C.DAY >= deadline else max(deadline, 15) + 1
+        times = [(s.next, "pause over")] * (s.next is not None and s.closed is None) + [(max(day * C.DAY, s.polled or 0), "deadline")] * (s.status == "upcoming") + ([(s.closed + 2 * C.DAY, "forgotten")] if s.closed is not None else [])
+        assert C.wake(s, rules) == (min(times) if times else (19 * C.DAY, "forgotten"))
