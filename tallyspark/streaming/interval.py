@@ -48,9 +48,17 @@ def stored_in_parts(rows: DataFrame, part: Column, path: str) -> None:
         stored.filter(F.col("__part") == k).drop("__part").coalesce(1).write.mode("append").parquet(path)
 
 
+def stored_once(rows: DataFrame, name: str) -> DataFrame:
+    """Different rows as files, so that batches that read them anew don't make them anew."""
+    path = fresh_folder(rows.sparkSession, name)
+    rows.distinct().write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def sweep_stream(spark, sf_dir):
     """sweep_unseen() from streams of files, a year each."""
     found, docs, events, calendar, cutoff = P.sweep_tables(spark, sf_dir)
+    docs, events = stored_once(docs.select("ticker", "form", "period"), "sweep-docs"), stored_once(events.select("accession"), "sweep-events")
     sources = {}
     for name, rows, time in (("filings", found, "period"), ("calendar", calendar.select("cal_id", "ticker", "fiscal_end", "status"), "fiscal_end")):
         last = rows.limit(1).select(*[F.lit(END).cast("date").alias(c) if c in (time, "filed") else F.lit("upcoming").alias(c) if c == "status" else F.lit(-1).cast(rows.schema[c].dataType).alias(c) if c == "ticker" else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])

@@ -12,6 +12,7 @@ from tallyspark.operators import rules as R
 from tallyspark.operators import write
 from tallyspark.sources import facts, scans
 from tallyspark.streaming import calendar_state as C
+from tallyspark.streaming import interval
 from tests.helpers import SF
 
 
@@ -194,3 +195,12 @@ def test_wake_takes_the_first_timer():
         day = deadline + 1 if s.polled is not None and s.polled // C.DAY >= deadline else max(deadline, 15) + 1
         times = [(s.next, "pause over")] * (s.next is not None and s.closed is None) + [(max(day * C.DAY, s.polled or 0), "deadline")] * (s.status == "upcoming") + ([(s.closed + 2 * C.DAY, "forgotten")] if s.closed is not None else [])
         assert C.wake(s, rules) == (min(times) if times else (19 * C.DAY, "forgotten"))
+
+
+def test_known_rows_are_stored_once(spark):
+    """What the sweep's batches read anew is a scan of different rows, not the joins that made them."""
+    rows = interval.P.sweep_tables(spark, SF)[1].select("ticker", "form", "period")
+    stored = interval.stored_once(rows.unionByName(rows), "known")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert stored.count() == rows.distinct().count() and stored.exceptAll(rows.distinct()).count() == 0
