@@ -3,17 +3,18 @@
 A store has one or more tables (facts, their evidence, ...), all with the key's columns, each partitioned by the key's bucket.
 A batch of new rows is merged in three steps, each of which can be repeated:
 1. the new contents of the buckets that occur are computed from the old ones and written to the batch's log, with what else
-   the batch tells (its audit); a mark says that the log is complete;
-2. these buckets are published: they overwrite the store's, others aren't touched;
+   the batch tells (its audit), and the names of its files; a mark says that the log is complete;
+2. these buckets are published: the log's files are moved to the place of the store's, others aren't touched;
 3. a mark says that the batch is done; it is never applied again.
-A run that is lost in the first step leaves the store as it was; one that is lost in the second is published from the log.
+A run that is lost in the first step leaves the store as it was; one that is lost in the second is published from the log: a
+file is there or in the store already. Rows are thus dealt to buckets and written once.
 One writer at a time merges into a store; readers see a batch bucket by bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,12 +79,25 @@ def _by_bucket(rows: DataFrame, store: Store) -> DataFrame:
 
 def create(spark: SparkSession, path: str, keys: list[str], tables: dict[str, DataFrame], buckets: int = 64) -> Store:
     """A store of the given rows. With some hundred MB a bucket, a change of few keys reads and writes little."""
-    store = Store(spark, path, tuple(keys), {n: t.schema for n, t in tables.items()}, buckets)
+    store = Store(spark, path, tuple(keys), {}, buckets)
     for name, rows in tables.items():
-        _by_bucket(rows, store).write.partitionBy(BUCKET).parquet(f"{path}/{name}")
+        store = added(store, name, rows)
     return store
 
 
+def added(store: Store, name: str, rows: DataFrame) -> Store:
+    """The store with one more table, which may be made of those that it has."""
+    _by_bucket(rows, store).write.partitionBy(BUCKET).parquet(f"{store.path}/{name}")
+    return replace(store, schemas=store.schemas | {name: rows.schema})
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The names of a folder's Parquet files; none where it isn't there."""
+    fs, at = _file_system(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
+    return [x for x in names if x.endswith(".parquet")]
+
+
 def stage(store: Store, new: DataFrame, batch: int, plan: Plan) -> None:
     """The first step; nothing where it was done before."""
     spark, log = store.spark, f"{store.path}/log/batch={batch}"
@@ -97,20 +111,29 @@ def stage(store: Store, new: DataFrame, batch: int, plan: Plan) -> None:
             _by_bucket(rows.select(*store.schemas[name].names), store).write.partitionBy(BUCKET).parquet(f"{log}/{name}")
         else:
             rows.write.parquet(f"{log}/{name}")
-    spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int").coalesce(1).write.parquet(f"{log}/touched")
+    files = [(name, b, _files(spark, f"{log}/{name}/{BUCKET}={b}")) for name in store.schemas for b in touched]
+    spark.createDataFrame(files, f"name string, {BUCKET} int, files array<string>").coalesce(1).write.parquet(f"{log}/touched")
     _mark(spark, f"{log}/_STAGED")
 
 
 def publish(store: Store, batch: int) -> None:
-    """The second step and the third: the log's buckets replace the store's."""
+    """The second step and the third: the log's buckets replace the store's. A file that an earlier run has moved stays."""
     spark, log = store.spark, f"{store.path}/log/batch={batch}"
-    touched = {r[0] for r in spark.read.parquet(f"{log}/touched").collect()}
-    for name, schema in store.schemas.items():
-        staged = spark.read.schema(StructType([*schema.fields]).add(BUCKET, IntegerType())).parquet(f"{log}/{name}")
-        staged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(f"{store.path}/{name}")
-        full = {r[0] for r in staged.select(BUCKET).distinct().collect()}
-        for b in touched - full:  # all their rows are gone
-            _remove(spark, f"{store.path}/{name}/{BUCKET}={b}")
+    for name, b, files in spark.read.parquet(f"{log}/touched").collect():  # at most the number of buckets, by table
+        source, target = f"{log}/{name}/{BUCKET}={b}", f"{store.path}/{name}/{BUCKET}={b}"
+        waiting, there = set(_files(spark, source)), _files(spark, target)
+        if lost := set(files) - waiting - set(there):
+            raise FileNotFoundError(f"neither in the log nor in the store: {target}/{min(lost)}")
+        for x in set(there) - set(files):
+            _remove(spark, f"{target}/{x}")
+        fs, at = _file_system(spark, target)
+        fs.mkdirs(at)
+        for x in waiting.intersection(files):
+            _remove(spark, f"{target}/{x}")
+            if not fs.rename(_file_system(spark, f"{source}/{x}")[1], at):
+                raise OSError(f"could not move {source}/{x}")
+        if not files:  # all its rows are gone
+            _remove(spark, target)
     _mark(spark, f"{log}/_DONE")
 
 
@@ -156,12 +179,28 @@ def upserts(store: Store, how: str = "force", guard=None) -> Plan:
     return lambda old, new: {name: put(old[name], new)}
 
 
+#: Rows of results and stored facts that a task compares at most, as far as they are evenly spread: it sorts them in memory.
+TASK_ROWS = 1_000_000
+
+
 def facts_plan(docs: DataFrame, rates: DataFrame, order: list[str], force: bool, **hooks) -> Plan:
     """Results into facts with their evidence and verdicts, both removed where a fact is overwritten; the audit, the errors and
-    the summary go to the log."""
+    the summary go to the log. What all these are made of is written to a folder first, which the plan's next batch removes."""
+    last: list[str] = []
 
     def plan(old: dict[str, DataFrame], new: DataFrame) -> dict[str, DataFrame]:
-        return write_results(old["facts"], new, docs, rates, order, force, children={n: t for n, t in old.items() if n != "facts"}, **hooks)
+        spark = new.sparkSession
+
+        def kept(rows: DataFrame) -> DataFrame:
+            while last:
+                _remove(spark, last.pop())
+            last.append(fresh_folder(spark, "merged"))
+            rows.write.parquet(last[0])
+            return spark.read.schema(rows.schema).parquet(last[0])
+
+        parts = -(-(new.count() + old["facts"].count()) // TASK_ROWS)
+        parts = parts if parts > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+        return write_results(old["facts"], new, docs, rates, order, force, children={n: t for n, t in old.items() if n != "facts"}, kept=kept, parts=parts, **hooks)
 
     return plan
 
@@ -188,8 +227,10 @@ def stored_upsert(spark, sf_dir):
 def stored_facts(spark, sf_dir):
     """Results over stored facts, with evidence and verdicts of old ones: what is stored then."""
     stored, results, docs, rates = write_tables(spark, sf_dir)
-    evidence = stored.select(*KEY, F.col("quote").alias("excerpt"))
-    store = create(spark, fresh_folder(spark, "facts"), KEY, {"facts": stored, "evidence": evidence, "verdicts": stored.select(*KEY, F.lit(True).alias("passed"))}, 16)
+    store = create(spark, fresh_folder(spark, "facts"), KEY, {"facts": stored}, 16)
+    stored = store.read("facts")
+    store = added(store, "evidence", stored.select(*KEY, F.col("quote").alias("excerpt")))
+    store = added(store, "verdicts", stored.select(*KEY, F.lit(True).alias("passed")))
     merge(store, results, 0, facts_plan(docs, rates, ORDER, force=True))
     keys = lambda name, more: store.read(name).select(F.lit(name).alias("stored"), *KEY[:2], more.alias("value"))
     out = keys("facts", F.col("value"))

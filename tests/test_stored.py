@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import stored
-from tallyspark.operators.write import KEY
+from tallyspark.operators.write import KEY, write_results
 
 SCHEMA = "id long, status string, price double"
 
@@ -114,3 +114,79 @@ def test_overwrite_clears_dependants(spark, tmp_path):
     ]
     assert sorted((r.doc_id, r.passed, r.details) for r in store.log(0, "checks").collect()) == [(1, True, '{"quote_length":3}'), (3, True, '{"quote_length":3}')]
     assert [r.messages for r in store.log(0, "errors").collect()] == [["missing or empty required field: value_text"]]
+
+
+FACT = "doc_id long, metric string, model string, period_type string, value double, value_text string, unit string, quote string, section string, kind string, value_usd double, fx_rate double, fx_date date, currency string"
+
+
+def fact(doc, value, model="x"):
+    return (doc, "m", model, "FY", value, "5", "count", "it is so", "s", "direct", value, None, None, None)
+
+
+def no_docs(spark):
+    return spark.createDataFrame([], "doc_id long, currency string, period date"), spark.createDataFrame([], "currency string, rate_date date, rate double")
+
+
+def test_publishing_moves_the_log_s_files(spark, store, tmp_path):
+    """They are neither shuffled nor written again."""
+    stored.stage(store, change(spark, *range(390, 410)), 0, stored.upserts(store))
+    staged = {p.name for p in (tmp_path / "store" / "log" / "batch=0" / "rows").rglob("*.parquet")}
+    stored.publish(store, 0)
+    touched = {r[0] for r in change(spark, *range(390, 410)).select(store.bucket()).collect()}
+    assert {p.name for b in touched for p in (tmp_path / "store" / "rows" / f"{stored.BUCKET}={b}").glob("*.parquet")} == staged
+    assert len(rows(store)) == 410
+
+
+@pytest.mark.parametrize("calls", [1, 3, 6])
+def test_lost_between_two_moves(spark, store, monkeypatch, calls):
+    before = rows(store)
+    ids = range(390, 410)
+    stored.stage(store, change(spark, *ids), 0, stored.upserts(store))
+    left, remove = [None] * calls, stored._remove
+
+    def lost(*args):
+        if not left:
+            raise OSError("lost")
+        left.pop()
+        remove(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(stored, "_remove", lost)
+        with pytest.raises(OSError, match="lost"):
+            stored.publish(store, 0)
+    never = lambda old, new: pytest.fail("computed again")
+    assert stored.merge(store, change(spark, *ids), 0, never)
+    assert rows(store) == before | {i: ("N", 2.0) for i in ids}
+
+
+def test_results_are_compared_once(spark):
+    """All tables of a batch read what was made once; the next batch removes it."""
+    old, new = spark.createDataFrame([fact(1, 1.0), fact(2, 2.0)], FACT), spark.createDataFrame([fact(1, 9.0), fact(1, 8.0), fact(3, 3.0)], FACT)
+    plan = stored.facts_plan(*no_docs(spark), ["value"], True)
+    out = plan({"facts": old, "evidence": old.select(*KEY)}, new)
+    assert all("Window" not in t._jdf.queryExecution().optimizedPlan().toString() for t in out.values())
+    assert sorted((r.doc_id, r.value) for r in out["facts"].collect()) == [(1, 8.0), (2, 2.0), (3, 3.0)]
+    assert [r.doc_id for r in out["evidence"].collect()] == [2]
+    assert sorted(tuple(r) for r in out["summary"].collect()) == [("inserted", 1), ("overwritten", 1), ("skipped", 1)]
+    at = out["facts"].inputFiles()[0]
+    plan({"facts": old}, new.limit(1))
+    assert not stored._there(spark, at)
+
+
+def test_many_rows_are_dealt_to_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(stored, "TASK_ROWS", 10)
+    new = spark.createDataFrame([fact(i, 1.0) for i in range(200)], FACT)
+    out = stored.facts_plan(*no_docs(spark), ["value"], False)({"facts": new.limit(50)}, new)
+    assert len(out["facts"].inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r.doc_id for r in out["facts"].collect()) == list(range(200))
+
+
+@pytest.mark.parametrize("force", [True, False])
+def test_keys_with_a_null_match_nothing(spark, force):
+    """Stored rows stay, and of results that repeat such a key the first counts as new."""
+    old = spark.createDataFrame([fact(1, 1.0, None), fact(2, 2.0)], FACT)
+    new = spark.createDataFrame([fact(1, 6.0, None), fact(1, 5.0, None), fact(2, 7.0)], FACT)
+    out = write_results(old, new, *no_docs(spark), ["value"], force, children={"evidence": old.select(*KEY)})
+    assert sorted((r.doc_id, r.value) for r in out["facts"].collect()) == [(1, 1.0), (1, 5.0), (2, 7.0 if force else 2.0)]
+    assert sorted(r.doc_id for r in out["evidence"].collect()) == ([1] if force else [1, 2])
+    assert {r.outcome: r.n for r in out["summary"].collect()} == ({"inserted": 1, "overwritten": 1, "skipped": 1} if force else {"inserted": 1, "skipped": 2})
