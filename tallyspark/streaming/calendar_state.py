@@ -14,7 +14,9 @@ Kinds of messages:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import groupby
@@ -31,12 +33,16 @@ from tallyspark.plans.views import filings
 from tallyspark.streaming.pipeline import FIRST_PAUSE, LONGEST_PAUSE, RETRYABLE, STALE_DAYS
 
 MESSAGE = "cal_id long, at timestamp, seq long, kind string, word string, detail string, due date, form string"
-STATE = "status string, attempts int, due int, form string, polled long, next long, error string, closed long"
 CHANGED = "cal_id long, t long, n long, status string, attempts int, next long, error string, cause string"
 CHANGED_NAMES = [x.split()[0] for x in CHANGED.split(", ")]
-#: What the stream's state store holds for a group of 2^GROUP_BITS consecutive ids.
-ROWS = f"rows array<struct<cal_id: bigint, {STATE.replace(' ', ': ').replace(',: ', ', ')}, n: bigint>>"
-GROUP_BITS = 6
+#: What the stream's state store holds for a group of 2^GROUP_BITS consecutive ids: its timer, and its rows as one text (a JSON
+#: list of a row's id, state, number of changes and time to wake), as each field that crosses to Python by itself costs more
+#: than the rules do.
+ROWS = "timer bigint, rows string"
+N, WAKE = -2, -1
+GROUP_BITS = 7
+#: The changes of a group, column by column.
+CHANGED_LISTS = ", ".join(f"{x.split()[0]} array<{x.split()[1]}>" for x in CHANGED.split(", "))
 MINUTE, DAY = 60_000_000, 86_400_000_000
 #: After all times.
 LAST = 1 << 80
@@ -231,6 +237,16 @@ def fold(messages: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return _named(rows.mapInArrow(walk, CHANGED))
 
 
+def _state(row: list | None) -> State | None:
+    return None if row is None else State(*row[1:N])
+
+
+def _listed(changes: list[tuple]) -> Iterator[Row]:
+    """One row with the changes of a call, if there are any."""
+    if changes:
+        yield Row(**{c: list(x) for c, x in zip(CHANGED_NAMES, zip(*changes, strict=True), strict=True)})
+
+
 class Machine(StatefulProcessor):
     """The states of a group of calendar rows in the state store, with one timer: each call to the store serves them all."""
 
@@ -241,73 +257,95 @@ class Machine(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("rows", ROWS)
 
-    def _load(self) -> dict[int, tuple[State, int]]:
-        if not self.state.exists():
-            return {}
-        return {cal_id: (State(*values), n) for cal_id, *values, n in self.state.get()[0]}
-
-    def _store(self, known: bool, held: dict[int, tuple[State, int]]) -> None:
-        for t in list(self.handle.listTimers()) if known else []:
-            self.handle.deleteTimer(t)
+    def _load(self) -> tuple[int | None, dict[int, list]]:
+        """A group's timer and rows by id."""
+        timer, text = self.state.get() or (None, "[]")
+        return timer, {row[0]: row for row in json.loads(text)}
+
+    def _store(self, known: bool, timer: int | None, held: dict[int, list]) -> None:
+        """timer: the one that is still set, if any."""
+        # Timers have milliseconds; the rules look at the exact time again.
+        at = -(-min(row[WAKE] for row in held.values()) // 1000) if held else None
+        if timer is not None and timer != at:
+            self.handle.deleteTimer(timer)
         if held:
-            self.state.update(([(k, *s, n) for k, (s, n) in held.items()],))
-            # Timers have milliseconds; the rules look at the exact time again.
-            self.handle.registerTimer(-(-min(wake(s, self.rules)[0] for s, _ in held.values()) // 1000))
+            if timer != at:
+                self.handle.registerTimer(at)
+            self.state.update((at, json.dumps(list(held.values()), separators=(",", ":"))))
         elif known:
             self.state.clear()
 
-    def _given(self, held: dict, own: int, s: State | None, changes: list[Change]) -> list[Row]:
-        """The changes of a row, whose new state is put into held."""
-        n = held[own][1] if own in held else 0
+    def _put(self, held: dict[int, list], own: int, s: State | None, changes: list[Change], out: list[tuple]) -> None:
+        """The changes of a row go to out, its new state to held."""
+        n = held[own][N] if own in held else 0
+        out += _change_rows(own, changes, n)
         if s is None:
             held.pop(own, None)
         else:
-            held[own] = (s, n + len(changes))
-        return [Row(**dict(zip(CHANGED_NAMES, row, strict=True))) for row in _change_rows(own, changes, n)]
+            held[own] = [own, *s, n + len(changes), wake(s, self.rules)[0]]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self._load()
+        timer, held = self._load()
         known, out = bool(held), []
-        messages = sorted((r.asDict() for r in rows), key=lambda m: (m["cal_id"], m["t"], m["seq"]))
-        for own, said in groupby(messages, key=lambda m: m["cal_id"]):
-            out += self._given(held, own, *advanced(held[own][0] if own in held else None, list(said), self.rules))
-        self._store(known, held)
-        yield from out
+        messages = sorted((json.loads(r.said) for r in rows), key=lambda m: (m["cal_id"], m["t"], m["seq"] is not None, m["seq"] or 0))
+        for own, said in groupby(messages, key=itemgetter("cal_id")):
+            self._put(held, own, *advanced(_state(held.get(own)), list(said), self.rules), out)
+        if known or held:
+            self._store(known, timer, held)
+        yield from _listed(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held, out = self._load(), []
+        _, held = self._load()
+        out: list[tuple] = []
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        for own, (s, _) in list(held.items()):
-            if wake(s, self.rules)[0] <= now:
-                out += self._given(held, own, *until(s, now, self.rules))
-        self._store(True, held)
-        yield from out
+        for own, row in list(held.items()):
+            if row[WAKE] <= now:
+                self._put(held, own, *until(_state(row), now, self.rules), out)
+        self._store(True, None, held)  # Spark deletes the expired timer
+        yield from _listed(out)
 
     def close(self) -> None:
         pass
 
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def running(messages: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The same changes from a stream of messages. Those later than the watermark are left out. The session must keep its
     state in RocksDB when the query starts: run() sees to that."""
-    rows = _shaped(messages.withWatermark("at", f"{rules.delay // 1000} milliseconds")).filter("cal_id is not null")
-    rows = rows.withColumn("id_group", F.shiftright("cal_id", GROUP_BITS))
-    return _named(rows.groupBy("id_group").transformWithState(Machine(rules), CHANGED, "Append", "EventTime"))
+    rows = _shaped(messages.withWatermark("at", f"{rules.delay // 1000} milliseconds")).filter("cal_id is not null and t is not null")
+    said = F.to_json(F.struct(*[c for c in rows.columns if c != "at"]), {"ignoreNullFields": "false"})
+    rows = rows.select(F.shiftright("cal_id", GROUP_BITS).alias("id_group"), "at", said.alias("said"))
+    changes = rows.groupBy("id_group").transformWithState(Machine(rules), CHANGED_LISTS, "Append", "EventTime")
+    return _named(changes.select(F.inline(F.arrays_zip(*CHANGED_NAMES))))
+
+
+@contextmanager
+def _session(spark, **values: str):
+    """Values of the session's configuration, for a while."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run(messages: DataFrame, path: str, rules: Rules = Rules()) -> None:
-    """Writes the changes of all messages that are there to a folder, from where its checkpoint has come to."""
+    """Writes the changes of all messages that are there to a folder, from where its checkpoint has come to.
+
+    Each trigger loads and commits the state of each partition, so a new stream has no more of them than cores; a trigger
+    commits what it changed, not the whole state."""
     spark = messages.sparkSession
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
+    parts = min(int(spark.conf.get(PARTITIONS)), max(spark.sparkContext.defaultParallelism, 2))
+    with _session(spark, **{PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", CHANGELOG: "true", PARTITIONS: str(parts)}):
         query = running(messages, rules).writeStream.format("parquet").option("checkpointLocation", f"{path}-state").outputMode("append").trigger(availableNow=True).start(path)
         query.awaitTermination()
-    finally:
-        spark.conf.set(PROVIDER, before)
 
 
 def script(spark, sf_dir) -> DataFrame:
@@ -326,21 +364,45 @@ def script(spark, sf_dir) -> DataFrame:
     return entries.unionByName(rows)
 
 
+#: Messages of a file, and those that each file of a part has at least, so that no part has fewer files than others.
+FILE_ROWS, LEAST_ROWS = 2_000_000, 1_000
+
+
+def stored_by_half(messages: DataFrame, path: str, file_rows: int = FILE_ROWS) -> int:
+    """Messages as files, half year by half year in their order; how many files each of these parts has. A half year with few
+    messages goes with the next one."""
+    spark, stored = messages.sparkSession, fresh_folder(messages.sparkSession, "messages-all")
+    # As many slices of a half year as there are tasks: some tens of files.
+    slices = F.pmod(F.xxhash64("cal_id"), F.lit(max(spark.sparkContext.defaultParallelism // 8, 1)))
+    half = F.year("at") * 2 + F.floor((F.month("at") - 1) / 6)
+    messages.withColumn("half", half).repartition("half", slices).write.partitionBy("half").parquet(stored)
+    all_ = spark.read.schema(f"{MESSAGE}, half int").parquet(stored)
+    counts = sorted(tuple(r) for r in all_.groupBy("half").count().collect())  # half years: a few dozen
+    files = -(-max((n for _, n in counts), default=1) // file_rows)
+    parts, n = [[]], 0
+    for k, rows in counts:
+        if n >= LEAST_ROWS * files or (files == 1 and n):
+            parts, n = [*parts, []], 0
+        parts[-1].append(k)
+        n += rows
+    if files > 1 and len(parts) > 1 and n < LEAST_ROWS * files:
+        parts[-2:] = [parts[-2] + parts[-1]]
+    for halves in parts:
+        rows = all_.filter(F.col("half").isin(halves)).drop("half")
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
+    return files
+
+
 def calendar_fold(spark, sf_dir):
     """All changes of all calendar rows, in one batch."""
     return fold(script(spark, sf_dir)).drop("error")
 
 
 def calendar_stream(spark, sf_dir):
-    """The same from a stream of files, one for each half year."""
-    messages, source, target = script(spark, sf_dir), fresh_folder(spark, "messages"), fresh_folder(spark, "changes")
-    half = F.year("at") * 2 + F.floor((F.month("at") - 1) / 6)
-    dealt = messages.withColumn("half", half)
-    stored = fresh_folder(spark, "messages-all")
-    dealt.repartition("half").write.partitionBy("half").parquet(stored)
-    for k in sorted(r[0] for r in dealt.select("half").distinct().collect()):  # half years: a few dozen
-        spark.read.schema(MESSAGE).parquet(f"{stored}/half={k}").coalesce(1).write.mode("append").parquet(source)
-    run(spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", 1).parquet(source), target)
+    """The same from a stream of files, a half year each trigger."""
+    source, target = fresh_folder(spark, "messages"), fresh_folder(spark, "changes")
+    files = stored_by_half(script(spark, sf_dir), source)
+    run(spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files).parquet(source), target)
     return spark.read.schema(_named(spark.createDataFrame([], CHANGED)).schema).parquet(target).drop("error")
 
 

@@ -180,3 +180,64 @@ def test_interval_join_keeps_rows_without_a_match(spark, tmp_path):
     columns = ["accession", "ticker", "form", "filed", "period", "cal_id"]
     assert Counter(map(tuple, got.select(columns).collect())) == Counter(map(tuple, want.select(columns).collect()))
     assert {r.cal_id is None for r in want.collect()} == {True, False}
+
+
+def test_a_stream_has_no_more_state_partitions_than_cores(spark, tmp_path):
+    """Each trigger loads and commits every partition, whether it has messages or not. The session's values come back."""
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    parts(spark, scripts(20, 4), source, 2)
+    before = spark.conf.get(C.PARTITIONS), spark.conf.get(C.PROVIDER)
+    spark.conf.set(C.PARTITIONS, "24")
+    try:
+        C.run(spark.readStream.schema(C.MESSAGE).parquet(source), target, RULES)
+        assert spark.conf.get(C.PARTITIONS) == "24" and spark.conf.get(C.PROVIDER) == before[1]
+    finally:
+        spark.conf.set(C.PARTITIONS, before[0])
+    assert len([p for p in (tmp_path / "out-state" / "state" / "0").iterdir() if p.name.isdigit()]) == spark.sparkContext.defaultParallelism
+
+
+def test_a_group_costs_few_calls_to_its_state():
+    """One to read, one to write, and those of a timer that changes; rows come back as they were."""
+    calls, stored = [], []
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            calls.append("get")
+            return stored[-1] if stored else None
+
+        def update(self, value):
+            calls.append("update")
+            stored.append(value)
+
+        def registerTimer(self, at):
+            calls.append(("set", at))
+
+        def deleteTimer(self, at):
+            calls.append(("delete", at))
+
+    machine, said = C.Machine(RULES), lambda *m: C.Row(said=C.json.dumps(dict(zip(("cal_id", "t", "seq", "kind", "word", "detail", "due", "form"), m, strict=True))))
+    machine.init(Handle())
+    entries = [said(k, micros(START), 0, "entry", None, None, 19_723, "10-K") for k in (5, 6)]
+    (first,) = machine.handleInputRows((0,), iter(entries), None)
+    assert (first.cal_id, first.n, first.status) == ([5, 6], [0, 0], ["upcoming"] * 2)
+    (timer,) = [x[1] for x in calls if x[0] == "set"]
+    calls.clear()
+    (after,) = machine.handleInputRows((0,), iter([said(6, micros(START) + 5, 1, "poll", "not_yet", 'é "x"\n', None, None)]), None)
+    assert (after.cal_id, after.n, after.cause) == ([6], [1], ["poll not_yet"])
+    assert calls == ["get", "update"] and stored[-1][0] == timer
+
+
+def test_half_years_are_dealt_to_files_in_order(spark, tmp_path):
+    """Each part has as many files, all of them before the next part's, and the stream gives what the fold gives."""
+    rows = messages(spark, scripts(1500, 5))
+    files = C.stored_by_half(rows, f"{tmp_path}/in", 2000)
+    paths = sorted((tmp_path / "in").glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
+    assert files > 1 and len(paths) % files == 0 and len(paths) > files
+    spans = [spark.read.parquet(*map(str, paths[k : k + files])).agg(F.min("at"), F.max("at")).first() for k in range(0, len(paths), files)]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
+    C.run(spark.readStream.schema(C.MESSAGE).option("maxFilesPerTrigger", files).parquet(f"{tmp_path}/in"), f"{tmp_path}/out", RULES)
+    want = Counter(map(tuple, C.fold(rows, RULES).collect()))
+    assert Counter(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == want
