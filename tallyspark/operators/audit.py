@@ -42,39 +42,55 @@ def exploded(firms: DataFrame) -> DataFrame:
     return out.drop("years", "kinds", "metrics")
 
 
-def check_gap(firms: DataFrame, winners: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
-    """present, gap_fixable (a filing that could hold the cell exists) or gap_unfixable, of each cell of expected() companies.
-
-    A fourth quarter may come from an annual form or a 6-K. A company's cells have numbers: its winners are listed with theirs,
-    the numbers that are left are gaps. Numbers alone are exploded, and a winner is found by its place: cells, many times the
-    facts in number, are neither shuffled nor sorted, and none is searched for."""
-    own = ["doc_id", "value_usd", "model", *more]
-    held = winners.filter("ticker is not null and metric is not null").groupBy("ticker").agg(F.collect_list(F.struct("metric", "fy", "period_type", F.struct(*own).alias("won"))).alias("__held"))
-    some = lambda c: F.max(c)
+def _fixable(kind: Column, of: Column) -> Column:
+    """Whether a filing of these classes could hold a cell of the kind. A fourth quarter may come from an annual form or a 6-K."""
+    has = lambda c: F.coalesce(of[c], F.lit(False))
+    return F.when(kind == "FY", has("annual")).when(kind == "Q4", has("annual") | has("half")).otherwise(has("half") | has("interim"))
+
+
+def _company_years(firms: DataFrame, winners: DataFrame, docs: DataFrame, own: list[str]) -> DataFrame:
+    """A row per expected() company and year: its winners there (__won), their numbers among the year's cells (__taken; null for
+    cells that aren't expected), and which classes of filings there are (__of). Winners that are dealt by their company need no
+    further shuffle. Each row has its own year's winners only, as all that is exploded from it carries them along."""
+    one = lambda rows, c: rows.groupBy("ticker").agg(F.map_from_entries(F.collect_list(F.struct("fy", c))).alias(c))
+    held = winners.filter("ticker is not null and metric is not null and fy is not null")
+    held = one(held.groupBy("ticker", "fy").agg(F.collect_list(F.struct("metric", "period_type", *own)).alias("__won")), "__won")
     form = F.col("form")
     annual, half = F.coalesce(form.isin(*P.ANNUAL_FORMS), F.lit(False)), F.coalesce(form == "6-K", F.lit(False))
-    classes = docs.filter("ticker is not null and fy is not null").groupBy("ticker", "fy").agg(some(annual).alias("annual"), some(half).alias("half"), some(~annual & ~half).alias("interim"))
-    classes = classes.groupBy("ticker").agg(F.map_from_entries(F.collect_list(F.struct("fy", F.struct("annual", "half", "interim")))).alias("__classes"))
+    classes = docs.filter("ticker is not null and fy is not null").groupBy("ticker", "fy").agg(F.max(annual).alias("annual"), F.max(half).alias("half"), F.max(~annual & ~half).alias("interim"))
+    classes = one(classes.select("ticker", "fy", F.struct("annual", "half", "interim").alias("__of")), "__of")
     out = firms.join(held, "ticker", "left").join(classes, "ticker", "left")
-    n_kinds, n_cells = F.size("kinds"), F.size("kinds") * F.size("metrics")
+    years = F.transform("years", lambda y: F.struct(y.alias("fy"), F.col("__won")[y].alias("__won"), F.col("__of")[y].alias("__of")))
+    out = out.select("ticker", "kinds", "metrics", F.explode(years).alias("__year")).select("ticker", "kinds", "metrics", "__year.*")
     place = lambda names, x: F.nullif(F.array_position(names, x), F.lit(0)) - 1
-    number = lambda x: (place("years", x["fy"]) * n_cells + place("metrics", x["metric"]) * n_kinds + place("kinds", x["period_type"])).cast("int")
-    listed = F.transform("__held", lambda x: F.struct(number(x).alias("number"), x["won"].alias("won")))
-    none = F.array().cast("array<int>")
-    every = F.when(F.size("years") * n_cells > 0, F.sequence(F.lit(0), F.size("years") * n_cells - 1)).otherwise(none)
-    out = out.withColumn("__held", F.filter(listed, lambda x: x["number"].isNotNull()))
-    out = out.withColumn("__classes", F.transform("years", lambda y: F.col("__classes")[y])).withColumn("__taken", F.coalesce(F.col("__held")["number"], none))
-    # Winners come by their place below zero, gaps by their number.
-    places = F.transform("__taken", lambda x, i: -1 - i)
-    out = out.withColumn("__at", F.explode(F.concat(places, F.array_except(every, "__taken"))))
-    at = F.when(F.col("__at") < 0, F.get("__taken", -1 - F.col("__at"))).otherwise(F.col("__at"))
-    year = F.floor(at / n_cells).cast("int")
-    out = out.withColumn("fy", F.get("years", year)).withColumn("metric", F.get("metrics", F.floor(at % n_cells / n_kinds).cast("int"))).withColumn("period_type", F.get("kinds", at % n_kinds))
-    has = lambda c: F.coalesce(F.get("__classes", year)[c], F.lit(False))
-    won = F.get("__held", -1 - F.col("__at"))["won"]
-    fixable = F.when(F.col("period_type") == "FY", has("annual")).when(F.col("period_type") == "Q4", has("annual") | has("half")).otherwise(has("half") | has("interim"))
-    gap = F.when(won["doc_id"].isNotNull(), "present").when(fixable, "gap_fixable").otherwise("gap_unfixable")
-    return out.select(*CELL, *[won[c].alias(c) for c in own], gap.alias("gap"))
+    number = lambda x: (place("metrics", x["metric"]) * F.size("kinds") + place("kinds", x["period_type"])).cast("int")
+    return out.withColumn("__taken", F.coalesce(F.transform("__won", number), F.array().cast("array<int>")))
+
+
+def _cells_at(years: DataFrame, places: Column) -> DataFrame:
+    """The cells of _company_years() at these places: a gap's is its number, a winner's below zero is that in __won (then the
+    struct won isn't null)."""
+    out = years.withColumn("__at", F.explode(places))
+    out = out.withColumn("won", F.get("__won", -1 - F.col("__at")))
+    cell = F.when(F.col("__at") < 0, F.get("__taken", -1 - F.col("__at"))).otherwise(F.col("__at"))
+    return out.withColumn("metric", F.get("metrics", F.floor(cell / F.size("kinds")).cast("int"))).withColumn("period_type", F.get("kinds", cell % F.size("kinds")))
+
+
+#: Places of a year's winners whose cells are expected.
+WINNERS = "filter(transform(__taken, (x, i) -> if(x is null, null, -1 - i)), x -> x is not null)"
+
+
+def check_gap(firms: DataFrame, winners: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
+    """present, gap_fixable (a filing that could hold the cell exists) or gap_unfixable, of each cell of expected() companies.
+
+    A year's cells have numbers: its winners are listed with theirs, the numbers that are left are gaps. Numbers alone are
+    exploded, and a winner is found by its place: cells, many times the facts in number, are neither shuffled nor sorted, and
+    none is searched for."""
+    own = ["doc_id", "value_usd", "model", *more]
+    every = "if(size(kinds) * size(metrics) > 0, sequence(0, size(kinds) * size(metrics) - 1), cast(array() as array<int>))"
+    out = _cells_at(_company_years(firms, winners, docs, own), F.expr(f"concat({WINNERS}, array_except({every}, __taken))"))
+    gap = F.when(F.col("won.doc_id").isNotNull(), "present").when(_fixable(F.col("period_type"), F.col("__of")), "gap_fixable").otherwise("gap_unfixable")
+    return out.select(*CELL, *[F.col(f"won.{c}").alias(c) for c in own], gap.alias("gap"))
 
 
 def check_identity(cells: DataFrame, keys=("ticker", "fy", "metric")) -> DataFrame:
@@ -280,6 +296,26 @@ def flagged(stored: DataFrame, firms: DataFrame) -> DataFrame:
     return rows.select(*CELL, "doc_id", "value_usd", "model", "failed", gap.alias("gap"), "class", "fix")
 
 
+def fixes(stored: DataFrame, firms: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of audited() cells that have a fix. They are winners whose failures are routed and gaps that a filing could fill, so
+    no other cell is made."""
+    own = ["doc_id", "value_usd", "failed", "fix"]
+    years = _company_years(firms, checked(stored).withColumn("fix", route(F.lit("present"), F.col("failed"))), docs, own)
+    asked = lambda x: F.get("__won", -1 - x)["fix"].isNotNull() | F.get("__won", -1 - x)["doc_id"].isNull()
+    kinds = F.filter(F.transform("kinds", lambda k, i: F.when(_fixable(k, F.col("__of")), i)), lambda i: i.isNotNull())
+    end, none = F.size("kinds") * F.size("metrics") - 1, F.array().cast("array<int>")
+    gaps = F.when(F.size("metrics") > 0, F.flatten(F.transform(kinds, lambda i: F.sequence(i, end, F.size("kinds"))))).otherwise(none)
+    out = _cells_at(years, F.concat(F.filter(F.expr(WINNERS), asked), F.array_except(gaps, F.col("__taken"))))
+    open_ = F.col("won.doc_id").isNull() & _fixable(F.col("period_type"), F.col("__of"))
+    fix = F.coalesce(F.col("won.fix"), F.when(open_, "extract"))
+    failed = F.coalesce(F.col("won.failed"), F.array().cast("array<string>"))
+    return out.select(*CELL, F.col("won.doc_id").alias("doc_id"), F.col("won.value_usd").alias("value_usd"), failed.alias("failed"), fix.alias("fix")).filter("fix is not null")
+
+
+def _fixes(spark, sf_dir):
+    return fixes(facts(spark, sf_dir), _cells(spark, sf_dir), filings(spark, sf_dir))
+
+
 def _flagged(spark, sf_dir):
     return flagged(facts(spark, sf_dir), _cells(spark, sf_dir))
 
@@ -338,12 +374,14 @@ def verdict_severity(spark, sf_dir):
 
 def fix_batches(spark, sf_dir):
     """Fixes grouped by class, with the companies and years that a batch covers; a dry run changes nothing."""
-    rows = _audited(spark, sf_dir).filter("fix is not null")
-    return rows.groupBy("fix").agg(F.count("*").alias("cells"), F.count_distinct("ticker").alias("tickers"), F.min("fy").alias("first"), F.max("fy").alias("last"), F.array_join(F.sort_array(F.collect_set("metric")), ",").alias("metrics"))
+    # First by company, where the cells are; the sets of metrics are few.
+    rows = _fixes(spark, sf_dir).groupBy("ticker", "fix").agg(F.count("*").alias("n"), F.min("fy").alias("first"), F.max("fy").alias("last"), F.sort_array(F.collect_set("metric")).alias("of"))
+    metrics = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("of")))), ",")
+    return rows.groupBy("fix").agg(F.sum("n").alias("cells"), F.count("ticker").alias("tickers"), F.min("first").alias("first"), F.max("last").alias("last"), metrics.alias("metrics"))
 
 
 def fixes_dry_run(spark, sf_dir):
-    rows = _audited(spark, sf_dir).filter("fix is not null")
+    rows = _fixes(spark, sf_dir)
     suggested = F.when(F.col("fix") == "extract", F.when(F.col("period_type") == "FY", "facts").otherwise("model")).when(F.col("fix") == "refetch", "facts")
     return rows.select(*CELL, "fix", suggested.alias("extractor"), F.col("value_usd").alias("old_usd"), F.lit(None).cast("double").alias("new_usd"))
 
@@ -381,7 +419,7 @@ def classify_cells(spark, sf_dir):
 
 
 def fix_routing(spark, sf_dir):
-    return _audited(spark, sf_dir).filter("fix is not null").select(*CELL, "fix", F.array_join("failed", ";").alias("failed"))
+    return _fixes(spark, sf_dir).select(*CELL, "fix", F.array_join("failed", ";").alias("failed"))
 
 
 def coverage_matrix(spark, sf_dir):
