@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators import stored
 from tallyspark.operators.audit import AUDITED, METRICS, _cells, audited
-from tallyspark.plans.shared import fresh_folder
+from tallyspark.plans.shared import fresh_folder, sent
 from tallyspark.plans.views import facts, filings
 
 GROUP = ["ticker", "metric"]
@@ -58,7 +58,8 @@ def refresh(store: stored.Store, now: DataFrame, stored_facts: DataFrame, cells:
         keys = new.select(*GROUP)
         asked = keys.groupBy("ticker").agg(F.collect_set("metric").alias("__asked"))
         own = audited(stored_facts.join(keys, GROUP, "left_semi"), cells.join(asked, "ticker").withColumn("metrics", F.array_intersect("metrics", "__asked")).drop("__asked"), docs.join(keys.select("ticker").distinct(), "ticker", "left_semi"))
-        keep = {n: t.join(keys, GROUP, "left_anti") for n, t in old.items()}
+        gone = sent(keys, by_hash=True)
+        keep = {n: t.join(gone, GROUP, "left_anti") for n, t in old.items()}
         return {"marks": keep["marks"].unionByName(new.filter("n is not null")), "cells": keep["cells"].unionByName(own.select(*keep["cells"].columns))}
 
     stored.merge(store, todo, batch, plan)
@@ -66,10 +67,10 @@ def refresh(store: stored.Store, now: DataFrame, stored_facts: DataFrame, cells:
 
 
 def new_store(spark, path: str, stored_facts: DataFrame, cells: DataFrame, docs: DataFrame, buckets: int = 64) -> stored.Store:
-    """A store of the whole audit."""
+    """A store of the whole audit. Cells are many times the facts in number, and aren't shuffled when they are made."""
     rows = audited(stored_facts, cells, docs).select(*CELL, "gap", "failed", "class", "fix", "value_usd", "doc_id")
     now = group_marks(stored_facts, docs, METRICS)
-    return stored.create(spark, path, GROUP, {"cells": rows, "marks": now.select(*GROUP, *MARK)}, buckets)
+    return stored.create(spark, path, GROUP, {"cells": rows, "marks": now.select(*GROUP, *MARK)}, buckets, ("cells",))
 
 
 def audit_incremental(spark, sf_dir):

@@ -37,6 +37,8 @@ class Store:
     keys: tuple[str, ...]
     schemas: dict[str, StructType]
     buckets: int
+    #: Tables whose rows are written where they are.
+    unmoved: tuple[str, ...] = ()
 
     def bucket(self):
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
@@ -77,9 +79,28 @@ def _by_bucket(rows: DataFrame, store: Store) -> DataFrame:
     return rows.select("*", store.bucket()).hint("rebalance", BUCKET)
 
 
-def create(spark: SparkSession, path: str, keys: list[str], tables: dict[str, DataFrame], buckets: int = 64) -> Store:
+#: How many files a task writes at once; beyond, it sorts its rows by their bucket first.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def _write(rows: DataFrame, store: Store, name: str, path: str) -> None:
+    """Rows by bucket. Those of an unmoved table aren't shuffled: each task writes a file for each bucket that it has rows of,
+    all at once and without a sort. That fits rows that are made in many times the number of what they are made of."""
+    if name not in store.unmoved:
+        _by_bucket(rows, store).write.partitionBy(BUCKET).parquet(path)
+        return
+    conf = store.spark.conf
+    before = conf.get(WRITERS)
+    conf.set(WRITERS, str(store.buckets))
+    try:
+        rows.select("*", store.bucket()).write.partitionBy(BUCKET).parquet(path)
+    finally:
+        conf.set(WRITERS, before)
+
+
+def create(spark: SparkSession, path: str, keys: list[str], tables: dict[str, DataFrame], buckets: int = 64, unmoved: tuple[str, ...] = ()) -> Store:
     """A store of the given rows. With some hundred MB a bucket, a change of few keys reads and writes little."""
-    store = Store(spark, path, tuple(keys), {}, buckets)
+    store = Store(spark, path, tuple(keys), {}, buckets, unmoved)
     for name, rows in tables.items():
         store = added(store, name, rows)
     return store
@@ -87,7 +108,7 @@ def create(spark: SparkSession, path: str, keys: list[str], tables: dict[str, Da
 
 def added(store: Store, name: str, rows: DataFrame) -> Store:
     """The store with one more table, which may be made of those that it has."""
-    _by_bucket(rows, store).write.partitionBy(BUCKET).parquet(f"{store.path}/{name}")
+    _write(rows, store, name, f"{store.path}/{name}")
     return replace(store, schemas=store.schemas | {name: rows.schema})
 
 
@@ -108,7 +129,7 @@ def stage(store: Store, new: DataFrame, batch: int, plan: Plan) -> None:
     old = {name: store.with_bucket(name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET) for name in store.schemas}
     for name, rows in plan(old, new).items():
         if name in store.schemas:
-            _by_bucket(rows.select(*store.schemas[name].names), store).write.partitionBy(BUCKET).parquet(f"{log}/{name}")
+            _write(rows.select(*store.schemas[name].names), store, name, f"{log}/{name}")
         else:
             rows.write.parquet(f"{log}/{name}")
     files = [(name, b, _files(spark, f"{log}/{name}/{BUCKET}={b}")) for name in store.schemas for b in touched]

@@ -56,3 +56,17 @@ def test_a_filing_changes_its_company(spark, tmp_path):
     assert {(r.ticker, r.metric) for r in todo.collect()} == {(ticker, m) for m in I.METRICS}
     names = ["ticker", "fy", "metric", "period_type", "gap", "class"]
     assert bag(store.read("cells").select(names)) == bag(_audited(spark, SF).select(names))
+
+
+def test_unmoved_tables_are_written_where_they_are(spark, tmp_path):
+    """Each task writes a file a bucket, so nothing is shuffled; merging gives the same rows."""
+    rows = spark.range(0, 4000, 1, 4).select("id", (F.col("id") % 7).alias("v"))
+    before = spark.conf.get(stored.WRITERS)
+    store = stored.create(spark, f"{tmp_path}/s", ["id"], {"cells": rows, "marks": rows}, 8, ("cells",))
+    files = lambda name: [len(list(p.glob("*.parquet"))) for p in (tmp_path / "s" / name).iterdir() if p.is_dir()]
+    assert files("cells") == [4] * 8 and max(files("marks")) < 4
+    new = spark.range(3990, 4010).select("id", F.lit(9).cast("long").alias("v"))
+    stored.merge(store, new, 0, lambda old, new: {n: t.join(new.select("id"), "id", "left_anti").unionByName(new) for n, t in old.items()})
+    want = bag(rows.filter("id < 3990").unionByName(new))
+    assert bag(store.read("cells")) == want and bag(store.read("marks")) == want
+    assert spark.conf.get(stored.WRITERS) == before
