@@ -35,3 +35,11 @@ def test_a_cell_carries_its_own_year_only(spark):
     years = A._company_years(firms, A.checked(f), docs, ["doc_id"])
     most = f.filter("period_type <> ''").select(*CELL).distinct().groupBy("ticker", "fy").count().agg(F.max("count")).first()[0]
     assert years.agg(F.max(F.size("__won"))).first()[0] == most
+
+
+def test_batches_are_counted_where_the_cells_are(spark):
+    """No cell is repeated to count companies, and cells are summed by company before they are shuffled."""
+    plan = A.fix_batches(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "partial_count(distinct" not in plan
+    last = plan[: plan.index("Exchange hashpartitioning(fix")]
+    assert "partial_sum(n" in plan and "partial_count(1" not in last
