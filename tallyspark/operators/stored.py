@@ -91,7 +91,7 @@ def _write(rows: DataFrame, store: Store, name: str, path: str) -> None:
         return
     conf = store.spark.conf
     before = conf.get(WRITERS)
-    conf.set(WRITERS, str(store.buckets))
+    conf.set(WRITERS, str(store.buckets + 1))  # Spark sorts what comes after the last writer that is allowed
     try:
         rows.select("*", store.bucket()).write.partitionBy(BUCKET).parquet(path)
     finally:
